@@ -51,8 +51,8 @@ def find_conflicts(target: DataFrame, source: DataFrame, on: Sequence[tuple[str,
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
            update: Mapping[str, str | Column], insert: Mapping[str, str | Column], key_col: str,
-           order: Sequence[str], schema: StructType, seed: int = 1, check: bool = True
-           ) -> DataFrame:
+           order: Sequence[str], schema: StructType, seed: int = 1, check: bool = True,
+           target_empty: bool = False) -> DataFrame:
     """New target version.
 
     on:     (target column, source column) pairs of the match condition
@@ -60,8 +60,10 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     insert: target column → source column / expression for new rows (the key is generated)
     order:  target columns giving the order in which new keys are handed out
     schema: declared target schema (types and column order of the result)
+    target_empty: the caller knows the target has no rows (first load): no match probe, no
+                  conflict check and no key lookup are needed, every source row is inserted
     """
-    if check:
+    if check and not target_empty:
         conflicts = find_conflicts(target, source, on)
         if not conflicts.isEmpty():
             sample = [tuple(r) for r in conflicts.take(5)]
@@ -79,6 +81,11 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
         return expr
 
     # matched + target-only rows
+    if target_empty:
+        ins = s.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
+                         for f in schema.fields if f.name != key_col])
+        keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=seed)
+        return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     joined = t.join(s, tnames, "left")
     kept = []
     for f in schema.fields:
@@ -93,7 +100,7 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     new_rows = s.join(t.select(*tnames), tnames, "left_anti")
     ins = new_rows.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
                             for f in schema.fields if f.name != key_col])
-    start = next_key(target, key_col, seed)
+    start = seed if target_empty else next_key(target, key_col, seed)
     keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=start)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return kept_df.unionByName(keyed)

@@ -77,34 +77,42 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
     types = w("measure_types", prev["measure_types"])
     sorts = w("sort_orders", prev["sort_orders"])
 
+    first = prev_version is None
     out = {}
     out["us_facilities"] = w("us_facilities", staging.upsert_facilities(
-        prev["us_facilities"], staging.facility_source(typed_a, typed_b)))
+        prev["us_facilities"], staging.facility_source(typed_a, typed_b), first))
     out["us_measures"] = w("us_measures", staging.upsert_measures(
-        prev["us_measures"], staging.measures_source(sum_a, sum_b)))
+        prev["us_measures"], staging.measures_source(sum_a, sum_b), first))
     out["us_facility_measures"] = w("us_facility_measures", staging.upsert_facility_measures(
         prev["us_facility_measures"], staging.facility_measures_source(
-            typed_a, typed_b, out["us_facilities"], out["us_measures"])))
+            typed_a, typed_b, out["us_facilities"], out["us_measures"]), first))
 
     out["wi_facilities"] = w("wi_facilities", staging.upsert_facilities(
-        prev["wi_facilities"], staging.facility_source(typed_a, typed_b, config.region)))
+        prev["wi_facilities"], staging.facility_source(typed_a, typed_b, config.region), first))
     out["wi_measures"] = w("wi_measures", staging.upsert_measures(
-        prev["wi_measures"], staging.regional_measures_source(sum_a, sum_b)))
+        prev["wi_measures"], staging.regional_measures_source(sum_a, sum_b), first))
     out["wi_facility_measures"] = w("wi_facility_measures", staging.upsert_facility_measures(
         prev["wi_facility_measures"], staging.facility_measures_source(
-            typed_a, typed_b, out["wi_facilities"], out["wi_measures"], config.region)))
+            typed_a, typed_b, out["wi_facilities"], out["wi_measures"], config.region), first))
 
     out["dim_facility"] = w("dim_facility", star.upsert_dim_facility(
-        prev["dim_facility"], out["wi_facilities"]))
+        prev["dim_facility"], out["wi_facilities"], first))
     out["fact_measure"] = w("fact_measure", star.upsert_fact(
         prev["fact_measure"], star.fact_source(out["wi_facility_measures"], out["wi_measures"],
-                                               types, sorts, out["dim_facility"], dim_date)))
-
-    checks = {f"pk:{n}": quality.pk_violations(df, schemas.TABLES[n.split("_", 1)[1]
-                                                                  if n.startswith(("us_", "wi_"))
-                                                                  else n][1])
-              for n, df in out.items()}
-    quality.assert_clean(checks)
+                                               types, sorts, out["dim_facility"], dim_date),
+        first))
+
+    # publish gate: primary keys unique and non-NULL in every new table, checked in one job
+    violations = None
+    for n, df in out.items():
+        shape = n.split("_", 1)[1] if n.startswith(("us_", "wi_")) else n
+        pk = schemas.TABLES[shape][1]
+        chk = quality.pk_violations(df, pk, n).select("table_name")
+        violations = chk if violations is None else violations.unionByName(chk)
+    bad = violations.take(5)
+    if bad:
+        raise ValueError(f"primary-key check failed, version {v} not published: "
+                         f"{sorted({r.table_name for r in bad})}")
     store.publish(v)
     return v
 

@@ -48,7 +48,8 @@ def facility_source(typed_a: DataFrame, typed_b: DataFrame, region: Region | Non
     return ci_union(a, b)
 
 
-def upsert_facilities(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_facilities(target: DataFrame, source: DataFrame,
+                      target_empty: bool = False) -> DataFrame:
     attrs = ["Address", "City", "State", "ZipCode", "CountyName", "PhoneNumber"]
     return upsert(
         target, source, on=[("FacilityName", "FacilityName")],
@@ -58,7 +59,7 @@ def upsert_facilities(target: DataFrame, source: DataFrame) -> DataFrame:
         key_col="FacilityID",
         order=["FacilityName", "FacilityCode", "Address", "City", "State", "ZipCode",
                "CountyName", "PhoneNumber"],
-        schema=FACILITIES_SCHEMA)
+        schema=FACILITIES_SCHEMA, target_empty=target_empty)
 
 
 # ------------------------------------------------------------------------------------ measures
@@ -80,7 +81,8 @@ def regional_measures_source(summary_a: DataFrame, summary_b: DataFrame) -> Data
                     regional_measure_benchmarks(summary_b, INFECTIONS_TYPE_ID))
 
 
-def upsert_measures(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_measures(target: DataFrame, source: DataFrame,
+                    target_empty: bool = False) -> DataFrame:
     upd = ["MeasureTypeID", "SortOrderID", "NationalScoreMax", "NationalScoreMin",
            "NationalScoreAverage"]
     return upsert(
@@ -90,7 +92,7 @@ def upsert_measures(target: DataFrame, source: DataFrame) -> DataFrame:
                 **{c: c for c in upd}},
         key_col="MeasureID",
         order=["MeasureCode", "MeasureName", "MeasureTypeID", "SortOrderID"],
-        schema=MEASURES_SCHEMA)
+        schema=MEASURES_SCHEMA, target_empty=target_empty)
 
 
 # --------------------------------------------------------------------------- facility measures
@@ -110,7 +112,8 @@ def facility_measures_source(typed_a: DataFrame, typed_b: DataFrame, facilities:
     return ci_union(a, b)
 
 
-def upsert_facility_measures(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_facility_measures(target: DataFrame, source: DataFrame,
+                             target_empty: bool = False) -> DataFrame:
     return upsert(
         target, source, on=[("MeasureID", "MeasureID"), ("FacilityID", "FacilityID")],
         update={c: c for c in FM_VALUE_COLUMNS},
@@ -119,7 +122,7 @@ def upsert_facility_measures(target: DataFrame, source: DataFrame) -> DataFrame:
         key_col="FacilityMeasureID",
         order=["FacilityID", "MeasureID", "StartDate", "EndDate", "ComparedToNational",
                "Denominator", "Score", "LowerEstimate", "HigherEstimate", "Footnote"],
-        schema=FACILITY_MEASURES_SCHEMA)
+        schema=FACILITY_MEASURES_SCHEMA, target_empty=target_empty)
 
 
 def staging_facility_measures_report(fm: DataFrame, facilities: DataFrame, measures: DataFrame

@@ -21,14 +21,15 @@ FACT_UPDATE = {
 }
 
 
-def upsert_dim_facility(target: DataFrame, facilities: DataFrame) -> DataFrame:
+def upsert_dim_facility(target: DataFrame, facilities: DataFrame,
+                        target_empty: bool = False) -> DataFrame:
     """Facility dimension from the regional staging facilities, matched by name."""
     return upsert(
         target, facilities, on=[("FacilityName", "FacilityName")],
         update={"FacilityID": "FacilityID", **DIM_ATTRS},
         insert={"FacilityID": "FacilityID", "FacilityName": "FacilityName", **DIM_ATTRS},
         key_col="FacilityKey", order=["FacilityName", "FacilityID"],
-        schema=DIM_FACILITY_SCHEMA)
+        schema=DIM_FACILITY_SCHEMA, target_empty=target_empty)
 
 
 def fact_source(fm: DataFrame, measures: DataFrame, measure_types: DataFrame,
@@ -53,7 +54,7 @@ def fact_source(fm: DataFrame, measures: DataFrame, measure_types: DataFrame,
                       "StartDateKey", "EndDateKey"))
 
 
-def upsert_fact(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_fact(target: DataFrame, source: DataFrame, target_empty: bool = False) -> DataFrame:
     """Fact upsert on (facility, measure, facility measure). On match only the values and dates
     are refreshed; facility key, measure name, sort order and type stay as first inserted."""
     insert = {
@@ -68,7 +69,8 @@ def upsert_fact(target: DataFrame, source: DataFrame) -> DataFrame:
         on=[("FacilityID", "FacilityID"), ("MeasureID", "MeasureID"),
             ("FacilityMeasureID", "FacilityMeasureID")],
         update=FACT_UPDATE, insert=insert, key_col="MeasureKey",
-        order=["FacilityMeasureID", "FacilityID", "MeasureID"], schema=FACT_MEASURE_SCHEMA)
+        order=["FacilityMeasureID", "FacilityID", "MeasureID"], schema=FACT_MEASURE_SCHEMA,
+        target_empty=target_empty)
 
 
 def facts_outside_calendar(fm: DataFrame, dim_date: DataFrame) -> DataFrame:
