@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qualmart.functions.clean import DEFAULT_DATE_FORMAT, STRICT
 from qualmart.operators import quality
@@ -102,21 +103,39 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
                                                types, sorts, out["dim_facility"], dim_date),
         first))
 
-    # publish gate: primary keys unique and non-NULL in every new table, checked in one job
-    violations = None
-    for n, df in out.items():
-        shape = n.split("_", 1)[1] if n.startswith(("us_", "wi_")) else n
-        pk = schemas.TABLES[shape][1]
-        chk = quality.pk_violations(df, pk, n).select("table_name")
-        violations = chk if violations is None else violations.unionByName(chk)
-    bad = violations.take(5)
-    if bad:
-        raise ValueError(f"primary-key check failed, version {v} not published: "
-                         f"{sorted({r.table_name for r in bad})}")
+    # publish gate, one job: primary keys unique and non-NULL, declared NOT NULL columns filled
+    failures = gate_failures(out)
+    if failures.take(1):
+        _raise(failures, v)
     store.publish(v)
     return v
 
 
+def gate_failures(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, problem) rows for every integrity violation across the new tables."""
+    parts = []
+    for n, df in tables.items():
+        schema = STAGED_TABLES[n]
+        shape = n.split("_", 1)[1] if n.startswith(("us_", "wi_")) else n
+        pk = schemas.TABLES[shape][1]
+        parts.append(quality.pk_violations(df, pk, n).select(
+            "table_name", F.concat(F.lit("duplicate or NULL key "), F.col(pk[0]).cast("string"))
+            .alias("problem")))
+        nulls = quality.null_violations(df, schemas.not_null_columns(schema))
+        parts.append(nulls.where(F.col("null_count") > 0).select(
+            F.lit(n).alias("table_name"),
+            F.concat(F.lit("NULL in NOT NULL column "), F.col("column_name")).alias("problem")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _raise(failures: DataFrame, version: int) -> None:
+    sample = [f"{r.table_name}: {r.problem}" for r in failures.take(10)]
+    raise ValueError(f"integrity checks failed, version {version} not published: {sample}")
+
+
 def published_tables(store: TableStore, version: int | None = None) -> dict[str, DataFrame]:
     v = store.published_version() if version is None else version
     return {n: store.read(n, v) for n in (*STAGED_TABLES, *STATIC_TABLES)}

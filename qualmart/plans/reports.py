@@ -64,25 +64,25 @@ def rank_facilities(fact: DataFrame, partition: str = "MeasureID", score: str =
     """
     parts = num_partitions or default_parallelism(fact.sparkSession)
     sk = F.when(F.col(direction) == 0, -F.col(score)).otherwise(F.col(score))
-    scored = fact.where(F.col(score).isNotNull()).withColumn("_sk", sk)
-    ranged = (scored.repartitionByRange(parts, F.col(partition), F.col("_sk"))
-                    .withColumn("_pid", F.spark_partition_id()))
+    order = F.col("_sk").asc_nulls_last()      # NULL scores after every ranked row
+    ranged = (fact.withColumn("_sk", sk)
+                  .repartitionByRange(parts, F.col(partition), order)
+                  .withColumn("_pid", F.spark_partition_id()))
     # Materialise once: partition ids and local ranks must come from one range assignment
-    # (a recomputed range exchange may sample different bounds).
+    # (a recomputed range exchange may sample different bounds); the input is computed once.
     ensure_checkpoint_dir(fact.sparkSession)
     local = ranged.withColumn(
-        "_local", F.rank().over(Window.partitionBy("_pid", partition).orderBy("_sk"))
+        "_local", F.rank().over(Window.partitionBy("_pid", partition).orderBy(order))
     ).checkpoint(eager=True)
-    counts = local.groupBy(partition, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = local.groupBy(partition, "_pid").agg(F.count("_sk").alias("_n"))
     before = Window.partitionBy(partition).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select(partition, "_pid",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    ranked = (local.join(offsets, [partition, "_pid"])
-                   .withColumn(out, (F.col("_offset") + F.col("_local")).cast("int"))
-                   .drop("_sk", "_pid", "_local", "_offset"))
-    unranked = fact.where(F.col(score).isNull()).withColumn(out, F.lit(None).cast("int"))
-    return ranked.unionByName(unranked)
+    rank = F.when(F.col("_sk").isNotNull(), (F.col("_offset") + F.col("_local")).cast("int"))
+    return (local.join(offsets, [partition, "_pid"])
+                 .withColumn(out, rank)
+                 .drop("_sk", "_pid", "_local", "_offset"))
 
 
 def facility_rank(model: StarModel) -> DataFrame:

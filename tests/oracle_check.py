@@ -13,7 +13,7 @@ import os
 import sys
 import time
 
-import duckdb
+import duckdb  # noqa: I001
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)

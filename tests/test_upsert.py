@@ -61,7 +61,9 @@ def _feeds(spark, score="5", ctn_b="Better Than the National Rate",
                               Score="9", StartDate="04/01/2016"), *extra])
     b = infections(spark, [dict(MeasureID="H1", MeasureName="Infection",
                                 ComparedToNational="Better than the National Benchmark",
-                                Score="--")])
+                                Score="3"),
+                           dict(MeasureID="H1", MeasureName="Infection", Score="--",
+                                FacilityID="10002", FacilityName="SECOND")])
     return a, b
 
 
@@ -114,5 +116,14 @@ def test_fact_outside_calendar_is_dropped(spark):
     a, b = _feeds(spark, extra=extra)
     refresh(spark, store, a, b, _config())
     t = published_tables(store)
-    assert t["wi_facility_measures"].count() == 4
-    assert t["fact_measure"].count() == 3
+    assert t["wi_facility_measures"].count() == 5
+    assert t["fact_measure"].count() == 4
+
+
+def test_measure_without_numeric_score_fails_the_load(spark):
+    store = TableStore(spark, scratch_path(spark, "t-notnull"))
+    a = outcomes(spark, [dict(Score="Not Available"), dict(Score="Not Available")])
+    _, b = _feeds(spark)
+    with pytest.raises(ValueError, match="NationalScoreMax"):
+        refresh(spark, store, a, b, _config())
+    assert store.published_version() is None
