@@ -17,6 +17,7 @@ from pyspark.sql.types import DecimalType
 
 from qualmart.functions.textkeys import ci_isin, ci_key
 from qualmart.operators.feeds import region_predicate
+from qualmart.session import ensure_checkpoint_dir
 
 # --- fixed values: comparison labels per class --------------------------------------------------
 BETTER_LABELS = (
@@ -57,13 +58,15 @@ def decimal_avg(total: Column, count: Column) -> Column:
                   .cast(AVG_TYPE))
 
 
-def measure_label_summary(typed: DataFrame, region: tuple[str, Iterable[str]] | None = None
-                          ) -> DataFrame:
+def measure_label_summary(typed: DataFrame, region: tuple[str, Iterable[str]] | None = None,
+                          materialize: bool = True) -> DataFrame:
     """The single scan of a typed feed that all benchmark operators use.
 
     Grouped on the original spellings (so the feed-sized aggregation keeps only fixed-width numeric
     buffers and runs as a hash aggregate with map-side combine); the case-insensitive keys are added
-    after the aggregation, on the few summary rows."""
+    after the aggregation, on the few summary rows. ``materialize`` checkpoints the summary (one
+    row per measure × label × region flag) so the several small aggregates built on it read it
+    instead of re-scanning the feed; pass ``False`` when the caller writes it out itself."""
     flag = (region_predicate(region[0], region[1]) if region else F.lit(False))
     summary = (typed
                .select(F.coalesce(flag, F.lit(False)).alias("in_region"),
@@ -73,9 +76,13 @@ def measure_label_summary(typed: DataFrame, region: tuple[str, Iterable[str]] |
                     F.count("StatScore").alias("n"),
                     F.max("StatScore").alias("hi"),
                     F.min("StatScore").alias("lo")))
-    return summary.select(ci_key("MeasureCode").alias("code_key"),
-                          ci_key("MeasureName").alias("name_key"),
-                          ci_key("ComparedToNational").alias("label_key"), "*")
+    out = summary.select(ci_key("MeasureCode").alias("code_key"),
+                         ci_key("MeasureName").alias("name_key"),
+                         ci_key("ComparedToNational").alias("label_key"), "*")
+    if materialize:
+        ensure_checkpoint_dir(typed.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def national_stats(summary: DataFrame, by_name: bool = True) -> DataFrame:
@@ -124,17 +131,32 @@ def infer_direction(better: Column, worse: Column, same: Column) -> Column:
 
 def score_direction(summary: DataFrame) -> DataFrame:
     """Per measure name, every combination of better / worse / no-different variant averages and
-    the direction each implies (a measure with two variants of one class yields two rows)."""
-    ca = class_averages(summary)
-
-    def cls(name: str, alias: str) -> DataFrame:
-        return ca.where(F.col("label_class") == name).select(
-            "name_key", F.col("average_score").alias(alias))
+    the direction each implies (a measure with two variants of one class yields two rows).
 
-    names = summary.groupBy("name_key").agg(F.min("MeasureName").alias("MeasureName"))
-    combos = (names.join(cls(BETTER, "AverageScoreBetter"), "name_key", "left")
-                   .join(cls(WORSE, "AverageScoreWorse"), "name_key", "left")
-                   .join(cls(SAME, "AverageScoreNoDifferent"), "name_key", "left"))
+    One aggregation chain, no self-joins: averages per (name, label variant), then per name the
+    lists of variant averages of each class (structs, so a variant whose average is NULL still
+    counts), and ``explode_outer`` of the three lists forms the combinations. The lists hold at
+    most the few label variants of a class.
+    """
+    per_label = (summary.groupBy("name_key", "label_key")
+                        .agg(F.min("MeasureName").alias("MeasureName"),
+                             F.min("ComparedToNational").alias("label"),
+                             decimal_avg(F.sum("s"), F.sum("n")).alias("v"))
+                        .withColumn("label_class", label_class("label")))
+
+    def variants(cls: str) -> Column:
+        return F.collect_list(F.when(F.col("label_class") == cls, F.struct("v")))
+
+    per_name = per_label.groupBy("name_key").agg(
+        F.min("MeasureName").alias("MeasureName"), variants(BETTER).alias("_b"),
+        variants(WORSE).alias("_w"), variants(SAME).alias("_n"))
+    combos = (per_name.withColumn("_b", F.explode_outer("_b"))
+                      .withColumn("_w", F.explode_outer("_w"))
+                      .withColumn("_n", F.explode_outer("_n"))
+                      .select("name_key", "MeasureName",
+                              F.col("_b.v").alias("AverageScoreBetter"),
+                              F.col("_w.v").alias("AverageScoreWorse"),
+                              F.col("_n.v").alias("AverageScoreNoDifferent")))
     return (combos.withColumn("SortOrderID", infer_direction(
                 F.col("AverageScoreBetter"), F.col("AverageScoreWorse"),
                 F.col("AverageScoreNoDifferent")))

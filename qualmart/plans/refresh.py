@@ -67,7 +67,7 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
     typed_a = w("typed_outcomes", typed_feed(outcomes, OUTCOMES, config.mode, config.date_format))
     typed_b = w("typed_infections",
                 typed_feed(infections, INFECTIONS, config.mode, config.date_format))
-    sum_a, sum_b = staging.feed_summaries(typed_a, typed_b, config.region)
+    sum_a, sum_b = staging.feed_summaries(typed_a, typed_b, config.region, materialize=False)
     sum_a, sum_b = w("summary_outcomes", sum_a), w("summary_infections", sum_b)
 
     # static tables: calendar (sentinels guarded) and lookups
@@ -79,29 +79,32 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
     sorts = w("sort_orders", prev["sort_orders"])
 
     first = prev_version is None
+    # A MERGE reads its source three times (conflict check, matched rows, inserts): write it once.
+    src = (lambda name, df: df) if first else (lambda name, df: w(f"src_{name}", df))
     out = {}
     out["us_facilities"] = w("us_facilities", staging.upsert_facilities(
-        prev["us_facilities"], staging.facility_source(typed_a, typed_b), first))
+        prev["us_facilities"], src("us_facilities", staging.facility_source(typed_a, typed_b)), first))
     out["us_measures"] = w("us_measures", staging.upsert_measures(
         prev["us_measures"], staging.measures_source(sum_a, sum_b), first))
     out["us_facility_measures"] = w("us_facility_measures", staging.upsert_facility_measures(
-        prev["us_facility_measures"], staging.facility_measures_source(
-            typed_a, typed_b, out["us_facilities"], out["us_measures"]), first))
+        prev["us_facility_measures"], src("us_facility_measures", staging.facility_measures_source(
+            typed_a, typed_b, out["us_facilities"], out["us_measures"])), first))
 
     out["wi_facilities"] = w("wi_facilities", staging.upsert_facilities(
-        prev["wi_facilities"], staging.facility_source(typed_a, typed_b, config.region), first))
+        prev["wi_facilities"], src("wi_facilities", staging.facility_source(typed_a, typed_b, config.region)),
+        first))
     out["wi_measures"] = w("wi_measures", staging.upsert_measures(
         prev["wi_measures"], staging.regional_measures_source(sum_a, sum_b), first))
     out["wi_facility_measures"] = w("wi_facility_measures", staging.upsert_facility_measures(
-        prev["wi_facility_measures"], staging.facility_measures_source(
-            typed_a, typed_b, out["wi_facilities"], out["wi_measures"], config.region), first))
+        prev["wi_facility_measures"], src("wi_facility_measures", staging.facility_measures_source(
+            typed_a, typed_b, out["wi_facilities"], out["wi_measures"], config.region)), first))
 
     out["dim_facility"] = w("dim_facility", star.upsert_dim_facility(
         prev["dim_facility"], out["wi_facilities"], first))
     out["fact_measure"] = w("fact_measure", star.upsert_fact(
-        prev["fact_measure"], star.fact_source(out["wi_facility_measures"], out["wi_measures"],
-                                               types, sorts, out["dim_facility"], dim_date),
-        first))
+        prev["fact_measure"], src("fact_measure", star.fact_source(
+            out["wi_facility_measures"], out["wi_measures"], types, sorts, out["dim_facility"],
+            dim_date)), first))
 
     # publish gate, one job: primary keys unique and non-NULL, declared NOT NULL columns filled
     failures = gate_failures(out)

@@ -63,10 +63,11 @@ def upsert_facilities(target: DataFrame, source: DataFrame,
 
 
 # ------------------------------------------------------------------------------------ measures
-def feed_summaries(typed_a: DataFrame, typed_b: DataFrame, region: Region | None = None
-                   ) -> tuple[DataFrame, DataFrame]:
+def feed_summaries(typed_a: DataFrame, typed_b: DataFrame, region: Region | None = None,
+                   materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     r = region.as_tuple() if region else None
-    return measure_label_summary(typed_a, r), measure_label_summary(typed_b, r)
+    return (measure_label_summary(typed_a, r, materialize),
+            measure_label_summary(typed_b, r, materialize))
 
 
 def measures_source(summary_a: DataFrame, summary_b: DataFrame) -> DataFrame:

@@ -79,13 +79,14 @@ def test_refresh_twice_is_idempotent_and_stale_columns_stay(spark):
     refresh(spark, store, a, b, _config())
     second = {n: sorted(map(tuple, df.collect())) for n, df in published_tables(store).items()}
     assert first == second
-    fact = published_tables(store)["fact_measure"].where("FacilityID = 1").collect()[0]
+    one = "FacilityID = 1 AND MeasureName = 'Measure One'"
+    fact = published_tables(store)["fact_measure"].where(one).collect()[0]
     assert fact.MeasureSortOrderNumber == 1     # better 5 < worse 9 -> ascending
     # third load flips the direction; the fact keeps the old sort order but takes the new score
     a3, b3 = _feeds(spark, score="20")
     refresh(spark, store, a3, b3, _config())
     t = published_tables(store)
-    fact = t["fact_measure"].where("FacilityID = 1").collect()[0]
+    fact = t["fact_measure"].where(one).collect()[0]
     assert str(fact.Score) == "20.000" and fact.MeasureSortOrderNumber == 1
     assert t["wi_measures"].where("MeasureCode = 'M1'").collect()[0].SortOrderID == 0
 
