@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualmart.session import default_parallelism, ensure_checkpoint_dir
+from qualmart.session import ensure_checkpoint_dir
 
 _PID, _POS = "_qm_pid", "_qm_pos"
 
@@ -28,9 +28,11 @@ def assign_keys(df: DataFrame, key_col: str, order: Sequence[Column | str], star
     the numbering to be reproducible)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or default_parallelism(spark)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(parts, *order_cols)
+    # Without an explicit count the adaptive planner sizes the range partitions from the data.
+    ranged = (df.repartitionByRange(*order_cols) if num_partitions is None
+              else df.repartitionByRange(num_partitions, *order_cols))
+    ranged = (ranged
                 .sortWithinPartitions(*order_cols)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qualmart.functions.textkeys import ci_eq, ci_key
 from qualmart.plans.model import MEASURE_NAMES, StarModel, measure_query
-from qualmart.session import default_parallelism, ensure_checkpoint_dir
+from qualmart.session import ensure_checkpoint_dir
 
 
 def county_report(model: StarModel, measure_name: str) -> DataFrame:
@@ -62,12 +62,13 @@ def rank_facilities(fact: DataFrame, partition: str = "MeasureID", score: str =
     those offsets come from a table of one row per (measure, partition), which is small
     (partitions + measures) and joined back.
     """
-    parts = num_partitions or default_parallelism(fact.sparkSession)
     sk = F.when(F.col(direction) == 0, -F.col(score)).otherwise(F.col(score))
     order = F.col("_sk").asc_nulls_last()      # NULL scores after every ranked row
-    ranged = (fact.withColumn("_sk", sk)
-                  .repartitionByRange(parts, F.col(partition), order)
-                  .withColumn("_pid", F.spark_partition_id()))
+    keyed = fact.withColumn("_sk", sk)
+    # Without an explicit count the adaptive planner sizes the range partitions from the data.
+    ranged = (keyed.repartitionByRange(F.col(partition), order) if num_partitions is None
+              else keyed.repartitionByRange(num_partitions, F.col(partition), order))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     # Materialise once: partition ids and local ranks must come from one range assignment
     # (a recomputed range exchange may sample different bounds); the input is computed once.
     ensure_checkpoint_dir(fact.sparkSession)
