@@ -294,11 +294,10 @@ def q_facility_comparison(spark, sf):
 
 
 def crosstab_members(spark, sf) -> list[str]:
-    """Column members of the crosstab: every measure name of both feeds, from the part brands and
-    order priorities (bounded by the number of measures)."""
-    brands = X.table(spark, sf, "part").select(F.concat(F.lit("Outcome "), "p_brand").alias("m"))
-    prios = X.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("m"))
-    return sorted(r.m for r in brands.union(prios).distinct().collect())
+    """Column members of the crosstab: the measure names of the regional measure dimension (a
+    table of one row per measure, so the collected list is bounded by the measure count)."""
+    measures = run_refreshes(spark, sf, "single")["wi_measures"]
+    return sorted(r.MeasureName for r in measures.select("MeasureName").distinct().collect())
 
 
 def q_facility_measure_crosstab(spark, sf):

@@ -2,54 +2,66 @@
 
 Layout under ``root`` (any Hadoop-compatible shared folder)::
 
-    root/v<N>/<table>/        parquet files of version N, written once
-    root/_published/          append-only parquet log of published version numbers
+    root/v<N>-<run id>/<table>/   parquet files written by one refresh attempt
+    root/_published/              append-only parquet log: (version, folder, published_at)
 
-A refresh writes every table of version N, verifies it, and only then appends N to the log.
-Readers take the largest published N, so a failed refresh leaves the previous version in force and
-half-written versions are never read.
+A refresh writes every table of its attempt folder, verifies it, and only then appends one row
+to the log. Readers take the folder of the largest published version, so a failed or abandoned
+attempt (its folder has a unique run id) is never read and never collides with a retry.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LOG_SCHEMA = "version int, folder string, published_at timestamp"
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._folders: dict[int, str] = {}
 
     def _log_path(self) -> str:
         return f"{self.root}/_published"
 
-    def path(self, name: str, version: int) -> str:
-        return f"{self.root}/v{version}/{name}"
-
-    def published_version(self) -> int | None:
+    def _log(self) -> DataFrame | None:
         try:
-            log = self.spark.read.parquet(self._log_path())
+            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path())
         except AnalysisException:
             return None
+
+    def published_version(self) -> int | None:
+        log = self._log()
+        if log is None:
+            return None
         v = log.agg(F.max("version")).first()[0]
         return None if v is None else int(v)
 
     def next_version(self) -> int:
-        """One past the largest version folder started so far (published or not)."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = p.getFileSystem(conf)
-        if not fs.exists(p):
-            return 1
-        versions = [int(s.getPath().getName()[1:]) for s in fs.listStatus(p)
-                    if s.isDirectory() and s.getPath().getName()[:1] == "v"
-                    and s.getPath().getName()[1:].isdigit()]
-        return max(versions, default=0) + 1
+        """Next version number; its folder gets a fresh run id."""
+        v = (self.published_version() or 0) + 1
+        self._folders[v] = f"v{v}-{uuid.uuid4().hex[:12]}"
+        return v
+
+    def _folder(self, version: int) -> str:
+        if version in self._folders:
+            return self._folders[version]
+        log = self._log()
+        row = None if log is None else log.where(F.col("version") == version).first()
+        if row is None:
+            raise FileNotFoundError(f"version {version} is not published under {self.root}")
+        self._folders[version] = row.folder
+        return row.folder
+
+    def path(self, name: str, version: int) -> str:
+        return f"{self.root}/{self._folder(version)}/{name}"
 
     def write(self, name: str, df: DataFrame, version: int) -> DataFrame:
         """Write one table of a version and return it read back (lineage cut here)."""
@@ -64,6 +76,7 @@ class TableStore:
         return self.spark.read.parquet(self.path(name, v))
 
     def publish(self, version: int) -> None:
-        row = [(version, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-        (self.spark.createDataFrame(row, "version int, published_at timestamp")
+        row = [(version, self._folder(version),
+                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
+        (self.spark.createDataFrame(row, LOG_SCHEMA)
              .coalesce(1).write.mode("append").parquet(self._log_path()))
