@@ -529,6 +529,21 @@ FROM j"""
     q["upsert_measures"] = f"{TWO_LOADS} SELECT * FROM n_us_mea"
     q["upsert_facility_measures"] = f"{TWO_LOADS} SELECT * FROM n_us_fm"
     q["upsert_fact"] = f"{TWO_LOADS} SELECT * FROM n_fact"
+    q["upsert_regional_facilities"] = f"{TWO_LOADS} SELECT * FROM n_wi_fac"
+    q["upsert_regional_facility_measures"] = f"{TWO_LOADS} SELECT * FROM n_wi_fm"
+    q["upsert_dim_facility"] = f"{TWO_LOADS} SELECT * FROM n_dim_fac"
+    st = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, sum(CAST({k} AS BIGINT)) AS key_sum, "
+        f"count(DISTINCT {k}) AS distinct_keys FROM {c}"
+        for n, c, k in (("us_facilities", "r_us_fac", "FacilityID"),
+                        ("us_measures", "r_us_mea", "MeasureID"),
+                        ("us_facility_measures", "r_us_fm", "FacilityMeasureID"),
+                        ("wi_facilities", "r_wi_fac", "FacilityID"),
+                        ("wi_measures", "r_wi_mea", "MeasureID"),
+                        ("wi_facility_measures", "r_wi_fm", "FacilityMeasureID"),
+                        ("dim_facility", "r_dim_fac", "FacilityKey"),
+                        ("fact_measure", "r_fact", "MeasureKey")))
+    q["refresh_idempotent_state"] = f"{STAR} {st}"
     q["dim_facility"] = f"{STAR} SELECT * FROM r_dim_fac"
     q["fact_measure"] = f"{STAR} SELECT * FROM r_fact"
     q["refresh_idempotent"] = f"{STAR} SELECT * FROM r_fact"

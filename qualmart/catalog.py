@@ -36,6 +36,8 @@ CARDINALITY_ATTRS = ("FacilityCity", "FacilityCountyName", "FacilityState", "Fac
 # ---------------------------------------------------------------------------------------------------
 
 _RUNS: dict[tuple, dict[str, DataFrame]] = {}
+STAGED_NAMES = ("us_facilities", "us_measures", "us_facility_measures", "wi_facilities",
+                "wi_measures", "wi_facility_measures", "dim_facility", "fact_measure")
 
 
 def feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -228,6 +230,18 @@ def q_upsert_fact(spark, sf):
     return run_refreshes(spark, sf, "two_loads")["fact_measure"]
 
 
+def q_upsert_regional_facilities(spark, sf):
+    return run_refreshes(spark, sf, "two_loads")["wi_facilities"]
+
+
+def q_upsert_regional_facility_measures(spark, sf):
+    return run_refreshes(spark, sf, "two_loads")["wi_facility_measures"]
+
+
+def q_upsert_dim_facility(spark, sf):
+    return run_refreshes(spark, sf, "two_loads")["dim_facility"]
+
+
 def q_dim_facility(spark, sf):
     return run_refreshes(spark, sf, "single")["dim_facility"]
 
@@ -240,6 +254,21 @@ def q_refresh_idempotent(spark, sf):
     return run_refreshes(spark, sf, "twice")["fact_measure"]
 
 
+def q_refresh_idempotent_state(spark, sf):
+    """Whole state after two identical refreshes: rows, key sum and distinct keys per table."""
+    t = run_refreshes(spark, sf, "twice")
+    out = None
+    for name in STAGED_NAMES:
+        shape = name.split("_", 1)[1] if name.startswith(("us_", "wi_")) else name
+        pk = schemas.TABLES[shape][1][0]
+        part = t[name].agg(F.count(F.lit(1)).alias("row_count"),
+                           F.sum(F.col(pk).cast("long")).alias("key_sum"),
+                           F.countDistinct(pk).alias("distinct_keys")).select(
+            F.lit(name).alias("table_name"), "row_count", "key_sum", "distinct_keys")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_fact_out_of_calendar(spark, sf):
     """Regional facility measures a default-range calendar would drop from the fact table."""
     fm = run_refreshes(spark, sf, "single")["wi_facility_measures"]
