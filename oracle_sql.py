@@ -588,7 +588,8 @@ FROM j"""
         f"HAVING max(f.Score) IS NOT NULL")
     ct = ", ".join(f"sum(CASE WHEN f.MeasureName = '{m}' THEN f.Score END) AS \"{m}\""
                    for m in CROSSTAB_MEMBERS)
-    q["facility_measure_crosstab"] = f"{STAR} SELECT d.FacilityName, {ct} FROM {FACT_FAC} GROUP BY 1"
+    q["facility_measure_crosstab"] = (f"{STAR} SELECT d.FacilityName, {ct} FROM {FACT_FAC} "
+                                      f"GROUP BY 1 HAVING sum(f.Score) IS NOT NULL")
     q["calendar_rollup"] = (
         f"{STAR} SELECT dt.Year, dt.MonthName, dt.DayOfWeekName, dt.DayOfMonth, "
         f"sum(f.Score) AS measure_score, "

@@ -101,14 +101,25 @@ def _filter(df: DataFrame, filters: Mapping[str, Sequence] | None) -> DataFrame:
 
 def measure_query(model: StarModel, rows: Sequence[str], measures: Sequence[str] = MEASURE_NAMES,
                   filters: Mapping[str, Sequence] | None = None, date_role: str = "start",
-                  keep_blank: bool = False) -> DataFrame:
+                  keep_blank: bool = False, cols: str | None = None,
+                  col_members: Sequence | None = None) -> DataFrame:
     """Evaluate named measures per combination of the ``rows`` attributes.
 
-    filters: attribute → allowed members (a slicer); no entry = all members.
+    filters:     attribute → allowed members (a slicer); no entry = all members.
+    cols:        optional column axis: one output column per member of this attribute (a pivot
+                 of the single measure in ``measures``); ``col_members`` lists the members, so no
+                 extra job is needed to discover them. Empty cells are NULL.
     """
     defs = _measures()
-    needed = set(rows) | set(filters or {})
+    needed = set(rows) | set(filters or {}) | ({cols} if cols else set())
     df = _filter(model.joined(needed, date_role), filters)
+    if cols:
+        if len(measures) != 1:
+            raise ValueError("a column axis takes exactly one measure")
+        members = list(col_members) if col_members is not None else None
+        out = df.groupBy(*rows).pivot(cols, members).agg(defs[measures[0]])
+        value_cols = [c for c in out.columns if c not in rows]
+        return out if keep_blank else out.dropna(how="all", subset=value_cols)
     out = df.groupBy(*rows).agg(*[defs[m].alias(m) for m in measures])
     if not keep_blank:
         out = out.dropna(how="all", subset=list(measures))

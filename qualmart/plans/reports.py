@@ -31,9 +31,8 @@ def facility_comparison(model: StarModel, measure_name: str) -> DataFrame:
 def crosstab(model: StarModel, measure_names: Sequence[str]) -> DataFrame:
     """Facility × measure of the summed score; empty cells stay NULL. The member list is passed
     in, so the pivot needs no extra job to discover it."""
-    df = model.joined({"FacilityName"})
-    return (df.groupBy("FacilityName").pivot("MeasureName", list(measure_names))
-              .agg(F.sum("Score")))
+    return measure_query(model, ["FacilityName"], ["measure_score"], cols="MeasureName",
+                         col_members=measure_names)
 
 
 def measure_summary(model: StarModel) -> DataFrame:

@@ -108,3 +108,14 @@ def test_rollup_leaves_sum_to_total(spark):
     total = [x.measure_score for x in r if x.grouping_level == 15][0]
     leaves = sum(x.measure_score for x in r if x.grouping_level == 0)
     assert total == leaves == Decimal("10")
+
+
+def test_measure_query_column_axis(spark):
+    fact = _fact(spark, [dict(FacilityKey=1, MeasureName="M1", Score=Decimal("2")),
+                         dict(FacilityKey=1, MeasureName="M2", Score=None),
+                         dict(FacilityKey=2, MeasureName="M2", Score=Decimal("3"))])
+    model = M.StarModel(fact, _dim(spark), None)
+    out = M.measure_query(model, ["FacilityName"], ["measure_score"], cols="MeasureName",
+                          col_members=["M1", "M2", "M3"])
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [("A", Decimal("2.000"), None, None), ("B", None, Decimal("3.000"), None)]
