@@ -106,7 +106,7 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
             out["wi_facility_measures"], out["wi_measures"], types, sorts, out["dim_facility"],
             dim_date)), first))
 
-    # publish gate, one job: primary keys unique and non-NULL, declared NOT NULL columns filled
+    # publish gate, one job: keys, NOT NULL columns, declared text lengths
     failures = gate_failures(out)
     if failures.take(1):
         _raise(failures, v)
@@ -115,7 +115,8 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
 
 
 def gate_failures(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, problem) rows for every integrity violation across the new tables."""
+    """(table_name, problem) rows for every integrity violation across the new tables: primary
+    keys unique and non-NULL, NOT NULL columns filled, text within the declared lengths."""
     parts = []
     for n, df in tables.items():
         schema = STAGED_TABLES[n]
@@ -128,6 +129,11 @@ def gate_failures(tables: dict[str, DataFrame]) -> DataFrame:
         parts.append(nulls.where(F.col("null_count") > 0).select(
             F.lit(n).alias("table_name"),
             F.concat(F.lit("NULL in NOT NULL column "), F.col("column_name")).alias("problem")))
+        lengths = quality.length_violations(df, schemas.TEXT_LIMITS[shape])
+        parts.append(lengths.where(F.col("over_limit") > 0).select(
+            F.lit(n).alias("table_name"),
+            F.concat(F.lit("text longer than declared in "), F.col("column_name"))
+             .alias("problem")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

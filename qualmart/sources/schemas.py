@@ -103,6 +103,23 @@ FACT_MEASURE_SCHEMA = _s([
     ("StartDateKey", IntegerType(), False), ("EndDateKey", IntegerType(), False),
 ])
 
+# --- fixed values: declared maximum text lengths of the staging and star tables -----------------
+TEXT_LIMITS = {
+    "facilities": {"FacilityCode": 10, "FacilityName": 100, "Address": 100, "City": 50,
+                   "State": 2, "ZipCode": 5, "CountyName": 50, "PhoneNumber": 20},
+    "measures": {"MeasureCode": 50, "MeasureName": 100},
+    "facility_measures": {"ComparedToNational": 100, "Footnote": 10},
+    "measure_types": {"MeasureTypeName": 100},
+    "sort_orders": {"MeasureSortOrderName": 100},
+    "dim_facility": {"FacilityName": 100, "FacilityAddress": 100, "FacilityCity": 50,
+                     "FacilityState": 2, "FacilityZipCode": 5, "FacilityCountyName": 50,
+                     "FacilityPhoneNumber": 20},
+    "dim_date": {"MonthName": 10, "DayOfWeekName": 10},
+    "fact_measure": {"MeasureName": 100, "ScoreComparedToNational": 100,
+                     "MeasureSortOrderName": 100, "MeasureTypeName": 100},
+}
+# ------------------------------------------------------------------------------------------------
+
 # Primary keys, foreign keys, NOT NULL columns per table shape (declared constraints).
 TABLES = {
     "facilities": (FACILITIES_SCHEMA, ["FacilityID"]),

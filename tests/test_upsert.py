@@ -128,3 +128,11 @@ def test_measure_without_numeric_score_fails_the_load(spark):
     with pytest.raises(ValueError, match="NationalScoreMax"):
         refresh(spark, store, a, b, _config())
     assert store.published_version() is None
+
+
+def test_text_longer_than_declared_fails_the_load(spark):
+    store = TableStore(spark, scratch_path(spark, "t-length"))
+    a, b = _feeds(spark, extra=[dict(FacilityID="10009", FacilityName="X" * 101)])
+    with pytest.raises(ValueError, match="text longer than declared in FacilityName"):
+        refresh(spark, store, a, b, _config())
+    assert store.published_version() is None
