@@ -18,6 +18,7 @@ from pyspark.sql.types import DecimalType
 from qualmart.functions.textkeys import ci_isin, ci_key
 from qualmart.operators.feeds import region_predicate
 from qualmart.session import ensure_checkpoint_dir
+from qualmart.session import materialize as write_back
 
 # --- fixed values: comparison labels per class --------------------------------------------------
 BETTER_LABELS = (
@@ -64,9 +65,10 @@ def measure_label_summary(typed: DataFrame, region: tuple[str, Iterable[str]] |
 
     Grouped on the original spellings (so the feed-sized aggregation keeps only fixed-width numeric
     buffers and runs as a hash aggregate with map-side combine); the case-insensitive keys are added
-    after the aggregation, on the few summary rows. ``materialize`` checkpoints the summary (one
-    row per measure × label × region flag) so the several small aggregates built on it read it
-    instead of re-scanning the feed; pass ``False`` when the caller writes it out itself."""
+    after the aggregation, on the few summary rows. ``materialize`` writes the summary (one row
+    per measure × label × region flag) once to the shared checkpoint folder, so the several small
+    aggregates built on it read it instead of re-scanning the feed; pass ``False`` when the caller
+    writes it out itself."""
     flag = (region_predicate(region[0], region[1]) if region else F.lit(False))
     summary = (typed
                .select(F.coalesce(flag, F.lit(False)).alias("in_region"),
@@ -81,7 +83,7 @@ def measure_label_summary(typed: DataFrame, region: tuple[str, Iterable[str]] |
                          ci_key("ComparedToNational").alias("label_key"), "*")
     if materialize:
         ensure_checkpoint_dir(typed.sparkSession)
-        out = out.checkpoint(eager=True)
+        out = write_back(out, "summary")
     return out
 
 

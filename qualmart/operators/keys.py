@@ -5,7 +5,8 @@
 1. range-partition on the order columns and sort inside each partition (one shuffle, balanced by
    the sampled range bounds, so a hot value cannot pile up beyond one range),
 2. tag each row with its partition id and position (``monotonically_increasing_id``) and cut the
-   lineage with a reliable ``checkpoint`` so recomputation after an executor loss cannot renumber,
+   lineage by writing the tagged rows once to the shared checkpoint folder, so recomputation after
+   an executor loss cannot renumber,
 3. count rows per partition (one row per partition), turn the counts into offsets, and
 4. join the offsets back (broadcast: its size is the partition count, not the data size).
 """
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualmart.session import ensure_checkpoint_dir
+from qualmart.session import ensure_checkpoint_dir, materialize
 
 _PID, _POS = "_qm_pid", "_qm_pos"
 
@@ -32,11 +33,10 @@ def assign_keys(df: DataFrame, key_col: str, order: Sequence[Column | str], star
     # Without an explicit count the adaptive planner sizes the range partitions from the data.
     ranged = (df.repartitionByRange(*order_cols) if num_partitions is None
               else df.repartitionByRange(num_partitions, *order_cols))
-    ranged = (ranged
-                .sortWithinPartitions(*order_cols)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    ranged = materialize(ranged
+                         .sortWithinPartitions(*order_cols)
+                         .withColumn(_PID, F.spark_partition_id())
+                         .withColumn(_POS, F.monotonically_increasing_id()), "keys")
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, "_first",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qualmart.functions.textkeys import ci_eq, ci_key
 from qualmart.plans.model import MEASURE_NAMES, StarModel, measure_query
-from qualmart.session import ensure_checkpoint_dir
+from qualmart.session import ensure_checkpoint_dir, materialize
 
 
 def county_report(model: StarModel, measure_name: str) -> DataFrame:
@@ -71,9 +71,8 @@ def rank_facilities(fact: DataFrame, partition: str = "MeasureID", score: str =
     # Materialise once: partition ids and local ranks must come from one range assignment
     # (a recomputed range exchange may sample different bounds); the input is computed once.
     ensure_checkpoint_dir(fact.sparkSession)
-    local = ranged.withColumn(
-        "_local", F.rank().over(Window.partitionBy("_pid", partition).orderBy(order))
-    ).checkpoint(eager=True)
+    local = materialize(ranged.withColumn(
+        "_local", F.rank().over(Window.partitionBy("_pid", partition).orderBy(order))), "rank")
     counts = local.groupBy(partition, "_pid").agg(F.count("_sk").alias("_n"))
     before = Window.partitionBy(partition).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -72,6 +72,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/qualmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` once as parquet to a fresh folder under the shared checkpoint
+    folder and read it back. One pass (an eager ``checkpoint()`` computes the plan, then computes
+    it again to write the files); survives executor loss like a checkpoint does."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
