@@ -51,7 +51,10 @@ def _date_text(c: Column) -> Column:
 
 
 def facility_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facility attributes (as feed text) keyed by supplier key."""
+    """Facility attributes (as feed text) keyed by supplier key.
+
+    Nation and region are resolved on the supplier side, once per supplier, before the join with
+    the line items / orders (a shuffle join once the supplier table is large)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
