@@ -44,11 +44,6 @@ def q7(x: str) -> str:
     return f"(sign({s}) * ((abs({s}) * 20000 + {n}) // (2 * {n})))"
 
 
-def q7_from(s_expr: str, n_expr: str) -> str:
-    s = f"CAST(({s_expr}) * 1000 AS HUGEINT)"
-    return f"(sign({s}) * ((abs({s}) * 20000 + ({n_expr})) // (2 * ({n_expr}))))"
-
-
 def avg7(x: str) -> str:
     return f"(CAST({q7(x)} AS DECIMAL(18,0)) * 0.0000001)"
 
@@ -685,4 +680,3 @@ SELECT *, CASE WHEN landing_rows IS NULL OR us_rows IS NULL OR wi_rows IS NULL O
                ELSE 'mismatch' END AS status
 FROM j"""
     return q
-

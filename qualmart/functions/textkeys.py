@@ -35,7 +35,3 @@ def ci_eq(c: str | Column, value: str) -> Column:
 
 def ci_isin(c: str | Column, values: Iterable[str]) -> Column:
     return ci_key(c).isin([ci_literal(v) for v in values])
-
-
-def ci_join_cond(left: Column, right: Column) -> Column:
-    return ci_key(left) == ci_key(right)

@@ -60,17 +60,3 @@ def reject_profile(feed: DataFrame, cols: Iterable[str],
     cols = list(cols)
     wide = feed.agg(*[F.count_if(is_reject(c, sentinels)).alias(c) for c in cols])
     return _long(wide, cols, "reject_count")
-
-
-def assert_clean(checks: Mapping[str, DataFrame], count_cols: Mapping[str, str] | None = None
-                 ) -> None:
-    """Raise if any check reports a violation (used before publishing a version)."""
-    count_cols = count_cols or {}
-    bad = []
-    for name, df in checks.items():
-        col = count_cols.get(name)
-        hit = df.where(F.col(col) > 0) if col else df
-        if not hit.isEmpty():
-            bad.append(name)
-    if bad:
-        raise ValueError(f"data-quality checks failed: {bad}")

@@ -104,8 +104,3 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=start)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return kept_df.unionByName(keyed)
-
-
-def prefixed(name: str) -> Column:
-    """Reference a source column inside an ``update``/``insert`` expression."""
-    return F.col(f"_s_{name}")

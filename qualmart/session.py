@@ -6,7 +6,6 @@ given. ``build_session`` is for tests, the bench and local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,11 +78,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def cpu_count() -> int:
-    return os.cpu_count() or 8

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualmart.functions.clean import LENIENT, STAT_SENTINELS, to_decimal, to_feed_date
-from qualmart.sources.schemas import INFECTIONS_COLUMNS, OUTCOMES_COLUMNS
 
 # --- fixed values: test recipe ------------------------------------------------------------------
 OUTCOME_LABELS = {
@@ -161,7 +160,3 @@ def split_loads(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     new = feed.where((end >= F.lit(SPLIT_DATE).cast("date"))
                      & (F.upper(F.rtrim("CountyName")) != NEW_LOAD_WITHOUT_COUNTY))
     return unique_grain(old), unique_grain(new)
-
-
-def feed_columns(kind: str) -> list[str]:
-    return [c for c, _ in (OUTCOMES_COLUMNS if kind == "outcomes" else INFECTIONS_COLUMNS)]

@@ -37,10 +37,6 @@ OUTCOMES_TYPE_ID = 1
 INFECTIONS_TYPE_ID = 2
 # ------------------------------------------------------------------------------------------------
 
-FACILITY_COLUMNS = ["FacilityID", "FacilityName", "Address", "City", "State", "ZipCode",
-                    "CountyName", "PhoneNumber"]
-
-
 def text_schema(columns) -> StructType:
     return StructType([StructField(name, StringType(), True) for name, _ in columns])
 
