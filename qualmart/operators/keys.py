@@ -45,9 +45,3 @@ def assign_keys(df: DataFrame, key_col: str, order: Sequence[Column | str], star
     return (ranged.join(F.broadcast(offsets), _PID)
                   .withColumn(key_col, key)
                   .drop(_PID, _POS, "_first", "_offset"))
-
-
-def next_key(df: DataFrame, key_col: str, seed: int = 1) -> int:
-    """First free key after the current maximum (``seed`` for an empty table). One scalar."""
-    current = df.agg(F.max(key_col)).first()[0]
-    return seed if current is None else int(current) + 1

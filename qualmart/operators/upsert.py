@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from qualmart.functions.textkeys import ci_key
-from qualmart.operators.keys import assign_keys, next_key
+from qualmart.operators.keys import assign_keys
 
 
 class MergeConflict(RuntimeError):
@@ -49,6 +49,26 @@ def find_conflicts(target: DataFrame, source: DataFrame, on: Sequence[tuple[str,
     return multi.join(tk.distinct(), names, "left_semi")
 
 
+def _probe(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]], key_col: str,
+           seed: int, check: bool) -> int:
+    """One small job before the merge: up to five conflicting keys (if checked) and the current
+    maximum key. Raises ``MergeConflict``; returns the first key to hand out."""
+    top = target.agg(F.max(F.col(key_col)).cast("long").alias("v")).select(
+        F.lit("max").alias("kind"), F.col("v"), F.lit(None).cast("string").alias("keys"))
+    if check:
+        names = [f"_k{i}" for i in range(len(on))]
+        bad = find_conflicts(target, source, on).limit(5).select(
+            F.lit("conflict").alias("kind"), F.lit(None).cast("long").alias("v"),
+            F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("keys"))
+        top = top.unionByName(bad)
+    rows = top.collect()
+    conflicts = [r.keys for r in rows if r.kind == "conflict"]
+    if conflicts:
+        raise MergeConflict(f"target rows matched by several source rows, keys {conflicts}")
+    current = next(r.v for r in rows if r.kind == "max")
+    return seed if current is None else int(current) + 1
+
+
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
            update: Mapping[str, str | Column], insert: Mapping[str, str | Column], key_col: str,
            order: Sequence[str], schema: StructType, seed: int = 1, check: bool = True,
@@ -63,11 +83,9 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     target_empty: the caller knows the target has no rows (first load): no match probe, no
                   conflict check and no key lookup are needed, every source row is inserted
     """
-    if check and not target_empty:
-        conflicts = find_conflicts(target, source, on)
-        if not conflicts.isEmpty():
-            sample = [tuple(r) for r in conflicts.take(5)]
-            raise MergeConflict(f"target rows matched by several source rows, keys {sample}")
+    start = seed
+    if not target_empty:
+        start = _probe(target, source, on, key_col, seed, check)
 
     tnames = [f"_t{i}" for i in range(len(on))]
     t = target.select("*", *_key_exprs(target, [c for c, _ in on], "_t"))
@@ -100,7 +118,6 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     new_rows = s.join(t.select(*tnames), tnames, "left_anti")
     ins = new_rows.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
                             for f in schema.fields if f.name != key_col])
-    start = seed if target_empty else next_key(target, key_col, seed)
     keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=start)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return kept_df.unionByName(keyed)

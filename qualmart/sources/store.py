@@ -8,6 +8,7 @@ Layout under ``root`` (any Hadoop-compatible shared folder)::
 A refresh writes every table of its attempt folder, verifies it, and only then appends one row
 to the log. Readers take the folder of the largest published version, so a failed or abandoned
 attempt (its folder has a unique run id) is never read and never collides with a retry.
+One ``TableStore`` object is one writer; it remembers the version it last saw or published.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._folders: dict[int, str] = {}
+        self._published: int | None = None   # last version this writer saw or published
 
     def _log_path(self) -> str:
         return f"{self.root}/_published"
@@ -38,11 +40,14 @@ class TableStore:
             return None
 
     def published_version(self) -> int | None:
+        if self._published is not None:
+            return self._published
         log = self._log()
         if log is None:
             return None
         v = log.agg(F.max("version")).first()[0]
-        return None if v is None else int(v)
+        self._published = None if v is None else int(v)
+        return self._published
 
     def next_version(self) -> int:
         """Next version number; its folder gets a fresh run id."""
@@ -80,3 +85,4 @@ class TableStore:
                 dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
         (self.spark.createDataFrame(row, LOG_SCHEMA)
              .coalesce(1).write.mode("append").parquet(self._log_path()))
+        self._published = version
