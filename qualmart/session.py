@@ -6,6 +6,7 @@ given. ``build_session`` is for tests, the bench and local runs.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# private checkpoint folder of a single-JVM session, by application
+_PRIVATE: dict[str, str] = {}
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "qualmart",
                   extra: dict | None = None) -> SparkSession:
@@ -35,39 +39,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, taken from ``spark.checkpoint.dir``.
 
-    Only a local (test) session without that setting gets a private folder; a cluster session without
-    it is an error, because a machine-local folder does not survive executor loss.
+    Only a single-JVM session (``local``, ``local[n]``) without that setting gets a private folder,
+    as in tests. Any session with separate executors must name a shared folder, because a
+    machine-local one is not seen by the other executors and is lost with its machine.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _PRIVATE.get(sc.applicationId)
     if not configured:
-        if not _is_local(spark):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="qualmart-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # noqa: BLE001 - some deployments lock core settings
-            pass
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        configured = _PRIVATE[sc.applicationId] = tempfile.mkdtemp(prefix="qualmart-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for written intermediate tables."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    base = base.rstrip("/")
+    """A fresh folder under the shared checkpoint folder for written intermediate tables. The
+    folder's URI scheme is kept, so the tables land on the file system that the setting names."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/qualmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
