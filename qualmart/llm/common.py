@@ -37,3 +37,22 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A text column of an Arrow batch as UTF-8 bytes; null is empty."""
     values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
     return [v or b"" for v in values.to_pylist()]
+
+
+#: A key is hot if it holds at least one in this many rows; so there are at most this many hot keys.
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, n_rows: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``keyed``, which has one row per key with its number of rows ``n_rows``.
+
+    A key that a third of all rows hold would meet in one task. The keys that hold at least 1/1000
+    of all counted rows are at most 1000, so they are broadcast; any other key is small. ``how`` is
+    inner or left.
+    """
+    keyed_n = keyed.agg(F.sum(n_rows).alias("total")).first()[0] or 0
+    is_hot = F.col(n_rows) * HOT_SHARE >= keyed_n
+    hot, cold = keyed.where(is_hot).drop(n_rows), keyed.where(~is_hot).drop(n_rows)
+    spread = rows.join(F.broadcast(hot), key, "inner")
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
+    return spread.unionByName(rest)

@@ -16,7 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qualmart.llm.common import n_words
+from qualmart.llm.common import fresh, n_words
+from qualmart.session import materialize
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -85,7 +86,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         digest.alias("key"),
         F.floor(start * chunks / F.lit(2 ** 32)).cast("int").alias("chunk"))
 
-    sums = d.groupBy("src", "chunk").agg(F.sum("size").alias("chunk_size"))
+    sums = materialize(d.groupBy("src", "chunk").agg(F.sum("size").alias("chunk_size")), "mix-chunks")
     per_source = (sums.groupBy("src").agg(F.sum("chunk_size").alias("source_size"))
                       .withColumn("source", F.when(F.col("src") == "-", None)
                                   .otherwise(F.expr("substring(src, 2)"))))
@@ -111,8 +112,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     columns of ``docs`` plus a struct ``mix`` (``mix_`` and so on if that name is taken):
     ``epoch`` from 1, ``taken`` (words of this copy; fewer than ``size`` only at a source's cut),
     ``size``, ``source_size`` and ``target``. Documents of which nothing is taken are left out."""
-    from qualmart.llm.common import fresh
-
     m = mix(docs, **options).where("taken > 0")
     epochs = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
     m = m.withColumn("epoch", F.explode(epochs))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualmart.llm import mixing
+from qualmart.llm import decontam, mixing, warc
 from qualmart.llm.common import table
 
 
@@ -24,6 +24,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of the learned decision list on all documents."""
+    from qualmart.llm.rules import judged
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives with revisit records, and read back."""
+    records, _ = warc.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     from qualmart.llm.simhash import near_duplicates
@@ -32,5 +44,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op7_simhash)}
-ORACLE_SQL = {"op1_mixing": mixing.SQL}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_warc, op7_simhash,
+                                    op10_decontamination)}
+ORACLE_SQL = {"op1_mixing": mixing.SQL, "op4_warc": warc.SQL, "op10_decontamination": decontam.SQL}

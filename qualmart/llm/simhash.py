@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualmart.llm.common import LOWER_AZ, utf8
+from qualmart.llm.common import LOWER_AZ, join_counted, utf8
 from qualmart.session import materialize
 
 SHINGLE = 3
@@ -274,12 +274,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     an empty result.
     """
     fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "simhash-fp")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    distinct = materialize(fps.groupBy("fp").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "simhash-distinct")
     member = components(links(distinct, radius, bucket))
     named = distinct.join(member, F.col("fp") == F.col("node"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = named.join(ids, "root").select("fp", "component_id")
     linked = linked.withColumn("in_links", F.lit(True))
-    by_fp = distinct.join(linked, "fp", "left").select("fp", F.when(
+    by_fp = distinct.join(linked, "fp", "left").select("fp", "copies", F.when(
         F.col("in_links"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = materialize(by_fp, "simhash-components")
+    return join_counted(fps, by_fp, "fp", "copies").select("doc_id", "fp", "component_id")
