@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from qualmart.llm import decontam, mixing, warc
 from qualmart.llm.common import table
 
@@ -36,6 +40,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by the factorisation machine."""
+    from qualmart.llm.fm import quality
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents by a network fitted on all of them."""
+    from qualmart.llm.lm import pseudo_likelihood
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents."""
     from qualmart.llm.simhash import near_duplicates
@@ -44,12 +60,37 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "component_id")
 
 
+def _is(name: str, value: Column) -> Column:
+    return value == name
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms for personal data, and how many of each kind."""
+    from qualmart.llm import pii
+    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [F.size(F.filter("kinds", partial(_is, name))).alias(f"n_{name}")
+             for name in pii.KINDS]
+    return out.select("row.doc_id", "text", F.size("kinds").alias("n_found"), *kinds)
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of all documents."""
+    from qualmart.llm.licenses import scanned
+    return scanned(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_warc, op7_simhash,
-                                    op10_decontamination)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_warc,
+                                    op5_quality_classifier, op6_lm_scoring, op7_simhash, op8_pii,
+                                    op9_licenses, op10_decontamination, pipeline)}
 ORACLE_SQL = {"op1_mixing": mixing.SQL, "op4_warc": warc.SQL, "op10_decontamination": decontam.SQL}
