@@ -30,7 +30,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     d = docs.alias("d")
 
     def of(ids: DataFrame) -> DataFrame:
-        return d.join(ids.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
+        # sorted merge at any size: the list of ids grows with the documents, so it isn't broadcast
+        return d.join(ids.hint("merge").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
     return of(first.where("count = 1")).unionByName(of(first.where("count > 1")).dropDuplicates(["doc_id"]))
 
 
