@@ -423,8 +423,7 @@ def with_(*parts: str) -> str:
 BASE = with_(FEEDS, typed_sql("ta", "feed_a", "a"), typed_sql("tb", "feed_b", "b"))
 BENCH = with_(FEEDS, typed_sql("ta", "feed_a", "a"), typed_sql("tb", "feed_b", "b"),
               bench_sql("a", "ta", 1), bench_sql("b", "tb", 2))
-STAR = with_(FEEDS, unique_sql("ua", "feed_a", "a"), unique_sql("ub", "feed_b", "b"),
-             typed_sql("ta", "ua", "a"), typed_sql("tb", "ub", "b"), LOOKUPS,
+STAR = with_(FEEDS, typed_sql("ta", "feed_a", "a"), typed_sql("tb", "feed_b", "b"), LOOKUPS,
              dim_date_sql("dim_date", CAL_START, CAL_END), run_sql("r_", "ta", "tb", None))
 TWO_LOADS = with_(FEEDS, split_sql("a_old", "a_new", "feed_a"), split_sql("b_old", "b_new", "feed_b"),
                   unique_sql("ua_old", "a_old_raw", "a"), unique_sql("ua_new", "a_new_raw", "a"),

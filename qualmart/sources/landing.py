@@ -20,11 +20,11 @@ def read_feed(spark: SparkSession, path: str, kind: str, header: bool = True,
                  .csv(path))
 
 
-def stream_feed(spark: SparkSession, path: str, kind: str, max_files: int = 16) -> DataFrame:
-    """The same feed as an unbounded stream of CSV files landing in ``path``."""
+def stream_feed(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The same feed as an unbounded stream of CSV files landing in ``path``. All files
+    that have landed by a trigger are one load, however many they are."""
     return (spark.readStream.schema(SCHEMAS[kind]).option("header", True)
-                 .option("quote", '"').option("escape", '"').option("maxFilesPerTrigger", max_files)
-                 .csv(path))
+                 .option("quote", '"').option("escape", '"').csv(path))
 
 
 def write_landing(df: DataFrame, path: str) -> None:

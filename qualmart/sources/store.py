@@ -36,7 +36,9 @@ class TableStore:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path())
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def published_version(self) -> int | None:

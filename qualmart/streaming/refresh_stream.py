@@ -3,9 +3,9 @@
 The warehouse is refreshed load by load: land the feeds, then run the idempotent upserts. As a
 stream, each micro-batch of newly landed outcome files is one load; the infections feed is read as
 the current snapshot of its landing folder. ``foreachBatch`` hands every micro-batch to the same
-batch ``refresh`` (its writes and publish are idempotent per version), and the stream's checkpoint
-in the shared checkpoint folder records which files were already loaded, so a restarted query
-neither skips nor repeats a load.
+batch ``refresh``, and the stream's checkpoint in the shared checkpoint folder records which files
+were already loaded. A load whose publish succeeded but whose stream commit was lost runs again; the
+keyed merge then writes equal tables as another version.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from qualmart.sources.store import TableStore
 
 def start_refresh_stream(spark: SparkSession, outcomes_dir: str, infections_dir: str,
                          store: TableStore, config: RefreshConfig, checkpoint_location: str,
-                         available_now: bool = False, max_files: int = 16) -> StreamingQuery:
-    outcomes = stream_feed(spark, outcomes_dir, "outcomes", max_files)
+                         available_now: bool = False) -> StreamingQuery:
+    outcomes = stream_feed(spark, outcomes_dir, "outcomes")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():

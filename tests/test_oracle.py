@@ -10,8 +10,7 @@ SF = "/root/testdata/sf0.001"
 SF_STAR = "/root/testdata/sf0.01"    # the smallest tables whose test region has facilities
 FAST = ["clean_feed_a", "clean_feed_b", "facilities_union", "national_stats_by_id",
         "national_stats_by_direction", "class_averages", "score_direction", "direction_rank",
-        "region_slice", "facility_point_lookup", "reject_profile", "date_dim",
-        "date_dim_described", "model_dates", "sentinel_guard", "earliest_dates",
+        "region_slice", "facility_point_lookup", "reject_profile", "earliest_dates",
         "composite_key_outer_chain", "length_violations"]
 STAR = ["measures_us", "measures_regional", "facility_measures_us", "dim_facility",
         "fact_measure", "measure_summary", "facility_measure_crosstab", "calendar_rollup",

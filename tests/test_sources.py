@@ -57,21 +57,19 @@ def test_streaming_two_landed_files_are_two_loads(spark, tmpdir_path):
                    Score="7"),
               dict(FacilityID="10002", FacilityName="SECOND", Score="8",
                    ComparedToNational="Worse Than the National Rate")]]
+    write_landing(infections(spark, [dict(FacilityName="FIRST", MeasureID="H1",
+                                          MeasureName="Infection", Score="3")]), b_dir)
+    store = TableStore(spark, scratch_path(spark, "t-stream2"))
+    config = RefreshConfig(region=Region("WI", ("Milwaukee",)))
+    checkpoint = scratch_path(spark, "t-stream2-ckpt")
     for i, rows in enumerate(loads):
         with open(os.path.join(a_dir, f"load{i}.csv"), "w", newline="") as fh:
             w = csv.writer(fh)
             w.writerow(OUT_COLS)
             for r in rows:
                 w.writerow(["" if v is None else v for v in ({**BASE, **r}[c] for c in OUT_COLS)])
-        os.utime(os.path.join(a_dir, f"load{i}.csv"), (1_000_000 + i, 1_000_000 + i))
-    write_landing(infections(spark, [dict(FacilityName="FIRST", MeasureID="H1",
-                                          MeasureName="Infection", Score="3")]), b_dir)
-    store = TableStore(spark, scratch_path(spark, "t-stream2"))
-    config = RefreshConfig(region=Region("WI", ("Milwaukee",)))
-    q = start_refresh_stream(spark, a_dir, b_dir, store, config,
-                             scratch_path(spark, "t-stream2-ckpt"), available_now=True,
-                             max_files=1)
-    q.awaitTermination(600)
+        q = start_refresh_stream(spark, a_dir, b_dir, store, config, checkpoint, available_now=True)
+        q.awaitTermination(600)
     t = published_tables(store)
     assert store.published_version() == 2
     assert sorted(r.FacilityName for r in t["us_facilities"].collect()) == ["FIRST", "SECOND"]
