@@ -237,7 +237,7 @@ def bench_sql(p: str, ta: str, kind_id: int) -> str:
 {p}_mea AS (
   SELECT s.MeasureCode, s.MeasureName, CAST({kind_id} AS SMALLINT) AS MeasureTypeID,
          d.SortOrderID, s.NationalScoreMax, s.NationalScoreMin, s.NationalScoreAverage
-  FROM {p}_stats s JOIN (SELECT DISTINCT name_key, SortOrderID FROM {p}_dir) d USING (name_key)),
+  FROM {p}_stats s LEFT JOIN (SELECT DISTINCT name_key, SortOrderID FROM {p}_dir) d USING (name_key)),
 {p}_rmea AS (
   SELECT DISTINCT r.MeasureCode, r.MeasureName, CAST({kind_id} AS SMALLINT) AS MeasureTypeID,
          d.SortOrderID, u.NationalScoreMax, u.NationalScoreMin, u.NationalScoreAverage

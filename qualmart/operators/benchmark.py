@@ -167,10 +167,11 @@ def score_direction(summary: DataFrame) -> DataFrame:
 
 def measure_benchmarks(summary: DataFrame, type_id: int) -> DataFrame:
     """Measure rows of the national staging: code, name, type, direction and national stats,
-    one row per (code, name, direction)."""
+    one row per (code, name, direction). A measure without a name stays, without a direction; the
+    publish gate then refuses the load, as the NOT NULL column demands."""
     stats = national_stats(summary, by_name=True)
     dirs = score_direction(summary).select("name_key", "SortOrderID").distinct()
-    return stats.join(dirs, "name_key").select(
+    return stats.join(dirs, "name_key", "left").select(
         "MeasureCode", "MeasureName", F.lit(type_id).cast("short").alias("MeasureTypeID"),
         "SortOrderID", "NationalScoreMax", "NationalScoreMin", "NationalScoreAverage")
 

@@ -75,3 +75,9 @@ def test_regional_measures_use_unfiltered_stats(spark):
     r = regional_measure_benchmarks(summary, 1).collect()
     assert len(r) == 1
     assert r[0].NationalScoreMin == Decimal("2.000") and r[0].SortOrderID == 0
+
+
+def test_measure_without_name_is_kept_for_the_gate(spark):
+    feed = outcomes(spark, [dict(MeasureID="M1", MeasureName=None, Score="5"), dict(MeasureID="M2", MeasureName="Two", Score="6")])
+    out = measure_benchmarks(measure_label_summary(typed_feed(feed, OUTCOMES)), 1).collect()
+    assert sorted(r.MeasureCode for r in out) == ["M1", "M2"]
