@@ -15,7 +15,7 @@ CAL_START, CAL_END = "1994-01-01", "2002-12-31"
 DEFAULT_START, DEFAULT_END = "2015-01-01", "2030-01-01"
 MODEL_TODAY = "2000-01-01"
 POINT_FACILITY = "supplier#000000007"
-REPORT_MEASURE = "2-HIGH"
+REPORT_MEASURE = "2-HIGH"      # the registered queries ask for "2-High"
 SPLIT_DATE = "1999-01-01"
 BETTER = ("better than the national benchmark", "better than the national rate",
           "better than the national value")
@@ -26,6 +26,7 @@ SAME = ("no different than the national benchmark", "no different than the natio
 # crosstab columns at the checked scale: every part brand and order priority of the test tables
 CROSSTAB_MEMBERS = sorted([f"Outcome Brand#{i}" for i in range(1, 26)]
                           + ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+LAYERS = ("landing", "us", "wi", "star")
 # ---------------------------------------------------------------------------------------------------
 
 
@@ -192,9 +193,11 @@ def split_sql(name_old: str, name_new: str, src: str) -> str:
 
 
 def ci_distinct_sql(src: str, cols, text) -> str:
-    sel = ", ".join(f"min({c}) AS {c}" if c in text else c for c in cols)
+    sel = ", ".join(cols)
     grp = ", ".join(ck(c) if c in text else c for c in cols)
-    return f"SELECT {sel} FROM ({src}) GROUP BY {grp}"
+    order = ", ".join(c for c in cols if c in text)
+    return (f"SELECT {sel} FROM (SELECT DISTINCT {sel} FROM ({src})) "
+            f"QUALIFY row_number() OVER (PARTITION BY {grp} ORDER BY {order}) = 1")
 
 
 # ------------------------------------------------------------------------------------ benchmarks
@@ -456,14 +459,25 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_feed_a"] = f"{BASE} {_typed_cols('ta')}"
     q["clean_feed_b"] = f"{BASE} {_typed_cols('tb')}"
+    # damaged feeds: text that is neither a number (or the feed's own marker) nor a date
+    bad = {
+        "Score": "CASE WHEN ends_with(Score, '3') THEN '{score}' ELSE Score END",
+        "StartDate": "CASE WHEN StartDate LIKE '02/%' THEN '30' || substr(StartDate, 3, 8) ELSE StartDate END",
+        "EndDate": "CASE WHEN EndDate LIKE '03/%' THEN '2018-03-31' ELSE EndDate END",
+        "Denominator": "CASE WHEN Denominator LIKE '1%' THEN 'about ' || Denominator ELSE Denominator END",
+        "LowerEstimate": "CASE WHEN ends_with(LowerEstimate, '7') THEN 'low' ELSE LowerEstimate END",
+        "HigherEstimate": "CASE WHEN ends_with(HigherEstimate, '7') THEN 'high' ELSE HigherEstimate END",
+    }
     rej = []
-    for feed, cols in (("outcomes", ["Denominator", "Score", "LowerEstimate", "HigherEstimate"]),
-                       ("infections", ["Score"])):
-        src = "feed_a" if feed == "outcomes" else "feed_b"
-        for c in cols:
-            rej.append(f"SELECT '{c}' AS column_name, count_if({c} IS NOT NULL AND {ck(c)} NOT IN "
-                       f"({lst(BOTH)}) AND TRY_CAST({c} AS DECIMAL(10,3)) IS NULL) AS reject_count, "
-                       f"'{feed}' AS feed FROM {src}")
+    for feed, src, score, marks, cols in (
+            ("outcomes", "feed_a", "--", ["not available"],
+             ["Denominator", "Score", "LowerEstimate", "HigherEstimate"]),
+            ("infections", "feed_b", "n/a", ["not available", "--"], ["Score"])):
+        for c in [*cols, "StartDate", "EndDate"]:
+            fails = (f"try_strptime(v, '%m/%d/%Y') IS NULL" if c.endswith("Date") else
+                     f"{ck('v')} NOT IN ({lst(marks)}) AND TRY_CAST(v AS DECIMAL(10,3)) IS NULL")
+            rej.append(f"SELECT '{c}' AS column_name, count_if(v IS NOT NULL AND {fails}) AS reject_count, "
+                       f"'{feed}' AS feed FROM (SELECT {bad[c].format(score=score)} AS v FROM {src})")
     q["reject_profile"] = f"{with_(FEEDS)} {' UNION ALL '.join(rej)}"
     q["region_slice"] = f"{with_(FEEDS)} SELECT * FROM feed_a WHERE {REGION_PRED}"
     pl = [f"SELECT FacilityName, MeasureName, Score FROM {t} WHERE {ck('FacilityName')} = "
@@ -667,15 +681,17 @@ us AS (SELECT f.FacilityName, m.MeasureName, fm.Score FROM r_us_fm fm
 wi AS (SELECT f.FacilityName, m.MeasureName, fm.Score FROM r_wi_fm fm
        JOIN r_wi_fac f ON fm.FacilityID = f.FacilityID JOIN r_wi_mea m ON fm.MeasureID = m.MeasureID),
 st AS (SELECT d.FacilityName, f.MeasureName, f.Score FROM {FACT_FAC}),
-{', '.join(f"{n}_g AS (SELECT {ck('FacilityName')} AS facility_key, {ck('MeasureName')} AS measure_key, count(*) AS {n}_rows, max(Score) AS {n}_score FROM {src} GROUP BY 1, 2)" for n, src in (('landing', 'landing'), ('us', 'us'), ('wi', 'wi'), ('star', 'st')))},
-j AS (SELECT * FROM landing_g FULL OUTER JOIN us_g USING (facility_key, measure_key)
-      FULL OUTER JOIN wi_g USING (facility_key, measure_key)
-      FULL OUTER JOIN star_g USING (facility_key, measure_key))
-SELECT *, CASE WHEN landing_rows IS NULL OR us_rows IS NULL OR wi_rows IS NULL OR star_rows IS NULL
-               THEN 'missing'
-               WHEN us_score IS NOT DISTINCT FROM landing_score
-                    AND wi_score IS NOT DISTINCT FROM landing_score
-                    AND star_score IS NOT DISTINCT FROM landing_score THEN 'match'
-               ELSE 'mismatch' END AS status
-FROM j"""
+layers AS (SELECT 'landing' AS layer, * FROM landing UNION ALL SELECT 'us', * FROM us
+           UNION ALL SELECT 'wi', * FROM wi UNION ALL SELECT 'star', * FROM st),
+per_score AS (SELECT {ck('FacilityName')} AS facility_key, {ck('MeasureName')} AS measure_key, Score,
+              {', '.join(f"count_if(layer = '{n}') AS {n}_rows" for n in LAYERS)}
+              FROM layers GROUP BY 1, 2, 3),
+pairs AS (SELECT facility_key, measure_key,
+          {', '.join(f"CAST(sum({n}_rows) AS BIGINT) AS {n}_rows, max(CASE WHEN {n}_rows > 0 THEN Score END) AS {n}_score" for n in LAYERS)},
+          count_if({' OR '.join(f"{n}_rows <> landing_rows" for n in LAYERS[1:])}) AS differing_scores
+          FROM per_score GROUP BY 1, 2)
+SELECT *, CASE WHEN {' OR '.join(f"{n}_rows = 0" for n in LAYERS)} THEN 'missing'
+               WHEN {' OR '.join(f"{n}_rows <> landing_rows" for n in LAYERS[1:])} THEN 'count'
+               WHEN differing_scores > 0 THEN 'value' ELSE 'match' END AS status
+FROM pairs"""
     return q

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualmart.functions.textkeys import ci_key
 from qualmart.operators import benchmark as B
 from qualmart.operators import quality
 from qualmart.operators.calendar import calendar
@@ -30,7 +31,7 @@ from qualmart.sources.store import TableStore
 REGION = S.Region(X.TEST_REGION_STATE, X.TEST_REGION_COUNTIES)
 CALENDAR = X.TEST_CALENDAR
 POINT_FACILITY = "SUPPLIER#000000007"   # upper case on purpose: data is "Supplier#000000007"
-REPORT_MEASURE = "2-HIGH"
+REPORT_MEASURE = "2-High"                # data is "2-HIGH"
 CARDINALITY_ATTRS = ("FacilityCity", "FacilityCountyName", "FacilityState", "FacilityZipCode")
 # ---------------------------------------------------------------------------------------------------
 
@@ -103,7 +104,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
 
 def star_model(spark: SparkSession, sf: str, today: str | None = None) -> M.StarModel:
     t = run_refreshes(spark, sf, "single")
-    return M.StarModel(t["fact_measure"], t["dim_facility"], t["dim_date"], today)
+    return M.StarModel(t["fact_measure"], t["dim_facility"], t["dim_date"], today, t["wi_measures"])
 
 
 # ------------------------------------------------------------------------------ feeds, cleaning
@@ -116,11 +117,10 @@ def q_clean_feed_b(spark, sf):
 
 
 def q_reject_profile(spark, sf):
-    a, b = feeds(spark, sf)
-    ra = quality.reject_profile(a, ["Denominator", "Score", "LowerEstimate", "HigherEstimate"])
-    rb = quality.reject_profile(b, ["Score"])
-    return (ra.withColumn("feed", F.lit(OUTCOMES))
-              .unionByName(rb.withColumn("feed", F.lit(INFECTIONS))))
+    """Rejects of the feeds with damaged numbers and dates (``fixtures.damaged``)."""
+    parts = [quality.feed_rejects(X.damaged(f, kind), kind).withColumn("feed", F.lit(kind))
+             for f, kind in zip(feeds(spark, sf), (OUTCOMES, INFECTIONS), strict=True)]
+    return parts[0].unionByName(parts[1])
 
 
 def q_region_slice(spark, sf):
@@ -418,7 +418,8 @@ def q_layer_reconciliation(spark, sf):
                            REGION.state, REGION.counties).select(*cols)
     us = S.staging_facility_measures_report(t["us_facility_measures"], t["us_facilities"],
                                             t["us_measures"])
-    us = us.join(t["wi_facilities"].select("FacilityName"), "FacilityName", "left_semi")
+    us = us.join(t["wi_facilities"].select(ci_key("FacilityName").alias("_key")),
+                 ci_key("FacilityName") == F.col("_key"), "left_semi")
     wi = S.staging_facility_measures_report(t["wi_facility_measures"], t["wi_facilities"],
                                             t["wi_measures"])
     st = ST.fact_dim_left(t["fact_measure"], t["dim_facility"])

@@ -53,6 +53,12 @@ def is_reject(c: str | Column, sentinels: Iterable[str] = STAT_SENTINELS,
     return column.isNotNull() & ~ci_isin(column, list(sentinels)) & column.try_cast(dtype).isNull()
 
 
+def is_date_reject(c: str | Column, fmt: str = DEFAULT_DATE_FORMAT) -> Column:
+    """True where a date text is present and does not convert."""
+    column = _col(c)
+    return column.isNotNull() & F.try_to_date(column, fmt).isNull()
+
+
 def to_feed_date(c: str | Column, fmt: str = DEFAULT_DATE_FORMAT, mode: str = STRICT) -> Column:
     column = _col(c)
     if mode == LENIENT:

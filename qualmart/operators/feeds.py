@@ -16,6 +16,12 @@ from qualmart.sources.schemas import INFECTIONS_TYPE_ID, OUTCOMES_TYPE_ID
 OUTCOMES = "outcomes"
 INFECTIONS = "infections"
 
+#: Per feed: its decimal columns and the markers that its rows use for a missing number.
+ROW_RULES = {
+    OUTCOMES: (("Denominator", "Score", "LowerEstimate", "HigherEstimate"), OUTCOMES_SENTINELS),
+    INFECTIONS: (("Score",), INFECTIONS_SENTINELS),
+}
+
 TYPED_COLUMNS = [
     "FacilityCode", "FacilityName", "Address", "City", "State", "ZipCode", "CountyName",
     "PhoneNumber", "MeasureCode", "MeasureName", "MeasureTypeID", "ComparedToNational",
@@ -34,10 +40,10 @@ def typed_feed(feed: DataFrame, kind: str, mode: str = STRICT,
     a statistics-only plan never evaluates the stricter row-level cast.
     """
     outcomes = kind == OUTCOMES
-    row_sentinels = OUTCOMES_SENTINELS if outcomes else INFECTIONS_SENTINELS
+    numbers, row_sentinels = ROW_RULES[kind]
 
     def num(c: str) -> Column:
-        return to_decimal(c, OUTCOMES_SENTINELS, mode) if outcomes else null_decimal()
+        return to_decimal(c, row_sentinels, mode) if c in numbers else null_decimal()
 
     return feed.select(
         F.col("FacilityID").alias("FacilityCode"),

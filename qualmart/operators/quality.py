@@ -11,7 +11,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualmart.functions.clean import STAT_SENTINELS, is_reject
+from qualmart.functions.clean import (DEFAULT_DATE_FORMAT, STAT_SENTINELS, is_date_reject,
+                                      is_reject)
+from qualmart.operators.feeds import ROW_RULES
 
 
 def _long(wide: DataFrame, cols: Sequence[str], value: str) -> DataFrame:
@@ -55,8 +57,17 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 
 
 def reject_profile(feed: DataFrame, cols: Iterable[str],
-                   sentinels: Sequence[str] = STAT_SENTINELS) -> DataFrame:
-    """Values that are present, not a sentinel, and still fail the decimal conversion."""
-    cols = list(cols)
-    wide = feed.agg(*[F.count_if(is_reject(c, sentinels)).alias(c) for c in cols])
-    return _long(wide, cols, "reject_count")
+                   sentinels: Sequence[str] = STAT_SENTINELS, dates: Iterable[str] = (),
+                   date_format: str = DEFAULT_DATE_FORMAT) -> DataFrame:
+    """Values that are present, not a sentinel of the row-level rule (``sentinels``), and still
+    fail the decimal conversion, or for ``dates`` the date conversion."""
+    tests = {c: is_reject(c, sentinels) for c in cols}
+    tests |= {c: is_date_reject(c, date_format) for c in dates}
+    wide = feed.agg(*[F.count_if(t).alias(c) for c, t in tests.items()])
+    return _long(wide, list(tests), "reject_count")
+
+
+def feed_rejects(feed: DataFrame, kind: str, date_format: str = DEFAULT_DATE_FORMAT) -> DataFrame:
+    """Reject counts of one landing feed under the row-level rule that ``typed_feed`` applies."""
+    numbers, sentinels = ROW_RULES[kind]
+    return reject_profile(feed, numbers, sentinels, ["StartDate", "EndDate"], date_format)

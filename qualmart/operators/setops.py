@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -12,22 +12,21 @@ from qualmart.functions.textkeys import ci_key
 
 
 def ci_distinct(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Rows that differ only in letter case or trailing blanks collapse to one.
+    """Rows that differ only in letter case or trailing blanks collapse to one of them.
 
     Two steps: an exact ``DISTINCT`` (hash aggregate, map-side combine: this is where a large feed
-    shrinks), then rows of equal canonical key collapse, keeping the smallest original spelling
-    per text column so the result is deterministic. Non-text columns group on their value.
+    shrinks), then one whole row per canonical key, the first by the binary order of its text
+    columns. The result holds only rows of the input. Non-text columns group on their value.
     """
     cols = list(subset or df.columns)
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    if not text & set(cols):
-        return df.select(*cols).distinct()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = [c for c in cols if isinstance(types[c], StringType)]
     exact = df.select(*cols).distinct()
-    keys = [(ci_key(c) if c in text else F.col(c)).alias(f"_k_{i}") for i, c in enumerate(cols)]
-    reps = [F.min(c).alias(c) for c in cols if c in text]
-    plain = [F.col(f"_k_{i}").alias(c) for i, c in enumerate(cols) if c not in text]
-    return exact.groupBy(*keys).agg(*reps).select(*plain, *[c for c in cols if c in text]) \
-        .select(*cols)
+    if not text:
+        return exact
+    keys = [ci_key(c) if c in text else F.col(c) for c in cols]
+    first = Window.partitionBy(*keys).orderBy(*text)
+    return exact.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").select(*cols)
 
 
 def ci_union(*dfs: DataFrame) -> DataFrame:

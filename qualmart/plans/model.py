@@ -14,8 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from qualmart.functions.calendar import described_columns
+from qualmart.functions.textkeys import ci_isin
 from qualmart.operators.calendar import model_dates
 
 FACILITY_ATTRS = ("FacilityKey", "FacilityID", "FacilityName", "FacilityAddress", "FacilityCity",
@@ -66,6 +68,7 @@ class StarModel:
     dim_facility: DataFrame
     dim_date: DataFrame
     today: str | None = None
+    measures: DataFrame | None = None     # one row per measure; resolves MeasureName slicers
 
     def facilities(self) -> DataFrame:
         return self.dim_facility.withColumn("FacilityFullAddress", full_address())
@@ -93,9 +96,26 @@ class StarModel:
         return df
 
 
-def _filter(df: DataFrame, filters: Mapping[str, Sequence] | None) -> DataFrame:
+def _spellings(model: StarModel, df: DataFrame, col: str, values: Sequence[str]) -> list[str]:
+    """Stored spellings of the slicer's members: one small job over the smallest table that holds
+    the column. The result has a few spellings per asked member, whatever the number of facts."""
+    source = df
+    for dim in (model.measures, model.dim_facility):
+        if dim is not None and col in dim.columns:
+            source = dim
+            break
+    found = source.where(ci_isin(col, values)).select(col).distinct().collect()
+    return sorted(r[0] for r in found)
+
+
+def _filter(model: StarModel, df: DataFrame, filters: Mapping[str, Sequence] | None) -> DataFrame:
+    """Slicers. Text members match regardless of case and trailing blanks; the filter itself names
+    the stored spellings, so that it still reaches the parquet scan."""
     for col, values in (filters or {}).items():
-        df = df.where(F.col(col).isin(list(values)))
+        members = list(values)
+        if isinstance(df.schema[col].dataType, StringType):
+            members = _spellings(model, df, col, members)
+        df = df.where(F.col(col).isin(members)) if members else df.where(F.lit(False))
     return df
 
 
@@ -112,7 +132,7 @@ def measure_query(model: StarModel, rows: Sequence[str], measures: Sequence[str]
     """
     defs = _measures()
     needed = set(rows) | set(filters or {}) | ({cols} if cols else set())
-    df = _filter(model.joined(needed, date_role), filters)
+    df = _filter(model, model.joined(needed, date_role), filters)
     if cols:
         if len(measures) != 1:
             raise ValueError("a column axis takes exactly one measure")
@@ -130,7 +150,7 @@ def calendar_rollup(model: StarModel, measure: str = "measure_score",
                     filters: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Drill Year > Month > Day-of-week > Day with subtotals and a grand total."""
     defs = _measures()
-    df = _filter(model.joined(set(CALENDAR_HIERARCHY) | set(filters or {})), filters)
+    df = _filter(model, model.joined(set(CALENDAR_HIERARCHY) | set(filters or {})), filters)
     out = (df.rollup(*CALENDAR_HIERARCHY)
              .agg(defs[measure].alias(measure),
                   F.grouping_id(*CALENDAR_HIERARCHY).alias("grouping_level")))

@@ -4,8 +4,10 @@ cross-layer reconciliation and the composite-key outer-join chain."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualmart.functions.textkeys import ci_eq, ci_key
@@ -100,33 +102,34 @@ def point_lookup(outcomes: DataFrame, infections: DataFrame, facility_name: str)
 
 
 def layer_reconciliation(layers: dict[str, DataFrame]) -> DataFrame:
-    """The same (facility, measure) read at several layers, compared in one job.
-
-    ``layers`` maps a layer name to a DataFrame of (FacilityName, MeasureName, Score). Rows are
-    keyed case-insensitively and aggregated per layer first (count, max score), then full-outer
-    joined on the natural key; ``status`` is ``match`` when every layer has the pair with the
-    same maximum score, ``missing`` when a layer lacks it, ``mismatch`` otherwise."""
+    """The same (facility, measure) read at several layers, compared with the first one.
+
+    ``layers`` maps a layer name to a DataFrame of (FacilityName, MeasureName, Score); rows are
+    keyed case-insensitively. All layers go through one count per (pair, score) with map-side
+    combine, then one per pair, so scores are compared as multisets and nothing is joined.
+    ``differing_scores`` counts the scores that some layer holds in another number. ``status``:
+    ``missing`` (a layer lacks the pair), ``count`` (another number of rows), ``value`` (as many
+    rows, other scores) or ``match``."""
     names = list(layers)
-    per = []
+    rows = None
     for n in names:
-        d = layers[n]
-        per.append(d.select(ci_key("FacilityName").alias("facility_key"),
-                            ci_key("MeasureName").alias("measure_key"), "Score")
-                    .groupBy("facility_key", "measure_key")
-                    .agg(F.count(F.lit(1)).alias(f"{n}_rows"), F.max("Score").alias(f"{n}_score")))
-    out = per[0]
-    for d in per[1:]:
-        out = out.join(d, ["facility_key", "measure_key"], "full_outer")
-    present = [F.col(f"{n}_rows").isNotNull() for n in names]
-    all_present = present[0]
-    for p in present[1:]:
-        all_present = all_present & p
-    same = F.lit(True)
-    for n in names[1:]:
-        same = same & F.col(f"{n}_score").eqNullSafe(F.col(f"{names[0]}_score"))
-    status = (F.when(~all_present, F.lit("missing")).when(same, F.lit("match"))
-               .otherwise(F.lit("mismatch")))
-    return out.withColumn("status", status)
+        part = layers[n].select(F.lit(n).alias("_layer"), ci_key("FacilityName").alias("facility_key"),
+                                ci_key("MeasureName").alias("measure_key"), "Score")
+        rows = part if rows is None else rows.unionByName(part)
+    per_score = rows.groupBy("facility_key", "measure_key", "Score").agg(
+        *[F.count_if(F.col("_layer") == n).alias(f"{n}_rows") for n in names])
+
+    def differs() -> Column:
+        return reduce(or_, [F.col(f"{n}_rows") != F.col(f"{names[0]}_rows") for n in names[1:]], F.lit(False))
+
+    per_layer = [a for n in names for a in (
+        F.sum(f"{n}_rows").alias(f"{n}_rows"),
+        F.max(F.when(F.col(f"{n}_rows") > 0, F.col("Score"))).alias(f"{n}_score"))]
+    pairs = per_score.groupBy("facility_key", "measure_key").agg(
+        *per_layer, F.count_if(differs()).alias("differing_scores"))
+    missing = reduce(or_, [F.col(f"{n}_rows") == 0 for n in names])
+    return pairs.withColumn("status", F.when(missing, "missing").when(differs(), "count")
+                            .when(F.col("differing_scores") > 0, "value").otherwise("match"))
 
 
 def composite_key_outer_chain(orders: DataFrame, lineitem: DataFrame, part: DataFrame,

@@ -14,7 +14,7 @@ from qualmart.functions.textkeys import ci_key
 from qualmart.operators.benchmark import (measure_benchmarks, measure_label_summary,
                                           regional_measure_benchmarks)
 from qualmart.operators.feeds import region_slice
-from qualmart.operators.setops import ci_distinct, ci_union
+from qualmart.operators.setops import ci_union
 from qualmart.operators.upsert import upsert
 from qualmart.sources.schemas import (FACILITIES_SCHEMA, FACILITY_MEASURES_SCHEMA,
                                       INFECTIONS_TYPE_ID, MEASURES_SCHEMA, OUTCOMES_TYPE_ID)
@@ -43,9 +43,8 @@ def _maybe_slice(df: DataFrame, region: Region | None) -> DataFrame:
 def facility_source(typed_a: DataFrame, typed_b: DataFrame, region: Region | None = None
                     ) -> DataFrame:
     """Distinct facility rows of both feeds (UNION, case-insensitive)."""
-    a = ci_distinct(_maybe_slice(typed_a, region).select(*FEED_FACILITY_COLUMNS))
-    b = ci_distinct(_maybe_slice(typed_b, region).select(*FEED_FACILITY_COLUMNS))
-    return ci_union(a, b)
+    return ci_union(*[_maybe_slice(t, region).select(*FEED_FACILITY_COLUMNS)
+                      for t in (typed_a, typed_b)])
 
 
 def upsert_facilities(target: DataFrame, source: DataFrame,

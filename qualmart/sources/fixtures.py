@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualmart.functions.clean import LENIENT, STAT_SENTINELS, to_decimal, to_feed_date
+from qualmart.operators.feeds import OUTCOMES
 
 # --- fixed values: test recipe ------------------------------------------------------------------
 OUTCOME_LABELS = {
@@ -151,6 +152,28 @@ def unique_grain(feed: DataFrame) -> DataFrame:
                           .alias(c) for c in cols]))
 
 
+def damaged(feed: DataFrame, kind: str) -> DataFrame:
+    """The feed with unreadable numbers and dates in some rows, for the reject counts."""
+    def where(c: str, test: Column, bad: Column) -> Column:
+        return F.when(test, bad).otherwise(F.col(c))
+
+    bad = {
+        "Score": where("Score", F.col("Score").endswith("3"),
+                       F.lit("--" if kind == OUTCOMES else "n/a")),
+        "StartDate": where("StartDate", F.col("StartDate").startswith("02/"),
+                           F.concat(F.lit("30"), F.substring("StartDate", 3, 8))),
+        "EndDate": where("EndDate", F.col("EndDate").startswith("03/"), F.lit("2018-03-31")),
+    }
+    if kind == OUTCOMES:
+        bad |= {
+            "Denominator": where("Denominator", F.col("Denominator").startswith("1"),
+                                 F.concat(F.lit("about "), F.col("Denominator"))),
+            "LowerEstimate": where("LowerEstimate", F.col("LowerEstimate").endswith("7"), F.lit("low")),
+            "HigherEstimate": where("HigherEstimate", F.col("HigherEstimate").endswith("7"), F.lit("high")),
+        }
+    return feed.withColumns(bad)
+
+
 def split_loads(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two successive loads of one feed at unique grain: an older one and a newer one that has
     changed values, new facilities and lacks some old ones (matched / inserted / target-only)."""

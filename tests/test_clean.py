@@ -37,6 +37,13 @@ def test_lenient_mode_nulls_and_counts_rejects(spark):
     assert prof == {"Score": 1}
 
 
+def test_rejects_follow_the_row_level_rule(spark):
+    df = outcomes(spark, [dict(Score="--", Denominator="--", EndDate="99/99/2018"), dict(Score="7")])
+    got = {r.column_name: r.reject_count for r in quality.feed_rejects(df, OUTCOMES).collect()}
+    assert got == {"Score": 1, "Denominator": 1, "EndDate": 1, "StartDate": 0, "LowerEstimate": 0,
+                   "HigherEstimate": 0}
+
+
 def test_dates_parse_month_day_year(spark):
     df = outcomes(spark, [dict(StartDate="04/01/2015", EndDate="03/31/2018")])
     r = typed_feed(df, OUTCOMES).collect()[0]

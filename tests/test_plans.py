@@ -5,6 +5,7 @@ from decimal import Decimal
 from helpers import outcomes
 from qualmart.operators.benchmark import measure_label_summary
 from qualmart.operators.feeds import OUTCOMES, typed_feed
+from qualmart.operators.setops import ci_distinct
 from qualmart.plans import model as M
 from qualmart.session import scratch_path
 from qualmart.sources import schemas
@@ -21,6 +22,11 @@ def test_feed_summary_is_a_hash_aggregate(spark, capsys):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_distinct_sorts_no_rows_before_its_hash_aggregate(spark, capsys):
+    plan = _plan(ci_distinct(outcomes(spark, [dict(Score="5")])), capsys)
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_slicer_filter_reaches_the_parquet_scan(spark, capsys):
     import datetime as dt
     path = scratch_path(spark, "t-plan-fact")
@@ -34,7 +40,10 @@ def test_slicer_filter_reaches_the_parquet_scan(spark, capsys):
                           schemas.FACT_MEASURE_SCHEMA).write.parquet(path)
     fact = spark.read.parquet(path)
     model = M.StarModel(fact, None, None)
-    q = M.measure_query(model, ["MeasureName"], ["measure_score"], filters={"MeasureName": ["M"]})
+    q = M.measure_query(model, ["MeasureName"], ["measure_score"], filters={"MeasureName": ["m "]})
     plan = _plan(q, capsys)
     assert "PushedFilters: [IsNotNull(MeasureName), EqualTo(MeasureName,M)]" in plan
     assert "ReadSchema: struct<MeasureName:string,Score:decimal(10,3)>" in plan
+    assert q.count() == 1
+    none = M.measure_query(model, ["MeasureName"], ["measure_score"], filters={"MeasureName": ["x"]})
+    assert none.count() == 0

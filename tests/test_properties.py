@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from qualmart.operators.keys import assign_keys
 from qualmart.operators.setops import ci_distinct
+from qualmart.plans.reports import layer_reconciliation
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -45,3 +46,20 @@ def test_approximate_cardinality_close_to_exact(spark):
     assert exact == {"FacilityCity": 37, "FacilityZipCode": 101, "FacilityCountyName": 3}
     assert all(abs(approx[a] - exact[a]) <= 0.1 * exact[a] for a in attrs)
     assert dim.select(F.countDistinct("FacilityState")).first()[0] == 1
+
+
+def test_ci_distinct_returns_rows_of_the_input(spark):
+    df = spark.createDataFrame([("Abc", "xyz"), ("abc", "XYZ"), ("abc", "XYZ")], "a string, b string")
+    assert [tuple(r) for r in ci_distinct(df).collect()] == [("Abc", "xyz")]
+
+
+def test_reconciliation_tells_lost_rows_and_changed_scores(spark):
+    schema = "FacilityName string, MeasureName string, Score int"
+    landing = [("F", "gone", 1), ("F", "fewer", 1), ("F", "fewer", 3), ("F", "other", 1),
+               ("F", "other", 2), ("F", "other", 5), ("F", "same", None), ("F", "same", 4)]
+    star = [("f ", "FEWER", 3), ("F", "other", 1), ("F", "other", 4), ("F", "other", 5),
+            ("F", "same", 4), ("F", "same", None)]
+    got = layer_reconciliation({"landing": spark.createDataFrame(landing, schema),
+                                "star": spark.createDataFrame(star, schema)}).collect()
+    assert {r.measure_key: r.status for r in got} == {
+        "gone": "missing", "fewer": "count", "other": "value", "same": "match"}
