@@ -13,7 +13,6 @@ REGION_STATE = "af"
 REGION_COUNTIES = ("nation_0", "nation_5", "nation_10")
 CAL_START, CAL_END = "1994-01-01", "2002-12-31"
 DEFAULT_START, DEFAULT_END = "2015-01-01", "2030-01-01"
-MODEL_TODAY = "2000-01-01"
 POINT_FACILITY = "supplier#000000007"
 REPORT_MEASURE = "2-HIGH"      # the registered queries ask for "2-High"
 SPLIT_DATE = "1999-01-01"
@@ -169,18 +168,38 @@ def typed_sql(name: str, src: str, kind: str) -> str:
   FROM {src})"""
 
 
-def unique_sql(name: str, src: str, kind: str) -> str:
+def grain_sql(name: str, src: str, kind: str) -> str:
+    """One feed row per (facility, measure), aggregated from all its rows."""
     cols = FEED_COLS_A if kind == "a" else FEED_COLS_B
-    order = [f"{fdate('EndDate', True)} DESC NULLS LAST",
-             f"({dec('Score', BOTH, 'lenient')}) DESC NULLS LAST"]
-    if kind == "a":
-        order.append(f"({dec('Denominator', BOTH, 'lenient')}) DESC NULLS LAST")
-    order += [f"{c} DESC NULLS LAST" for c in cols if c not in ("FacilityID", "MeasureID")]
+    what = "Rate" if kind == "a" else "Benchmark"
+    better, worse, same = (f"Better {{t}}han the National {what}", f"Worse {{t}}han the National {what}",
+                           f"No Different {{t}}han the National {what}")
+    better, worse, same = (x.format(t="T" if kind == "a" else "t") for x in (better, worse, same))
+    b, w, n = (f"count_if(ComparedToNational = '{x}')" for x in (better, worse, same))
+
+    def num(c):
+        return dec(c, BOTH, "lenient")
+
+    def text(x):
+        return f"coalesce(CAST(CAST({x} AS DECIMAL(10,2)) AS VARCHAR), 'Not Available')"
+
+    q = q7("num_score")
+    made = {
+        "ComparedToNational": f"CASE WHEN {b} + {w} + {n} = 0 THEN 'Not Available' WHEN {b} >= {w} AND {b} >= {n} "
+                              f"THEN '{better}' WHEN {w} >= {n} THEN '{worse}' ELSE '{same}' END",
+        "Score": text(f"CAST(sign({q}) * ((abs({q}) + 50000) // 100000) AS DECIMAL(18,0)) * 0.01"),
+        "Footnote": "CASE WHEN count(Footnote) > 0 THEN '1, 2' END",
+        "StartDate": f"strftime(min({fdate('StartDate', True)}), '%m/%d/%Y')",
+        "EndDate": f"strftime(max({fdate('EndDate', True)}), '%m/%d/%Y')",
+        "Denominator": "CAST(count(*) AS VARCHAR)",
+        "LowerEstimate": text(f"min({num('LowerEstimate')})"),
+        "HigherEstimate": text(f"max({num('HigherEstimate')})"),
+    }
+    keys = [c for c in cols if c not in made]
     return f"""
 {name} AS (
-  SELECT {', '.join(cols)} FROM (
-    SELECT *, row_number() OVER (PARTITION BY FacilityID, MeasureID ORDER BY {', '.join(order)})
-           AS _rn FROM {src}) WHERE _rn = 1)"""
+  SELECT {', '.join(f'{made[c]} AS {c}' if c in made else c for c in cols)}
+  FROM (SELECT *, {num('Score')} AS num_score FROM {src}) GROUP BY {', '.join(keys)})"""
 
 
 def split_sql(name_old: str, name_new: str, src: str) -> str:
@@ -428,9 +447,12 @@ BENCH = with_(FEEDS, typed_sql("ta", "feed_a", "a"), typed_sql("tb", "feed_b", "
               bench_sql("a", "ta", 1), bench_sql("b", "tb", 2))
 STAR = with_(FEEDS, typed_sql("ta", "feed_a", "a"), typed_sql("tb", "feed_b", "b"), LOOKUPS,
              dim_date_sql("dim_date", CAL_START, CAL_END), run_sql("r_", "ta", "tb", None))
+TWICE = with_(FEEDS, grain_sql("ua", "feed_a", "a"), grain_sql("ub", "feed_b", "b"),
+              typed_sql("ta", "ua", "a"), typed_sql("tb", "ub", "b"), LOOKUPS,
+              dim_date_sql("dim_date", CAL_START, CAL_END), run_sql("r_", "ta", "tb", None))
 TWO_LOADS = with_(FEEDS, split_sql("a_old", "a_new", "feed_a"), split_sql("b_old", "b_new", "feed_b"),
-                  unique_sql("ua_old", "a_old_raw", "a"), unique_sql("ua_new", "a_new_raw", "a"),
-                  unique_sql("ub_old", "b_old_raw", "b"), unique_sql("ub_new", "b_new_raw", "b"),
+                  grain_sql("ua_old", "a_old_raw", "a"), grain_sql("ua_new", "a_new_raw", "a"),
+                  grain_sql("ub_old", "b_old_raw", "b"), grain_sql("ub_new", "b_new_raw", "b"),
                   typed_sql("ta_old", "ua_old", "a"), typed_sql("tb_old", "ub_old", "b"),
                   typed_sql("ta_new", "ua_new", "a"), typed_sql("tb_new", "ub_new", "b"),
                   LOOKUPS, dim_date_sql("dim_date", CAL_START, CAL_END),
@@ -522,14 +544,6 @@ FROM j"""
     q["measures_regional"] = f"{STAR} SELECT * FROM r_wi_mea"
     q["facility_measures_us"] = f"{STAR} SELECT * FROM r_us_fm"
     q["facility_measures_regional"] = f"{STAR} SELECT * FROM r_wi_fm"
-    q["date_dim"] = f"{with_(dim_date_sql('dd', DEFAULT_START, DEFAULT_END))} SELECT * FROM dd"
-    q["date_dim_described"] = (f"{with_(dim_date_sql('dd', CAL_START, CAL_END))} "
-                               f"SELECT {DESCRIBED} FROM dd")
-    q["model_dates"] = (f"{with_(dim_date_sql('dd', CAL_START, CAL_END))} "
-                        f"SELECT {DESCRIBED} FROM dd WHERE Date < DATE '{MODEL_TODAY}' "
-                        f"AND Date <> DATE '1900-01-01'")
-    q["sentinel_guard"] = (f"{with_(dim_date_sql('dd', DEFAULT_START, DEFAULT_END))} "
-                           f"SELECT * FROM dd WHERE DateKey IN (19000101, 99990101)")
     q["earliest_dates"] = (f"{BASE} SELECT min(StartDate) AS EarliestStartDate, "
                            f"min(EndDate) AS EarliestEndDate FROM (SELECT StartDate, EndDate "
                            f"FROM ta UNION ALL SELECT StartDate, EndDate FROM tb)")
@@ -538,6 +552,7 @@ FROM j"""
     q["upsert_facility_measures"] = f"{TWO_LOADS} SELECT * FROM n_us_fm"
     q["upsert_fact"] = f"{TWO_LOADS} SELECT * FROM n_fact"
     q["upsert_regional_facilities"] = f"{TWO_LOADS} SELECT * FROM n_wi_fac"
+    q["upsert_regional_measures"] = f"{TWO_LOADS} SELECT * FROM n_wi_mea"
     q["upsert_regional_facility_measures"] = f"{TWO_LOADS} SELECT * FROM n_wi_fm"
     q["upsert_dim_facility"] = f"{TWO_LOADS} SELECT * FROM n_dim_fac"
     st = " UNION ALL ".join(
@@ -551,10 +566,10 @@ FROM j"""
                         ("wi_facility_measures", "r_wi_fm", "FacilityMeasureID"),
                         ("dim_facility", "r_dim_fac", "FacilityKey"),
                         ("fact_measure", "r_fact", "MeasureKey")))
-    q["refresh_idempotent_state"] = f"{STAR} {st}"
+    q["refresh_idempotent_state"] = f"{TWICE} {st}"
     q["dim_facility"] = f"{STAR} SELECT * FROM r_dim_fac"
     q["fact_measure"] = f"{STAR} SELECT * FROM r_fact"
-    q["refresh_idempotent"] = f"{STAR} SELECT * FROM r_fact"
+    q["refresh_idempotent"] = f"{TWICE} SELECT * FROM r_fact"
     q["fact_out_of_calendar"] = (
         f"{STAR}, dflt AS (SELECT CAST(unnest(generate_series(DATE '{DEFAULT_START}', "
         f"DATE '{DEFAULT_END}', INTERVAL 1 DAY)) AS DATE) AS Date UNION ALL "
@@ -572,6 +587,10 @@ FROM j"""
         f"{STAR} SELECT f.FacilityName, m.MeasureName, fm.Score FROM r_wi_fm fm "
         f"JOIN r_wi_fac f ON fm.FacilityID = f.FacilityID "
         f"JOIN r_wi_mea m ON fm.MeasureID = m.MeasureID")
+    q["flat_report_staging_us"] = (
+        f"{STAR} SELECT f.FacilityName, m.MeasureName, fm.Score FROM r_us_fm fm "
+        f"JOIN r_us_fac f ON fm.FacilityID = f.FacilityID "
+        f"JOIN r_us_mea m ON fm.MeasureID = m.MeasureID")
     q["fact_dim_left"] = (f"{STAR} SELECT d.FacilityName, f.MeasureName, f.Score FROM {FACT_FAC}")
     q["facility_full_address"] = (
         f"{STAR} SELECT FacilityKey, FacilityName, coalesce(FacilityAddress, '') || ' ' || "

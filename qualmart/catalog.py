@@ -49,9 +49,9 @@ def typed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return typed_feed(a, OUTCOMES), typed_feed(b, INFECTIONS)
 
 
-def unique_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def keyed_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     a, b = feeds(spark, sf)
-    return X.unique_grain(a), X.unique_grain(b)
+    return X.keyed_grain(a), X.keyed_grain(b)
 
 
 def _config() -> RefreshConfig:
@@ -75,8 +75,8 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
     """Published tables after a refresh scenario.
 
     single    – one refresh of the whole feeds (a first load inserts every distinct row)
-    twice     – the feeds at one row per (facility, measure), refreshed twice (idempotence; a keyed
-                merge needs that grain)
+    twice     – the feeds aggregated to one row per (facility, measure), refreshed twice
+                (idempotence; a keyed merge needs that grain)
     two_loads – an older load, then a newer one at the same grain (matched, inserted, target-only)
 
     Results are shared within a session only, and only while the tables' files (path, length,
@@ -89,7 +89,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
     if kind == "single":
         refresh(spark, store, *feeds(spark, sf), _config())
     elif kind == "twice":
-        a, b = unique_feeds(spark, sf)
+        a, b = keyed_feeds(spark, sf)
         refresh(spark, store, a, b, _config())
         refresh(spark, store, a, b, _config())
     else:
@@ -234,6 +234,10 @@ def q_upsert_regional_facilities(spark, sf):
     return run_refreshes(spark, sf, "two_loads")["wi_facilities"]
 
 
+def q_upsert_regional_measures(spark, sf):
+    return run_refreshes(spark, sf, "two_loads")["wi_measures"]
+
+
 def q_upsert_regional_facility_measures(spark, sf):
     return run_refreshes(spark, sf, "two_loads")["wi_facility_measures"]
 
@@ -290,6 +294,12 @@ def q_flat_report_staging(spark, sf):
                                               t["wi_measures"])
 
 
+def q_flat_report_staging_us(spark, sf):
+    t = run_refreshes(spark, sf, "single")
+    return S.staging_facility_measures_report(t["us_facility_measures"], t["us_facilities"],
+                                              t["us_measures"])
+
+
 def q_fact_dim_left(spark, sf):
     t = run_refreshes(spark, sf, "single")
     return ST.fact_dim_left(t["fact_measure"], t["dim_facility"])

@@ -29,6 +29,7 @@ INFECTION_LABELS = {
     "O": "Worse than the National Benchmark",
     "P": "No Different than the National Benchmark",
 }
+FOOTNOTE = "1, 2"
 TEST_REGION_STATE = "AF"
 TEST_REGION_COUNTIES = ("Nation_0", "Nation_5", "Nation_10")  # mixed case on purpose
 TEST_CALENDAR = ("1994-01-01", "2002-12-31")
@@ -100,7 +101,7 @@ def outcomes_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         num("l_extendedprice").alias("Score"),
         num("l_discount").alias("LowerEstimate"),
         num("l_tax").alias("HigherEstimate"),
-        F.when(F.col("l_linenumber") == 7, F.lit("1, 2")).alias("Footnote"),
+        F.when(F.col("l_linenumber") == 7, F.lit(FOOTNOTE)).alias("Footnote"),
         _date_text(F.date_sub(ship, 90)).alias("StartDate"),
         _date_text(ship).alias("EndDate"),
     )
@@ -136,20 +137,42 @@ def infections_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def unique_grain(feed: DataFrame) -> DataFrame:
-    """One row per (FacilityID, MeasureID): the greatest by (EndDate, Score, Denominator as typed
-    values, then the remaining text columns). A ``max(struct)`` aggregate, so it combines map-side
-    and a hot (facility, measure) pair never lands whole in one task."""
-    cols = feed.columns
-    order = [to_feed_date("EndDate", mode=LENIENT).alias("_end"),
-             to_decimal("Score", STAT_SENTINELS, LENIENT).alias("_score")]
-    if "Denominator" in cols:
-        order.append(to_decimal("Denominator", STAT_SENTINELS, LENIENT).alias("_denom"))
-    rest = [c for c in cols if c not in ("FacilityID", "MeasureID")]
-    best = F.max(F.struct(*order, *[F.col(c) for c in rest])).alias("_best")
-    return (feed.groupBy("FacilityID", "MeasureID").agg(best)
-                .select(*[F.col(c) if c in ("FacilityID", "MeasureID") else F.col(f"_best.{c}")
-                          .alias(c) for c in cols]))
+def keyed_grain(feed: DataFrame) -> DataFrame:
+    """One row per (facility, measure), aggregated from all its feed rows, for the scenarios that
+    merge a second load (a keyed merge needs that grain): average score, row count as denominator,
+    least lower and greatest higher estimate, the most frequent label, earliest start and latest
+    end. Only numeric and date buffers, so a hash aggregate with map-side combine."""
+    outcomes = "Denominator" in feed.columns
+    labels = (OUTCOME_LABELS if outcomes else INFECTION_LABELS).values()
+
+    def text(c: Column) -> Column:
+        return F.coalesce(c.cast("decimal(10,2)").cast("string"), F.lit("Not Available"))
+
+    def number(c: str) -> Column:
+        return to_decimal(c, STAT_SENTINELS, LENIENT)
+
+    keys = ["FacilityID", "FacilityName", "Address", "City", "State", "ZipCode", "CountyName",
+            "PhoneNumber", "MeasureID", "MeasureName"]
+    agg = [F.count_if(F.col("ComparedToNational") == label).alias(f"_n{i}")
+           for i, label in enumerate(labels)]
+    agg += [text(F.avg(number("Score"))).alias("Score"), F.count("Footnote").alias("_footnotes"),
+            F.min(to_feed_date("StartDate", mode=LENIENT)).alias("_start"),
+            F.max(to_feed_date("EndDate", mode=LENIENT)).alias("_end")]
+    if outcomes:
+        agg += [F.count(F.lit(1)).cast("string").alias("Denominator"),
+                text(F.min(number("LowerEstimate"))).alias("LowerEstimate"),
+                text(F.max(number("HigherEstimate"))).alias("HigherEstimate")]
+    most = F.greatest("_n0", "_n1", "_n2")
+    label = F.when(most == 0, F.lit("Not Available"))
+    for i, text_label in enumerate(labels):     # equal counts: the first of better, worse, same
+        label = label.when(F.col(f"_n{i}") == most, F.lit(text_label))
+    return (feed.groupBy(*keys).agg(*agg)
+                .withColumns({
+                    "ComparedToNational": label,
+                    "Footnote": F.when(F.col("_footnotes") > 0, F.lit(FOOTNOTE)),
+                    "StartDate": _date_text(F.col("_start")),
+                    "EndDate": _date_text(F.col("_end"))})
+                .select(*feed.columns))
 
 
 def damaged(feed: DataFrame, kind: str) -> DataFrame:
@@ -175,11 +198,12 @@ def damaged(feed: DataFrame, kind: str) -> DataFrame:
 
 
 def split_loads(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two successive loads of one feed at unique grain: an older one and a newer one that has
-    changed values, new facilities and lacks some old ones (matched / inserted / target-only)."""
+    """Two successive loads of one feed at ``keyed_grain``: an older one and a newer one that has
+    changed values, new facilities and lacks some old ones (matched / inserted / target-only).
+    What each load lacks is the scenario: ``SPLIT_DATE`` and the two counties above."""
     end = to_feed_date("EndDate", mode=LENIENT)
     old = feed.where((end < F.lit(SPLIT_DATE).cast("date"))
                      & (F.upper(F.rtrim("CountyName")) != OLD_LOAD_WITHOUT_COUNTY))
     new = feed.where((end >= F.lit(SPLIT_DATE).cast("date"))
                      & (F.upper(F.rtrim("CountyName")) != NEW_LOAD_WITHOUT_COUNTY))
-    return unique_grain(old), unique_grain(new)
+    return keyed_grain(old), keyed_grain(new)
