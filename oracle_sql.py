@@ -664,33 +664,63 @@ LEFT JOIN lineitem k2 ON x.k_orderkey = k2.l_orderkey AND k2.l_linenumber = x.k_
         pk.append(f"SELECT '{t}' AS table_name, CAST({k} AS BIGINT) AS key_value, "
                   f"count(*) AS row_count FROM {t} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL")
     q["pk_violations"] = f"{STAR} {' UNION ALL '.join(pk)}"
-    fk = []
+    views = {"us_facilities": "r_us_fac", "us_measures": "r_us_mea", "us_facility_measures": "r_us_fm",
+             "wi_facilities": "r_wi_fac", "wi_measures": "r_wi_mea", "wi_facility_measures": "r_wi_fm",
+             "dim_facility": "r_dim_fac", "fact_measure": "r_fact", "dim_date": "dim_date",
+             "measure_types": "measure_types", "sort_orders": "sort_orders"}
+    refs = [("fact_measure", "FacilityKey", "dim_facility", "FacilityKey"),
+            ("fact_measure", "StartDateKey", "dim_date", "DateKey"),
+            ("fact_measure", "EndDateKey", "dim_date", "DateKey")]
     for layer in ("us", "wi"):
-        for col, parent, pcol in (("FacilityID", "fac", "FacilityID"),
-                                  ("MeasureID", "mea", "MeasureID")):
-            fk.append(f"SELECT '{layer}_facility_measures' AS table_name, '{col}' AS column_name, "
-                      f"count(*) AS violations FROM r_{layer}_fm c WHERE c.{col} IS NOT NULL AND "
-                      f"NOT EXISTS (SELECT 1 FROM r_{layer}_{parent} p WHERE p.{pcol} = c.{col})")
-    for col, parent, pcol in (("FacilityKey", "r_dim_fac", "FacilityKey"),
-                              ("StartDateKey", "dim_date", "DateKey"),
-                              ("EndDateKey", "dim_date", "DateKey")):
-        fk.append(f"SELECT 'fact_measure' AS table_name, '{col}' AS column_name, "
-                  f"count(*) AS violations FROM r_fact c WHERE c.{col} IS NOT NULL AND "
-                  f"NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+        refs += [(f"{layer}_facility_measures", "FacilityID", f"{layer}_facilities", "FacilityID"),
+                 (f"{layer}_facility_measures", "MeasureID", f"{layer}_measures", "MeasureID"),
+                 (f"{layer}_measures", "MeasureTypeID", "measure_types", "MeasureTypeID")]
+    fk = [f"SELECT '{child}' AS table_name, '{col}' AS column_name, count(*) AS violations "
+          f"FROM {views[child]} c WHERE c.{col} IS NOT NULL AND "
+          f"NOT EXISTS (SELECT 1 FROM {views[parent]} p WHERE p.{pcol} = c.{col})"
+          for child, col, parent, pcol in refs]
     q["fk_violations"] = f"{STAR} {' UNION ALL '.join(fk)}"
+    measure = ["MeasureID", *T_MEA]
+    fm = ["FacilityMeasureID", "FacilityID", "MeasureID", "StartDate", "EndDate"]
+    required = {
+        "us_facilities": ["FacilityID", "FacilityName", "State", "CountyName"],
+        "us_measures": measure, "us_facility_measures": fm,
+        "dim_facility": ["FacilityKey", "FacilityID", "FacilityName", "FacilityState", "FacilityCountyName"],
+        "fact_measure": ["MeasureKey", *[c for c in T_FACT if c not in ("ScoreComparedToNational", "Score")]],
+        "dim_date": ["DateKey", "Date", "DayOfMonth", "MonthNumber", "MonthName", "Year", "DayOfWeekName",
+                     "DayOfWeekNumber", "IsWeekend"],
+        "measure_types": ["MeasureTypeID", "MeasureTypeName"],
+        "sort_orders": ["MeasureSortOrderID", "MeasureSortOrderName"],
+    }
+    fac_lens = [("FacilityName", 100), ("Address", 100), ("City", 50), ("State", 2), ("ZipCode", 5),
+                ("CountyName", 50), ("PhoneNumber", 20)]
+    lens = {
+        "us_facilities": [("FacilityCode", 10), *fac_lens],
+        "us_measures": [("MeasureCode", 50), ("MeasureName", 100)],
+        "us_facility_measures": [("ComparedToNational", 100), ("Footnote", 10)],
+        "dim_facility": [(c if c == "FacilityName" else f"Facility{c}", n) for c, n in fac_lens],
+        "fact_measure": [("MeasureName", 100), ("ScoreComparedToNational", 100),
+                         ("MeasureSortOrderName", 100), ("MeasureTypeName", 100)],
+        "dim_date": [("MonthName", 10), ("DayOfWeekName", 10)],
+        "measure_types": [("MeasureTypeName", 100)], "sort_orders": [("MeasureSortOrderName", 100)],
+    }
+    for n in ("facilities", "measures", "facility_measures"):
+        required[f"wi_{n}"], lens[f"wi_{n}"] = required[f"us_{n}"], lens[f"us_{n}"]
     nn = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM r_us_mea"
-        for c in ["MeasureID", *T_MEA])
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS null_count "
+        f"FROM {views[t]}" for t, cs in required.items() for c in cs)
     q["null_violations"] = f"{STAR} {nn}"
-    lens = [("FacilityID", 10), ("FacilityName", 100), ("Address", 100), ("City", 50),
-            ("State", 2), ("ZipCode", 5), ("CountyName", 50), ("PhoneNumber", 20),
-            ("MeasureID", 50), ("MeasureName", 100), ("ComparedToNational", 50),
-            ("Denominator", 20), ("Score", 20), ("LowerEstimate", 20), ("HigherEstimate", 20),
-            ("Footnote", 10), ("StartDate", 10), ("EndDate", 10)]
+    views |= {"outcomes": "feed_a", "infections": "feed_b"}
+    lens["outcomes"] = [
+        ("FacilityID", 10), *fac_lens, ("MeasureID", 50), ("MeasureName", 100), ("ComparedToNational", 50),
+        ("Denominator", 20), ("Score", 20), ("LowerEstimate", 20), ("HigherEstimate", 20),
+        ("Footnote", 10), ("StartDate", 10), ("EndDate", 10)]
+    lens["infections"] = [x for x in lens["outcomes"] if x[0] in FEED_COLS_B]
     lv = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {n} AS max_allowed, max(length({c})) AS max_length, "
-        f"count(*) FILTER (WHERE length({c}) > {n}) AS over_limit FROM feed_a" for c, n in lens)
-    q["length_violations"] = f"{with_(FEEDS)} {lv}"
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, max(length({c})) AS max_length, "
+        f"count(*) FILTER (WHERE length({c}) > {n}) AS over_limit FROM {views[t]}"
+        for t, cs in lens.items() for c, n in cs)
+    q["length_violations"] = f"{STAR} {lv}"
     q["layer_reconciliation"] = f"""{STAR},
 landing AS (SELECT FacilityName, MeasureName, Score FROM ta WHERE {REGION_PRED}
             UNION ALL SELECT FacilityName, MeasureName, Score FROM tb WHERE {REGION_PRED}),

@@ -8,6 +8,7 @@ session and scale factor; its tables are written under the session's ``spark.che
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -263,8 +264,7 @@ def q_refresh_idempotent_state(spark, sf):
     t = run_refreshes(spark, sf, "twice")
     out = None
     for name in STAGED_NAMES:
-        shape = name.split("_", 1)[1] if name.startswith(("us_", "wi_")) else name
-        pk = schemas.TABLES[shape][1][0]
+        pk = schemas.TABLES[schemas.shape_of(name)][1][0]
         part = t[name].agg(F.count(F.lit(1)).alias("row_count"),
                            F.sum(F.col(pk).cast("long")).alias("key_sum"),
                            F.countDistinct(pk).alias("distinct_keys")).select(
@@ -374,8 +374,7 @@ def q_pk_violations(spark, sf):
     t = run_refreshes(spark, sf, "single")
     out = None
     for name, df in t.items():
-        shape = name.split("_", 1)[1] if name.startswith(("us_", "wi_")) else name
-        pk = schemas.TABLES[shape][1]
+        pk = schemas.TABLES[schemas.shape_of(name)][1]
         v = quality.pk_violations(df, pk, name).select(
             "table_name", F.col(pk[0]).cast("long").alias("key_value"), "row_count")
         out = v if out is None else out.unionByName(v)
@@ -383,37 +382,45 @@ def q_pk_violations(spark, sf):
 
 
 def q_fk_violations(spark, sf):
+    """Violations per declared foreign key, over every table that has one."""
     t = run_refreshes(spark, sf, "single")
     parts = []
-    for prefix in ("us_", "wi_"):
-        for child, fk, parent, pk in (("facility_measures", "FacilityID", "facilities",
-                                       "FacilityID"),
-                                      ("facility_measures", "MeasureID", "measures",
-                                       "MeasureID")):
-            v = quality.fk_violations(t[prefix + child], fk, t[prefix + parent], pk)
+    for name in t:
+        layer = name[:3] if name.startswith(("us_", "wi_")) else ""
+        for fk, parent, pk in schemas.FOREIGN_KEYS.get(schemas.shape_of(name), ()):
+            v = quality.fk_violations(t[name], fk, t.get(layer + parent, t.get(parent)), pk)
             parts.append(v.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(prefix + child).alias("table_name"), F.lit(fk).alias("column_name"),
-                "violations"))
-    for fk, parent, pk in schemas.FOREIGN_KEYS["fact_measure"]:
-        v = quality.fk_violations(t["fact_measure"], fk, t[parent], pk)
-        parts.append(v.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("fact_measure").alias("table_name"), F.lit(fk).alias("column_name"),
-            "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                F.lit(name).alias("table_name"), F.lit(fk).alias("column_name"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _checks(spark, sf, rule: str) -> DataFrame:
+    parts = []
+    for name, df in run_refreshes(spark, sf, "single").items():
+        schema, shape = schemas.TABLES[schemas.shape_of(name)][0], schemas.shape_of(name)
+        checks = (quality.column_checks(df, schemas.not_null_columns(schema), {}) if rule == "null"
+                  else quality.length_violations(df, schemas.TEXT_LIMITS[shape])
+                  if shape in schemas.TEXT_LIMITS else None)
+        if checks is not None:
+            parts.append(checks.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_null_violations(spark, sf):
-    t = run_refreshes(spark, sf, "single")
-    m = t["us_measures"]
-    return quality.null_violations(m, schemas.not_null_columns(schemas.MEASURES_SCHEMA))
+    """NULL count per declared NOT NULL column of every published table."""
+    return _checks(spark, sf, "null").select("table_name", "column_name",
+                                             F.col("violations").alias("null_count"))
 
 
 def q_length_violations(spark, sf):
-    a, _ = feeds(spark, sf)
-    return quality.length_violations(a, dict(schemas.OUTCOMES_COLUMNS))
+    """Longest value and values over the declared limit, per text column of both feeds and of
+    every published table."""
+    feed_limits = (schemas.OUTCOMES_COLUMNS, schemas.INFECTIONS_COLUMNS)
+    out = _checks(spark, sf, "length")
+    for feed, kind, limits in zip(feeds(spark, sf), (OUTCOMES, INFECTIONS), feed_limits, strict=True):
+        out = out.unionByName(quality.length_violations(feed, dict(limits))
+                              .withColumn("table_name", F.lit(kind)))
+    return out
 
 
 def q_layer_reconciliation(spark, sf):

@@ -56,6 +56,17 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def column_checks(df: DataFrame, not_null: Sequence[str], limits: Mapping[str, int]) -> DataFrame:
+    """(column_name, rule, violations) for the declared NOT NULL columns (rule ``null``) and text
+    lengths (rule ``length``) of one table, all in one aggregate."""
+    tests = {("null", c): F.col(c).isNull() for c in not_null}
+    tests |= {("length", c): F.length(c) > n for c, n in limits.items()}
+    wide = df.agg(*[F.count_if(t).alias(f"{rule}_{c}") for (rule, c), t in tests.items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"),
+                     F.col(f"{rule}_{c}").alias("violations")) for rule, c in tests]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def reject_profile(feed: DataFrame, cols: Iterable[str],
                    sentinels: Sequence[str] = STAT_SENTINELS, dates: Iterable[str] = (),
                    date_format: str = DEFAULT_DATE_FORMAT) -> DataFrame:

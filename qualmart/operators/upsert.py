@@ -9,9 +9,10 @@
 * a target row matched by more than one source row is an error (MERGE semantics),
 * NULL keys never match; text keys compare case-insensitively.
 
-Plan shape: the target is left-joined to the source (matched + target-only rows) and the source is
-anti-joined to the target (inserts). Both are hash joins on the merge keys; the adaptive planner
-turns them into broadcasts when one side is small at run time and splits skewed keys.
+Plan shape: one full outer join of target and source on the merge keys, written once, holds matched,
+target-only and new rows; kept rows and inserts are filters over it. Target and source shuffle once
+each, and the adaptive planner splits skewed keys. The source's rows per key are counted before the
+join (map-side combine), so a conflict shows in the joined rows without another join.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql.types import StringType, StructType
 
 from qualmart.functions.textkeys import ci_key
 from qualmart.operators.keys import assign_keys
+from qualmart.session import materialize
+from qualmart.sources.schemas import conform
 
 
 class MergeConflict(RuntimeError):
@@ -36,37 +39,12 @@ def _key_exprs(df: DataFrame, cols: Sequence[str], prefix: str) -> list[Column]:
             for i, c in enumerate(cols)]
 
 
-def find_conflicts(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]]
-                   ) -> DataFrame:
-    """Merge keys that occur more than once in the source and match a target row."""
-    tk = target.select(*_key_exprs(target, [t for t, _ in on], "_k"))
-    sk = source.select(*_key_exprs(source, [s for _, s in on], "_k"))
-    names = [f"_k{i}" for i in range(len(on))]
-    not_null = F.lit(True)
-    for n in names:
-        not_null = not_null & F.col(n).isNotNull()
-    multi = sk.where(not_null).groupBy(*names).count().where(F.col("count") > 1)
-    return multi.join(tk.distinct(), names, "left_semi")
-
-
-def _probe(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]], key_col: str,
-           seed: int, check: bool) -> int:
-    """One small job before the merge: up to five conflicting keys (if checked) and the current
-    maximum key. Raises ``MergeConflict``; returns the first key to hand out."""
-    top = target.agg(F.max(F.col(key_col)).cast("long").alias("v")).select(
-        F.lit("max").alias("kind"), F.col("v"), F.lit(None).cast("string").alias("keys"))
-    if check:
-        names = [f"_k{i}" for i in range(len(on))]
-        bad = find_conflicts(target, source, on).limit(5).select(
-            F.lit("conflict").alias("kind"), F.lit(None).cast("long").alias("v"),
-            F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("keys"))
-        top = top.unionByName(bad)
-    rows = top.collect()
-    conflicts = [r.keys for r in rows if r.kind == "conflict"]
-    if conflicts:
-        raise MergeConflict(f"target rows matched by several source rows, keys {conflicts}")
-    current = next(r.v for r in rows if r.kind == "max")
-    return seed if current is None else int(current) + 1
+def _conflicts(joined: DataFrame, names: Sequence[str]) -> list[str]:
+    """Up to five merge keys under which a target row met more than one source row."""
+    bad = (joined.where(F.col("_target") & (F.col("_n") > 1))
+                 .select(F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("keys"))
+                 .limit(5))
+    return sorted({r.keys for r in bad.collect()})
 
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
@@ -80,44 +58,41 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     insert: target column → source column / expression for new rows (the key is generated)
     order:  target columns giving the order in which new keys are handed out
     schema: declared target schema (types and column order of the result)
-    target_empty: the caller knows the target has no rows (first load): no match probe, no
-                  conflict check and no key lookup are needed, every source row is inserted
+    target_empty: the caller knows the target has no rows (first load): no join, conflict check
+                  or key lookup is needed, every source row is inserted
     """
-    start = seed
-    if not target_empty:
-        start = _probe(target, source, on, key_col, seed, check)
-
-    tnames = [f"_t{i}" for i in range(len(on))]
-    t = target.select("*", *_key_exprs(target, [c for c, _ in on], "_t"))
-    src_cols = source.columns
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols],
-                      *_key_exprs(source, [c for _, c in on], "_t"), F.lit(True).alias("_hit"))
+    names = [f"_k{i}" for i in range(len(on))]
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns],
+                      *_key_exprs(source, [c for _, c in on], "_k"), F.lit(True).alias("_source"))
 
     def src(expr: str | Column) -> Column:
-        if isinstance(expr, str):
-            return F.col(f"_s_{expr}")
-        return expr
+        return F.col(f"_s_{expr}") if isinstance(expr, str) else expr
 
-    # matched + target-only rows
-    if target_empty:
-        ins = s.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
-                         for f in schema.fields if f.name != key_col])
-        keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=seed)
-        return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    joined = t.join(s, tnames, "left")
-    kept = []
-    for f in schema.fields:
-        if f.name in update:
-            kept.append(F.when(F.col("_hit"), src(update[f.name])).otherwise(F.col(f.name))
-                        .cast(f.dataType).alias(f.name))
-        else:
-            kept.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    kept_df = joined.select(*kept)
-
-    # inserts: source rows without a match
-    new_rows = s.join(t.select(*tnames), tnames, "left_anti")
-    ins = new_rows.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
+    def inserts(rows: DataFrame, start: int) -> DataFrame:
+        new = rows.select(*[src(insert[f.name]).cast(f.dataType).alias(f.name)
                             for f in schema.fields if f.name != key_col])
-    keyed = assign_keys(ins, key_col, [F.col(c).asc_nulls_first() for c in order], start=start)
-    keyed = keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return kept_df.unionByName(keyed)
+        keyed = assign_keys(new, key_col, [F.col(c).asc_nulls_first() for c in order], start=start)
+        return conform(keyed, schema)
+
+    if target_empty:
+        return inserts(s, seed)
+    if check:
+        # rows per merge key, by an aggregate rather than a window: a hot key combines map-side
+        per_key = s.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        s = s.join(per_key, names, "left")
+    else:
+        s = s.withColumn("_n", F.lit(None).cast("long"))
+    t = target.select("*", *_key_exprs(target, [c for c, _ in on], "_k"),
+                      F.lit(True).alias("_target"))
+    joined = materialize(t.join(s, names, "full"), "merge")
+    conflicts = _conflicts(joined, names) if check else []
+    if conflicts:
+        raise MergeConflict(f"target rows matched by several source rows, keys {conflicts}")
+
+    top = target.agg(F.max(F.col(key_col)).cast("long")).first()[0]
+    kept = joined.where("_target").select(*[
+        (F.when(F.col("_source"), src(update[f.name])).otherwise(F.col(f.name))
+         if f.name in update else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
+    return kept.unionByName(inserts(joined.where("_target IS NULL"),
+                                    seed if top is None else top + 1))

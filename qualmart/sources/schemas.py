@@ -137,6 +137,11 @@ FOREIGN_KEYS = {
 }
 
 
+def shape_of(table: str) -> str:
+    """Key of ``TABLES`` for a published table (national and regional copies share a shape)."""
+    return table.split("_", 1)[1] if table.startswith(("us_", "wi_")) else table
+
+
 def not_null_columns(schema: StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
 
