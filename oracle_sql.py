@@ -308,15 +308,15 @@ T_FAC = {"FacilityCode": "VARCHAR", "FacilityName": "VARCHAR", "Address": "VARCH
 T_MEA = {"MeasureCode": "VARCHAR", "MeasureName": "VARCHAR", "MeasureTypeID": "SMALLINT",
          "SortOrderID": "SMALLINT", "NationalScoreMax": "DECIMAL(10,3)",
          "NationalScoreMin": "DECIMAL(10,3)", "NationalScoreAverage": "DECIMAL(10,3)"}
-T_FM = {"FacilityID": "INTEGER", "MeasureID": "SMALLINT", "ComparedToNational": "VARCHAR",
+T_FM = {"FacilityID": "BIGINT", "MeasureID": "SMALLINT", "ComparedToNational": "VARCHAR",
         "Denominator": "DECIMAL(10,3)", "Score": "DECIMAL(10,3)",
         "LowerEstimate": "DECIMAL(10,3)", "HigherEstimate": "DECIMAL(10,3)",
         "Footnote": "VARCHAR", "StartDate": "DATE", "EndDate": "DATE"}
-T_DIM = {"FacilityID": "INTEGER", "FacilityName": "VARCHAR", "FacilityAddress": "VARCHAR",
+T_DIM = {"FacilityID": "BIGINT", "FacilityName": "VARCHAR", "FacilityAddress": "VARCHAR",
          "FacilityCity": "VARCHAR", "FacilityState": "VARCHAR", "FacilityZipCode": "VARCHAR",
          "FacilityCountyName": "VARCHAR", "FacilityPhoneNumber": "VARCHAR"}
-T_FACT = {"MeasureID": "SMALLINT", "FacilityKey": "INTEGER", "FacilityID": "INTEGER",
-          "FacilityMeasureID": "INTEGER", "MeasureName": "VARCHAR",
+T_FACT = {"MeasureID": "SMALLINT", "FacilityKey": "BIGINT", "FacilityID": "BIGINT",
+          "FacilityMeasureID": "BIGINT", "MeasureName": "VARCHAR",
           "ScoreComparedToNational": "VARCHAR", "Score": "DECIMAL(10,3)",
           "NationalScoreHigh": "DECIMAL(10,3)", "NationalScoreLow": "DECIMAL(10,3)",
           "NationalScoreAverage": "DECIMAL(10,3)", "MeasureSortOrderName": "VARCHAR",
@@ -378,7 +378,7 @@ def run_sql(p: str, ta: str, tb: str, prev: str | None) -> str:
     for layer, where in (("us_", None), ("wi_", REGION_PRED)):
         ctes.append(f"{p}{layer}fac_src AS ({fac_src(where)})")
         ctes.append(upsert_sql(f"{p}{layer}fac", pv(f"{layer}fac"), f"{p}{layer}fac_src", fac_on,
-                               fac_map, fac_upd, "FacilityID", "INTEGER", fac_order, T_FAC))
+                               fac_map, fac_upd, "FacilityID", "BIGINT", fac_order, T_FAC))
         m = "mea" if layer == "us_" else "rmea"
         msrc = (f"SELECT * FROM {p}a_{m} UNION ALL SELECT * FROM {p}b_{m}")
         ctes.append(f"{p}{layer}mea_src AS ({ci_distinct_sql(msrc, mea_cols, {'MeasureCode', 'MeasureName'})})")
@@ -388,14 +388,14 @@ def run_sql(p: str, ta: str, tb: str, prev: str | None) -> str:
         ctes.append(f"{p}{layer}fm_src AS ({fm_src(f'{p}{layer}fac', f'{p}{layer}mea', where)})")
         ctes.append(upsert_sql(f"{p}{layer}fm", pv(f"{layer}fm"), f"{p}{layer}fm_src", fm_on,
                                {c: c for c in fm_cols}, set(FM_VALUES), "FacilityMeasureID",
-                               "INTEGER", fm_order, T_FM))
+                               "BIGINT", fm_order, T_FM))
     dim_map = {"FacilityID": "FacilityID", "FacilityName": "FacilityName",
                "FacilityAddress": "Address", "FacilityCity": "City", "FacilityState": "State",
                "FacilityZipCode": "ZipCode", "FacilityCountyName": "CountyName",
                "FacilityPhoneNumber": "PhoneNumber"}
     ctes.append(upsert_sql(f"{p}dim_fac", pv("dim_fac"), f"{p}wi_fac",
                            [("FacilityName", "FacilityName", True)], dim_map,
-                           set(dim_map) - {"FacilityName"}, "FacilityKey", "INTEGER",
+                           set(dim_map) - {"FacilityName"}, "FacilityKey", "BIGINT",
                            ["FacilityName", "FacilityID"], T_DIM))
     ctes.append(f"""{p}fact_src AS (
   SELECT fm.FacilityMeasureID, fm.MeasureID, df.FacilityKey, fm.FacilityID, m.MeasureName,
@@ -424,7 +424,7 @@ def run_sql(p: str, ta: str, tb: str, prev: str | None) -> str:
     ctes.append(upsert_sql(f"{p}fact", pv("fact"), f"{p}fact_src",
                            [("FacilityID", "FacilityID", False), ("MeasureID", "MeasureID", False),
                             ("FacilityMeasureID", "FacilityMeasureID", False)],
-                           fact_map, fact_upd, "MeasureKey", "INTEGER",
+                           fact_map, fact_upd, "MeasureKey", "BIGINT",
                            ["FacilityMeasureID", "FacilityID", "MeasureID"], T_FACT))
     return ",\n".join([bench_sql(f"{p}a", ta, 1).strip(), bench_sql(f"{p}b", tb, 2).strip()]
                       + ctes)
@@ -501,6 +501,9 @@ def build() -> dict[str, str]:
             rej.append(f"SELECT '{c}' AS column_name, count_if(v IS NOT NULL AND {fails}) AS reject_count, "
                        f"'{feed}' AS feed FROM (SELECT {bad[c].format(score=score)} AS v FROM {src})")
     q["reject_profile"] = f"{with_(FEEDS)} {' UNION ALL '.join(rej)}"
+    q["landing_feed_a"] = f"{with_(FEEDS)} SELECT * FROM feed_a"
+    q["landing_feed_b"] = f"{with_(FEEDS)} SELECT * FROM feed_b"
+    q["region_slice_b"] = f"{with_(FEEDS)} SELECT * FROM feed_b WHERE {REGION_PRED}"
     q["region_slice"] = f"{with_(FEEDS)} SELECT * FROM feed_a WHERE {REGION_PRED}"
     pl = [f"SELECT FacilityName, MeasureName, Score FROM {t} WHERE {ck('FacilityName')} = "
           f"'{POINT_FACILITY}'" for t in ("feed_a", "feed_b")]
@@ -537,7 +540,7 @@ j AS (SELECT pf.*, m.SortOrderID AS MeasureSortOrderNumber FROM pf
 SELECT MeasureCode, FacilityName, Score, MeasureSortOrderNumber,
        CASE WHEN Score IS NULL THEN NULL ELSE CAST(rank() OVER (PARTITION BY MeasureCode
             ORDER BY CASE WHEN Score IS NULL THEN 1 ELSE 0 END,
-                     CASE WHEN MeasureSortOrderNumber = 0 THEN -Score ELSE Score END) AS INTEGER)
+                     CASE WHEN MeasureSortOrderNumber = 0 THEN -Score ELSE Score END) AS BIGINT)
        END AS facility_rank
 FROM j"""
     q["measures_us"] = f"{STAR} SELECT * FROM r_us_mea"
@@ -636,7 +639,7 @@ FROM j"""
         f"{STAR} SELECT f.MeasureName, d.FacilityName, f.Score, f.MeasureSortOrderNumber, "
         f"CASE WHEN f.Score IS NULL THEN NULL ELSE CAST(rank() OVER (PARTITION BY f.MeasureID "
         f"ORDER BY CASE WHEN f.Score IS NULL THEN 1 ELSE 0 END, CASE WHEN "
-        f"f.MeasureSortOrderNumber = 0 THEN -f.Score ELSE f.Score END) AS INTEGER) END "
+        f"f.MeasureSortOrderNumber = 0 THEN -f.Score ELSE f.Score END) AS BIGINT) END "
         f"AS facility_rank FROM {FACT_FAC}")
     card = " UNION ALL ".join(
         f"SELECT '{a}' AS attribute, count(DISTINCT {a}) AS member_count FROM r_dim_fac"

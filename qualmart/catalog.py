@@ -23,9 +23,10 @@ from qualmart.plans import reports as R
 from qualmart.plans import staging as S
 from qualmart.plans import star as ST
 from qualmart.plans.refresh import RefreshConfig, published_tables, refresh
-from qualmart.session import scratch_path
+from qualmart.session import materialize, scratch_path
 from qualmart.sources import fixtures as X
 from qualmart.sources import schemas
+from qualmart.sources.landing import read_feed, write_landing
 from qualmart.sources.store import TableStore
 
 # --- fixed test parameters -----------------------------------------------------------------------
@@ -45,6 +46,16 @@ def feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return X.outcomes_feed(spark, sf), X.infections_feed(spark, sf)
 
 
+def landed_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both feeds written as CSV to the shared folder and read back as a landing feed."""
+    out = []
+    for feed, kind in zip(feeds(spark, sf), (OUTCOMES, INFECTIONS), strict=True):
+        path = scratch_path(spark, f"landing-{kind}")
+        write_landing(feed, path)
+        out.append(read_feed(spark, path, kind))
+    return out[0], out[1]
+
+
 def typed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     a, b = feeds(spark, sf)
     return typed_feed(a, OUTCOMES), typed_feed(b, INFECTIONS)
@@ -75,7 +86,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
                   ) -> dict[str, DataFrame]:
     """Published tables after a refresh scenario.
 
-    single    – one refresh of the whole feeds (a first load inserts every distinct row)
+    single    – one refresh of the whole feeds, landed as CSV (a first load inserts every distinct row)
     twice     – the feeds aggregated to one row per (facility, measure), refreshed twice
                 (idempotence; a keyed merge needs that grain)
     two_loads – an older load, then a newer one at the same grain (matched, inserted, target-only)
@@ -88,7 +99,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
         return _RUNS[key]
     store = TableStore(spark, scratch_path(spark, f"store-{kind}"))
     if kind == "single":
-        refresh(spark, store, *feeds(spark, sf), _config())
+        refresh(spark, store, *landed_feeds(spark, sf), _config())
     elif kind == "twice":
         a, b = keyed_feeds(spark, sf)
         refresh(spark, store, a, b, _config())
@@ -109,6 +120,14 @@ def star_model(spark: SparkSession, sf: str, today: str | None = None) -> M.Star
 
 
 # ------------------------------------------------------------------------------ feeds, cleaning
+def q_landing_feed_a(spark, sf):
+    return landed_feeds(spark, sf)[0]
+
+
+def q_landing_feed_b(spark, sf):
+    return landed_feeds(spark, sf)[1]
+
+
 def q_clean_feed_a(spark, sf):
     return typed(spark, sf)[0].select(*TYPED_COLUMNS)
 
@@ -125,8 +144,11 @@ def q_reject_profile(spark, sf):
 
 
 def q_region_slice(spark, sf):
-    a, _ = feeds(spark, sf)
-    return region_slice(a, REGION.state, REGION.counties)
+    return region_slice(feeds(spark, sf)[0], REGION.state, REGION.counties)
+
+
+def q_region_slice_b(spark, sf):
+    return region_slice(feeds(spark, sf)[1], REGION.state, REGION.counties)
 
 
 def q_facility_point_lookup(spark, sf):
@@ -185,7 +207,8 @@ def q_direction_rank(spark, sf):
                       .groupBy("FacilityName", "MeasureCode")
                       .agg(F.avg("StatScore").cast("decimal(10,3)").alias("Score")))
     joined = per_facility.withColumn("_mk", F.lower(F.rtrim("MeasureCode"))).join(measures, "_mk")
-    ranked = R.rank_facilities(joined, partition="MeasureCode")
+    # the rank scans its input three times: written once
+    ranked = R.rank_facilities(materialize(joined, "scores"), partition="MeasureCode")
     return ranked.select("MeasureCode", "FacilityName", "Score", "MeasureSortOrderNumber",
                          "facility_rank")
 

@@ -24,7 +24,7 @@ _PID, _POS = "_qm_pid", "_qm_pos"
 
 
 def assign_keys(df: DataFrame, key_col: str, order: Sequence[Column | str], start: int = 1,
-                num_partitions: int | None = None, key_type: str = "int") -> DataFrame:
+                num_partitions: int | None = None, key_type: str = "long") -> DataFrame:
     """Add ``key_col`` = start, start+1, … following ``order`` (which must be a total order for
     the numbering to be reproducible)."""
     spark = df.sparkSession

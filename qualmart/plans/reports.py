@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from qualmart.functions.textkeys import ci_eq, ci_key
 from qualmart.plans.model import MEASURE_NAMES, StarModel, measure_query
-from qualmart.session import ensure_checkpoint_dir, materialize
+from qualmart.session import materialize
 
 
 def county_report(model: StarModel, measure_name: str) -> DataFrame:
@@ -56,34 +56,40 @@ def rank_facilities(fact: DataFrame, partition: str = "MeasureID", score: str =
     score ranks first, otherwise a smaller one). Ties share a rank (``RANK``); NULL scores get
     no rank.
 
-    No group is ever handled whole by one task: rows are range-partitioned on (measure,
-    direction-adjusted score), so a measure holding a third of all rows spreads over many
-    partitions and equal scores stay together. Each row's rank is its rank inside its
-    (partition, measure) slice plus the number of rows of that measure in earlier partitions;
-    those offsets come from a table of one row per (measure, partition), which is small
-    (partitions + measures) and joined back.
+    No group is ever handled whole by one task. Rows are first counted per (measure,
+    direction-adjusted score) with map-side combine, so any number of equal scores becomes one
+    row. Those counts are range-partitioned on (measure, score); a score's rank is one plus the
+    counts before it: inside its (partition, measure) slice by a running sum, in earlier partitions
+    by an offset (one row per measure and partition). The ranks are then joined back. Rows without
+    a score take no part in it and are added as they are.
     """
     sk = F.when(F.col(direction) == 0, -F.col(score)).otherwise(F.col(score))
-    order = F.col("_sk").asc_nulls_last()      # NULL scores after every ranked row
     keyed = fact.withColumn("_sk", sk)
+    scored = keyed.where(F.col("_sk").isNotNull())
+    counts = (scored.groupBy(F.col(partition).alias("_rp"), F.col("_sk").alias("_rs"))
+                    .agg(F.count(F.lit(1)).alias("_n")))
     # Without an explicit count the adaptive planner sizes the range partitions from the data.
-    ranged = (keyed.repartitionByRange(F.col(partition), order) if num_partitions is None
-              else keyed.repartitionByRange(num_partitions, F.col(partition), order))
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    # Materialise once: partition ids and local ranks must come from one range assignment
-    # (a recomputed range exchange may sample different bounds); the input is computed once.
-    ensure_checkpoint_dir(fact.sparkSession)
-    local = materialize(ranged.withColumn(
-        "_local", F.rank().over(Window.partitionBy("_pid", partition).orderBy(order))), "rank")
-    counts = local.groupBy(partition, "_pid").agg(F.count("_sk").alias("_n"))
-    before = Window.partitionBy(partition).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(partition, "_pid",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    rank = F.when(F.col("_sk").isNotNull(), (F.col("_offset") + F.col("_local")).cast("int"))
-    return (local.join(offsets, [partition, "_pid"])
-                 .withColumn(out, rank)
-                 .drop("_sk", "_pid", "_local", "_offset"))
+    ranged = (counts.repartitionByRange("_rp", "_rs") if num_partitions is None
+              else counts.repartitionByRange(num_partitions, "_rp", "_rs"))
+    # Written once: running sums and offsets must come from one range assignment (a recomputed
+    # range exchange may sample different bounds).
+    local = materialize(ranged.withColumn("_pid", F.spark_partition_id()), "rank")
+
+    def before(*keys: str, order: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(w), F.lit(0))
+
+    slices = local.groupBy("_rp", "_pid").agg(F.sum("_n").alias("_n"))
+    offsets = slices.select(F.col("_rp").alias("_op"), F.col("_pid").alias("_opid"),
+                            before("_rp", order="_pid").alias("_offset"))
+    inside = local.withColumn("_local", before("_pid", "_rp", order="_rs"))
+    ranks = (inside.join(offsets, F.col("_rp").eqNullSafe(F.col("_op"))
+                         & (F.col("_pid") == F.col("_opid")))
+                   .select("_rp", "_rs", (F.col("_offset") + F.col("_local") + 1).alias(out)))
+    ranked = (scored.join(ranks, F.col(partition).eqNullSafe(F.col("_rp"))
+                          & (F.col("_sk") == F.col("_rs"))).drop("_rp", "_rs"))
+    unranked = keyed.where(F.col("_sk").isNull()).withColumn(out, F.lit(None).cast("long"))
+    return ranked.unionByName(unranked).drop("_sk")
 
 
 def facility_rank(model: StarModel) -> DataFrame:

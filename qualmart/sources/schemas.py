@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, ShortType,
-                               StringType, StructField, StructType)
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, LongType,
+                               ShortType, StringType, StructField, StructType)
 
 SCORE = DecimalType(10, 3)
 
@@ -50,7 +50,7 @@ def _s(fields) -> StructType:
 
 
 FACILITIES_SCHEMA = _s([
-    ("FacilityID", IntegerType(), False), ("FacilityCode", StringType(), True),
+    ("FacilityID", LongType(), False), ("FacilityCode", StringType(), True),
     ("FacilityName", StringType(), False), ("Address", StringType(), True),
     ("City", StringType(), True), ("State", StringType(), False),
     ("ZipCode", StringType(), True), ("CountyName", StringType(), False),
@@ -63,7 +63,7 @@ MEASURES_SCHEMA = _s([
     ("NationalScoreMin", SCORE, False), ("NationalScoreAverage", SCORE, False),
 ])
 FACILITY_MEASURES_SCHEMA = _s([
-    ("FacilityMeasureID", IntegerType(), False), ("FacilityID", IntegerType(), False),
+    ("FacilityMeasureID", LongType(), False), ("FacilityID", LongType(), False),
     ("MeasureID", ShortType(), False), ("ComparedToNational", StringType(), True),
     ("Denominator", SCORE, True), ("Score", SCORE, True), ("LowerEstimate", SCORE, True),
     ("HigherEstimate", SCORE, True), ("Footnote", StringType(), True),
@@ -74,7 +74,7 @@ MEASURE_TYPES_SCHEMA = _s([("MeasureTypeID", ShortType(), False),
 SORT_ORDERS_SCHEMA = _s([("MeasureSortOrderID", ShortType(), False),
                          ("MeasureSortOrderName", StringType(), False)])
 DIM_FACILITY_SCHEMA = _s([
-    ("FacilityKey", IntegerType(), False), ("FacilityID", IntegerType(), False),
+    ("FacilityKey", LongType(), False), ("FacilityID", LongType(), False),
     ("FacilityName", StringType(), False), ("FacilityAddress", StringType(), True),
     ("FacilityCity", StringType(), True), ("FacilityState", StringType(), False),
     ("FacilityZipCode", StringType(), True), ("FacilityCountyName", StringType(), False),
@@ -88,9 +88,9 @@ DIM_DATE_SCHEMA = _s([
     ("IsWeekend", BooleanType(), False),
 ])
 FACT_MEASURE_SCHEMA = _s([
-    ("MeasureKey", IntegerType(), False), ("MeasureID", ShortType(), False),
-    ("FacilityKey", IntegerType(), False), ("FacilityID", IntegerType(), False),
-    ("FacilityMeasureID", IntegerType(), False), ("MeasureName", StringType(), False),
+    ("MeasureKey", LongType(), False), ("MeasureID", ShortType(), False),
+    ("FacilityKey", LongType(), False), ("FacilityID", LongType(), False),
+    ("FacilityMeasureID", LongType(), False), ("MeasureName", StringType(), False),
     ("ScoreComparedToNational", StringType(), True), ("Score", SCORE, True),
     ("NationalScoreHigh", SCORE, False), ("NationalScoreLow", SCORE, False),
     ("NationalScoreAverage", SCORE, False), ("MeasureSortOrderName", StringType(), False),

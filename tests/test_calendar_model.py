@@ -1,6 +1,7 @@
 """Calendar generation, model views, measure query, rollups and ranking."""
 
 import datetime as dt
+from collections import Counter
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -89,6 +90,31 @@ def test_rank_hot_measure_spreads_over_partitions(spark):
     assert all(got[i] == smaller[i % 997] + 1 for i in range(5000))
 
 
+def test_rank_half_nulls_and_one_tie_keep_partitions_even(spark):
+    hot = spark.range(0, 8000, 1, 4).select(
+        F.lit(1).alias("MeasureID"),
+        F.when(F.col("id") % 2 == 0, F.when(F.col("id") % 8 == 0, 5).otherwise(F.col("id")))
+         .cast("decimal(10,3)").alias("Score"),
+        F.lit(0).alias("MeasureSortOrderNumber"), F.col("id"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ranked = R.rank_facilities(hot, num_partitions=4).withColumn("p", F.spark_partition_id())
+        rows = ranked.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = Counter(r.p for r in rows)
+    assert len(rows) == 8000 and max(sizes.values()) <= 2 * 8000 / len(sizes)
+    want = {}
+    scores = sorted((r.Score for r in rows if r.Score is not None), reverse=True)
+    for i, v in enumerate(scores):
+        want.setdefault(v, i + 1)
+    assert all(r.facility_rank == want.get(r.Score) for r in rows)
+
+
 def test_measure_query_drops_all_blank_combinations(spark):
     fact = _fact(spark, [dict(FacilityKey=1, Score=Decimal("2")), dict(FacilityKey=2, Score=None)])
     model = M.StarModel(fact, _dim(spark), None)
