@@ -39,12 +39,22 @@ def _key_exprs(df: DataFrame, cols: Sequence[str], prefix: str) -> list[Column]:
             for i, c in enumerate(cols)]
 
 
-def _conflicts(joined: DataFrame, names: Sequence[str]) -> list[str]:
-    """Up to five merge keys under which a target row met more than one source row."""
-    bad = (joined.where(F.col("_target") & (F.col("_n") > 1))
-                 .select(F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("keys"))
-                 .limit(5))
-    return sorted({r.keys for r in bad.collect()})
+def _probe(joined: DataFrame, target: DataFrame, names: Sequence[str], key_col: str, check: bool
+           ) -> int | None:
+    """One job after the join: the target's largest key (None: no rows). Raises ``MergeConflict``
+    with up to five merge keys under which a target row met more than one source row."""
+    top = target.agg(F.max(F.col(key_col)).cast("long").alias("v")).select(
+        "v", F.lit(None).cast("string").alias("keys"))
+    if check:
+        bad = joined.where(F.col("_target") & (F.col("_n") > 1)).limit(5).select(
+            F.lit(None).cast("long").alias("v"),
+            F.concat_ws("|", *[F.col(n).cast("string") for n in names]).alias("keys"))
+        top = top.unionByName(bad)
+    rows = top.collect()
+    conflicts = sorted({r.keys for r in rows if r.keys is not None})
+    if conflicts:
+        raise MergeConflict(f"target rows matched by several source rows, keys {conflicts}")
+    return next((r.v for r in rows if r.v is not None), None)
 
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
@@ -85,11 +95,7 @@ def upsert(target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]],
     t = target.select("*", *_key_exprs(target, [c for c, _ in on], "_k"),
                       F.lit(True).alias("_target"))
     joined = materialize(t.join(s, names, "full"), "merge")
-    conflicts = _conflicts(joined, names) if check else []
-    if conflicts:
-        raise MergeConflict(f"target rows matched by several source rows, keys {conflicts}")
-
-    top = target.agg(F.max(F.col(key_col)).cast("long")).first()[0]
+    top = _probe(joined, target, names, key_col, check)
     kept = joined.where("_target").select(*[
         (F.when(F.col("_source"), src(update[f.name])).otherwise(F.col(f.name))
          if f.name in update else F.col(f.name)).cast(f.dataType).alias(f.name)
