@@ -8,6 +8,12 @@ The vocabulary and the output biases come from the counts of all words of all do
 covers all documents too: each input partition trains a replica of the starting network on its
 documents (a documented share of the positions as targets), and the replicas are averaged, weighted
 by their number of targets, in a tree of small groups. A replica has a fixed size of about 0.5 MB.
+
+The network knows the most frequent words and hash buckets of the others. A word of a bucket has the
+bucket's probability times its share of the bucket: n / (N + 1), of the exact counts n of the word
+and N of the bucket's D distinct words. The remaining 1 / (N + 1) is for unseen words, of which as
+many are supposed as seen ones: 1 / ((N + 1) max(D, 1)) each. The counts of the words beyond the
+vocabulary stay a table; (row, word) counts are joined to it.
 """
 
 from __future__ import annotations
@@ -16,12 +22,13 @@ import io
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualmart.llm.common import LOWER_AZ, utf8
@@ -43,6 +50,8 @@ RATE = 0.1
 FAN_IN = 16
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 400_000
+#: Sums of log shares are taken of whole multiples of 1 / SHARE_UNIT, so that their order is of no account.
+SHARE_UNIT = 1 << 30
 _SHIFTS = [s for s in range(-SIDE, SIDE + 1) if s]
 
 
@@ -227,16 +236,34 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
                          "weights": [net.dump()]})
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", stride: int = STRIDE) -> tuple[dict[bytes, int], bytes]:
-    """(vocabulary, network) from all documents. Without any word the starting network remains."""
+class Model(NamedTuple):
+    """``counts``: (word, n) of all words. ``buckets``: count and number of the words of each bucket."""
+
+    vocab: dict[bytes, int]
+    weights: bytes
+    counts: DataFrame
+    buckets: list[tuple[int, int]]
+
+
+def _bucket(word: Column) -> Column:
+    return F.crc32(word) % BUCKETS
+
+
+def fit(docs: DataFrame, *, text_col: str = "text", stride: int = STRIDE) -> Model:
+    """Counts and network from all documents. Without any word the starting network remains."""
     spark = docs.sparkSession
     counts = materialize(word_counts(docs, text_col), "lm-counts")
     frequent = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     vocab = {bytes(r.word): i for i, r in enumerate(frequent)}
     n = np.zeros(TOKENS)
     n[: len(frequent)] = [r.n for r in frequent]
-    rest = float(counts.agg(F.sum("n")).first()[0] or 0) - n.sum()
-    n[WORDS:] = rest / BUCKETS
+    buckets = [(0, 0)] * BUCKETS
+    if len(frequent) == WORDS:
+        last = frequent[-1]
+        others = counts.where((F.col("n") < last.n) | (F.col("n") == last.n) & (F.col("word") > F.lit(bytes(last.word))))
+        for r in others.groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
+            buckets[r.b] = (r.n, r.d)
+    n[WORDS:] = [b[0] for b in buckets]
     words, start = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast(Network.start(n).dump())
     replicas = materialize(_train_replicas(docs, text_col, words, start, stride), "lm-replicas")
     while (left := replicas.count()) > 1:
@@ -246,16 +273,13 @@ def fit(docs: DataFrame, *, text_col: str = "text", stride: int = STRIDE) -> tup
         replicas = materialize(replicas.groupBy(group).applyInPandas(
             _average, "replica long, targets long, weights binary"), "lm-replicas")
     last = replicas.first()
-    return vocab, bytes(last.weights) if last else start.value
+    return Model(vocab, bytes(last.weights) if last else start.value, counts, buckets)
 
 
-def scored(docs: DataFrame, model: tuple[dict[bytes, int], bytes], *, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over all tokens) and perplexity of every row.
-
-    Null, empty and blank texts have no tokens, log-likelihood 0 and perplexity 1. Repeated rows get
-    equal scores. Other columns aren't read. An empty table gives an empty result."""
-    spec = docs.sparkSession.sparkContext.broadcast(model)
+def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, n_tokens, log_likelihood, others): scores of the tokens, and the count of each word of
+    a row that is a bucket's."""
+    spec = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +288,11 @@ def scored(docs: DataFrame, model: tuple[dict[bytes, int], bytes], *, id_col: st
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                docs_ids = [words.ids(t) for t in utf8(batch, "text")]
+                docs_ids, others = [], []
+                for t in utf8(batch, "text"):
+                    w = words_of(t)
+                    docs_ids.append(np.fromiter(map(words.__getitem__, w), np.int64, len(w)))
+                    others.append(Counter(x for x in w if x not in vocab))
                 tokens, _ = padded(docs_ids)
                 size = np.array([len(d) for d in docs_ids], np.int64)
                 sums = np.zeros(len(size))
@@ -272,13 +300,41 @@ def scored(docs: DataFrame, model: tuple[dict[bytes, int], bytes], *, id_col: st
                 if len(at):
                     doc = np.repeat(np.arange(len(size)), size)
                     sums = np.bincount(doc, net.log_probs(tokens, at), len(size))
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array([w for c in others for w in c], pa.binary()),
+                     pa.array([n for c in others for n in c.values()], pa.int64())], ["word", "k"])
+                ends = np.concatenate(([0], np.cumsum([len(c) for c in others]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size), pa.array(sums),
-                     pa.array(np.exp(-sums / np.maximum(size, 1)))],
-                    ["doc_id", "n_tokens", "log_likelihood", "perplexity"])
+                    [batch.column(0), pa.array(size), pa.array(sums), pa.ListArray.from_arrays(pa.array(ends), pairs)],
+                    ["doc_id", "n_tokens", "log_likelihood", "others"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, log_likelihood double, perplexity double")
+        run, f"doc_id {kind}, n_tokens long, log_likelihood double, others array<struct<word:binary,k:long>>")
+
+
+def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum over all tokens) and perplexity of every row.
+
+    Null, empty and blank texts have no tokens, log-likelihood 0 and perplexity 1. Repeated rows get
+    equal scores. Other columns aren't read. An empty table gives an empty result."""
+    rows = materialize(_bucket_scored(docs, model, id_col, text_col).withColumn(
+        "row", F.monotonically_increasing_id()), "lm-scores")  # numbers are read back, never given anew
+    total = F.array(*[F.lit(float(np.log(n + 1))) for n, _ in model.buckets])
+    unseen = F.array(*[F.lit(float(-np.log(max(d, 1)))) for _, d in model.buckets])
+    # a word beyond the vocabulary is at most one token in WORDS, so no key is hot; sorted merge at any
+    # size, as the counts grow with the documents
+    pairs = rows.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.k")
+    b = _bucket(F.col("word")).cast("int") + 1
+    share = F.coalesce(F.log("n"), F.element_at(unseen, b)) - F.element_at(total, b)
+    pairs = pairs.join(model.counts.hint("merge"), "word", "left").select(
+        "row", (F.round(share * SHARE_UNIT).cast("long") * F.col("k")).alias("share"))
+    base = rows.select("row", "doc_id", "n_tokens", "log_likelihood", F.lit(0).cast("long").alias("share"))
+    none = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("doc_id", "n_tokens", "log_likelihood")]
+    out = base.unionByName(pairs.select("row", *none, "share")).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
+        (F.max("log_likelihood") + F.sum("share") / SHARE_UNIT).alias("log_likelihood"))
+    return out.select("doc_id", "n_tokens", "log_likelihood", F.exp(
+        -F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("perplexity"))
 
 
 def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -1,4 +1,6 @@
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -67,3 +69,32 @@ def test_counts_cover_all_documents(make):
 
 def test_empty_table(make):
     assert L.pseudo_likelihood(make([])).count() == 0
+
+
+def test_words_beyond_the_vocabulary_have_their_own_probability(make):
+    often = [f"v{i}" for i in range(L.WORDS)] * 4
+    rare = {f"r{i}": 1 + i % 3 for i in range(3000)}
+    text = often + [w for w, n in rare.items() for _ in range(n)]
+    docs = make([(i, " ".join(text[i::40])) for i in range(40)])
+    model = L.fit(docs)
+    bucket = {w: zlib.crc32(w.encode()) % L.BUCKETS for w in [*rare, *(f"junk{i}" for i in range(50))]}
+    total, distinct = Counter(), Counter()
+    for w, n in rare.items():
+        total[bucket[w]] += n
+        distinct[bucket[w]] += 1
+    assert model.buckets == [(total[b], distinct[b]) for b in range(L.BUCKETS)]
+    tests = [[w] for w in bucket] + [["r7", "r7", "junk3", "v5"]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(tests)] + [(0, "r0"), (None, "r7 r7 junk3 v5")]
+    got = L.scored(make(rows).repartition(3), model).collect()
+    assert len(got) == len(rows)
+    words, net = L.Vocabulary(model.vocab), L.Network.load(model.weights)
+    for r in got:
+        w = tests[-1 if r.doc_id is None else r.doc_id]
+        tokens, _ = L.padded([words.ids(" ".join(w).encode())])
+        want = net.log_probs(tokens, np.arange(2, 2 + len(w))).sum()
+        for x in w:
+            if x in bucket:
+                b = bucket[x]
+                want += np.log(rare[x] if x in rare else 1 / max(1, distinct[b])) - np.log(total[b] + 1)
+        assert r.n_tokens == len(w) and abs(r.log_likelihood - want) < 1e-4
+        assert abs(r.perplexity - np.exp(-r.log_likelihood / len(w))) < 1e-6 * r.perplexity
