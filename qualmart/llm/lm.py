@@ -6,8 +6,8 @@ position and summed, a tanh layer, and a two-step softmax (class of the word, wo
 
 The vocabulary and the output biases come from the counts of all words of all documents. Training
 covers all documents too: each input partition trains a replica of the starting network on its
-documents (a documented share of the positions as targets), and the replicas are averaged, weighted
-by their number of targets, in a tree of small groups. A replica has a fixed size of about 0.5 MB.
+documents (every position is a target), and the replicas are averaged, weighted by their number of
+targets, in a tree of small groups. A replica has a fixed size of about 0.5 MB.
 
 The network knows the most frequent words and hash buckets of the others. A word of a bucket has the
 bucket's probability times its share of the bucket: n / (N + 1), of the exact counts n of the word
@@ -42,8 +42,8 @@ BUCKETS = 512
 WORDS = TOKENS - BUCKETS
 DIM = 16
 SIDE = 2
-#: One position in this many is a training target; each document starts at an offset of its own.
-STRIDE = 8
+#: One position in this many is a training target: every one.
+STRIDE = 1
 BATCH = 512
 RATE = 0.1
 #: Replicas that are averaged at once.

@@ -71,6 +71,13 @@ def test_empty_table(make):
     assert L.pseudo_likelihood(make([])).count() == 0
 
 
+def test_every_position_is_a_target_by_default(make):
+    rng = random.Random(4)
+    docs = make([(i, " ".join(f"a{rng.randrange(9)}" for _ in range(1 + i % 12))) for i in range(60)]).coalesce(1)
+    by_default = {r.doc_id: r.log_likelihood for r in L.pseudo_likelihood(docs).collect()}
+    assert by_default == {r.doc_id: r.log_likelihood for r in L.pseudo_likelihood(docs, stride=1).collect()}
+
+
 def test_words_beyond_the_vocabulary_have_their_own_probability(make):
     often = [f"v{i}" for i in range(L.WORDS)] * 4
     rare = {f"r{i}": 1 + i % 3 for i in range(3000)}
