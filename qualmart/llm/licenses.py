@@ -143,11 +143,16 @@ def rules() -> list[tuple[str, str, str, str, int]]:
 
 
 def needs(rule: tuple[str, str, str, str, int]) -> str:
-    """A string that any match of the rule holds: ``licen`` if the pattern can't do without it,
-    else the anchor."""
+    """A string that any match of the rule holds: ``licen`` if the pattern can't do without it, that
+    is, if each alternative of one of its groups holds it or the text outside groups does; else the
+    anchor."""
     pattern, shorter = None, f"{rule[1]} {rule[2]}"
     while pattern != shorter:  # leave out what is optional
         pattern, shorter = shorter, re.sub(r"\(\?:[^()]*\)\?|\(\?![^()]*\)", "", shorter)
+    pattern = None
+    while pattern != shorter:  # of a group only what all of its alternatives hold
+        pattern, shorter = shorter, re.sub(r"\(\?:([^()]*)\)(?!\?)", lambda m: "licen" if all(
+            "licen" in a for a in m[1].split("|")) else " ", re.sub(r"\(\?:[^()]*\)\?", "", shorter))
     return "licen" if "licen" in pattern else rule[0]
 
 

@@ -69,3 +69,40 @@ def test_rule_table():
 
 def test_empty_table(make):
     assert L.scanned(make([])).count() == 0
+
+
+def brute_detections(text):
+    """The unsuppressed (label, priority, start, end) of all rules at all places, in plain Python."""
+    w, found = words(text), set()
+    for anchor, left, right, label, priority in L.rules():
+        for i in (i for i in range(len(w)) if w[i] == anchor):
+            a = re.search(f"(?:^| )(?:{left})$", " ".join(w[max(0, i - 14):i]) + " ") if left else None
+            b = re.search(f"^(?:{right})(?= |$)", " ".join(w[i:i + 18]))
+            if b and (a or not left):
+                found.add((i - (len(a[0].split()) if a else 0), i + len(b[0].split()), priority, label))
+    order = sorted(found, key=lambda d: (d[0], -d[1], -d[2], d[3]))
+    return [(d[3], d[2], d[0], d[1]) for k, d in enumerate(order)
+            if not any(e[2] >= d[2] and e[1] >= d[1] for e in order[:k])]
+
+
+def test_scores_and_detections_match_brute_force(make):
+    rng = random.Random(12)
+    verbs = "Released Licensed Distributed Available Published Provided Covered".split()
+    grants = [f"{v} {how}under {terms}" for v in verbs for how in ("", "only ", "also ") for terms in ("", "the ", "the terms of the ")]
+    grants += ["subject to the", "in accordance with", "governed by the terms of the", "license is the", "licence", ""]
+    names = ["Apache 2.0", "GPLv3", "CC BY 4.0", "CC0", "CC BY-NC-SA 4.0", "MIT license", "BSD 2-Clause", "MPL 2.0", "WTFPL", "0BSD",
+             "GNU GPL", "zlib licence", "EUPL 1.2", "public domain", "creativecommons.org/licenses/by-nd"]
+    texts = [f"{g} {n}" for g in grants for n in names] + [" . ".join(
+        f"{rng.choice(grants)} {rng.choice(names)} foo" for _ in range(4)) for _ in range(60)]
+    for r in L.scanned(make(list(enumerate(texts)))).collect():
+        want = brute_detections(texts[r.doc_id])
+        assert [tuple(d) for d in r.detections] == want, texts[r.doc_id]
+        base = 3 if r.base_labels else 0
+        assert r.score == max([base, *(d[1] for d in want)]) / 4, texts[r.doc_id]
+
+
+def test_grants_without_the_word_license(make):
+    texts = ["Released under Apache 2.0", "distributed under the GPLv3", "available under CC BY 4.0", "published under CC0"]
+    got = [(r.labels, r.score, [(d.priority, d.start) for d in r.detections]) for r in
+           L.scanned(make(list(enumerate(texts))).coalesce(1)).collect()]
+    assert got == [(label, 0.75, [(3, 0)]) for label in ("apache-2", "gpl-3", "cc-by", "cc0")]
