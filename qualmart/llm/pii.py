@@ -35,7 +35,14 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5})(?![0-9A-Za-z])",
 }
 KINDS = tuple(PATTERNS)
-PATTERN = "|".join(PATTERNS.values())
+#: All that may be an account number at each place, as far as it can reach.
+_ACCOUNTS = rf"{_ALONE[0]}(?=({PATTERNS['iban'].removeprefix(_ALONE[0])}))"
+#: Characters of an account number by country, without spaces.
+_LENGTHS = {int(n): set(c.split()) for n, c in (x.split(": ") for x in (
+    "15: NO", "16: BE", "18: DK FI FO GL NL SD", "19: MK SI", "20: AT BA EE KZ LT LU MN XK", "21: CH HR LI LV",
+    "22: BG BH CR DE GB GE IE ME RS VA", "23: AE GI IL IQ OM SO TL", "24: AD CZ ES MD PK RO SA SE SK TN VG",
+    "25: LY PT ST", "26: IS TR", "27: BI DJ FR GR IT MC MR SM", "28: AL AZ BY CY DO GT HU LB NI PL SV",
+    "29: BR EG PS QA UA", "30: JO KW MU YE", "31: MT SC", "32: LC", "33: RU"))}
 #: Any text with personal data of these kinds has one of these.
 _HINT = r"[0-9@]|(?i:pwd|passw)"
 
@@ -134,6 +141,34 @@ def _is_iban(m: Column) -> Column:
         .otherwise(False))
 
 
+def _accounts(text: Column) -> Column:
+    """The account numbers of a text: at each place where one may begin, the reading that passes the
+    check and ends at a border of the blocks; of several the one of its country's length, else the
+    longest."""
+    def reading(longest: Column) -> Column:
+        parts = F.split(longest, " ")
+        prefixes = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(
+            F.slice(parts, F.lit(1), n), " "))
+        valid = F.filter(prefixes, lambda p: F.when(p.rlike(f"^(?:{PATTERNS['iban']})$"), _is_iban(p)).otherwise(False))
+        of_country = F.create_map(*[F.lit(x) for n, countries in _LENGTHS.items() for c in sorted(countries) for x in (c, n)])
+        usual = F.filter(valid, lambda p: F.length(F.replace(p, F.lit(" "), F.lit(""))) == F.try_element_at(
+            of_country, F.substring(p, 1, 2)))
+        return F.coalesce(F.get(usual, F.lit(0)), F.get(valid, F.lit(0)))
+    found = F.transform(F.regexp_extract_all(text, F.lit(_ACCOUNTS), F.lit(1)), reading)
+    return F.array_distinct(F.filter(found, lambda a: a.isNotNull()))
+
+
+def _pattern(accounts: Column) -> Column:
+    """The pattern of all kinds, with these account numbers in place of all that look like one: what
+    fails its check is not consumed, and other kinds are found in it."""
+    order = list(PATTERNS)
+    at = order.index("iban")
+    before, behind = ("|".join(PATTERNS[k] for k in ks) for ks in (order[:at], order[at + 1:]))
+    return F.when(F.size(accounts) > 0, F.concat(
+        F.lit(f"{before}|{_ALONE[0]}(?:"), F.array_join(F.reverse(F.array_sort(accounts)), "|"),
+        F.lit(f"){_ALONE[1]}|{behind}"))).otherwise(F.lit(f"{before}|{behind}"))
+
+
 def _iban(m: Column, key: str) -> Column:
     body = F.substring(m, F.lit(5), F.length(m))
     return _let(_refill(body, permuted_digits(_digits(body), "iban", key)), lambda b: F.concat(
@@ -248,11 +283,13 @@ def pseudonymised(docs: DataFrame, *, text_col: str = "text", length_col: str |
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(f"`{text_col}`").alias("text"))
     none = F.array().cast("array<string>")
-    rows = rows.select("row", "text", F.when(hit, F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
-                                      .otherwise(none).alias("found"))
-    rows = rows.select("row", "text", F.when(F.size("found") > 0, F.transform("found", lambda m: _replacement(m, key)))
-                       .alias("new"))
-    rebuilt = F.array_join(F.zip_with(F.split(t, PATTERN, -1), "new", lambda gap, n: F.concat(
+    rows = rows.select("row", "text", hit.alias("hit"), F.when(hit, _accounts(t)).alias("accounts"))
+    rows = rows.select("row", "text", "hit", _pattern(F.col("accounts")).alias("pattern"))
+    rows = rows.select("row", "text", "pattern", F.when(F.col("hit"), F.regexp_extract_all(t, F.col("pattern"), F.lit(0)))
+                                                 .otherwise(none).alias("found"))
+    rows = rows.select("row", "text", "pattern", F.when(
+        F.size("found") > 0, F.transform("found", lambda m: _replacement(m, key))).alias("new"))
+    rebuilt = F.array_join(F.zip_with(F.split(t, F.col("pattern"), -1), "new", lambda gap, n: F.concat(
         gap, F.coalesce(n["new"], F.lit("")))), "")
     return rows.select("row", F.when(F.col("new").isNull(), t).otherwise(rebuilt).alias("text"),
                        F.coalesce(F.filter(F.transform("new", lambda n: n.kind), lambda k: k.isNotNull()), none)

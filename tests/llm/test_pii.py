@@ -88,3 +88,30 @@ def test_redacted_documents(make):
     assert P.redacted(docs).columns == docs.columns and P.redacted(docs).count() == 4
     assert out[1].n_chars == len(out[1].text) and out[2].text is None and out[3].text == "clean" and out[3].kinds == 7
     assert P.redacted(make([])).count() == 0
+
+
+def test_accounts_end_at_a_border_of_blocks(make):
+    accounts = ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "AT611904300234573201", "ES91 2100 0418 4502 0005 1332"]
+    assert all(iban(a[:2], a.replace(" ", "")[4:]) == a.replace(" ", "") for a in accounts)
+    behind = [" BIC: x", " NOW", " 2024 12", " A1 now", " DE89 3704 0044 0532 0130 00", ""]
+    texts = [f"IBAN {a}{b}" for a in accounts for b in behind]
+    got = out_of(make, texts)
+    for i, text in enumerate(texts):
+        a, b = accounts[i // len(behind)], behind[i % len(behind)]
+        new, kinds = got[i]
+        fake = new[5:5 + len(a)]
+        assert fake != a and fake[:2] == a[:2] and iban(a[:2], fake.replace(" ", "")[4:]) == fake.replace(" ", ""), text
+        assert kinds == ["iban"] * (1 + ("DE" in b)) and ("DE" in b or new == f"IBAN {fake}{b}"), text
+        assert "0532" not in new, text
+
+
+def test_other_kinds_in_what_fails_as_an_account(make):
+    texts = ["ID12 4111 1111 1111 1111", "AT61 4111 1111 1111 1111 x", "AB12 XY12 AT61 1904 3002 3457 3201 NOW",
+             "XX12 3456 7890 1234", "password=DE89370400440532013000/more"]
+    got = out_of(make, texts)
+    assert [got[i][1] for i in range(5)] == [["card"], ["card"], ["iban"], [], ["secret"]]
+    for i in (0, 1):
+        front, card = got[i][0][:5], got[i][0][5:24]
+        assert front == texts[i][:5] and luhn(card.replace(" ", "")) and card != "4111 1111 1111 1111"
+    assert got[2][0].startswith("AB12 XY12 AT") and got[2][0].endswith(" NOW") and "1904 3002" not in got[2][0]
+    assert got[3][0] == texts[3] and "more" not in got[4][0]
