@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualmart.llm import decontam, mixing, pii, rules, simhash
-from qualmart.llm.common import table
+from qualmart.llm.common import fresh, table
 from qualmart.session import materialize
 
 
@@ -20,19 +20,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: the one with the smallest id.
-
-    Repeated rows of that id are one document; one of them stays. A component without any id keeps
-    its rows of null id as one document likewise."""
-    found = simhash.near_duplicates(docs).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
-    first = materialize(found, "dedup-first")
-    d = docs.alias("d")
-
-    def of(ids: DataFrame) -> DataFrame:
-        # sorted merge at any size: the list of ids grows with the documents, so it isn't broadcast
-        return d.join(ids.hint("merge").alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
-    return of(first.where("count = 1")).unionByName(of(first.where("count > 1")).dropDuplicates(["doc_id"]))
+    """One document of each near-duplicate component: the one with the smallest (id, fingerprint).
+
+    A row without an id comes after those with one. Rows of equal id and fingerprint are one document;
+    one of them stays. The fingerprint is computed again only for rows whose id doesn't name one row."""
+    rows = materialize(simhash.members(docs).select("doc_id", "fp", "root"), "dedup-rows")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp"))
+    first = rows.groupBy("root").agg(least.alias("first")).select("first.doc_id", "first.fp")
+    n = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    # sorted merge at any size: the lists of ids grow with the documents, so they aren't broadcast
+    chosen = materialize(first.where("doc_id IS NOT NULL").join(n.hint("merge"), "doc_id").unionByName(
+        first.where("doc_id IS NULL").withColumn("n", F.lit(None).cast("long"))), "dedup-first")
+    whole = docs.join(chosen.where("n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi").select(docs.columns)
+    unsure = chosen.where("n IS NULL OR n > 1").select("doc_id", "fp")
+    if unsure.isEmpty():
+        return whole
+    d = docs.where("doc_id IS NULL").unionByName(docs.join(
+        unsure.where("doc_id IS NOT NULL").select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select(docs.columns))
+    fp = fresh(docs.columns, "fp")
+    d = simhash.with_fingerprint(d, fp).dropDuplicates(["doc_id", fp]).alias("d")
+    u = unsure.hint("merge").alias("u")
+    same = F.col("d.doc_id").eqNullSafe(F.col("u.doc_id")) & (F.col(f"d.{fp}") == F.col("u.fp"))
+    return whole.unionByName(d.join(u, same, "left_semi").select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qualmart.llm.common import LOWER_AZ, join_counted, utf8
 from qualmart.session import materialize
@@ -68,6 +69,16 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def with_fingerprint(docs: DataFrame, name: str, *, text_col: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint of each row's text in the column ``name``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = pa.array([fingerprint(t) for t in utf8(batch, text_col)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def beyond(planes: Iterator[np.ndarray], radius: int, dead: np.ndarray) -> np.ndarray:
     """Lanes with more than ``radius`` set bits over the planes. Carry-save: bit i of every lane's
     count is kept in one array of machine words, so one addition serves 64 lanes a word. Stops once
@@ -273,15 +284,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     but never name a component unless no member has an id (then it is null). An empty table gives
     an empty result.
     """
+    return members(docs, id_col=id_col, text_col=text_col, shingle=shingle, radius=radius,
+                   bucket=bucket).drop("root")
+
+
+def members(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+            radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """(doc_id, fp, component_id, root) for every row; ``root``, a fingerprint, is the component's own
+    whatever ids its rows have."""
     fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "simhash-fp")
     distinct = materialize(fps.groupBy("fp").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "simhash-distinct")
     member = components(links(distinct, radius, bucket))
     named = distinct.join(member, F.col("fp") == F.col("node"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = named.join(ids, "root").select("fp", "component_id")
-    linked = linked.withColumn("in_links", F.lit(True))
+    linked = named.join(ids, "root").select("fp", "component_id", "root")
     by_fp = distinct.join(linked, "fp", "left").select("fp", "copies", F.when(
-        F.col("in_links"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
+        F.col("root").isNotNull(), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"),
+        F.coalesce("root", "fp").alias("root"))
     by_fp = materialize(by_fp, "simhash-components")
-    return join_counted(fps, by_fp, "fp", "copies").select("doc_id", "fp", "component_id")
+    return join_counted(fps, by_fp, "fp", "copies").select("doc_id", "fp", "component_id", "root")

@@ -48,6 +48,19 @@ def test_repeated_and_null_ids_stay_once(make, spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "None"]
 
 
+def test_null_and_repeated_ids_with_different_texts(make, spark):
+    rng = random.Random(3)
+    a, b, c, d, e = (words(rng, 80) for _ in range(5))
+
+    def kept(rows):
+        return sorted(((r.doc_id, r.text) for r in C.simhash_dedup(spark, make(rows, extra=["fp"]), "").collect()), key=str)
+    assert kept([(None, a), (None, b), (None, c), (None, c), (1, d)]) == sorted([(None, a), (None, b), (None, c), (1, d)], key=str)
+    assert kept([(None, a), (None, b), (2, b), (2, b)]) == sorted([(None, a), (2, b)], key=str)
+    assert kept([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]
+    assert kept([(2, a), (2, b), (2, b), (3, b), (3, c), (4, e)]) == sorted([(2, a), (2, b), (3, c), (4, e)], key=str)
+    assert len(kept([(None, None), (None, ""), (5, a)])) == 2
+
+
 def test_all_operators_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES) and len(C.STAGES) == 5
