@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from qualmart.llm.common import ALNUM_WORDS, fresh, utf8
 from qualmart.llm.fmindex import FMIndex
+from qualmart.session import materialize
 
 #: Consecutive words of a window; a shorter item is one window.
 WINDOW = 10
@@ -205,6 +207,18 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], *, carry: list[str],
     return docs.select([F.col(f"`{c}`") for c in cols + [found] * earlier]).mapInArrow(run, schema)
 
 
+def _cut(docs: DataFrame, columns: list[str], text_col: str, found: str) -> DataFrame:
+    """``docs`` without the words of the spans in ``found``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            spans = [f["spans"] for f in batch.column(batch.schema.get_field_index(found)).to_pylist()]
+            new = [cut_words(t, s).decode() for t, s in zip(utf8(batch, text_col), spans, strict=True)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.column(at).type))
+
+    return docs.select([F.col(f"`{c}`") for c in [*columns, found]]).mapInArrow(run, docs.schema)
+
+
 def _merged(spans: list[list[int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for s, e in sorted(map(tuple, spans)):
@@ -245,19 +259,46 @@ def decontaminated(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
                    length_col: str = "n_chars", item_col: str = "item_id", bench_text_col: str = "text",
                    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
                    shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``docs`` without the words that occurrences of benchmark windows cover; the cut is searched
-    again until its block's windows don't occur. Documents of which no word is left by a cut are
-    dropped; ``length_col``, if there is one, follows the new text. Others stay as they are."""
+    """``docs`` without the words that occurrences of benchmark windows cover; the changed documents
+    are searched again until no window of the benchmark occurs. Documents of which no word is left by
+    a cut are dropped; ``length_col``, if there is one, follows the new text. Others stay as they are.
+
+    With several blocks all spans are found on the uncut text, and each round over the blocks cuts
+    their union, so that the result doesn't depend on the benchmark's size. A round is written and
+    read back; the next one has its changed documents only."""
     found = fresh(docs.columns, "found")
-    out, columns = docs, docs.columns
-    for part in blocks(bench, item_col, bench_text_col, block_bytes):
-        out = _pass(out.drop(found) if found in out.columns else out, part, carry=columns,
-                    text_col=text_col, found=found, cut=True, window=window, shard_words=shard_words)
-        out = out.where((F.size(f"{found}.spans") == 0) | F.col(f"`{text_col}`").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    columns = docs.columns
+
+    def searched(rows: DataFrame, parts: Iterator, cut: bool) -> DataFrame:
+        for part in parts:
+            rows = _pass(rows, part, carry=columns, text_col=text_col, found=found, cut=cut, window=window,
+                         shard_words=shard_words)
+        return rows
+
+    def left(rows: DataFrame) -> DataFrame:
+        rows = rows.where((F.size(f"{found}.spans") == 0) | F.col(f"`{text_col}`").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
         if length_col in columns:
-            out = out.withColumn(length_col, F.when(F.size(f"{found}.spans") > 0, F.length(text_col))
-                                 .otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
-    return out.select([F.col(f"`{c}`") for c in columns])
+            rows = rows.withColumn(length_col, F.when(F.size(f"{found}.spans") > 0, F.length(text_col))
+                                   .otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
+        return rows.select([F.col(f"`{c}`") for c in columns])
+
+    def all_blocks() -> Iterator[list[tuple[str, bytes]]]:
+        return blocks(bench, item_col, bench_text_col, block_bytes)
+
+    parts = all_blocks()
+    one, second = next(parts), next(parts, None)
+    if second is None:
+        return left(searched(docs, iter([one]), True))
+    out, again, parts = None, docs, chain([one, second], parts)
+    while True:
+        rows = materialize(searched(again, parts, False), "decontam-round")
+        hit = F.size(f"{found}.spans") > 0
+        clean = rows.where(~hit).select([F.col(f"`{c}`") for c in columns])
+        out = clean if out is None else out.unionByName(clean)
+        changed = rows.where(hit)
+        if changed.isEmpty():
+            return out
+        again, parts = left(_cut(changed, columns, text_col, found)), all_blocks()
 
 
 #: DuckDB SQL of ``contamination`` over ``documents`` and ``benchmark``.

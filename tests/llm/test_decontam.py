@@ -47,6 +47,25 @@ def test_removal(make, spark):
     assert (out[2].text, out[4].text, out[6].text, out[2].found) == ("clean text here", None, "", 7)
 
 
+def test_removal_does_not_depend_on_the_blocks(make, spark):
+    rng = random.Random(5)
+    w = [f"w{i}" for i in range(60)]
+    bench = [(i, " ".join(w[i:i + 14])) for i in range(0, 46, 4)]  # items that share passages
+    docs = [(i, f"start {' '.join(w[rng.randrange(20):rng.randrange(35, 60)])} end {i}") for i in range(30)]
+    docs += [(50 + i, " ".join(["keep", *w[2:6 + i], *w[20:40], *w[6 + i:16], "stay"])) for i in range(4)]  # brought together
+    docs += [(70, " ".join(w[:58])), (71, None), (72, "clean text"), (72, "clean text"), (None, " ".join(["x", *w[8:30]]))]
+    frame, items = make(docs, extra=["found", "spans"]).repartition(3), bench_of(spark, bench)
+
+    def rows(out):
+        assert out.columns == frame.columns
+        return sorted(map(tuple, out.collect()), key=str)
+    whole = rows(D.decontaminated(frame, items))
+    out = D.decontaminated(frame, items, block_bytes=150, shard_words=300)
+    assert len(list(D.blocks(items, "item_id", "text", 150))) > 3
+    assert rows(out) == whole and len(whole) == len(docs) - 1
+    assert D.contamination(out, items).where("contaminated").count() == 0
+
+
 def test_empty_tables(make, spark):
     assert D.contamination(make([]), bench_of(spark, [(1, "a b")])).count() == 0
     r = D.contamination(make([(1, "a b")]), bench_of(spark, [])).first()
