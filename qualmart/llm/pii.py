@@ -24,7 +24,7 @@ _ALONE = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 #: Alternatives in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}",
-    "secret": r"(?i:token|secret|api[_\-]?key)[ \t]?[=:][ \t]?\"?[0-9A-Fa-f]{16,128}(?![0-9A-Za-z])"
+    "secret": r"(?i:token|secret|api[_\-]?key)[ \t]?[=:][ \t]?\"?[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])"
               r"|(?i:password|passwd|pwd)[ \t]?[=:][ \t]?\"?[^\s\"'<>|]{4,128}"
               r"|(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
@@ -44,7 +44,7 @@ _LENGTHS = {int(n): set(c.split()) for n, c in (x.split(": ") for x in (
     "25: LY PT ST", "26: IS TR", "27: BI DJ FR GR IT MC MR SM", "28: AL AZ BY CY DO GT HU LB NI PL SV",
     "29: BR EG PS QA UA", "30: JO KW MU YE", "31: MT SC", "32: LC", "33: RU"))}
 #: Any text with personal data of these kinds has one of these.
-_HINT = r"[0-9@]|(?i:pwd|passw)"
+_HINT = r"[0-9@]|AKIA|ASIA|(?i:pwd|passw|token|secret|api[_\-]?key)"
 
 _EPOCH, _DAYS = "1700-01-01", (189, 773)  # 189 x 773 = 146,097 days: 1700 to 2099
 _FORMATS = (r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"/", "dd/MM/yyyy"), (r"\.", "dd.MM.yyyy")
@@ -252,7 +252,7 @@ def _email(m: Column, key: str) -> Column:
 def _secret(m: Column, key: str) -> Column:
     front = F.regexp_extract(m, r'^(?:AKIA|ASIA)(?=[0-9A-Z]{16}$)|^[A-Za-z_\-]+[ \t]?[=:][ \t]?"?', 0)
     value = F.substring(m, F.length(front) + 1, F.length(m))
-    new = F.substring(_hashed(value, key, "secret"), F.lit(1), F.length(value))
+    new = _let(_hashed(value, key, "secret"), lambda h: F.rpad(h, F.length(value), h))  # a longer value repeats it
     return F.concat(front, F.when(value == F.upper(value), F.upper(new)).otherwise(new))
 
 
