@@ -6,8 +6,8 @@ Each task attempt writes files of its own; a manifest names those of the attempt
 and only these are read.
 
 The reader checks each record (gzip member and its checksum, version line, header, length, block
-and payload digest). When a check fails it looks for the next member, or version line in a plain
-file, that passes all checks, goes on from there, and reports the bytes in between as a
+and payload digest). When a check fails it looks for the next member or version line, whatever the
+file began with, that passes all checks, goes on from there, and reports the bytes in between as a
 quarantined gap. It holds one record at a time.
 """
 
@@ -39,6 +39,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNK = 1 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_MARK = re.compile(re.escape(_MAGIC) + b"|" + _VERSION.pattern)
 _END = b"\r\n\r\n"
 
 
@@ -211,21 +212,17 @@ def _plain_record(r: _Reader, at: int) -> tuple[dict, int]:
 
 def salvage(file: pa.NativeFile) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) for each record that passes all checks, and (start, end, None,
-    reason) for each gap between them, in file order, without a byte left out. An empty file
-    gives nothing."""
+    reason) for each gap between them, in file order, without a byte left out. Whatever the file
+    begins with, each place is read as what its first bytes say. An empty file gives nothing."""
     r = _Reader(file)
-    zipped = r.get(0, 3) == _MAGIC or not _VERSION.match(r.get(0, 10)) and \
-        r.find(re.compile(re.escape(_MAGIC)), 0, 2) < r.find(_VERSION, 0, 9)
-    read, mark, overlap = (_gzip_record, re.compile(re.escape(_MAGIC)), 2) if zipped \
-        else (_plain_record, _VERSION, 9)
     at, gap, reason = 0, None, None
     while at < r.size:
         try:
-            found, end = read(r, at)
+            found, end = (_gzip_record if r.get(at, 3) == _MAGIC else _plain_record)(r, at)
         except Damaged as e:
             if gap is None:
                 gap, reason = at, str(e)
-            at = r.find(mark, at + 1, overlap)
+            at = r.find(_MARK, at + 1, 9)
             continue
         if gap is not None:
             yield gap, at, None, reason

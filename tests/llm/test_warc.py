@@ -95,3 +95,17 @@ def test_wrong_digests_are_caught():
     bad = good.replace(b"payload\r\n\r\n", b"paxload\r\n\r\n")
     found = read(good + bad + good)
     assert [f[3] for f in found] == [None, "wrong block digest", None]
+
+
+def test_salvage_of_plain_records_behind_gzip_bytes_and_mixed_files():
+    parts = [W.record(i, "u", gzip.compress(b"body %d" % i * 50), None) for i in range(4)]
+    data = bytearray(b"".join(parts))
+    data[3] ^= 255  # first version line; the first payload is gzip
+    found = read(bytes(data))
+    covered(found, bytes(data))
+    assert [f[3] for f in found] == ["no version line", None, None, None]
+    mixed = parts[0] + W._member(parts[1]) + b"junk" + parts[2] + b"junk" + W._member(parts[3])
+    found = read(mixed)
+    covered(found, mixed)
+    assert [f[2] and f[2]["head"]["WARC-Record-ID"] for f in found] == [
+        "<urn:page:0>", "<urn:page:1>", None, "<urn:page:2>", None, "<urn:page:3>"]
