@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from qualmart.llm import decontam, mixing, warc
+from qualmart.llm import decontam, merkle, mixing, warc
 from qualmart.llm.common import table
 
 
@@ -85,6 +85,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents against the manifest's root, some of them tampered with."""
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.verified(table(spark, sf_dir, "documents"), changed,
+                           tampered={"text": merkle.lowered(F.col("text"))})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -92,5 +99,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_warc,
                                     op5_quality_classifier, op6_lm_scoring, op7_simhash, op8_pii,
-                                    op9_licenses, op10_decontamination, pipeline)}
-ORACLE_SQL = {"op1_mixing": mixing.SQL, "op4_warc": warc.SQL, "op10_decontamination": decontam.SQL}
+                                    op9_licenses, op10_decontamination, op11_merkle, pipeline)}
+ORACLE_SQL = {"op1_mixing": mixing.SQL, "op4_warc": warc.SQL, "op10_decontamination": decontam.SQL,
+              "op11_merkle": merkle.SQL}
