@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from qualmart.llm import decontam, merkle, mixing, sketch, warc
+from qualmart.llm import decontam, merkle, mixing, sketch, spelling, warc
 from qualmart.llm.common import table
 
 
@@ -92,6 +92,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                            tampered={"text": merkle.lowered(F.col("text"))})
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return sketch.edited(table(spark, sf_dir, "documents"))
@@ -105,6 +110,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_quality_rules, op4_warc,
                                     op5_quality_classifier, op6_lm_scoring, op7_simhash, op8_pii,
                                     op9_licenses, op10_decontamination, op11_merkle,
-                                    op13_sketch, pipeline)}
+                                    op12_spelling, op13_sketch, pipeline)}
 ORACLE_SQL = {"op1_mixing": mixing.SQL, "op4_warc": warc.SQL, "op10_decontamination": decontam.SQL,
-              "op11_merkle": merkle.SQL, "op13_sketch": sketch.SQL}
+              "op11_merkle": merkle.SQL, "op12_spelling": spelling.SQL, "op13_sketch": sketch.SQL}
