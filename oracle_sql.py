@@ -564,9 +564,9 @@ FROM j"""
         for n, c, k in (("us_facilities", "r_us_fac", "FacilityID"),
                         ("us_measures", "r_us_mea", "MeasureID"),
                         ("us_facility_measures", "r_us_fm", "FacilityMeasureID"),
-                        ("wi_facilities", "r_wi_fac", "FacilityID"),
-                        ("wi_measures", "r_wi_mea", "MeasureID"),
-                        ("wi_facility_measures", "r_wi_fm", "FacilityMeasureID"),
+                        ("regional_facilities", "r_wi_fac", "FacilityID"),
+                        ("regional_measures", "r_wi_mea", "MeasureID"),
+                        ("regional_facility_measures", "r_wi_fm", "FacilityMeasureID"),
                         ("dim_facility", "r_dim_fac", "FacilityKey"),
                         ("fact_measure", "r_fact", "MeasureKey")))
     q["refresh_idempotent_state"] = f"{TWICE} {st}"
@@ -668,13 +668,13 @@ LEFT JOIN lineitem k2 ON x.k_orderkey = k2.l_orderkey AND k2.l_linenumber = x.k_
                   f"count(*) AS row_count FROM {t} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL")
     q["pk_violations"] = f"{STAR} {' UNION ALL '.join(pk)}"
     views = {"us_facilities": "r_us_fac", "us_measures": "r_us_mea", "us_facility_measures": "r_us_fm",
-             "wi_facilities": "r_wi_fac", "wi_measures": "r_wi_mea", "wi_facility_measures": "r_wi_fm",
+             "regional_facilities": "r_wi_fac", "regional_measures": "r_wi_mea", "regional_facility_measures": "r_wi_fm",
              "dim_facility": "r_dim_fac", "fact_measure": "r_fact", "dim_date": "dim_date",
              "measure_types": "measure_types", "sort_orders": "sort_orders"}
     refs = [("fact_measure", "FacilityKey", "dim_facility", "FacilityKey"),
             ("fact_measure", "StartDateKey", "dim_date", "DateKey"),
             ("fact_measure", "EndDateKey", "dim_date", "DateKey")]
-    for layer in ("us", "wi"):
+    for layer in ("us", "regional"):
         refs += [(f"{layer}_facility_measures", "FacilityID", f"{layer}_facilities", "FacilityID"),
                  (f"{layer}_facility_measures", "MeasureID", f"{layer}_measures", "MeasureID"),
                  (f"{layer}_measures", "MeasureTypeID", "measure_types", "MeasureTypeID")]
@@ -708,7 +708,7 @@ LEFT JOIN lineitem k2 ON x.k_orderkey = k2.l_orderkey AND k2.l_linenumber = x.k_
         "measure_types": [("MeasureTypeName", 100)], "sort_orders": [("MeasureSortOrderName", 100)],
     }
     for n in ("facilities", "measures", "facility_measures"):
-        required[f"wi_{n}"], lens[f"wi_{n}"] = required[f"us_{n}"], lens[f"us_{n}"]
+        required[f"regional_{n}"], lens[f"regional_{n}"] = required[f"us_{n}"], lens[f"us_{n}"]
     nn = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS null_count "
         f"FROM {views[t]}" for t, cs in required.items() for c in cs)

@@ -38,8 +38,8 @@ CARDINALITY_ATTRS = ("FacilityCity", "FacilityCountyName", "FacilityState", "Fac
 # ---------------------------------------------------------------------------------------------------
 
 _RUNS: dict[tuple, dict[str, DataFrame]] = {}
-STAGED_NAMES = ("us_facilities", "us_measures", "us_facility_measures", "wi_facilities",
-                "wi_measures", "wi_facility_measures", "dim_facility", "fact_measure")
+STAGED_NAMES = ("us_facilities", "us_measures", "us_facility_measures", "regional_facilities",
+                "regional_measures", "regional_facility_measures", "dim_facility", "fact_measure")
 
 
 def feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -116,7 +116,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
 
 def star_model(spark: SparkSession, sf: str, today: str | None = None) -> M.StarModel:
     t = run_refreshes(spark, sf, "single")
-    return M.StarModel(t["fact_measure"], t["dim_facility"], t["dim_date"], today, t["wi_measures"])
+    return M.StarModel(t["fact_measure"], t["dim_facility"], t["dim_date"], today, t["regional_measures"])
 
 
 # ------------------------------------------------------------------------------ feeds, cleaning
@@ -218,7 +218,7 @@ def q_measures_us(spark, sf):
 
 
 def q_measures_regional(spark, sf):
-    return run_refreshes(spark, sf, "single")["wi_measures"]
+    return run_refreshes(spark, sf, "single")["regional_measures"]
 
 
 def q_facility_measures_us(spark, sf):
@@ -226,7 +226,7 @@ def q_facility_measures_us(spark, sf):
 
 
 def q_facility_measures_regional(spark, sf):
-    return run_refreshes(spark, sf, "single")["wi_facility_measures"]
+    return run_refreshes(spark, sf, "single")["regional_facility_measures"]
 
 
 # -------------------------------------------------------------------------------------- calendar
@@ -251,19 +251,19 @@ def q_upsert_facility_measures(spark, sf):
 
 
 def q_upsert_fact(spark, sf):
-    return run_refreshes(spark, sf, "two_loads")["fact_measure"]
+    return run_refreshes(spark, sf, "two_loads")["fact_measure"].drop("StartYear")
 
 
 def q_upsert_regional_facilities(spark, sf):
-    return run_refreshes(spark, sf, "two_loads")["wi_facilities"]
+    return run_refreshes(spark, sf, "two_loads")["regional_facilities"]
 
 
 def q_upsert_regional_measures(spark, sf):
-    return run_refreshes(spark, sf, "two_loads")["wi_measures"]
+    return run_refreshes(spark, sf, "two_loads")["regional_measures"]
 
 
 def q_upsert_regional_facility_measures(spark, sf):
-    return run_refreshes(spark, sf, "two_loads")["wi_facility_measures"]
+    return run_refreshes(spark, sf, "two_loads")["regional_facility_measures"]
 
 
 def q_upsert_dim_facility(spark, sf):
@@ -275,11 +275,11 @@ def q_dim_facility(spark, sf):
 
 
 def q_fact_measure(spark, sf):
-    return run_refreshes(spark, sf, "single")["fact_measure"]
+    return run_refreshes(spark, sf, "single")["fact_measure"].drop("StartYear")
 
 
 def q_refresh_idempotent(spark, sf):
-    return run_refreshes(spark, sf, "twice")["fact_measure"]
+    return run_refreshes(spark, sf, "twice")["fact_measure"].drop("StartYear")
 
 
 def q_refresh_idempotent_state(spark, sf):
@@ -298,7 +298,7 @@ def q_refresh_idempotent_state(spark, sf):
 
 def q_fact_out_of_calendar(spark, sf):
     """Regional facility measures a default-range calendar would drop from the fact table."""
-    fm = run_refreshes(spark, sf, "single")["wi_facility_measures"]
+    fm = run_refreshes(spark, sf, "single")["regional_facility_measures"]
     dropped = ST.facts_outside_calendar(fm, calendar(spark))
     return dropped.agg(F.count(F.lit(1)).alias("dropped_rows"))
 
@@ -313,8 +313,8 @@ def q_flat_report_star(spark, sf):
 
 def q_flat_report_staging(spark, sf):
     t = run_refreshes(spark, sf, "single")
-    return S.staging_facility_measures_report(t["wi_facility_measures"], t["wi_facilities"],
-                                              t["wi_measures"])
+    return S.staging_facility_measures_report(t["regional_facility_measures"], t["regional_facilities"],
+                                              t["regional_measures"])
 
 
 def q_flat_report_staging_us(spark, sf):
@@ -358,7 +358,7 @@ def q_facility_comparison(spark, sf):
 def crosstab_members(spark, sf) -> list[str]:
     """Column members of the crosstab: the measure names of the regional measure dimension (a
     table of one row per measure, so the collected list is bounded by the measure count)."""
-    measures = run_refreshes(spark, sf, "single")["wi_measures"]
+    measures = run_refreshes(spark, sf, "single")["regional_measures"]
     return sorted(r.MeasureName for r in measures.select("MeasureName").distinct().collect())
 
 
@@ -409,7 +409,7 @@ def q_fk_violations(spark, sf):
     t = run_refreshes(spark, sf, "single")
     parts = []
     for name in t:
-        layer = name[:3] if name.startswith(("us_", "wi_")) else ""
+        layer = name.split("_")[0] + "_" if name.startswith(("us_", "regional_")) else ""
         for fk, parent, pk in schemas.FOREIGN_KEYS.get(schemas.shape_of(name), ()):
             v = quality.fk_violations(t[name], fk, t.get(layer + parent, t.get(parent)), pk)
             parts.append(v.agg(F.count(F.lit(1)).alias("violations")).select(
@@ -458,10 +458,10 @@ def q_layer_reconciliation(spark, sf):
                            REGION.state, REGION.counties).select(*cols)
     us = S.staging_facility_measures_report(t["us_facility_measures"], t["us_facilities"],
                                             t["us_measures"])
-    us = us.join(t["wi_facilities"].select(ci_key("FacilityName").alias("_key")),
+    us = us.join(t["regional_facilities"].select(ci_key("FacilityName").alias("_key")),
                  ci_key("FacilityName") == F.col("_key"), "left_semi")
-    wi = S.staging_facility_measures_report(t["wi_facility_measures"], t["wi_facilities"],
-                                            t["wi_measures"])
+    wi = S.staging_facility_measures_report(t["regional_facility_measures"], t["regional_facilities"],
+                                            t["regional_measures"])
     st = ST.fact_dim_left(t["fact_measure"], t["dim_facility"])
     return R.layer_reconciliation({"landing": landing, "us": us, "wi": wi, "star": st})
 

@@ -92,7 +92,13 @@ class StarModel:
         if needed & set(DATE_ATTRS):
             key = "StartDateKey" if date_role == "start" else "EndDateKey"
             dates = self.dates().withColumnRenamed("DateKey", key)
-            df = df.join(dates, key, "left")
+            on = [key]
+            if date_role == "start" and "StartYear" in self.fact.columns:
+                # the fact's folders: a filter on any calendar attribute prunes them, at planning for
+                # years and at run time for the rest
+                dates = dates.withColumn("StartYear", F.col("Year").cast("int"))
+                on.append("StartYear")
+            df = df.join(dates, on, "left")
         return df
 
 

@@ -3,21 +3,21 @@
 Order: national facilities, measures, facility measures; regional facilities, measures, facility
 measures; facility dimension; fact. Every table of the new version is written to the store and read
 back before the next step uses it, which cuts lineage (an executor loss recomputes one step, not
-the pipeline) and keeps surrogate keys stable. Nothing is published unless every step and the
-integrity checks succeed; a failure surfaces as an exception and the previous version stays current.
+the pipeline) and keeps surrogate keys stable. Keys, foreign keys, NOT NULL columns and text lengths
+are checked in the writes themselves (``operators.gate``). Nothing is published unless every step and
+the checks succeed; a failure surfaces as an exception and the previous version stays current.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualmart.functions.clean import DEFAULT_DATE_FORMAT, STRICT
-from qualmart.operators import quality
-from qualmart.operators.calendar import DEFAULT_END, DEFAULT_START, calendar
+from qualmart.operators import gate
+from qualmart.operators.calendar import BEGINNING_OF_TIME, DEFAULT_END, DEFAULT_START, END_OF_TIME, calendar
 from qualmart.operators.feeds import INFECTIONS, OUTCOMES, typed_feed
 from qualmart.plans import staging, star
 from qualmart.sources import schemas
@@ -27,13 +27,14 @@ STAGED_TABLES = {
     "us_facilities": schemas.FACILITIES_SCHEMA,
     "us_measures": schemas.MEASURES_SCHEMA,
     "us_facility_measures": schemas.FACILITY_MEASURES_SCHEMA,
-    "wi_facilities": schemas.FACILITIES_SCHEMA,
-    "wi_measures": schemas.MEASURES_SCHEMA,
-    "wi_facility_measures": schemas.FACILITY_MEASURES_SCHEMA,
+    "regional_facilities": schemas.FACILITIES_SCHEMA,
+    "regional_measures": schemas.MEASURES_SCHEMA,
+    "regional_facility_measures": schemas.FACILITY_MEASURES_SCHEMA,
     "dim_facility": schemas.DIM_FACILITY_SCHEMA,
     "fact_measure": schemas.FACT_MEASURE_SCHEMA,
 }
 STATIC_TABLES = ("dim_date", "measure_types", "sort_orders")
+SENTINELS = (BEGINNING_OF_TIME, END_OF_TIME)
 
 
 @dataclass
@@ -45,6 +46,15 @@ class RefreshConfig:
     date_format: str = DEFAULT_DATE_FORMAT
 
 
+@dataclass(frozen=True)
+class Refreshed:
+    """What a refresh published: ``rows`` per table, and how many regional facility measures have a
+    date outside the calendar and so no fact."""
+    version: int
+    rows: dict[str, int]
+    dropped_facts: int
+
+
 def _previous(store: TableStore, version: int | None) -> dict[str, DataFrame]:
     spark = store.spark
     if version is None:
@@ -53,16 +63,67 @@ def _previous(store: TableStore, version: int | None) -> dict[str, DataFrame]:
         prev["measure_types"] = schemas.measure_types(spark)
         prev["sort_orders"] = schemas.sort_orders(spark)
         return prev
-    return {n: store.read(n, version) for n in (*STAGED_TABLES, *STATIC_TABLES)}
+    return {n: store.merge_target(n, version) for n in (*STAGED_TABLES, *STATIC_TABLES)}
+
+
+class _Attempt:
+    """One refresh attempt: writes its tables and checks them while they are written."""
+
+    def __init__(self, store: TableStore):
+        self.store, self.version = store, store.next_version()
+        self.seen: dict[str, dict] = {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        back, seen = self.store.write(name, df, self.version, self._metrics(name))
+        if seen:
+            self.seen[name] = seen
+            problems = gate.column_problems(seen) + gate.foreign_problems(seen, self._parents(name))
+            self.refuse([f"{name}: {p}" for p in problems])
+        return back
+
+    def _metrics(self, name: str) -> dict:
+        if name == "dim_date":
+            real = F.when(~F.col("Date").isin([F.lit(s).cast("date") for s in SENTINELS]), F.col("Date"))
+            return {"rows": F.count(F.lit(1)), "first": F.min(real), "last": F.max(real)}
+        if name not in STAGED_TABLES:
+            return {"rows": F.count(F.lit(1))}
+        schema, shape = STAGED_TABLES[name], schemas.shape_of(name)
+        days = self.seen["dim_date"]
+        keys = {fk: pk for fk, parent, pk in schemas.FOREIGN_KEYS.get(shape, ()) if parent == "dim_date"}
+        dates = {fk: fk.removesuffix("Key") for fk in keys}
+        return (gate.column_metrics(schemas.not_null_columns(schema), schemas.TEXT_LIMITS[shape])
+                | gate.key_metrics(schemas.TABLES[shape][1][0], self._parents(name))
+                | gate.date_metrics(dates, str(days["first"]), str(days["last"]), SENTINELS))
+
+    def _parents(self, name: str) -> dict[str, dict]:
+        """Foreign key columns of a table and the metrics of the parent tables, lookups apart."""
+        layer = name.split("_")[0] + "_" if name.startswith(("us_", "regional_")) else ""
+        out = {}
+        for fk, parent, _ in schemas.FOREIGN_KEYS.get(schemas.shape_of(name), ()):
+            if parent == "measure_types":
+                ids = [i for i, _ in schemas.MEASURE_TYPES]
+                out[fk] = {"rows": len(ids), "first": min(ids), "last": max(ids)}
+            elif parent != "dim_date":
+                out[fk] = self.seen.get(layer + parent) or self.seen[parent]
+        return out
+
+    def refuse(self, problems: list[str]) -> None:
+        if problems:
+            raise ValueError(f"integrity checks failed, version {self.version} not published: {problems[:10]}")
+
+    def publish(self) -> None:
+        keys = gate.key_problems(self.store.spark, {n: self.seen[n] for n in STAGED_TABLES})
+        self.refuse([f"{r.table_name}: {r.problem}" for r in keys.limit(10).collect()])
+        self.store.publish(self.version)
 
 
 def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infections: DataFrame,
-            config: RefreshConfig) -> int:
-    """Run one refresh from two landing feeds; returns the published version number."""
+            config: RefreshConfig) -> Refreshed:
+    """Run one refresh from two landing feeds and publish it."""
     prev_version = store.published_version()
     prev = _previous(store, prev_version)
-    v = store.next_version()
-    w = lambda name, df: store.write(name, df, v)
+    attempt = _Attempt(store)
+    w = attempt.write
 
     # landing → typed, written once and scanned by every later step (column-pruned)
     typed_a = w("typed_outcomes", typed_feed(outcomes, OUTCOMES, config.mode, config.date_format))
@@ -80,67 +141,38 @@ def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infecti
     sorts = w("sort_orders", prev["sort_orders"])
 
     first = prev_version is None
-    # A MERGE reads its source twice (rows per key, join): write it once.
-    src = (lambda name, df: df) if first else (lambda name, df: w(f"src_{name}", df))
+
+    def src(name: str, df: DataFrame) -> DataFrame:
+        """A MERGE reads its source several times: write it once."""
+        return df if first else w(f"src_{name}", df)
+
+    def spread(name: str):
+        return lambda df: schemas.LAYOUTS[name].spread(df, store.buckets)
+
     out = {}
-    out["us_facilities"] = w("us_facilities", staging.upsert_facilities(
-        prev["us_facilities"], src("us_facilities", staging.facility_source(typed_a, typed_b)), first))
-    out["us_measures"] = w("us_measures", staging.upsert_measures(
-        prev["us_measures"], staging.measures_source(sum_a, sum_b), first))
-    out["us_facility_measures"] = w("us_facility_measures", staging.upsert_facility_measures(
-        prev["us_facility_measures"], src("us_facility_measures", staging.facility_measures_source(
-            typed_a, typed_b, out["us_facilities"], out["us_measures"])), first))
-
-    out["wi_facilities"] = w("wi_facilities", staging.upsert_facilities(
-        prev["wi_facilities"], src("wi_facilities", staging.facility_source(typed_a, typed_b, config.region)),
-        first))
-    out["wi_measures"] = w("wi_measures", staging.upsert_measures(
-        prev["wi_measures"], staging.regional_measures_source(sum_a, sum_b), first))
-    out["wi_facility_measures"] = w("wi_facility_measures", staging.upsert_facility_measures(
-        prev["wi_facility_measures"], src("wi_facility_measures", staging.facility_measures_source(
-            typed_a, typed_b, out["wi_facilities"], out["wi_measures"], config.region)), first))
+    for layer, region in (("us_", None), ("regional_", config.region)):
+        fac, mea, fm = layer + "facilities", layer + "measures", layer + "facility_measures"
+        benchmarks = staging.measures_source if region is None else staging.regional_measures_source
+        out[fac] = w(fac, staging.upsert_facilities(
+            prev[fac], src(fac, staging.facility_source(typed_a, typed_b, region)), first))
+        out[mea] = w(mea, staging.upsert_measures(prev[mea], src(mea, benchmarks(sum_a, sum_b)), first))
+        out[fm] = w(fm, staging.upsert_facility_measures(
+            prev[fm], src(fm, staging.facility_measures_source(typed_a, typed_b, out[fac], out[mea], region)),
+            first, spread(fm)))
 
     out["dim_facility"] = w("dim_facility", star.upsert_dim_facility(
-        prev["dim_facility"], out["wi_facilities"], first))
-    # clustered inside each file by measure and start date: slicer filters on the measure name
-    # (pushed into the parquet scan) then skip row groups by their min/max statistics
-    out["fact_measure"] = w("fact_measure", clustered(star.upsert_fact(
+        prev["dim_facility"], out["regional_facilities"], first))
+    # bucketed by its merge keys, in folders by start year, sorted by measure and start date: slicer
+    # filters skip folders and row groups
+    out["fact_measure"] = w("fact_measure", star.with_start_year(star.upsert_fact(
         prev["fact_measure"], src("fact_measure", star.fact_source(
-            out["wi_facility_measures"], out["wi_measures"], types, sorts, out["dim_facility"],
-            dim_date)), first), "MeasureName", "StartDateKey"))
-
-    # publish gate, one job: keys, NOT NULL columns, declared text lengths
-    failures = gate_failures(out).limit(10).collect()
-    if failures:
-        sample = [f"{r.table_name}: {r.problem}" for r in failures]
-        raise ValueError(f"integrity checks failed, version {v} not published: {sample}")
-    store.publish(v)
-    return v
-
-
-def clustered(df: DataFrame, *cols: str) -> DataFrame:
-    """Sort rows inside each partition (no shuffle) before a write, for row-group skipping."""
-    return df.sortWithinPartitions(*cols)
-
-
-def gate_failures(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, problem) rows for every integrity violation across the new tables: primary
-    keys unique and non-NULL, NOT NULL columns filled, text within the declared lengths."""
-    parts = []
-    for n, df in tables.items():
-        shape = schemas.shape_of(n)
-        pk = schemas.TABLES[shape][1]
-        parts.append(quality.pk_violations(df, pk, n).select(
-            "table_name", F.concat(F.lit("duplicate or NULL key "), F.col(pk[0]).cast("string"))
-            .alias("problem")))
-        checks = quality.column_checks(df, schemas.not_null_columns(STAGED_TABLES[n]),
-                                       schemas.TEXT_LIMITS[shape])
-        parts.append(checks.where("violations > 0").select(
-            F.lit(n).alias("table_name"),
-            F.concat(F.when(F.col("rule") == "null", F.lit("NULL in NOT NULL column "))
-                      .otherwise(F.lit("text longer than declared in ")), F.col("column_name"))
-             .alias("problem")))
-    return reduce(DataFrame.unionByName, parts)
+            out["regional_facility_measures"], out["regional_measures"], types, sorts, out["dim_facility"],
+            dim_date)), first, spread("fact_measure"))))
+    attempt.publish()
+
+    rows = {n: attempt.seen[n]["rows"] for n in (*STAGED_TABLES, *STATIC_TABLES)}
+    joined = attempt.seen["fact_measure" if first else "src_fact_measure"]["rows"]
+    return Refreshed(attempt.version, rows, rows["regional_facility_measures"] - joined)
 
 
 def published_tables(store: TableStore, version: int | None = None) -> dict[str, DataFrame]:

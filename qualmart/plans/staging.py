@@ -6,6 +6,7 @@ previous version of the table with ``operators.upsert.upsert``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -29,10 +30,12 @@ class Region:
         return self.state, tuple(self.counties)
 
 
+# --- fixed values: columns of the staging tables that come from the feeds -------------------------
 FEED_FACILITY_COLUMNS = ["FacilityCode", "FacilityName", "Address", "City", "State", "ZipCode",
                          "CountyName", "PhoneNumber"]
 FM_VALUE_COLUMNS = ["ComparedToNational", "Denominator", "Score", "LowerEstimate",
                     "HigherEstimate", "Footnote", "StartDate", "EndDate"]
+# ------------------------------------------------------------------------------------------------
 
 
 def _maybe_slice(df: DataFrame, region: Region | None) -> DataFrame:
@@ -112,8 +115,8 @@ def facility_measures_source(typed_a: DataFrame, typed_b: DataFrame, facilities:
     return ci_union(a, b)
 
 
-def upsert_facility_measures(target: DataFrame, source: DataFrame,
-                             target_empty: bool = False) -> DataFrame:
+def upsert_facility_measures(target: DataFrame, source: DataFrame, target_empty: bool = False,
+                             spread: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     return upsert(
         target, source, on=[("MeasureID", "MeasureID"), ("FacilityID", "FacilityID")],
         update={c: c for c in FM_VALUE_COLUMNS},
@@ -122,7 +125,7 @@ def upsert_facility_measures(target: DataFrame, source: DataFrame,
         key_col="FacilityMeasureID",
         order=["FacilityID", "MeasureID", "StartDate", "EndDate", "ComparedToNational",
                "Denominator", "Score", "LowerEstimate", "HigherEstimate", "Footnote"],
-        schema=FACILITY_MEASURES_SCHEMA, target_empty=target_empty)
+        schema=FACILITY_MEASURES_SCHEMA, target_empty=target_empty, spread=spread)
 
 
 def staging_facility_measures_report(fm: DataFrame, facilities: DataFrame, measures: DataFrame

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualmart.operators.upsert import upsert
 from qualmart.sources.schemas import DIM_FACILITY_SCHEMA, FACT_MEASURE_SCHEMA
 
+# --- fixed values: star columns and the staging columns they come from ---------------------------
 DIM_ATTRS = {
     "FacilityAddress": "Address", "FacilityCity": "City", "FacilityState": "State",
     "FacilityZipCode": "ZipCode", "FacilityCountyName": "CountyName",
@@ -19,6 +22,7 @@ FACT_UPDATE = {
     "NationalScoreAverage": "NationalScoreAverage", "StartDate": "StartDate",
     "EndDate": "EndDate", "StartDateKey": "StartDateKey", "EndDateKey": "EndDateKey",
 }
+# ------------------------------------------------------------------------------------------------
 
 
 def upsert_dim_facility(target: DataFrame, facilities: DataFrame,
@@ -54,7 +58,8 @@ def fact_source(fm: DataFrame, measures: DataFrame, measure_types: DataFrame,
                       "StartDateKey", "EndDateKey"))
 
 
-def upsert_fact(target: DataFrame, source: DataFrame, target_empty: bool = False) -> DataFrame:
+def upsert_fact(target: DataFrame, source: DataFrame, target_empty: bool = False,
+                spread: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Fact upsert on (facility, measure, facility measure). On match only the values and dates
     are refreshed; facility key, measure name, sort order and type stay as first inserted."""
     insert = {
@@ -70,7 +75,12 @@ def upsert_fact(target: DataFrame, source: DataFrame, target_empty: bool = False
             ("FacilityMeasureID", "FacilityMeasureID")],
         update=FACT_UPDATE, insert=insert, key_col="MeasureKey",
         order=["FacilityMeasureID", "FacilityID", "MeasureID"], schema=FACT_MEASURE_SCHEMA,
-        target_empty=target_empty)
+        target_empty=target_empty, spread=spread)
+
+
+def with_start_year(fact: DataFrame) -> DataFrame:
+    """The fact with its partition column; the calendar's ``Year`` of the start date."""
+    return fact.withColumn("StartYear", F.year("StartDate"))
 
 
 def facts_outside_calendar(fm: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, LongType,
                                ShortType, StringType, StructField, StructType)
 
+from qualmart.sources.tables import Layout
+
 SCORE = DecimalType(10, 3)
 
 # --- fixed values: landing feed columns and maximum text lengths ------------------------------
@@ -136,10 +138,20 @@ FOREIGN_KEYS = {
                      ("EndDateKey", "dim_date", "DateKey")],
 }
 
+# Tables that merges read again and again, bucketed by their merge keys. The fact is also partitioned by
+# the year of its start date, so that a slicer on the calendar reads the years it needs.
+_BY_MEASURE = Layout(keys=("MeasureID", "FacilityID"))
+LAYOUTS = {
+    "us_facility_measures": _BY_MEASURE,
+    "regional_facility_measures": _BY_MEASURE,
+    "fact_measure": Layout(keys=("FacilityID", "MeasureID", "FacilityMeasureID"),
+                           sort=("MeasureName", "StartDateKey"), partition=("StartYear",)),
+}
+
 
 def shape_of(table: str) -> str:
     """Key of ``TABLES`` for a published table (national and regional copies share a shape)."""
-    return table.split("_", 1)[1] if table.startswith(("us_", "wi_")) else table
+    return table.split("_", 1)[1] if table.startswith(("us_", "regional_")) else table
 
 
 def not_null_columns(schema: StructType) -> list[str]:

@@ -2,7 +2,7 @@
 
 Layout under ``root`` (any Hadoop-compatible shared folder)::
 
-    root/v<N>-<run id>/<table>/   parquet files written by one refresh attempt
+    root/v<N>-<run id>-b<B>/<table>/   parquet files written by one refresh attempt, B buckets
     root/_published/              append-only parquet log: (version, folder, published_at)
 
 A refresh writes every table of its attempt folder, verifies it, and only then appends one row
@@ -17,15 +17,19 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from qualmart.sources import tables
+from qualmart.sources.schemas import LAYOUTS
+
 LOG_SCHEMA = "version int, folder string, published_at timestamp"
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.root = root.rstrip("/")
         self._folders: dict[int, str] = {}
         self._published: int | None = None   # last version this writer saw or published
@@ -54,7 +58,7 @@ class TableStore:
     def next_version(self) -> int:
         """Next version number; its folder gets a fresh run id."""
         v = (self.published_version() or 0) + 1
-        self._folders[v] = f"v{v}-{uuid.uuid4().hex[:12]}"
+        self._folders[v] = f"v{v}-{uuid.uuid4().hex[:12]}-b{self.buckets}"
         return v
 
     def _folder(self, version: int) -> str:
@@ -70,17 +74,33 @@ class TableStore:
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/{self._folder(version)}/{name}"
 
-    def write(self, name: str, df: DataFrame, version: int) -> DataFrame:
-        """Write one table of a version and return it read back (lineage cut here)."""
-        path = self.path(name, version)
-        df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+    def write(self, name: str, df: DataFrame, version: int, metrics: dict[str, Column] | None = None
+              ) -> tuple[DataFrame, dict]:
+        """Write one table of a version; returns it read back (lineage cut here) and the values of
+        the aggregates in ``metrics``, taken from the rows as they are written."""
+        path, seen = self.path(name, version), Observation()
+        if metrics:
+            df = df.observe(seen, *[m.alias(k) for k, m in metrics.items()])
+        if name in LAYOUTS:
+            back = tables.save(df, path, LAYOUTS[name], self.buckets)
+        else:
+            df.write.mode("errorifexists").parquet(path)
+            back = self.spark.read.parquet(path)
+        return back, seen.get if metrics else {}
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         v = self.published_version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"no published version under {self.root}")
-        return self.spark.read.parquet(self.path(name, v))
+        path = self.path(name, v)
+        if name in LAYOUTS:
+            return tables.load(self.spark, path, LAYOUTS[name], int(self._folder(v).rsplit("-b", 1)[1]))
+        return self.spark.read.parquet(path)
+
+    def merge_target(self, name: str, version: int) -> DataFrame:
+        """A table as the target of a merge (``tables.merge_target``)."""
+        df = self.read(name, version)
+        return tables.merge_target(df, self.path(name, version)) if name in LAYOUTS else df
 
     def publish(self, version: int) -> None:
         row = [(version, self._folder(version),

@@ -88,13 +88,13 @@ def test_refresh_twice_is_idempotent_and_stale_columns_stay(spark):
     t = published_tables(store)
     fact = t["fact_measure"].where(one).collect()[0]
     assert str(fact.Score) == "20.000" and fact.MeasureSortOrderNumber == 1
-    assert t["wi_measures"].where("MeasureCode = 'M1'").collect()[0].SortOrderID == 0
+    assert t["regional_measures"].where("MeasureCode = 'M1'").collect()[0].SortOrderID == 0
 
 
 def test_failed_refresh_keeps_previous_version(spark):
     store = TableStore(spark, scratch_path(spark, "t-fail"))
     a, b = _feeds(spark)
-    v1 = refresh(spark, store, a, b, _config())
+    v1 = refresh(spark, store, a, b, _config()).version
     bad_a = outcomes(spark, [dict(Score="--")])   # outcomes '--' fails the strict row-level cast
     with pytest.raises(Exception):
         refresh(spark, store, bad_a, b, _config())
@@ -115,10 +115,13 @@ def test_fact_outside_calendar_is_dropped(spark):
     store = TableStore(spark, scratch_path(spark, "t-cal"))
     extra = [dict(FacilityID="10003", FacilityName="EARLY", StartDate="12/31/2014")]
     a, b = _feeds(spark, extra=extra)
-    refresh(spark, store, a, b, _config())
+    done = refresh(spark, store, a, b, _config())
     t = published_tables(store)
-    assert t["wi_facility_measures"].count() == 5
+    assert t["regional_facility_measures"].count() == 5
     assert t["fact_measure"].count() == 4
+    assert done.dropped_facts == 1 and done.rows["fact_measure"] == 4
+    again = refresh(spark, store, a, b, _config())
+    assert again.dropped_facts == 1 and again.rows == done.rows
 
 
 def test_measure_without_numeric_score_fails_the_load(spark):
