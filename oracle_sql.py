@@ -25,6 +25,24 @@ SAME = ("no different than the national benchmark", "no different than the natio
 # crosstab columns at the checked scale: every part brand and order priority of the test tables
 CROSSTAB_MEMBERS = sorted([f"Outcome Brand#{i}" for i in range(1, 26)]
                           + ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+TODAY = "1999-07-01"
+YEARS = (1995, 1996)
+DAYS = ("sunday, march 5, 1995", "monday, march 4, 1996")
+COMPARED = ("d.FacilityName", "d.FacilityCountyName", "d.FacilityCity", "f.MeasureName", "f.MeasureSortOrderName")
+COUNTED = ("FacilityCity", "FacilityCountyName", "FacilityState", "FacilityZipCode")
+# attributes that reports total, and whether they are texts
+TOTALLED = {
+    "FacilityID": False, "FacilityName": True, "FacilityAddress": True, "FacilityCity": True, "FacilityState": True,
+    "FacilityZipCode": True, "FacilityCountyName": True, "FacilityPhoneNumber": True, "FacilityFullAddress": True,
+    "Date": False, "DayOfMonth": False, "MonthNumber": False, "MonthName": True, "Year": False,
+    "DayOfWeekName": True, "DayOfWeekNumber": False, "IsWeekend": False, "MonthDescription": True,
+    "DayOfWeekDescription": True, "DayLongDescription": True, "IsWeekendLabel": True, "MeasureName": True,
+    "MeasureSortOrderName": True, "MeasureTypeName": True, "ScoreComparedToNational": True, "DaysRecorded": False}
+# labels of the two test feeds: better, worse, no different
+FEED_LABELS = {
+    "a": ("Better Than the National Rate", "Worse Than the National Rate", "No Different Than the National Rate"),
+    "b": ("Better than the National Benchmark", "Worse than the National Benchmark",
+          "No Different than the National Benchmark")}
 LAYERS = ("landing", "us", "wi", "star")
 # ---------------------------------------------------------------------------------------------------
 
@@ -99,8 +117,11 @@ FEEDS = f"""
 fac AS (
   SELECT s.s_suppkey AS fac_key, CAST(s.s_suppkey AS VARCHAR) AS FacilityID,
          s.s_name AS FacilityName, 'Dock ' || CAST(s.s_suppkey AS VARCHAR) AS Address,
-         n.n_name AS City, substr(r.r_name, 1, 2) AS State,
-         lpad(CAST(s.s_nationkey AS VARCHAR), 5, '0') AS ZipCode, n.n_name AS CountyName,
+         CASE WHEN s.s_suppkey % 4 = 2 THEN n.n_name || ' ' ELSE n.n_name END AS City,
+         substr(r.r_name, 1, 2) AS State,
+         lpad(CAST(s.s_nationkey AS VARCHAR), 5, '0') AS ZipCode,
+         CASE WHEN s.s_suppkey % 3 = 1 THEN upper(substr(n.n_name, 1, 1)) || lower(substr(n.n_name, 2))
+              ELSE n.n_name END AS CountyName,
          CAST(NULL AS VARCHAR) AS PhoneNumber
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
                   JOIN region r ON n.n_regionkey = r.r_regionkey),
@@ -171,10 +192,7 @@ def typed_sql(name: str, src: str, kind: str) -> str:
 def grain_sql(name: str, src: str, kind: str) -> str:
     """One feed row per (facility, measure), aggregated from all its rows."""
     cols = FEED_COLS_A if kind == "a" else FEED_COLS_B
-    what = "Rate" if kind == "a" else "Benchmark"
-    better, worse, same = (f"Better {{t}}han the National {what}", f"Worse {{t}}han the National {what}",
-                           f"No Different {{t}}han the National {what}")
-    better, worse, same = (x.format(t="T" if kind == "a" else "t") for x in (better, worse, same))
+    better, worse, same = FEED_LABELS[kind]
     b, w, n = (f"count_if(ComparedToNational = '{x}')" for x in (better, worse, same))
 
     def num(c):
@@ -477,6 +495,18 @@ def _typed_cols(t: str) -> str:
     return f"SELECT {', '.join(TYPED)} FROM {t}"
 
 
+FEED_LENGTHS = [
+    ("FacilityID", 10), ("FacilityName", 100), ("Address", 100), ("City", 50), ("State", 2), ("ZipCode", 5),
+    ("CountyName", 50), ("PhoneNumber", 20), ("MeasureID", 50), ("MeasureName", 100), ("ComparedToNational", 50),
+    ("Denominator", 20), ("Score", 20), ("LowerEstimate", 20), ("HigherEstimate", 20), ("Footnote", 10),
+    ("StartDate", 10), ("EndDate", 10)]
+
+
+def lens_of(feed: str) -> list[tuple[str, int]]:
+    """Declared text lengths of a feed's columns."""
+    return [x for x in FEED_LENGTHS if feed == "outcomes" or x[0] in FEED_COLS_B]
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_feed_a"] = f"{BASE} {_typed_cols('ta')}"
@@ -594,32 +624,33 @@ FROM j"""
         f"{STAR} SELECT f.FacilityName, m.MeasureName, fm.Score FROM r_us_fm fm "
         f"JOIN r_us_fac f ON fm.FacilityID = f.FacilityID "
         f"JOIN r_us_mea m ON fm.MeasureID = m.MeasureID")
-    q["fact_dim_left"] = (f"{STAR} SELECT d.FacilityName, f.MeasureName, f.Score FROM {FACT_FAC}")
+    q["fact_dim_left"] = (f"{STAR} SELECT d.FacilityName, f.MeasureName, f.Score FROM {FACT_FAC} "
+                          f"ORDER BY d.FacilityName NULLS FIRST, f.MeasureName")
     q["facility_full_address"] = (
         f"{STAR} SELECT FacilityKey, FacilityName, coalesce(FacilityAddress, '') || ' ' || "
         f"coalesce(FacilityCity, '') || ', ' || coalesce(FacilityState, '') || ' ' || "
         f"coalesce(FacilityZipCode, '') AS FacilityFullAddress FROM r_dim_fac")
     q["days_recorded"] = (f"{STAR} SELECT MeasureKey, StartDate, EndDate, "
                           f"CAST(EndDate - StartDate AS BIGINT) AS DaysRecorded FROM r_fact")
-    q["measure_summary"] = f"{STAR} SELECT f.MeasureName, {ALL_MEASURES} FROM r_fact f GROUP BY 1"
+    q["measure_summary"] = (f"{STAR} SELECT min(f.MeasureName) AS MeasureName, {ALL_MEASURES} FROM r_fact f "
+                            f"GROUP BY {ck('f.MeasureName')}")
     unp = " UNION ALL ".join(
         f"SELECT MeasureName, '{m}' AS measure, CAST({m} AS DECIMAL(24,7)) AS value FROM ms"
         for m in MEASURE_COLS)
     q["measure_summary_long"] = (f"{STAR}, ms AS (SELECT f.MeasureName, {ALL_MEASURES} "
                                  f"FROM r_fact f GROUP BY 1) {unp}")
     q["county_report"] = (
-        f"{STAR} SELECT d.FacilityState, d.FacilityCountyName, {avg7_dec('f.Score')} "
-        f"AS wi_average_score FROM {FACT_FAC} WHERE f.MeasureName = '{REPORT_MEASURE}' "
-        f"GROUP BY 1, 2 HAVING {avg7_dec('f.Score')} IS NOT NULL")
+        f"{STAR} SELECT min(d.FacilityState) AS FacilityState, min(d.FacilityCountyName) AS FacilityCountyName, "
+        f"{avg7_dec('f.Score')} AS wi_average_score FROM {FACT_FAC} WHERE f.MeasureName = '{REPORT_MEASURE}' "
+        f"GROUP BY {ck('d.FacilityState')}, {ck('d.FacilityCountyName')} HAVING {avg7_dec('f.Score')} IS NOT NULL")
     q["facility_comparison"] = (
-        f"{STAR} SELECT d.FacilityName, d.FacilityCountyName, d.FacilityCity, f.MeasureName, "
-        f"f.MeasureSortOrderName, max(f.Score) AS wi_high_score FROM {FACT_FAC} "
-        f"WHERE f.MeasureName = '{REPORT_MEASURE}' GROUP BY 1, 2, 3, 4, 5 "
-        f"HAVING max(f.Score) IS NOT NULL")
+        f"{STAR} SELECT {', '.join(f'min({c}) AS {c[2:]}' for c in COMPARED)}, max(f.Score) AS wi_high_score "
+        f"FROM {FACT_FAC} WHERE f.MeasureName = '{REPORT_MEASURE}' GROUP BY {', '.join(map(ck, COMPARED))} "
+        f"HAVING max(f.Score) IS NOT NULL ORDER BY wi_high_score, FacilityName, FacilityCountyName")
     ct = ", ".join(f"sum(CASE WHEN f.MeasureName = '{m}' THEN f.Score END) AS \"{m}\""
                    for m in CROSSTAB_MEMBERS)
-    q["facility_measure_crosstab"] = (f"{STAR} SELECT d.FacilityName, {ct} FROM {FACT_FAC} "
-                                      f"GROUP BY 1 HAVING sum(f.Score) IS NOT NULL")
+    q["facility_measure_crosstab"] = (f"{STAR} SELECT min(d.FacilityName) AS FacilityName, {ct} FROM {FACT_FAC} "
+                                      f"GROUP BY {ck('d.FacilityName')} HAVING sum(f.Score) IS NOT NULL")
     q["calendar_rollup"] = (
         f"{STAR} SELECT dt.Year, dt.MonthName, dt.DayOfWeekName, dt.DayOfMonth, "
         f"sum(f.Score) AS measure_score, "
@@ -628,9 +659,10 @@ FROM j"""
         f"GROUP BY ROLLUP (dt.Year, dt.MonthName, dt.DayOfWeekName, dt.DayOfMonth) "
         f"HAVING sum(f.Score) IS NOT NULL")
     q["attribute_total"] = (
-        f"{STAR} SELECT d.FacilityCountyName, {avg7_dec('f.Score')} AS wi_average_score, "
-        f"GROUPING(d.FacilityCountyName) = 1 AS is_total FROM {FACT_FAC} "
-        f"GROUP BY ROLLUP (d.FacilityCountyName) HAVING {avg7_dec('f.Score')} IS NOT NULL")
+        f"{STAR} SELECT CASE WHEN GROUPING(k) = 0 THEN min(FacilityCountyName) END AS FacilityCountyName, "
+        f"{avg7_dec('f.Score')} AS wi_average_score, GROUPING(k) = 1 AS is_total "
+        f"FROM (SELECT f.*, d.FacilityCountyName, {ck('d.FacilityCountyName')} AS k FROM {FACT_FAC}) f "
+        f"GROUP BY ROLLUP (k) HAVING {avg7_dec('f.Score')} IS NOT NULL")
     q["by_end_date"] = (
         f"{STAR} SELECT dt.Year, dt.MonthName, sum(f.Score) AS measure_score FROM r_fact f "
         f"LEFT JOIN dim_date dt ON f.EndDateKey = dt.DateKey GROUP BY 1, 2 "
@@ -642,8 +674,8 @@ FROM j"""
         f"f.MeasureSortOrderNumber = 0 THEN -f.Score ELSE f.Score END) AS BIGINT) END "
         f"AS facility_rank FROM {FACT_FAC}")
     card = " UNION ALL ".join(
-        f"SELECT '{a}' AS attribute, count(DISTINCT {a}) AS member_count FROM r_dim_fac"
-        for a in ("FacilityCity", "FacilityCountyName", "FacilityState", "FacilityZipCode"))
+        f"SELECT '{a}' AS attribute, count(DISTINCT {ck(a)}) AS member_count FROM r_dim_fac"
+        for a in COUNTED)
     q["dimension_cardinality"] = f"{STAR} {card}"
     q["composite_key_outer_chain"] = """
 SELECT a.o_orderkey, a.o_orderdate, c.l_linenumber AS c_linenumber, c.l_partkey AS c_partkey,
@@ -714,16 +746,112 @@ LEFT JOIN lineitem k2 ON x.k_orderkey = k2.l_orderkey AND k2.l_linenumber = x.k_
         f"FROM {views[t]}" for t, cs in required.items() for c in cs)
     q["null_violations"] = f"{STAR} {nn}"
     views |= {"outcomes": "feed_a", "infections": "feed_b"}
-    lens["outcomes"] = [
-        ("FacilityID", 10), *fac_lens, ("MeasureID", 50), ("MeasureName", 100), ("ComparedToNational", 50),
-        ("Denominator", 20), ("Score", 20), ("LowerEstimate", 20), ("HigherEstimate", 20),
-        ("Footnote", 10), ("StartDate", 10), ("EndDate", 10)]
-    lens["infections"] = [x for x in lens["outcomes"] if x[0] in FEED_COLS_B]
+    lens["outcomes"], lens["infections"] = lens_of("outcomes"), lens_of("infections")
     lv = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_allowed, max(length({c})) AS max_length, "
         f"count(*) FILTER (WHERE length({c}) > {n}) AS over_limit FROM {views[t]}"
         for t, cs in lens.items() for c, n in cs)
     q["length_violations"] = f"{STAR} {lv}"
+    # the model's calendar: facts of days that it leaves out have no attributes
+    described = f"described AS (SELECT {DESCRIBED} FROM dim_date)"
+    axes = ["Date", "MonthDescription", "DayOfWeekDescription", "DayLongDescription", "IsWeekend", "IsWeekendLabel"]
+    q["model_calendar"] = (
+        f"{STAR}, {described}, shown AS (SELECT * FROM described WHERE Date < DATE '{TODAY}' AND Date <> DATE "
+        f"'1900-01-01') SELECT {', '.join('s.' + a for a in axes)}, sum(f.Score) AS measure_score FROM r_fact f "
+        f"LEFT JOIN shown s ON f.StartDateKey = s.DateKey GROUP BY {', '.join('s.' + a for a in axes)} "
+        f"HAVING sum(f.Score) IS NOT NULL ORDER BY Date NULLS FIRST")
+    q["calendar_usage"] = (
+        f"{STAR}, {described} SELECT d.*, (SELECT count(*) FROM r_fact f WHERE f.StartDateKey = d.DateKey) AS "
+        f"start_facts, (SELECT count(*) FROM r_fact f WHERE f.EndDateKey = d.DateKey) AS end_facts "
+        f"FROM described d ORDER BY d.Date")
+    q["year_slicer"] = (
+        f"{STAR} SELECT min(f.MeasureName) AS MeasureName, sum(f.Score) AS measure_score, {avg7_dec('f.Score')} AS "
+        f"wi_average_score FROM r_fact f WHERE year(f.StartDate) IN {YEARS} GROUP BY {ck('f.MeasureName')} "
+        f"HAVING count(f.Score) > 0")
+    q["month_slicer"] = (
+        f"{STAR}, {described} SELECT min(d.FacilityCountyName) AS FacilityCountyName, s.Year, sum(f.Score) AS "
+        f"measure_score FROM {FACT_FAC} JOIN described s ON f.StartDateKey = s.DateKey "
+        f"WHERE {ck('s.DayLongDescription')} IN ({lst(DAYS)}) "
+        f"GROUP BY {ck('d.FacilityCountyName')}, s.Year HAVING sum(f.Score) IS NOT NULL")
+    q["cardinality_by_sketch"] = (
+        f"{STAR} " + " UNION ALL ".join(
+            f"SELECT '{a}' AS attribute, y AS StartYear, count(DISTINCT k)::BIGINT AS member_count FROM "
+            f"(SELECT year(f.StartDate)::INT AS y, {ck('d.' + a)} AS k FROM {FACT_FAC}) GROUP BY {by}"
+            for a in COUNTED for by in ("GROUPING SETS ((y), ())",)))
+    facts = (f"facts AS (SELECT f.*, s.* EXCLUDE (DateKey), d.* EXCLUDE (FacilityKey, FacilityID, FacilityName), "
+             f"d.FacilityName, coalesce(FacilityAddress, '') || ' ' || coalesce(FacilityCity, '') || ', ' || "
+             f"coalesce(FacilityState, '') || ' ' || coalesce(FacilityZipCode, '') AS FacilityFullAddress, "
+             f"f.EndDate - f.StartDate AS DaysRecorded FROM {FACT_FAC} "
+             f"LEFT JOIN described s ON f.StartDateKey = s.DateKey)")
+    measures = f"sum(f.Score) AS measure_score, {avg7_dec('f.Score')} AS wi_average_score"
+    totals = [f"SELECT '(All)' AS attribute, NULL AS member, true AS is_total, {measures} FROM facts f"]
+    for a, text in TOTALLED.items():
+        value = f"CAST(f.{a} AS VARCHAR)"
+        totals.append(f"SELECT '{a}', min({value}), false, {measures} FROM facts f GROUP BY "
+                      f"{ck(value) if text else value}")
+    q["attribute_totals"] = f"{STAR}, {described}, {facts} {' UNION ALL '.join(totals)}"
+    # damaged landing files
+    quarantine, accepted = [], []
+    for feed, src, score, marks, cols in (
+            ("outcomes", "feed_a", "--", ["not available"], ["Denominator", "Score", "LowerEstimate", "HigherEstimate"]),
+            ("infections", "feed_b", "n/a", ["not available", "--"], ["Score"])):
+        names = FEED_COLS_A if feed == "outcomes" else FEED_COLS_B
+        fields = [(f"coalesce('\"' || {c} || '\"', '')" if c == "Footnote" else f"coalesce({c}, '')") for c in names]
+        damage = {c: bad[c].format(score=score) for c in [*cols, "StartDate", "EndDate"]}
+        lines = (f"SELECT {', '.join(f'{damage[c]} AS {c}' if c in damage else c for c in names)}, "
+                 f"StartDate LIKE '05/1%' AS cut, EndDate LIKE '07/1%' AS more FROM {src}")
+        whole = " || ',' || ".join(fields)
+        short = " || ',' || ".join(fields[:10])
+        why = [f"CASE WHEN {ck(c)} NOT IN ({lst(marks)}) AND TRY_CAST({c} AS DECIMAL(10,3)) IS NULL "
+               f"THEN '{c} is not a number' END" for c in cols]
+        why += [f"CASE WHEN try_strptime({c}, '%m/%d/%Y') IS NULL THEN '{c} is not a date' END"
+                for c in ("StartDate", "EndDate")]
+        why += [f"CASE WHEN length({c}) > {n} THEN '{c} is longer than {n}' END" for c, n in lens_of(feed)]
+        rows = (f"SELECT *, cut OR more AS broken, CASE WHEN cut THEN {short} WHEN more THEN {whole} || ',and more' "
+                f"END AS line, CASE WHEN cut OR more THEN 'wrong number of fields' ELSE concat_ws('; ', {', '.join(why)}) END "
+                f"AS reasons FROM ({lines})")
+        quarantine.append(f"SELECT '{feed}' AS feed, line, " + ", ".join(
+            f"CASE WHEN NOT broken THEN {c} END AS {c}" for c in ("FacilityID", "MeasureID", "Score", "StartDate",
+                                                                  "EndDate"))
+            + f", reasons FROM ({rows}) WHERE reasons <> ''")
+        accepted.append(f"SELECT '{feed}' AS feed, MeasureID AS MeasureCode, {dec('Score', marks)} AS Score, "
+                        f"{fdate('EndDate', True)} AS EndDate FROM ({rows}) WHERE reasons = ''")
+    q["landing_quarantine"] = f"{with_(FEEDS)} {' UNION ALL '.join(quarantine)}"
+    q["landing_accepted"] = (
+        f"{with_(FEEDS)} SELECT feed, MeasureCode, count(*) AS row_count, sum(Score) AS score_sum, "
+        f"max(EndDate) AS last_end FROM ({' UNION ALL '.join(accepted)}) GROUP BY feed, MeasureCode")
+    q["landing_replaced"] = f"{with_(FEEDS)} SELECT * FROM feed_b"
+    # damaged copies of the published tables
+    damaged = f"""{STAR},
+dfm AS (SELECT * REPLACE (CASE WHEN FacilityMeasureID % 89 = 0 THEN FacilityID + 1000000 ELSE FacilityID END AS FacilityID,
+                          CASE WHEN FacilityMeasureID % 83 = 0 THEN NULL ELSE StartDate END AS StartDate) FROM r_us_fm
+        UNION ALL SELECT * FROM r_us_fm WHERE FacilityMeasureID % 97 = 0),
+dfact AS (SELECT * REPLACE (CASE WHEN FacilityMeasureID % 79 = 0 THEN 20201231 ELSE EndDateKey END AS EndDateKey,
+                            CASE WHEN FacilityMeasureID % 73 = 0 THEN NULL ELSE NationalScoreLow END AS NationalScoreLow,
+                            CASE WHEN FacilityMeasureID % 61 = 0 THEN NULL ELSE MeasureKey END AS MeasureKey) FROM r_fact)"""
+    copies = {"us_facility_measures": "dfm", "fact_measure": "dfact"}
+    q["damaged_keys"] = f"{damaged} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {k}::BIGINT AS key_value, count(*) AS row_count FROM {copies[t]} GROUP BY {k} "
+        f"HAVING count(*) > 1 OR {k} IS NULL" for t, k in (("us_facility_measures", "FacilityMeasureID"),
+                                                           ("fact_measure", "MeasureKey")))
+    q["damaged_references"] = f"{damaged} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, c.{c}::BIGINT AS key_value, count(*) AS row_count FROM "
+        f"{copies[t]} c WHERE c.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {views[parent]} p WHERE p.{pc} = c.{c}) "
+        f"GROUP BY c.{c}" for t, c, parent, pc in refs if t in copies)
+    q["damaged_nulls"] = f"{damaged} SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM {copies[t]}"
+        for t in copies for c in required[t]) + ") WHERE null_count > 0"
+    q["lost_facts"] = f"""{STAR},
+layers AS (SELECT 'regional' AS layer, f.FacilityName, m.MeasureName, fm.Score FROM r_wi_fm fm
+             JOIN r_wi_fac f ON fm.FacilityID = f.FacilityID JOIN r_wi_mea m ON fm.MeasureID = m.MeasureID
+           UNION ALL SELECT 'star', d.FacilityName, f.MeasureName, f.Score FROM {FACT_FAC} WHERE FacilityMeasureID % 41 <> 0),
+per_score AS (SELECT {ck('FacilityName')} AS facility_key, {ck('MeasureName')} AS measure_key, Score,
+              count_if(layer = 'regional') AS r, count_if(layer = 'star') AS s FROM layers GROUP BY 1, 2, 3),
+pairs AS (SELECT facility_key, measure_key, sum(r)::BIGINT AS regional_rows, max(CASE WHEN r > 0 THEN Score END) AS regional_score,
+          sum(s)::BIGINT AS star_rows, max(CASE WHEN s > 0 THEN Score END) AS star_score,
+          count_if(r <> s) AS differing_scores FROM per_score GROUP BY 1, 2)
+SELECT * FROM (SELECT *, CASE WHEN regional_rows = 0 OR star_rows = 0 THEN 'missing' WHEN regional_rows <> star_rows THEN 'count'
+               WHEN differing_scores > 0 THEN 'value' ELSE 'match' END AS status FROM pairs) WHERE status <> 'match'"""
     q["layer_reconciliation"] = f"""{STAR},
 landing AS (SELECT FacilityName, MeasureName, Score FROM ta WHERE {REGION_PRED}
             UNION ALL SELECT FacilityName, MeasureName, Score FROM tb WHERE {REGION_PRED}),

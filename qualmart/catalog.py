@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qualmart.functions.calendar import described_columns
 from qualmart.functions.textkeys import ci_key
 from qualmart.operators import benchmark as B
-from qualmart.operators import quality
-from qualmart.operators.calendar import calendar
+from qualmart.operators import bitmaps, quality
+from qualmart.operators.calendar import END_OF_TIME, calendar, insert_if_absent, sentinel_dates
 from qualmart.operators.feeds import INFECTIONS, OUTCOMES, TYPED_COLUMNS, region_slice, typed_feed
 from qualmart.plans import model as M
 from qualmart.plans import reports as R
@@ -26,7 +27,7 @@ from qualmart.plans.refresh import RefreshConfig, published_tables, refresh
 from qualmart.session import materialize, scratch_path
 from qualmart.sources import fixtures as X
 from qualmart.sources import schemas
-from qualmart.sources.landing import read_feed, write_landing
+from qualmart.sources.landing import land_with_quarantine, read_feed, write_landing
 from qualmart.sources.store import TableStore
 
 # --- fixed test parameters -----------------------------------------------------------------------
@@ -34,6 +35,9 @@ REGION = S.Region(X.TEST_REGION_STATE, X.TEST_REGION_COUNTIES)
 CALENDAR = X.TEST_CALENDAR
 POINT_FACILITY = "SUPPLIER#000000007"   # upper case on purpose: data is "Supplier#000000007"
 REPORT_MEASURE = "2-High"                # data is "2-HIGH"
+TODAY = "1999-07-01"                     # the model calendar's last day is the one before
+YEARS = (1995, 1996)
+DAYS = ("Sunday, March 5, 1995", "MONDAY, MARCH 4, 1996 ")
 CARDINALITY_ATTRS = ("FacilityCity", "FacilityCountyName", "FacilityState", "FacilityZipCode")
 # ---------------------------------------------------------------------------------------------------
 
@@ -356,10 +360,11 @@ def q_facility_comparison(spark, sf):
 
 
 def crosstab_members(spark, sf) -> list[str]:
-    """Column members of the crosstab: the measure names of the regional measure dimension (a
-    table of one row per measure, so the collected list is bounded by the measure count)."""
+    """Column members of the crosstab: the measure names of the regional measure dimension. More than
+    ``MAX_MEMBERS`` are refused by the query; no more than one over that are collected."""
     measures = run_refreshes(spark, sf, "single")["regional_measures"]
-    return sorted(r.MeasureName for r in measures.select("MeasureName").distinct().collect())
+    names = measures.select("MeasureName").distinct().limit(M.MAX_MEMBERS + 1).collect()
+    return sorted(r.MeasureName for r in names)
 
 
 def q_facility_measure_crosstab(spark, sf):
@@ -392,7 +397,127 @@ def q_composite_key_outer_chain(spark, sf):
     return R.composite_key_outer_chain(t("orders"), t("lineitem"), t("part"), t("supplier"))
 
 
+def q_attribute_totals(spark, sf):
+    """Members and total of each of the 26 report attributes, from one scan of the facts."""
+    return M.attribute_totals(star_model(spark, sf))
+
+
+def q_year_slicer(spark, sf):
+    """Two years of facts: reads the fact's folders of these years only."""
+    return M.measure_query(star_model(spark, sf), ["MeasureName"], ["measure_score", "wi_average_score"],
+                           filters={"Year": YEARS})
+
+
+def q_month_slicer(spark, sf):
+    """One month of every year: the folders to read are known once the calendar is filtered."""
+    return M.measure_query(star_model(spark, sf), ["FacilityCountyName", "Year"], ["measure_score"],
+                           filters={"DayLongDescription": DAYS})
+
+
+def q_cardinality_by_sketch(spark, sf):
+    """Members per attribute and start year, and over all years, from mergeable sketches."""
+    sketches = M.member_sketches(star_model(spark, sf), CARDINALITY_ATTRS)
+    return M.merged_cardinality(materialize(sketches, "sketches"))
+
+
+def q_model_calendar(spark, sf):
+    """Facts on the model's calendar (days before ``TODAY``, described) in order of days; facts of later
+    days fall to the blank member, which comes first."""
+    axes = ["Date", "MonthDescription", "DayOfWeekDescription", "DayLongDescription", "IsWeekend",
+            "IsWeekendLabel"]
+    return M.measure_query(star_model(spark, sf, TODAY), axes, ["measure_score"]).orderBy(
+        F.col("Date").asc_nulls_first())
+
+
+def q_calendar_usage(spark, sf):
+    """Every calendar row, sentinels included, with the number of facts that start and end on it.
+
+    The calendar has lost its end sentinel; both sentinels are offered again and the guard adds only the
+    missing one."""
+    t = run_refreshes(spark, sf, "single")
+    lost = t["dim_date"].where(F.col("Date") != F.lit(END_OF_TIME).cast("date"))
+    days = insert_if_absent(lost, sentinel_dates(spark)).withColumns(described_columns())
+    for role in ("Start", "End"):
+        counts = t["fact_measure"].groupBy(F.col(f"{role}DateKey").alias("DateKey")).agg(
+            F.count(F.lit(1)).alias(f"{role.lower()}_facts"))
+        days = days.join(counts, "DateKey", "left").fillna(0, [f"{role.lower()}_facts"])
+    return days.orderBy("Date")
+
+
 # --------------------------------------------------------------------------------------- quality
+def _quarantined(spark, sf) -> list[tuple[str, DataFrame, DataFrame]]:
+    """Per feed: its name, the rows that load, and the quarantine, from damaged CSV files."""
+    out = []
+    for feed, kind in zip(feeds(spark, sf), (OUTCOMES, INFECTIONS), strict=True):
+        path = scratch_path(spark, f"damaged-{kind}")
+        X.damaged_lines(feed, kind).write.text(path)
+        out.append((kind, *land_with_quarantine(spark, path, kind, scratch_path(spark, f"landed-{kind}"), header=False)))
+    return out
+
+
+def q_landing_quarantine(spark, sf):
+    """Damaged lines and rejected rows of both feeds with the reasons."""
+    parts = [bad.select(F.lit(kind).alias("feed"), "line", "FacilityID", "MeasureID", "Score", "StartDate", "EndDate",
+                        F.array_join("reasons", "; ").alias("reasons")) for kind, _, bad in _quarantined(spark, sf)]
+    return parts[0].unionByName(parts[1])
+
+
+def q_landing_accepted(spark, sf):
+    """What the rest of the damaged feeds loads: rows and scores per measure, by the strict typing."""
+    parts = [typed_feed(good, kind).select(F.lit(kind).alias("feed"), "MeasureCode", "Score", "EndDate")
+             for kind, good, _ in _quarantined(spark, sf)]
+    return parts[0].unionByName(parts[1]).groupBy("feed", "MeasureCode").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("Score").alias("score_sum"), F.max("EndDate").alias("last_end"))
+
+
+def q_landing_replaced(spark, sf):
+    """A feed landed twice into one folder: the second landing replaces the first."""
+    feed = feeds(spark, sf)[1]
+    path = scratch_path(spark, "landing-again")
+    write_landing(feed.where(F.col("Score") == "--"), path)
+    write_landing(feed, path)
+    return read_feed(spark, path, INFECTIONS)
+
+
+def q_damaged_keys(spark, sf):
+    """Repeated and missing primary keys of a damaged copy."""
+    t = X.damaged_copy(run_refreshes(spark, sf, "single"))
+    parts = [bitmaps.duplicate_keys(t[n], schemas.TABLES[schemas.shape_of(n)][1][0]).select(
+        F.lit(n).alias("table_name"), "key_value", "row_count") for n in ("us_facility_measures", "fact_measure")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_damaged_references(spark, sf):
+    """Foreign keys of a damaged copy without a parent row."""
+    t = X.damaged_copy(run_refreshes(spark, sf, "single"))
+    parts = []
+    for name, layer in (("us_facility_measures", "us_"), ("fact_measure", "")):
+        for fk, parent, pk in schemas.FOREIGN_KEYS[schemas.shape_of(name)]:
+            found = bitmaps.missing_parents(t[name], fk, t.get(layer + parent, t.get(parent)), pk)
+            parts.append(found.select(F.lit(name).alias("table_name"), F.lit(fk).alias("column_name"), "key_value",
+                                      "row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_damaged_nulls(spark, sf):
+    """NULLs in the NOT NULL columns of a damaged copy."""
+    t = X.damaged_copy(run_refreshes(spark, sf, "single"))
+    parts = []
+    for n in ("us_facility_measures", "fact_measure"):
+        columns = schemas.not_null_columns(schemas.TABLES[schemas.shape_of(n)][0])
+        parts.append(quality.null_violations(t[n], columns).withColumn("table_name", F.lit(n)))
+    return reduce(DataFrame.unionByName, parts).where("null_count > 0")
+
+
+def q_lost_facts(spark, sf):
+    """Pairs that differ between regional staging and a star that has lost facts, found by checksums."""
+    t = run_refreshes(spark, sf, "single")
+    regional = S.staging_facility_measures_report(t["regional_facility_measures"], t["regional_facilities"],
+                                                  t["regional_measures"])
+    fact = t["fact_measure"].where("FacilityMeasureID % 41 <> 0")
+    return R.differing_pairs({"regional": regional, "star": ST.fact_dim_left(fact, t["dim_facility"])})
+
+
 def q_pk_violations(spark, sf):
     t = run_refreshes(spark, sf, "single")
     out = None

@@ -5,6 +5,10 @@ Relationships: fact → facility dimension on ``FacilityKey`` and fact → date
 filter the facts; measures are evaluated per combination of the row axes; combinations whose
 measures are all blank are dropped. The dimensions are joined only when an axis or filter needs
 them, so Catalyst prunes the rest.
+
+Text axes group regardless of case and trailing blanks, and show the first of a member's spellings in
+binary order. The facts are first aggregated by the stored spellings, with numeric buffers only and
+map-side combine; the few rows left are then merged by canonical key.
 """
 
 from __future__ import annotations
@@ -17,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from qualmart.functions.calendar import described_columns
-from qualmart.functions.textkeys import ci_isin
+from qualmart.functions.textkeys import ci_isin, ci_key, ci_literal
+from qualmart.operators.benchmark import decimal_avg
 from qualmart.operators.calendar import model_dates
 
 FACILITY_ATTRS = ("FacilityKey", "FacilityID", "FacilityName", "FacilityAddress", "FacilityCity",
@@ -28,6 +33,9 @@ DATE_ATTRS = ("DateKey", "Date", "DayOfMonth", "MonthNumber", "MonthName", "Year
               "DayOfWeekDescription", "DayLongDescription", "IsWeekendLabel")
 CALENDAR_HIERARCHY = ("Year", "MonthName", "DayOfWeekName", "DayOfMonth")
 
+#: A column axis with more members than this is refused.
+MAX_MEMBERS = 1000
+
 # --- fixed values: the eight named measures (name → aggregate over fact columns) ----------------
 def _measures() -> dict[str, Column]:
     return {
@@ -125,6 +133,61 @@ def _filter(model: StarModel, df: DataFrame, filters: Mapping[str, Sequence] | N
     return df
 
 
+def partial_measures(measures: Sequence[str]) -> list[Column]:
+    """Aggregates over the facts from which ``merged_measures`` gives the measures of coarser groups:
+    averages as sum and count, the others as they are."""
+    averages = {"wi_average_score": "Score", "us_average_score": "NationalScoreAverage"}
+    defs, out = _measures(), []
+    for m in measures:
+        if m in averages:
+            out += [F.sum(averages[m]).alias(f"{m} sum"), F.count(averages[m]).alias(f"{m} n")]
+        else:
+            out.append(defs[m].alias(m))
+    return out
+
+
+def merged_measures(measures: Sequence[str]) -> list[Column]:
+    how = {"wi_high_score": F.max, "us_high_score": F.max, "measure_sort_number": F.max,
+           "wi_low_score": F.min, "us_low_score": F.min,
+           "measure_score": lambda m: F.sum(m).cast("decimal(20,3)")}
+    return [(how[m](m) if m in how else decimal_avg(F.sum(f"{m} sum"), F.sum(f"{m} n"))).alias(m)
+            for m in measures]
+
+
+def _is_text(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, StringType)
+
+
+def axis_keys(df: DataFrame, axes: Sequence[str]) -> list[Column]:
+    """What the axes group by: the canonical key of a text, else the value."""
+    return [(ci_key(c) if _is_text(df, c) else F.col(c)).alias(f"_key {c}") for c in axes]
+
+
+def _by_axes(df: DataFrame, rows: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    if not any(_is_text(df, c) for c in rows):
+        return df.groupBy(*rows).agg(*[_measures()[m].alias(m) for m in measures])
+    stored = df.groupBy(*rows).agg(*partial_measures(measures))
+    return (stored.groupBy(*axis_keys(df, rows)).agg(*[F.min(c).alias(c) for c in rows], *merged_measures(measures))
+                  .select(*rows, *measures))
+
+
+def _pivoted(df: DataFrame, rows: Sequence[str], measure: str, cols: str, members: Sequence | None) -> DataFrame:
+    """One column per member of ``cols``; spellings of a member share its column."""
+    cells = _by_axes(df, [*rows, cols], [measure])
+    if members is None:
+        found = cells.groupBy(*axis_keys(df, [cols])).agg(F.min(cols).alias("member")).select("member")
+        members = sorted(r[0] for r in found.limit(MAX_MEMBERS + 1).collect())
+    if len(members) > MAX_MEMBERS:
+        raise ValueError(f"a column axis of over {MAX_MEMBERS} members")
+    named = {ci_literal(m) if isinstance(m, str) else m: m for m in members}
+    key = ci_key(cols) if _is_text(df, cols) else F.col(cols)
+    # a row's spelling is that of its first cell; every cell of the row must show the same one
+    wide = cells.withColumn("_col", key).groupBy(*axis_keys(df, rows)).agg(
+        *[F.min(c).alias(c) for c in rows],
+        *[F.max(F.when(F.col("_col") == F.lit(k), F.col(measure))).alias(m) for k, m in named.items()])
+    return wide.select(*rows, *[F.col(f"`{m}`") for m in named.values()])
+
+
 def measure_query(model: StarModel, rows: Sequence[str], measures: Sequence[str] = MEASURE_NAMES,
                   filters: Mapping[str, Sequence] | None = None, date_role: str = "start",
                   keep_blank: bool = False, cols: str | None = None,
@@ -136,17 +199,15 @@ def measure_query(model: StarModel, rows: Sequence[str], measures: Sequence[str]
                  of the single measure in ``measures``); ``col_members`` lists the members, so no
                  extra job is needed to discover them. Empty cells are NULL.
     """
-    defs = _measures()
     needed = set(rows) | set(filters or {}) | ({cols} if cols else set())
     df = _filter(model, model.joined(needed, date_role), filters)
     if cols:
         if len(measures) != 1:
             raise ValueError("a column axis takes exactly one measure")
-        members = list(col_members) if col_members is not None else None
-        out = df.groupBy(*rows).pivot(cols, members).agg(defs[measures[0]])
+        out = _pivoted(df, rows, measures[0], cols, col_members)
         value_cols = [c for c in out.columns if c not in rows]
         return out if keep_blank else out.dropna(how="all", subset=value_cols)
-    out = df.groupBy(*rows).agg(*[defs[m].alias(m) for m in measures])
+    out = _by_axes(df, rows, measures)
     if not keep_blank:
         out = out.dropna(how="all", subset=list(measures))
     return out
@@ -165,21 +226,73 @@ def calendar_rollup(model: StarModel, measure: str = "measure_score",
 
 def attribute_total(model: StarModel, attribute: str, measure: str = "wi_average_score"
                     ) -> DataFrame:
-    """One attribute with an ``(All)`` total row: a one-column rollup, i.e.
-    ``GROUPING SETS ((attribute), ())``, computed in a single aggregation."""
-    defs = _measures()
+    """One attribute with an ``(All)`` total row."""
     df = model.joined({attribute})
-    out = (df.rollup(attribute)
-             .agg(defs[measure].alias(measure),
-                  (F.grouping_id(attribute) == 1).alias("is_total")))
-    return out.where(F.col(measure).isNotNull())
+    stored = df.groupBy(attribute).agg(*partial_measures([measure]))
+    key = ci_key(attribute) if _is_text(df, attribute) else F.col(attribute)
+    out = (stored.withColumn("_key", key).rollup("_key")
+                 .agg(F.when(F.grouping_id("_key") == 0, F.min(attribute)).alias(attribute),
+                      *merged_measures([measure]), (F.grouping_id("_key") == 1).alias("is_total")))
+    return out.where(F.col(measure).isNotNull()).drop("_key")
+
+
+#: The attributes that reports total one by one: of the facility, the calendar and the fact itself.
+TOTALLED = ("FacilityID", "FacilityName", "FacilityAddress", "FacilityCity", "FacilityState", "FacilityZipCode",
+            "FacilityCountyName", "FacilityPhoneNumber", "FacilityFullAddress",
+            "Date", "DayOfMonth", "MonthNumber", "MonthName", "Year", "DayOfWeekName", "DayOfWeekNumber",
+            "IsWeekend", "MonthDescription", "DayOfWeekDescription", "DayLongDescription", "IsWeekendLabel",
+            "MeasureName", "MeasureSortOrderName", "MeasureTypeName", "ScoreComparedToNational", "DaysRecorded")
+
+
+def attribute_totals(model: StarModel, attributes: Sequence[str] = TOTALLED,
+                     measures: Sequence[str] = ("measure_score", "wi_average_score")) -> DataFrame:
+    """(attribute, member, is_total, measures) for every attribute's members and the ``(All)`` total.
+
+    One scan: each fact is expanded to one grouping set per attribute and folded with it before the
+    only exchange of facts' aggregates, which so has a few rows per member and task, and none per fact. A
+    member is shown as text; spellings of a text member are then merged."""
+    df = model.joined(set(attributes))
+    text = {a for a in attributes if _is_text(df, a)}
+    df = df.select(*[F.col(a).cast("string").alias(f"a{i}") for i, a in enumerate(attributes)],
+                   *{"Score", "NationalScoreAverage", "NationalScoreHigh", "NationalScoreLow",
+                     "MeasureSortOrderNumber"})
+    cols = [F.col(f"a{i}") for i in range(len(attributes))]
+    sets = df.groupingSets([[c] for c in cols] + [[]], *cols).agg(
+        F.grouping_id(*cols).alias("_set"), *partial_measures(measures))
+    # bit i from the left of the grouping id is 0 where attribute i is the one grouped by
+    n = len(attributes)
+    every = (1 << n) - 1
+    which = F.create_map(*[F.lit(v) for i, a in enumerate(attributes) for v in (every ^ 1 << n - 1 - i, a)])
+    long = sets.select(which[F.col("_set").cast("int")].alias("attribute"), F.coalesce(*cols).alias("member"),
+                       (F.col("_set") == every).alias("is_total"),
+                       *[c for c in sets.columns if c.split(" ")[0] in measures])
+    key = F.when(F.col("attribute").isin(sorted(text)), ci_key("member")).otherwise(F.col("member"))
+    return (long.groupBy("attribute", "is_total", key.alias("_key"))
+                .agg(F.min("member").alias("member"), *merged_measures(measures))
+                .select(F.coalesce("attribute", F.lit("(All)")).alias("attribute"), "member", "is_total", *measures))
+
+
+def member_sketches(model: StarModel, attributes: Sequence[str]) -> DataFrame:
+    """(StartYear, attribute, sketch): a HyperLogLog sketch of the members that each year's facts have.
+    Sketches of any set of folders, loads or versions merge into that of their union."""
+    df = model.joined(set(attributes))
+    year = "StartYear" if "StartYear" in df.columns else F.year("StartDate").alias("StartYear")
+    wide = df.groupBy(year).agg(*[F.hll_sketch_agg(ci_key(F.col(a).cast("string"))).alias(a) for a in attributes])
+    return wide.unpivot(["StartYear"], list(attributes), "attribute", "sketch")
+
+
+def merged_cardinality(sketches: DataFrame) -> DataFrame:
+    """(attribute, StartYear, member_count): estimates per year, and over all (``StartYear`` NULL)."""
+    return (sketches.groupingSets([["attribute", "StartYear"], ["attribute"]], "attribute", "StartYear")
+                    .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("member_count"))
+                    .select("attribute", "StartYear", "member_count"))
 
 
 def dimension_cardinality(model: StarModel, attributes: Sequence[str], exact: bool = True
                           ) -> DataFrame:
     """Distinct members per facility attribute of the facts' facilities, in one pass."""
     fac = model.facilities()
-    agg = [(F.countDistinct(a) if exact else F.approx_count_distinct(a)).alias(a)
-           for a in attributes]
+    agg = [(F.countDistinct(k) if exact else F.approx_count_distinct(k)).alias(a)
+           for a, k in zip(attributes, axis_keys(fac, attributes), strict=True)]
     wide = fac.agg(*agg)
     return wide.unpivot([], list(attributes), "attribute", "member_count")

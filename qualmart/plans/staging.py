@@ -112,7 +112,7 @@ def facility_measures_source(typed_a: DataFrame, typed_b: DataFrame, facilities:
                              measures: DataFrame, region: Region | None = None) -> DataFrame:
     a = _resolve(_maybe_slice(typed_a, region), facilities, measures)
     b = _resolve(_maybe_slice(typed_b, region), facilities, measures)
-    return ci_union(a, b)
+    return ci_union(a, b, mostly_distinct=True)
 
 
 def upsert_facility_measures(target: DataFrame, source: DataFrame, target_empty: bool = False,

@@ -101,7 +101,7 @@ def flat_fact_report(fact: DataFrame, dim_facility: DataFrame, dim_date: DataFra
     e = dim_date.select(F.col("DateKey").alias("EndDateKey"), F.col("Year").alias("EndYear"),
                         F.col("MonthName").alias("EndMonthName"),
                         F.col("DayOfWeekName").alias("EndDayOfWeekName"))
-    return (fact.join(dim_facility.drop("FacilityID"), "FacilityKey")
+    return (fact.drop("StartYear").join(dim_facility.drop("FacilityID"), "FacilityKey")
                 .join(s, "StartDateKey").join(e, "EndDateKey"))
 
 

@@ -66,10 +66,13 @@ def facility_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("s_suppkey").cast("string").alias("FacilityID"),
                  F.col("s_name").alias("FacilityName"),
                  F.concat(F.lit("Dock "), F.col("s_suppkey").cast("string")).alias("Address"),
-                 F.col("n_name").alias("City"),
+                 # every third facility spells its county, every fourth its city, in another way
+                 F.when(F.col("s_suppkey") % 4 == 2, F.concat("n_name", F.lit(" "))).otherwise(F.col("n_name"))
+                 .alias("City"),
                  F.substring("r_name", 1, 2).alias("State"),
                  F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("ZipCode"),
-                 F.col("n_name").alias("CountyName"),
+                 F.when(F.col("s_suppkey") % 3 == 1, F.initcap("n_name")).otherwise(F.col("n_name"))
+                 .alias("CountyName"),
                  F.lit(None).cast("string").alias("PhoneNumber")))
 
 
@@ -197,6 +200,33 @@ def damaged(feed: DataFrame, kind: str) -> DataFrame:
     return feed.withColumns(bad)
 
 
+def damaged_lines(feed: DataFrame, kind: str) -> DataFrame:
+    """The damaged feed as CSV lines, some of them cut off or with fields too many."""
+    cells = [F.coalesce(F.concat(F.lit('"'), F.col(c), F.lit('"')) if c == "Footnote" else F.col(c), F.lit(""))
+             for c in feed.columns]
+    cut = F.col("StartDate").startswith("05/1")
+    more = F.col("EndDate").startswith("07/1")
+    line = F.when(cut, F.concat_ws(",", *cells[:10])).otherwise(F.concat_ws(",", *cells))
+    return damaged(feed, kind).select(F.when(more & ~cut, F.concat(line, F.lit(",and more"))).otherwise(line)
+                                      .alias("value"))
+
+
+def damaged_copy(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Published tables with repeated, missing and dangling keys and lacking values."""
+    def put(df: DataFrame, key: str, column: str, every: int, value: Column) -> DataFrame:
+        kind = df.schema[column].dataType
+        return df.withColumn(column, F.when(F.col(key) % every == 0, value.cast(kind)).otherwise(F.col(column)))
+
+    fm, fact = tables["us_facility_measures"], tables["fact_measure"]
+    twice = fm.where("FacilityMeasureID % 97 = 0")
+    fm = put(fm, "FacilityMeasureID", "FacilityID", 89, F.col("FacilityID") + 1_000_000)
+    fm = put(fm, "FacilityMeasureID", "StartDate", 83, F.lit(None)).unionByName(twice)
+    fact = put(fact, "FacilityMeasureID", "EndDateKey", 79, F.lit(20201231))
+    fact = put(fact, "FacilityMeasureID", "NationalScoreLow", 73, F.lit(None))
+    fact = put(fact, "FacilityMeasureID", "MeasureKey", 61, F.lit(None))
+    return {**tables, "us_facility_measures": fm, "fact_measure": fact}
+
+
 def split_loads(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two successive loads of one feed at ``keyed_grain``: an older one and a newer one that has
     changed values, new facilities and lacks some old ones (matched / inserted / target-only).

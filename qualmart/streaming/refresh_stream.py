@@ -1,11 +1,11 @@
-"""Run the keyed refresh whenever new landing files arrive (Structured Streaming).
-
-The warehouse is refreshed load by load: land the feeds, then run the idempotent upserts. As a
-stream, each micro-batch of newly landed outcome files is one load; the infections feed is read as
-the current snapshot of its landing folder. ``foreachBatch`` hands every micro-batch to the same
-batch ``refresh``, and the stream's checkpoint in the shared checkpoint folder records which files
-were already loaded. A load whose publish succeeded but whose stream commit was lost runs again; the
-keyed merge then writes equal tables as another version.
+"""Run the keyed refresh for every load that is announced (Structured Streaming).
+
+A load is a named whole: a line of JSON, ``{"load": ..., "outcomes": folder, "infections": folder}``,
+put into the announcement folder after both feeds lie complete in theirs. The stream reads
+announcements, one file a trigger, and hands each load to the same batch ``refresh``; a folder that is
+still being copied isn't announced, so it is never read, and two loads are never mixed. The stream's
+checkpoint in the shared folder records the announcements done. A load whose publish succeeded but whose
+stream commit was lost runs again; the keyed merge then writes equal tables as another version.
 """
 
 from __future__ import annotations
@@ -14,24 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from qualmart.plans.refresh import RefreshConfig, refresh
-from qualmart.sources.landing import read_feed, stream_feed
+from qualmart.sources.landing import read_feed
 from qualmart.sources.store import TableStore
 
+ANNOUNCEMENT = "load string, outcomes string, infections string"
 
-def start_refresh_stream(spark: SparkSession, outcomes_dir: str, infections_dir: str,
-                         store: TableStore, config: RefreshConfig, checkpoint_location: str,
-                         available_now: bool = False) -> StreamingQuery:
-    outcomes = stream_feed(spark, outcomes_dir, "outcomes")
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        infections = read_feed(spark, infections_dir, "infections")
-        refresh(spark, store, batch, infections, config)
+def start_refresh_stream(spark: SparkSession, announcements: str, store: TableStore, config: RefreshConfig,
+                         checkpoint_location: str, available_now: bool = False) -> StreamingQuery:
+    loads = (spark.readStream.schema(ANNOUNCEMENT).option("maxFilesPerTrigger", 1)
+                  .option("mode", "FAILFAST").json(announcements))
 
-    writer = (outcomes.writeStream.foreachBatch(load)
-                      .option("checkpointLocation", checkpoint_location)
-                      .queryName("qualmart_refresh"))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for load in sorted(batch.collect()):        # the announcements of one file
+            refresh(spark, store, read_feed(spark, load.outcomes, "outcomes"),
+                    read_feed(spark, load.infections, "infections"), config)
+
+    writer = (loads.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
+                   .queryName("qualmart_refresh"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()

@@ -22,6 +22,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+#: Queries whose result has an order, and the columns that it is an order by.
+ORDERED = {
+    "fact_dim_left": ["FacilityName", "MeasureName"], "facility_comparison": ["wi_high_score", "FacilityName"],
+    "model_calendar": ["Date"], "calendar_usage": ["Date"],
+}
+
+
 def norm(v):
     if v is None:
         return "∅"
@@ -74,6 +81,11 @@ def compare(spark, name, fn, sql, con, sf):
         if a != b:
             diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
             problems.append(f"values differ e.g. {diff}")
+    if not problems and name in ORDERED:
+        seen = [[[norm(r[cols.index(c)]) for c in ORDERED[name]] for r in rows]
+                for cols, rows in ((s_cols, s_rows), (d_cols, d_rows))]
+        if seen[0] != seen[1]:
+            problems.append("order differs")
     status = "OK " if not problems else "BAD"
     print(f"{status} {name:32s} rows={len(s_rows):7d} spark={t1 - t0:6.1f}s duck={t2 - t1:5.1f}s "
           + "; ".join(problems), flush=True)

@@ -11,11 +11,14 @@ SF_STAR = "/root/testdata/sf0.01"    # the smallest tables whose test region has
 FAST = ["clean_feed_a", "clean_feed_b", "facilities_union", "national_stats_by_id",
         "national_stats_by_direction", "class_averages", "score_direction", "direction_rank",
         "region_slice", "facility_point_lookup", "reject_profile", "earliest_dates",
-        "composite_key_outer_chain", "landing_feed_a", "landing_feed_b"]
+        "composite_key_outer_chain", "landing_feed_a", "landing_feed_b", "landing_replaced",
+        "landing_quarantine", "landing_accepted"]
 STAR = ["measures_us", "measures_regional", "facility_measures_us", "dim_facility",
         "fact_measure", "measure_summary", "facility_measure_crosstab", "calendar_rollup",
         "facility_rank", "layer_reconciliation", "fk_violations", "null_violations",
-        "length_violations", "flat_report_staging_us", "upsert_facility_measures",
+        "length_violations", "flat_report_staging_us", "flat_report_star", "facility_comparison",
+        "county_report", "attribute_totals", "year_slicer", "month_slicer", "cardinality_by_sketch",
+        "model_calendar", "calendar_usage", "damaged_keys", "damaged_references", "damaged_nulls", "lost_facts", "upsert_facility_measures",
         "upsert_regional_facilities", "upsert_regional_measures", "refresh_idempotent_state"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
