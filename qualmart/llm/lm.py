@@ -5,9 +5,12 @@ of the conditional log-probabilities. The network, in numpy: context embeddings,
 position and summed, a tanh layer, and a two-step softmax (class of the word, word in its class).
 
 The vocabulary and the output biases come from the counts of all words of all documents. Training
-covers all documents too: each input partition trains a replica of the starting network on its
-documents (every position is a target), and the replicas are averaged, weighted by their number of
-targets, in a tree of small groups. A replica has a fixed size of about 0.5 MB.
+covers all documents too, every position once, in ``ROUNDS`` rounds. A hash of (id, text) deals a document
+to its round and to one of the round's replicas, of which there is one per ``REPLICA`` words of the
+corpus; a replica goes through its documents in order of their hashes. All replicas of a round begin with
+the same network and the same sums of squared gradients, and their results are averaged, weighted by
+targets, in a tree of small groups, to begin the next round. So files, partitions and the order of rows
+have no part in the result, and a replica has a fixed size of about 1 MB however large the corpus.
 
 The network knows the most frequent words and hash buckets of the others. A word of a bucket has the
 bucket's probability times its share of the bucket: n / (N + 1), of the exact counts n of the word
@@ -27,7 +30,6 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +46,11 @@ DIM = 16
 SIDE = 2
 #: One position in this many is a training target: every one.
 STRIDE = 1
-BATCH = 512
-RATE = 0.1
+BATCH = 1024
+RATE = 0.15
+#: Passes of averaging, and words of the corpus per replica of one.
+ROUNDS = 4
+REPLICA = 1 << 20
 #: Replicas that are averaged at once.
 FAN_IN = 16
 #: Distinct words that a task counts before it passes them on.
@@ -91,6 +96,11 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, w), np.int64, len(w))
 
 
+def _arrays(data: bytes) -> list[np.ndarray]:
+    with np.load(io.BytesIO(data)) as z:
+        return [z[f"arr_{i}"] for i in range(len(z.files))]
+
+
 class Network:
     """Parameters as float32 arrays; token number TOKENS is the padding around a document."""
 
@@ -111,15 +121,14 @@ class Network:
                   np.log(of_class / of_class.sum()), small(CLASSES, IN_CLASS, DIM), np.log(n / of_class[:, None])]
         return cls([a.astype(np.float32) for a in arrays])
 
-    def dump(self) -> bytes:
+    def dump(self, memory: list[np.ndarray] = ()) -> bytes:
         out = io.BytesIO()
-        np.savez(out, *self.arrays)
+        np.savez(out, *self.arrays, *memory)
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> Network:
-        with np.load(io.BytesIO(data)) as z:
-            return cls([z[f"arr_{i}"] for i in range(len(cls.NAMES))])
+        return cls(_arrays(data)[:len(cls.NAMES)])
 
     def hidden(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
         h = np.repeat(self.bias[None], len(at), axis=0)
@@ -127,67 +136,76 @@ class Network:
             h += place * self.embed[tokens[at + shift]]
         return np.tanh(h)
 
+    def _by_class(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """In-class probabilities of rows that are sorted by class, and (class, first, end) of each run."""
+        cut = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        runs = [(c, a, b) for c, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+        logits = np.empty((len(cls), IN_CLASS), h.dtype)
+        for c, a, b in runs:
+            np.matmul(h[a:b], self.word_w[c].T, out=logits[a:b])
+        logits += self.word_b[cls]
+        return _softmax(logits), runs
+
     def log_probs(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p(token | two tokens on either side) at each position; ``tokens`` is padded."""
         out = np.empty(len(at), np.float64)
         for k in range(0, len(at), 16_384):
             here = at[k:k + 16_384]
-            h, target = self.hidden(tokens, here), tokens[here]
-            logits = h @ self.class_w.T + self.class_b
-            part = _picked(logits, target // IN_CLASS)
-            order = np.argsort(target // IN_CLASS, kind="stable")
-            cut = np.searchsorted((target // IN_CLASS)[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
-                rows = order[cut[c]:cut[c + 1]]
-                if len(rows):
-                    logits = h[rows] @ self.word_w[c].T + self.word_b[c]
-                    part[rows] += _picked(logits, target[rows] % IN_CLASS)
-            out[k:k + 16_384] = part
+            order = np.argsort(tokens[here], kind="stable")
+            here = here[order]
+            h, target, each = self.hidden(tokens, here), tokens[here], np.arange(len(here))
+            cls = target // IN_CLASS
+            of_class = _softmax(h @ self.class_w.T + self.class_b)[each, cls]
+            in_class = self._by_class(h, cls)[0][each, target % IN_CLASS]
+            out[k + order] = np.log(of_class.astype(np.float64)) + np.log(in_class.astype(np.float64))
         return out
 
-    def train(self, tokens: np.ndarray, at: np.ndarray, memory: list[np.ndarray]) -> None:
-        """One pass of Adagrad over the positions; ``memory`` holds the sums of squared gradients."""
-        for k in range(0, len(at), BATCH):
-            here = at[k:k + BATCH]
-            h, target = self.hidden(tokens, here), tokens[here]
-            cls, n = target // IN_CLASS, len(here)
+    def train(self, tokens: np.ndarray, at: np.ndarray, memory: list[np.ndarray], batch: int | None = None) -> None:
+        """One pass of Adagrad over the positions; ``memory`` holds the sums of squared gradients. A
+        word's embedding is touched only in batches where it is a neighbour, which is what Adagrad does
+        with a gradient of zero."""
+        step = batch or BATCH
+        for k in range(0, len(at), step):
+            here = at[k:k + step]
+            here = here[np.argsort(tokens[here], kind="stable")]  # class by class
+            target, n = tokens[here], len(here)
+            cls, each = target // IN_CLASS, np.arange(n)
+            context = np.stack([tokens[here + s] for s in _SHIFTS])
+            near = self.embed[context]
+            h = np.tanh(np.einsum("smd,sd->md", near, self.place) + self.bias)
             err = _softmax(h @ self.class_w.T + self.class_b)
-            err[np.arange(n), cls] -= 1
+            err[each, cls] -= 1
             back = err @ self.class_w
-            grads = [None] * len(self.arrays)
-            grads[3], grads[4] = err.T @ h, err.sum(axis=0)
-            gw, gb = np.zeros_like(self.word_w), np.zeros_like(self.word_b)
-            order = np.argsort(cls, kind="stable")
-            cut = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
-                rows = order[cut[c]:cut[c + 1]]
-                if len(rows):
-                    e = _softmax(h[rows] @ self.word_w[c].T + self.word_b[c])
-                    e[np.arange(len(rows)), target[rows] % IN_CLASS] -= 1
-                    back[rows] += e @ self.word_w[c]
-                    gw[c], gb[c] = e.T @ h[rows], e.sum(axis=0)
-            grads[5], grads[6] = gw, gb
+            grads = [None, None, None, err.T @ h, err.sum(axis=0), np.zeros_like(self.word_w), np.zeros_like(self.word_b)]
+            err, runs = self._by_class(h, cls)
+            err[each, target % IN_CLASS] -= 1
+            for c, a, b in runs:
+                back[a:b] += err[a:b] @ self.word_w[c]
+                np.matmul(err[a:b].T, h[a:b], out=grads[5][c])
+                grads[6][c] = err[a:b].sum(axis=0)
             back *= 1 - h * h
-            grads[2] = back.sum(axis=0)
-            context = [tokens[here + s] for s in _SHIFTS]
-            grads[1] = np.stack([(back * self.embed[c]).sum(axis=0) for c in context])
-            flat = np.concatenate(context)
-            own = np.concatenate([back * p for p in self.place])
-            grads[0] = np.stack([np.bincount(flat, own[:, d], TOKENS + 1) for d in range(DIM)], axis=1)
-            for a, g, m in zip(self.arrays, grads, memory, strict=True):
-                g = g / n
-                m += g * g
-                a -= (RATE * g / (np.sqrt(m) + 1e-6)).astype(np.float32)
+            grads[1], grads[2] = np.einsum("smd,md->sd", near, back), back.sum(axis=0)
+            flat = context.reshape(-1)
+            order = np.argsort(flat, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) != 0)))
+            rows = flat[order][first]
+            own = (back[None] * self.place[:, None]).reshape(-1, DIM)[order]
+            self._step(self.embed, np.add.reduceat(own, first, axis=0) / n, memory[0], rows)
+            for array, g, m in zip(self.arrays[1:], grads[1:], memory[1:], strict=True):
+                self._step(array, g / n, m, slice(None))
+
+    @staticmethod
+    def _step(array: np.ndarray, grad: np.ndarray, memory: np.ndarray, rows) -> None:
+        seen = memory[rows] + grad * grad
+        memory[rows] = seen
+        array[rows] -= (RATE * grad / (np.sqrt(seen) + 1e-6)).astype(array.dtype)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    e = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
-
-
-def _picked(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    return logits[np.arange(len(which)), which] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,40 +218,86 @@ def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return tokens, start[:-1]
 
 
-def _train_replicas(docs: DataFrame, text_col: str, vocab, start, stride: int) -> DataFrame:
-    """(replica, targets, weights): one row per input partition with words."""
+_REPLICA = "replica long, targets long, state binary"
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, vocab, this: int, replicas: int) -> DataFrame:
+    """(replica, h, tokens) of the documents of round ``this``, in order of h within their replica's task.
+    Only token numbers are shuffled, two bytes a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network.load(start.value)
-        memory = [np.full(a.shape, 1e-4) for a in net.arrays]
-        words, n = Vocabulary(vocab.value), 0
+        words = Vocabulary(vocab.value)
         for whole in batches:
-            for k in range(0, whole.num_rows, 64):
-                texts = utf8(whole.slice(k, 64), text_col)
-                tokens, begin = padded([words.ids(t) for t in texts])
-                stop = np.append(begin[1:], len(tokens) + SIDE) - SIDE
-                at = np.concatenate([np.arange(b + zlib.crc32(t) % stride, e, stride)
-                                     for t, b, e in zip(texts, begin, stop, strict=True)])
-                at = at[tokens[at] != TOKENS] if len(at) else at
-                net.train(tokens, at, memory)
-                n += len(at)
+            for k in range(0, whole.num_rows, 256):
+                batch = whole.slice(k, 256)
+                tokens = [words.ids(t).astype("<u2").tobytes() for t in utf8(batch, "text")]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.binary())],
+                                                 ["replica", "h", "tokens"])
+
+    h = F.xxhash64(F.col(id_col), F.col(text_col))
+    mine = docs.select(h.alias("h"), F.col(text_col).alias("text")).where(F.pmod("h", F.lit(ROUNDS)) == this)
+    replica = F.pmod(F.shiftright("h", 8), F.lit(replicas)).cast("int").alias("replica")
+    dealt = mine.select(replica, "h", "text").mapInArrow(run, "replica int, h long, tokens binary")
+    return dealt.repartitionById(replicas, F.col("replica")).sortWithinPartitions("h")
+
+
+def _trained(dealt: DataFrame, state, stride: int) -> DataFrame:
+    """(replica, targets, state): one row per replica with words. Documents are put together until a batch
+    is full, so that batches don't depend on how rows arrive."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays = _arrays(state.value)
+        net, memory = Network(arrays[:len(arrays) // 2]), arrays[len(arrays) // 2:]
+        held, words, n, replica = [], 0, 0, None
+
+        def learn(docs: list[tuple[int, np.ndarray]]) -> int:
+            tokens, begin = padded([d for _, d in docs])
+            at = np.concatenate([np.arange(b + h % stride, b + len(d), stride)
+                                 for (h, d), b in zip(docs, begin, strict=True)])
+            net.train(tokens, at, memory)
+            return len(at)
+        for batch in batches:
+            for r, h, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                replica = r
+                held.append((h, np.frombuffer(data, "<u2").astype(np.int64)))
+                words += len(held[-1][1])
+                if words >= 16 * BATCH:
+                    n += learn(held)
+                    held, words = [], 0
+        if words:
+            n += learn(held)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()),
-                                              pa.array([n], pa.int64()), pa.array([net.dump()], pa.binary())],
-                                             ["replica", "targets", "weights"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([replica], pa.int64()), pa.array([n], pa.int64()), pa.array([net.dump(memory)], pa.binary())],
+                ["replica", "targets", "state"])
 
-    return docs.select(text_col).mapInArrow(run, "replica long, targets long, weights binary")
+    return dealt.mapInArrow(run, _REPLICA)
 
 
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("replica")
     total = int(pdf["targets"].sum())
     sums = None
-    for n, data in zip(pdf["targets"], pdf["weights"], strict=True):
-        arrays = [a.astype(np.float64) * (n / total) for a in Network.load(data).arrays]
+    for n, data in zip(pdf["targets"], pdf["state"], strict=True):
+        arrays = [a.astype(np.float64) * (n / total) for a in _arrays(data)]
         sums = arrays if sums is None else [s + a for s, a in zip(sums, arrays, strict=True)]
-    net = Network([s.astype(np.float32) for s in sums])
+    out = io.BytesIO()
+    np.savez(out, *[s.astype(np.float32) for s in sums])
     return pd.DataFrame({"replica": [int(pdf["replica"].iloc[0]) // FAN_IN], "targets": [total],
-                         "weights": [net.dump()]})
+                         "state": [out.getvalue()]})
+
+
+def _round(docs: DataFrame, id_col: str, text_col: str, vocab, begin: bytes, this: int, replicas: int,
+           stride: int) -> bytes:
+    """The state after one round: all replicas trained from ``begin`` and averaged."""
+    state = docs.sparkSession.sparkContext.broadcast(begin)
+    done = materialize(_trained(_dealt(docs, id_col, text_col, vocab, this, replicas), state, stride), "lm-replicas")
+    while (left := done.count()) > 1:
+        group = F.floor(F.col("replica") / FAN_IN).alias("group")
+        if left <= FAN_IN:
+            group = F.lit(0).alias("group")
+        done = materialize(done.groupBy(group).applyInPandas(_average, _REPLICA), "lm-replicas")
+    last = done.first()
+    state.unpersist()
+    return bytes(last.state) if last else begin
 
 
 class Model(NamedTuple):
@@ -249,7 +313,8 @@ def _bucket(word: Column) -> Column:
     return F.crc32(word) % BUCKETS
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", stride: int = STRIDE) -> Model:
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE,
+        replica: int = REPLICA) -> Model:
     """Counts and network from all documents. Without any word the starting network remains."""
     spark = docs.sparkSession
     counts = materialize(word_counts(docs, text_col), "lm-counts")
@@ -264,16 +329,12 @@ def fit(docs: DataFrame, *, text_col: str = "text", stride: int = STRIDE) -> Mod
         for r in others.groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
             buckets[r.b] = (r.n, r.d)
     n[WORDS:] = [b[0] for b in buckets]
-    words, start = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast(Network.start(n).dump())
-    replicas = materialize(_train_replicas(docs, text_col, words, start, stride), "lm-replicas")
-    while (left := replicas.count()) > 1:
-        group = F.floor(F.col("replica") / FAN_IN).alias("group")
-        if left <= FAN_IN:
-            group = F.lit(0).alias("group")
-        replicas = materialize(replicas.groupBy(group).applyInPandas(
-            _average, "replica long, targets long, weights binary"), "lm-replicas")
-    last = replicas.first()
-    return Model(vocab, bytes(last.weights) if last else start.value, counts, buckets)
+    words, start = spark.sparkContext.broadcast(vocab), Network.start(n)
+    state = start.dump([np.full(a.shape, 1e-4, np.float32) for a in start.arrays])
+    replicas = max(1, round(n.sum() / (ROUNDS * replica)))
+    for this in range(ROUNDS):
+        state = _round(docs, id_col, text_col, words, state, this, replicas, stride)
+    return Model(vocab, Network.load(state).dump(), counts, buckets)
 
 
 def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
@@ -340,4 +401,4 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
 def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       stride: int = STRIDE) -> DataFrame:
     """Fit on all of ``docs`` and score them."""
-    return scored(docs, fit(docs, text_col=text_col, stride=stride), id_col=id_col, text_col=text_col)
+    return scored(docs, fit(docs, id_col=id_col, text_col=text_col, stride=stride), id_col=id_col, text_col=text_col)

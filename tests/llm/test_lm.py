@@ -25,7 +25,7 @@ def test_gradients_agree_with_differences():
     arrays = [a.astype(np.float64) for a in start.arrays]
     moved = L.Network([a.copy() for a in arrays])
     memory = [np.zeros(a.shape) for a in arrays]
-    moved.train(tokens, at, memory)
+    moved.train(tokens, at, memory)  # one batch
     for k, m in enumerate(memory):
         i = np.unravel_index(np.argmax(m), m.shape)
         values = []
@@ -105,3 +105,61 @@ def test_words_beyond_the_vocabulary_have_their_own_probability(make):
                 want += np.log(rare[x] if x in rare else 1 / max(1, distinct[b])) - np.log(total[b] + 1)
         assert r.n_tokens == len(w) and abs(r.log_likelihood - want) < 1e-4
         assert abs(r.perplexity - np.exp(-r.log_likelihood / len(w))) < 1e-6 * r.perplexity
+
+
+def corpus(n, seed=5):
+    rng = random.Random(seed)
+    return [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(1, 90)))) for i in range(n)]
+
+
+def test_scores_do_not_depend_on_partitions(make):
+    rows = corpus(150) + [(None, "w1 w2 w3"), (None, None), (7, "again w1"), (7, "again w1")]
+    results = []
+    for parts in (1, 3, 8):
+        docs = make(rows).repartition(parts)
+        model = L.fit(docs, replica=200)      # about ten replicas a round
+        got = L.scored(docs, model).collect()
+        results.append((model.weights, sorted((str(r.doc_id), r.n_tokens, round(r.log_likelihood, 5)) for r in got)))
+    assert results[0] == results[1] == results[2] and len(results[0][1]) == len(rows)
+
+
+def test_whole_fit_against_a_plain_loop(make):
+    """Rounds, replicas and averages again, document by document in one process."""
+    from pyspark.sql import functions as F
+    docs = make(corpus(60))
+    size = 150
+    model = L.fit(docs, replica=size)
+    rows = [(r.h, r.text.encode()) for r in docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").collect()]
+    counts = Counter(w for _, t in rows for w in L.words_of(t))
+    n = np.zeros(L.TOKENS)
+    for w, i in model.vocab.items():
+        n[i] = counts[w]
+    assert n.sum() == sum(counts.values())
+    words, net = L.Vocabulary(model.vocab), L.Network.start(n)
+    arrays, memory = net.arrays, [np.full(a.shape, 1e-4, np.float32) for a in net.arrays]
+    replicas = round(n.sum() / (4 * size))
+    assert replicas > 2
+    for this in range(4):
+        sums, total = [0.0] * (2 * len(arrays)), 0
+        for r in range(replicas):
+            mine = sorted(x for x in rows if x[0] % 4 == this and (x[0] >> 8) % replicas == r)
+            if not mine:
+                continue
+            own = L.Network([a.copy() for a in arrays])
+            seen = [m.copy() for m in memory]
+            tokens, _ = L.padded([words.ids(t) for _, t in mine])
+            at = np.flatnonzero(tokens != L.TOKENS)
+            own.train(tokens, at, seen)
+            total += len(at)
+            sums = [s + len(at) * a.astype(np.float64) for s, a in zip(sums, own.arrays + seen, strict=True)]
+        state = [(s / total).astype(np.float32) for s in sums]
+        arrays, memory = state[:len(arrays)], state[len(arrays):]
+    for got, want in zip(L.Network.load(model.weights).arrays, arrays, strict=True):
+        assert np.allclose(got, want, atol=1e-5)
+
+
+def test_a_very_long_text(make):
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(300)}" for _ in range(200_000))
+    out = {r.doc_id: r for r in L.pseudo_likelihood(make([(1, long), (2, "w1 w2"), (3, "x" * 100_000)])).collect()}
+    assert out[1].n_tokens == 200_000 and out[3].n_tokens == 1 and all(np.isfinite(r.log_likelihood) for r in out.values())
