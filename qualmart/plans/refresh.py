@@ -20,6 +20,7 @@ from qualmart.operators import gate
 from qualmart.operators.calendar import BEGINNING_OF_TIME, DEFAULT_END, DEFAULT_START, END_OF_TIME, calendar
 from qualmart.operators.feeds import INFECTIONS, OUTCOMES, typed_feed
 from qualmart.plans import staging, star
+from qualmart.session import scratch_path, scratch_scope
 from qualmart.sources import schemas
 from qualmart.sources.store import TableStore
 
@@ -74,7 +75,9 @@ class _Attempt:
         self.seen: dict[str, dict] = {}
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        back, seen = self.store.write(name, df, self.version, self._metrics(name))
+        """A table of the new version, or an intermediate one that goes when the refresh ends."""
+        path = None if name in STAGED_TABLES or name in STATIC_TABLES else scratch_path(df.sparkSession, name)
+        back, seen = self.store.write(name, df, self.version, self._metrics(name), path)
         if seen:
             self.seen[name] = seen
             problems = gate.column_problems(seen) + gate.foreign_problems(seen, self._parents(name))
@@ -119,7 +122,13 @@ class _Attempt:
 
 def refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infections: DataFrame,
             config: RefreshConfig) -> Refreshed:
-    """Run one refresh from two landing feeds and publish it."""
+    """Run one refresh from two landing feeds and publish it. Nothing but the published tables stays."""
+    with scratch_scope(spark):
+        return _refresh(spark, store, outcomes, infections, config)
+
+
+def _refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infections: DataFrame,
+             config: RefreshConfig) -> Refreshed:
     prev_version = store.published_version()
     prev = _previous(store, prev_version)
     attempt = _Attempt(store)

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,8 @@ DEFAULT_CONF = {
 
 # private checkpoint folder of a single-JVM session, by application
 _PRIVATE: dict[str, str] = {}
+# scratch folders of the open scopes, innermost last
+_SCOPES: list[list[str]] = []
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "qualmart",
@@ -61,7 +65,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written intermediate tables. The
     folder's URI scheme is kept, so the tables land on the file system that the setting names."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/qualmart/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/qualmart/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, also after an error. Only for work
+    whose results lie elsewhere by then: a lazy DataFrame over such a table can't be read any more."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

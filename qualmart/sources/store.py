@@ -74,11 +74,11 @@ class TableStore:
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/{self._folder(version)}/{name}"
 
-    def write(self, name: str, df: DataFrame, version: int, metrics: dict[str, Column] | None = None
-              ) -> tuple[DataFrame, dict]:
-        """Write one table of a version; returns it read back (lineage cut here) and the values of
-        the aggregates in ``metrics``, taken from the rows as they are written."""
-        path, seen = self.path(name, version), Observation()
+    def write(self, name: str, df: DataFrame, version: int, metrics: dict[str, Column] | None = None,
+              path: str | None = None) -> tuple[DataFrame, dict]:
+        """Write one table of a version, or an intermediate one to ``path``; returns it read back (lineage
+        cut here) and the values of the aggregates in ``metrics``, taken from the rows as they are written."""
+        path, seen = path or self.path(name, version), Observation()
         if metrics:
             df = df.observe(seen, *[m.alias(k) for k, m in metrics.items()])
         if name in LAYOUTS:

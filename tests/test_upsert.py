@@ -139,3 +139,21 @@ def test_text_longer_than_declared_fails_the_load(spark):
     with pytest.raises(ValueError, match="text longer than declared in FacilityName"):
         refresh(spark, store, a, b, _config())
     assert store.published_version() is None
+
+
+def test_a_refresh_leaves_only_published_tables(spark):
+    import os
+
+    from qualmart.session import ensure_checkpoint_dir, materialize, scratch_scope
+    scratch = os.path.join(ensure_checkpoint_dir(spark), "qualmart")
+    store = TableStore(spark, scratch_path(spark, "t-clean"))
+    before = set(os.listdir(scratch))
+    a, b = _feeds(spark)
+    refresh(spark, store, a, b, _config())
+    refresh(spark, store, a, b, _config())
+    assert set(os.listdir(scratch)) - before <= {store.root.rsplit("/", 1)[1]}
+    assert published_tables(store)["fact_measure"].count() == 4
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        materialize(spark.range(3), "t-inner")
+        raise RuntimeError
+    assert not any(n.startswith("t-inner") for n in os.listdir(scratch))
