@@ -5,10 +5,13 @@ that all executors share (opened through its URI, so any file system that Arrow
 Each task attempt writes files of its own; a manifest names those of the attempts that succeeded,
 and only these are read.
 
-The reader checks each record (gzip member and its checksum, version line, header, length, block
-and payload digest). When a check fails it looks for the next member or version line, whatever the
+The reader takes versions 0.17 to 1.1. Header names count regardless of case, lines may be folded, and
+the blank behind a colon may lack. It checks each record (gzip member and its checksum, version line,
+header, length, block and payload digest); digests may be MD5 or SHA-1 to SHA-512, in hexadecimal or
+base32 of either case, and those of any other kind are not checked. When a check fails it looks for the next member or version line, whatever the
 file began with, that passes all checks, goes on from there, and reports the bytes in between as a
-quarantined gap. It holds one record at a time.
+quarantined gap. It holds one record at a time, of at most ``MAX_RECORD`` bytes, and reads a plain
+record's body only if it ends where its header says.
 """
 
 from __future__ import annotations
@@ -38,9 +41,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _CHUNK = 1 << 20
 _MAGIC = b"\x1f\x8b\x08"
-_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r\n")
 _MARK = re.compile(re.escape(_MAGIC) + b"|" + _VERSION.pattern)
 _END = b"\r\n\r\n"
+#: The reader holds no more of one record than this; a longer one is reported as a gap.
+MAX_RECORD = 512 << 20
+#: Hash functions that are checked, with the bytes of their values.
+_KINDS = {"md5": 16, "sha1": 20, "sha256": 32, "sha384": 48, "sha512": 64}
 
 
 # ------------------------------------------------------------------ writing
@@ -135,6 +142,13 @@ class _Reader:
             self._at, self._data = at, self._file.read(max(n, _CHUNK))
         return self._data[at - self._at: at - self._at + n]
 
+    def peek(self, at: int, n: int) -> bytes:
+        """A few bytes elsewhere, past the buffer."""
+        if self._at <= at and at + n <= self._at + len(self._data):
+            return self._data[at - self._at: at - self._at + n]
+        self._file.seek(at)
+        return self._file.read(n)
+
     def find(self, what: re.Pattern, at: int, overlap: int) -> int:
         """Offset of the next match at or after ``at``; the file's size if there is none."""
         while at < self.size:
@@ -151,6 +165,53 @@ class Damaged(ValueError):
     """A check failed."""
 
 
+class Head(dict):
+    """Header fields; names are the same in any case."""
+
+    def __init__(self, text: str):
+        super().__init__()
+        last = None
+        for line in text.split("\r\n"):
+            if line[:1] in (" ", "\t") and last:
+                dict.__setitem__(self, last, f"{self[last]} {line.strip()}".strip())
+                continue
+            name, colon, value = line.partition(":")
+            last = name.strip().lower()
+            if not colon or not last:
+                raise Damaged("bad header")
+            if last not in self:
+                dict.__setitem__(self, last, value.strip())
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
+
+
+def stated_digest(value: str | None) -> tuple[str, bytes] | None:
+    """(kind, digest) of a labelled digest; None if there is none of a known kind and form."""
+    kind, _, text = (value or "").partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    size, text = _KINDS.get(kind), text.strip()
+    if not size:
+        return None
+    if re.fullmatch(rf"[0-9A-Fa-f]{{{2 * size}}}", text):
+        return kind, bytes.fromhex(text)
+    try:
+        bare = text.rstrip("=").upper()
+        raw = base64.b32decode(bare + "=" * (-len(bare) % 8))
+    except ValueError:
+        return None
+    return (kind, raw) if len(raw) == size else None
+
+
+def _agrees(value: str | None, data: bytes) -> bool:
+    """Whether a stated digest is that of the data, or can't be checked."""
+    stated = stated_digest(value)
+    return stated is None or hashlib.new(stated[0], data).digest() == stated[1]
+
+
 def _parse(data: bytes) -> dict:
     """A whole record, checked."""
     if not _VERSION.match(data):
@@ -159,18 +220,17 @@ def _parse(data: bytes) -> dict:
     if end < 0:
         raise Damaged("header has no end")
     try:
-        head = dict(line.split(": ", 1) for line in data[:end].decode().split("\r\n")[1:])
+        head = Head(data[data.index(b"\r\n") + 2:end].decode())
         length = int(head["Content-Length"])
     except (ValueError, KeyError) as e:
         raise Damaged("bad header") from e
     block, tail = data[end + 4:end + 4 + length], data[end + 4 + length:]
-    if len(block) != length or tail != _END:
+    if length < 0 or len(block) != length or tail != _END:
         raise Damaged("wrong length")
-    if "WARC-Block-Digest" in head and head["WARC-Block-Digest"] != _digest(block):
+    if not _agrees(head.get("WARC-Block-Digest"), block):
         raise Damaged("wrong block digest")
     http, _, payload = block.partition(_END)
-    if head.get("WARC-Type") == "response" and "WARC-Payload-Digest" in head \
-            and head["WARC-Payload-Digest"] != _digest(payload):
+    if head.get("WARC-Type") == "response" and not _agrees(head.get("WARC-Payload-Digest"), payload):
         raise Damaged("wrong payload digest")
     return {"head": head, "http": http, "payload": payload}
 
@@ -178,35 +238,45 @@ def _parse(data: bytes) -> dict:
 def _gzip_record(r: _Reader, at: int) -> tuple[dict, int]:
     if r.get(at, 3) != _MAGIC:
         raise Damaged("no gzip member")
-    z, parts, pos = zlib.decompressobj(31), [], at
+    z, parts, total, pos, block = zlib.decompressobj(31), [], 0, at, b""
     try:
-        while not z.eof and pos < r.size:
-            block = r.get(pos, min(1 << 16, r.size - pos))
-            parts.append(z.decompress(block))
-            if not _VERSION.match(parts[0][:10]) and len(parts[0]) >= 10:
+        while not z.eof:
+            if not block:
+                if pos >= r.size:
+                    raise Damaged("truncated")
+                block = r.get(pos, min(1 << 16, r.size - pos))
+                pos += len(block)
+            part = z.decompress(block, _CHUNK)
+            block = z.unconsumed_tail
+            if total < 5 <= total + len(part) and not (b"".join(parts) + part).startswith(b"WARC/"):
                 raise Damaged("no version line")
-            pos += len(block) - len(z.unused_data)
+            parts.append(part)
+            total += len(part)
+            if total > MAX_RECORD:
+                raise Damaged("too long")
     except zlib.error as e:
         raise Damaged("bad gzip member") from e
-    if not z.eof:
-        raise Damaged("truncated")
-    return _parse(b"".join(parts)), pos
+    return _parse(b"".join(parts)), pos - len(z.unused_data)
 
 
 def _plain_record(r: _Reader, at: int) -> tuple[dict, int]:
-    if not _VERSION.match(r.get(at, 10)):
+    if not _VERSION.match(r.get(at, 11)):
         raise Damaged("no version line")
     n = 4096
     while (end := (head := r.get(at, min(n, r.size - at))).find(_END)) < 0:
         if len(head) < n or n > _CHUNK:
             raise Damaged("header has no end")
         n *= 2
-    length = re.search(rb"\r\nContent-Length: (\d{1,18})\r\n", head[:end + 2])
+    length = re.search(rb"(?i)\r\nContent-Length[ \t]*:\s*(\d{1,18})[ \t]*\r\n", head[:end + 2])
     if not length:
         raise Damaged("bad header")
     stop = at + end + 4 + int(length[1]) + 4
     if stop > r.size:
         raise Damaged("truncated")
+    if stop - at > MAX_RECORD:
+        raise Damaged("too long")
+    if r.peek(stop - 4, 4) != _END:
+        raise Damaged("wrong length")
     return _parse(r.get(at, stop - at)), stop
 
 
@@ -222,7 +292,7 @@ def salvage(file: pa.NativeFile) -> Iterator[tuple[int, int, dict | None, str |
         except Damaged as e:
             if gap is None:
                 gap, reason = at, str(e)
-            at = r.find(_MARK, at + 1, 9)
+            at = r.find(_MARK, at + 1, 16)
             continue
         if gap is not None:
             yield gap, at, None, reason
@@ -250,12 +320,14 @@ def _row(path: str, start: int, end: int, found: dict | None, reason: str | None
         head = found["head"]
         kind = head.get("WARC-Type")
         stated = re.search(rb"(?i)\r\nContent-Length: *(\d+)", found["http"])
-        digest = head.get("WARC-Payload-Digest", _digest(found["payload"])).removeprefix("sha1:")
+        told = stated_digest(head.get("WARC-Payload-Digest"))
+        digest = told[1].hex() if told and told[0] == "sha1" else (
+            None if kind == "revisit" else hashlib.sha1(found["payload"]).hexdigest())
         row |= {"record_type": kind, "page_id": _page(head.get("WARC-Record-ID")),
                 "refers_to": _page(head.get("WARC-Refers-To")), "url": head.get("WARC-Target-URI"),
                 "payload": found["payload"] if payload and kind == "response" else None,
                 "payload_bytes": int(stated[1]) if stated and kind == "revisit" else len(found["payload"]),
-                "payload_digest": base64.b32decode(digest).hex()}
+                "payload_digest": digest}
     return row
 
 

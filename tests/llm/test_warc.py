@@ -1,8 +1,11 @@
+import base64
 import gzip
+import hashlib
 import random
 
 import duckdb
 import pyarrow as pa
+import pytest
 
 from qualmart.llm import warc as W
 
@@ -109,3 +112,67 @@ def test_salvage_of_plain_records_behind_gzip_bytes_and_mixed_files():
     covered(found, mixed)
     assert [f[2] and f[2]["head"]["WARC-Record-ID"] for f in found] == [
         "<urn:page:0>", "<urn:page:1>", None, "<urn:page:2>", None, "<urn:page:3>"]
+
+
+def plain(head, block, version="1.1"):
+    text = "".join(f"{line}\r\n" for line in head)
+    return f"WARC/{version}\r\n{text}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def digests(data, kind):
+    raw = hashlib.new(kind, data).digest()
+    b32 = base64.b32encode(raw).decode()
+    return [f"{kind}:{raw.hex()}", f"{kind.upper()}:{raw.hex().upper()}", f"{kind}:{b32}", f"{kind}:{b32.lower()}",
+            f"{kind}: {b32.rstrip('=')}"]
+
+
+@pytest.mark.parametrize("kind", ["md5", "sha1", "sha256", "sha512"])
+def test_digests_of_any_known_form_are_checked(kind):
+    block = b"HTTP/1.1 200 OK\r\n\r\n<p>body"
+    for value in digests(block, kind):
+        head = ["WARC-Type: response", f"WARC-Block-Digest: {value}"]
+        good, bad = plain(head, block), plain(head, block.replace(b"body", b"bodY"))
+        assert [f[3] for f in read(good)] == [None]
+        assert [f[3] for f in read(bad)] == ["wrong block digest"]
+
+
+def test_unknown_and_broken_digests_crash_nothing(spark, tmp_path):
+    revisit = b"HTTP/1.1 304 Not Modified\r\nContent-Length: 7\r\n\r\n"
+    values = ["sha256:" + "0" * 64, "md5:xyz", "sha1:!!!!", "crc32:1234", "sha1", "", ":", "blake3:00"]
+    data = b"".join(W._member(plain(["WARC-Type: revisit", f"WARC-Payload-Digest: {v}"], revisit)) for v in values)
+    response = b"HTTP/1.1 200 OK\r\n\r\nabc"
+    data += W._member(plain(["WARC-Type: response", "WARC-Payload-Digest: sha256:" + hashlib.sha256(b"abc").hexdigest()], response))
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    manifest = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "path string")
+    rows = sorted(W.read_archives(manifest).collect(), key=lambda r: r.start)
+    assert [r.gap for r in rows] == [None] * 9 and {r.payload_digest for r in rows[:8]} == {None}
+    assert rows[8].payload_digest == hashlib.sha1(b"abc").hexdigest() and rows[0].payload_bytes == 7
+
+
+def test_foreign_headers_are_read():
+    block = b"HTTP/1.1 200 OK\r\n\r\nx"
+    heads = [["warc-type: response", "warc-record-id: <urn:page:1>"], ["WARC-Type:response", "WARC-Record-ID:<urn:page:2>"],
+             ["WARC-Type: response", "WARC-Target-URI: http://h/a", "\tb c", "WARC-RECORD-ID:  <urn:page:3>  "]]
+    data = b"".join(plain(h, block, v) for h, v in zip(heads, ["0.17", "0.18", "1.0"]))
+    data += data.replace(b"Content-Length: ", b"content-length :")
+    found = read(data)
+    assert [f[2]["head"]["WARC-Record-ID"] for f in found] == [f"<urn:page:{i}>" for i in (1, 2, 3)] * 2
+    assert found[2][2]["head"]["warc-target-uri"] == "http://h/a b c"
+    assert [f[2]["head"]["WARC-Record-ID"] for f in read(b"".join(map(W._member, map(plain, heads, [block] * 3))))] == [
+        f"<urn:page:{i}>" for i in (1, 2, 3)]
+
+
+def test_reads_are_bounded(monkeypatch):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + b"x" * 50
+    good = plain(["WARC-Type: response", "WARC-Record-ID: <urn:page:9>"], block)
+    long = plain(["WARC-Type: response"], b"y" * 5000)
+    # a length that was made longer ends inside another record: the body isn't read
+    wrong = good.replace(f"Content-Length: {len(block)}".encode(), b"Content-Length: 4000")
+    asked = []
+    whole = W._Reader.get
+    monkeypatch.setattr(W._Reader, "get", lambda self, at, n: (asked.append(n), whole(self, at, n))[1])
+    found = read(wrong + long + good)
+    assert [f[3] for f in found] == ["wrong length", None, None] and max(asked) <= W._CHUNK
+    monkeypatch.setattr(W, "MAX_RECORD", 2000)
+    assert [f[3] for f in read(long + good)] == ["too long", None]
+    assert [f[3] for f in read(W._member(long) + W._member(good))] == ["too long", None]
