@@ -1,10 +1,12 @@
 """Mixing sources to target weights by hash-random order, prefix sums and an exact cut.
 
-Every document gets a hash-random key. The key space of each source is cut into equal key ranges
-(chunks), so one source that holds most rows is still spread over many tasks. Chunk sums are a
-small table; their running sums per source plus the running sum within a chunk give each
-document's exact prefix sum of words. A source's budget is its target rounded down: whole epochs
-take every document, the last, partial epoch takes the words in front of the cut.
+Every document gets a hash-random key, of its id and text. The key space is cut into ``CHUNKS`` equal
+key ranges; the sums of words per source and chunk are a small table, and their running sums tell in which
+chunk a source's cut lies. Documents in front of that chunk are taken whole, those behind it not at all;
+only the chunk of the cut, 1/65,536 of a source, is put in order, and its running sums give the exact cut.
+So whole documents are never sorted or shuffled, and a source that holds most rows stays spread. A source's
+budget is its target rounded down: whole epochs take every document, the last, partial epoch takes the
+words in front of the cut.
 
 Nothing depends on how rows are partitioned: the order is (key, id, size), so reruns agree.
 """
@@ -24,6 +26,9 @@ WEIGHTS = (5, 2, 1)
 #: No document is taken more often than this.
 MAX_EPOCHS = 3
 SEED = "mix:"
+#: Leading hexadecimal digits of a key that number its chunk, and so the number of chunks.
+CHUNK_DIGITS = 4
+CHUNKS = 16 ** CHUNK_DIGITS
 
 
 def repeating_weight(rank: Column) -> Column:
@@ -69,42 +74,49 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     counted).
 
     Null texts and empty texts have size 0 and are taken 0 words. The null source is a source, last
-    in order. Null ids share one key; repeated ids are ordered by size; equal rows are
-    interchangeable. An empty table gives an empty result. Other columns ride along in ``row``, so
-    their names can't clash.
+    in order. Rows without an id, or with a repeated one, are told apart by their texts; rows equal in
+    both are interchangeable. An empty table gives an empty result. Other columns ride along in ``row``,
+    so their names can't clash.
     """
-    spark = docs.sparkSession
-    chunks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    digest = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    start = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    d = docs.select(
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text))
+    keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
-        F.col(id_col).alias("id"),
+        F.col(id_col).alias("id"), text.alias("text"),
         F.when(F.col(source_col).isNull(), F.lit("-"))
-         .otherwise(F.concat(F.lit("+"), F.col(source_col))).alias("src"),
-        n_words(F.col(text_col)).alias("size"),
-        digest.alias("key"),
-        F.floor(start * chunks / F.lit(2 ** 32)).cast("int").alias("chunk"))
+         .otherwise(F.concat(F.lit("+"), F.col(source_col))).alias("src"), key.alias("key")).withColumn(
+        "chunk", F.conv(F.substring("key", 1, CHUNK_DIGITS), 16, 10).cast("int"))
+    size = n_words(F.col("text")).alias("size")
 
-    sums = materialize(d.groupBy("src", "chunk").agg(F.sum("size").alias("chunk_size")), "mix-chunks")
+    sums = materialize(keyed.select("src", "chunk", size).groupBy("src", "chunk").agg(
+        F.sum("size").alias("chunk_size")), "mix-chunks")
     per_source = (sums.groupBy("src").agg(F.sum("chunk_size").alias("source_size"))
                       .withColumn("source", F.when(F.col("src") == "-", None)
                                   .otherwise(F.expr("substring(src, 2)"))))
-    in_source = Window.partitionBy("src").orderBy("chunk")
-    offsets = (sums.withColumn("before", F.sum("chunk_size").over(in_source) - F.col("chunk_size"))
-                   .join(targets(per_source, weight, max_epochs), "src")
-                   .drop("chunk_size"))
-
-    order = (Window.partitionBy("src", "chunk").orderBy("key", "id", "size")
+    wanted = targets(per_source, weight, max_epochs).withColumn("whole", F.when(
+        F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0).cast("long"))
+    wanted = wanted.withColumn("rest", F.floor("target").cast("long") - F.col("whole") * F.col("source_size"))
+    # a source has at most CHUNKS sums
+    before = F.sum("chunk_size").over(Window.partitionBy("src").orderBy("chunk")) - F.col("chunk_size")
+    cut = (sums.withColumn("before", before).join(wanted.select("src", "rest"), "src")
+               .where(F.col("before") + F.col("chunk_size") > F.col("rest"))
+               .groupBy("src").agg(F.min(F.struct("chunk", "before")).alias("cut")))
+    # one row per source; read by both parts below
+    wanted = materialize(wanted.join(cut, "src", "left").select(
+        "src", "source_size", "target", "whole", "rest", F.col("cut.chunk").alias("cut"), "cut.before"), "mix-cuts")
+
+    d = keyed.join(wanted, "src")
+    at_cut = F.coalesce(F.col("chunk") == F.col("cut"), F.lit(False))
+    outside = d.where(~at_cut).withColumn("size", size).withColumn(
+        "partial", F.when(F.col("chunk") < F.col("cut"), F.col("size")).otherwise(0))
+    order = (Window.partitionBy("src").orderBy("key", "id", "size")
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = F.col("before") + F.sum("size").over(order) - F.col("size")
-    budget = F.floor("target").cast("long")
-    whole = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
-    rest = budget - whole * F.col("source_size")
-    partial = F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    return (d.join(offsets, ["src", "chunk"])
-             .select("row", "size", "source_size", "target",
-                     (whole * F.col("size") + partial).cast("long").alias("taken")))
+    inside = d.where(at_cut).withColumn("size", size).withColumn(
+        "front", F.col("before") + F.sum("size").over(order) - F.col("size")).withColumn(
+        "partial", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("front")))).drop("front")
+    return outside.unionByName(inside).select(
+        "row", "size", "source_size", "target",
+        (F.col("whole") * F.col("size") + F.col("partial")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -125,7 +137,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS k
+         md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS k
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (

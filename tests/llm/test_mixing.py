@@ -50,3 +50,27 @@ def test_training_rows_repeat_by_epoch(make):
     got = out.select("doc_id", "mix_.*").collect()
     assert len([r for r in got if r.doc_id == 0]) == 3
     assert sum(r.taken for r in got) == sum(r.taken for r in mix(docs).collect())
+
+
+def test_rows_without_ids_are_told_apart_by_their_texts(make):
+    rows = [(None, f"text number {i}", "a") for i in range(300)] + [(5, f"again {i} " * 3, "b") for i in range(60)]
+    rows += [(1000 + i, "w " * 40, "c") for i in range(40)]
+    taken = []
+    for parts in (1, 3, 7):
+        out = mixed_documents(make(rows).repartition(parts))
+        taken.append(sorted((str(r.doc_id), r.text, r.mix.epoch, r.mix.taken) for r in out.collect()))
+    assert taken[0] == taken[1] == taken[2]
+    docs = make(rows)
+    assert [tuple(r) for r in rows_of(mix(docs))] == [(*r[:3], pytest.approx(r[3]), r[4]) for r in oracle(docs)]
+
+
+def test_whole_documents_are_not_shuffled(make, spark):
+    docs = make([(i, f"some words {i}", "ab"[i % 2]) for i in range(400)])
+    plan = mixed_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    # one window: that of the chunks at the cuts, below a filter on the chunk
+    assert plan.count("Window ") == 1
+
+
+def test_one_huge_document_at_the_cut(make):
+    docs = make([(1, "w " * 50_000, "a")] + [(i, "x y", "b") for i in range(2, 300)] + [(400, None, "d")])
+    assert [tuple(r) for r in rows_of(mix(docs))] == [(*r[:3], pytest.approx(r[3]), r[4]) for r in oracle(docs)]
