@@ -155,9 +155,10 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           length_col: str = "n_chars", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Train on about ``sample_rows`` labelled ids that aren't held out (null labels are none; of
-    repeated ones the smallest counts), chosen by a hash of the id. Only their sparse features reach
-    the driver."""
+    """Train on about ``sample_rows`` labelled rows that aren't held out (null labels are none; of
+    repeated ones the smallest counts), chosen by a hash of the id, and of the text where ids repeat.
+    Only their sparse features reach the driver. Ids may be of any type; without a length column the
+    texts are measured."""
     lab = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
                  .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label")))
     n, parts = lab.count(), 1_000_000
@@ -169,13 +170,18 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             cut = x.start.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.ListArray.from_arrays(cut, pa.array(x.index.astype(np.int32))),
-                 pa.ListArray.from_arrays(cut, pa.array(x.value))], ["id", "label", "index", "value"])
-
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                         F.col(length_col).cast("double").alias("length"))
-    sample = sample.join(F.broadcast(keep), "id").select("id", "label", "text", "length")
-    got = sample.mapInArrow(run, "id long, label int, index array<int>, value array<float>").toArrow().combine_chunks()
-    got = got.sort_by("id")
+                 pa.ListArray.from_arrays(cut, pa.array(x.value))], ["place", "label", "index", "value"])
+
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _length(docs, text_col, length_col))
+    # a label's id may have any number of rows: they are counted, and the sample keeps to its size
+    place = F.xxhash64(F.col("id").cast("string"), "text", F.lit(5))
+    sample = sample.join(F.broadcast(keep), "id").withColumn("place", place)
+    rows = sample.count()
+    if rows > 2 * sample_rows:
+        sample = sample.where(F.pmod("place", F.lit(parts)) < int(parts * sample_rows / rows))
+    sample = sample.select("place", "label", "text", "length")
+    got = sample.mapInArrow(run, "place long, label int, index array<int>, value array<float>").toArrow().combine_chunks()
+    got = got.sort_by([("place", "ascending"), ("label", "ascending")])
     index, value = got["index"].combine_chunks(), got["value"].combine_chunks()
     sizes = np.asarray(pa.compute.list_value_length(index)).astype(np.int64)
     x = Rows(np.asarray(index.flatten()).astype(np.int64), np.asarray(value.flatten()),
@@ -183,6 +189,12 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return train(x, np.asarray(got["label"]).astype(float))
 
 
+def _length(docs: DataFrame, text_col: str, length_col: str) -> Column:
+    """The length column, or where there is none the number of characters."""
+    value = F.col(length_col) if length_col in docs.columns else F.length(text_col)
+    return value.cast("double").alias("length")
+
+
 def _lengths(column: pa.Array) -> np.ndarray:
     return np.nan_to_num(column.to_numpy(zero_copy_only=False).astype(float))
 
@@ -203,8 +215,7 @@ def scored(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id", text_co
                 s = spec.value.score(features(utf8(batch, "text"), _lengths(batch.column(2))))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["id", "score"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       F.col(length_col).cast("double").alias("length"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _length(docs, text_col, length_col))
     return rows.mapInArrow(run, f"id {kind}, score double").select(
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

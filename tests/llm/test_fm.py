@@ -64,3 +64,30 @@ def test_one_class_no_labels_and_empty_table(make, spark):
     assert len({r.score for r in one}) == 1 and one[0].score > 0.9
     assert {r.score for r in M.quality(make(docs), labels_of(spark, [])).collect()} == {0.5}
     assert M.quality(make([]), labels_of(spark, [])).count() == 0
+
+
+def test_text_ids_and_no_length_column(make, spark):
+    from pyspark.sql import functions as F
+    docs, labels = corpus(600)
+    named = make(docs + [(None, "x")]).select(F.concat(F.lit("doc-"), "doc_id").alias("doc_id"), "text")
+    lab = labels_of(spark, labels).withColumn("doc_id", F.concat(F.lit("doc-"), "doc_id"))
+    out = M.quality(named, lab).collect()
+    truth = {f"doc-{i}": q for i, q, _ in labels}
+    held = [r for r in out if r.held_out and r.doc_id in truth]
+    assert len(out) == 601 and len(held) > 80 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
+
+
+def test_odd_and_very_long_texts(make, spark, odd_texts):
+    docs, labels = corpus(300)
+    out = M.quality(make(docs + [(1000 + i, t) for i, t in enumerate(odd_texts)]), labels_of(spark, labels)).collect()
+    assert len(out) == 300 + len(odd_texts) and all(0 <= r.score <= 1 for r in out)
+
+
+def test_a_label_with_many_rows_keeps_the_sample_bounded(make, spark, monkeypatch):
+    docs, labels = corpus(300)
+    rows = []
+    train = M.train
+    monkeypatch.setattr(M, "train", lambda x, y: (rows.append(len(y)), train(x, y))[1])
+    many = make(docs + [(1, f"{docs[1][1]} copy {k}") for k in range(3000)])
+    M.learn(many, labels_of(spark, labels), sample_rows=300)
+    assert rows[0] < 700
