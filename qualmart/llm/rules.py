@@ -1,9 +1,11 @@
 """Quality rules: a learned decision list over interpretable text statistics.
 
 The statistics come from one pass over the texts. Sequential covering on a bounded, hash-chosen
-sample of labelled rows grows conjunctions of thresholds by information gain, prunes them on rows
-held apart, and stops when a rule no longer holds there. The result is an ordered list of rules,
-given as one Spark conditional expression over the statistics of all documents.
+sample of labelled rows grows, at each step, a rule that rejects and one that keeps: conjunctions of
+thresholds by information gain, pruned on rows held apart. The more precise of the two joins the list,
+the rows that it covers leave, and the list ends when neither holds any more. The result is an ordered
+list of rules of both verdicts, given as one Spark conditional expression over the statistics of all
+documents.
 """
 
 from __future__ import annotations
@@ -99,9 +101,10 @@ def with_stats(docs: DataFrame, name: str, *, carry: list[str], text_col: str =
 
 @dataclass(frozen=True)
 class Rule:
-    """A conjunction of (feature, '<=' or '>', threshold): texts that it covers are rejected."""
+    """A conjunction of (feature, '<=' or '>', threshold) and the verdict on texts that it covers."""
 
     conditions: tuple[tuple[str, str, float], ...]
+    keep: bool = False
 
     def covers(self, values: dict[str, np.ndarray]) -> np.ndarray:
         out = np.ones(len(next(iter(values.values()))), bool)
@@ -129,7 +132,8 @@ def _entropy_gain(p: np.ndarray, n: np.ndarray, p0: int, n0: int) -> np.ndarray:
 
 
 def grow(values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
-    """Add the threshold that gains most until no good row is covered or nothing is gained."""
+    """Add the threshold that gains most until only rows of the wanted class (here ``bad``) are covered,
+    or nothing is gained."""
     inside, conditions = np.ones(len(bad), bool), []
     while len(conditions) < MAX_CONDITIONS and (~bad[inside]).any() and bad[inside].any():
         best = (1e-9, None)
@@ -142,7 +146,6 @@ def grow(values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
             if not len(ends):
                 continue
             if len(ends) > THRESHOLDS:
-                # where the class changes fastest and evenly spaced ones
                 ends = ends[np.unique(np.linspace(0, len(ends) - 1, THRESHOLDS).astype(int))]
             low_bad = np.cumsum(b)[ends]
             low_good = ends + 1 - low_bad
@@ -167,40 +170,61 @@ def prune(rule: Rule, values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     return Rule(rule.conditions[: max(range(1, len(rule.conditions) + 1), key=worth)])
 
 
+def _best(values: dict[str, np.ndarray], bad: np.ndarray, apart: np.ndarray) -> Rule | None:
+    """The better of a rule that rejects and one that keeps, by its precision on the rows held apart;
+    None if neither covers and is right often enough there."""
+    at = lambda m: {k: v[m] for k, v in values.items()}
+    found = []
+    for keep in (False, True):
+        wanted = ~bad if keep else bad
+        if not wanted[~apart].any() or wanted[~apart].all():
+            continue
+        rule = grow(at(~apart), wanted[~apart])
+        if not rule.conditions:
+            continue
+        rule = prune(rule, at(apart), wanted[apart])
+        inside = rule.covers(at(apart))
+        p, n = int(wanted[apart][inside].sum()), int((~wanted[apart][inside]).sum())
+        if p >= MIN_COVER and p >= MIN_PRECISION * (p + n):
+            found.append((p / (p + n), not keep, Rule(rule.conditions, keep)))
+    return max(found, key=lambda f: f[:2])[2] if found else None
+
+
 def learn(values: dict[str, np.ndarray], bad: np.ndarray, apart: np.ndarray) -> list[Rule]:
-    """Sequential covering: rows that a rule covers leave before the next is grown."""
+    """Sequential covering for both verdicts: rows that a rule covers leave before the next is grown, so
+    a rule speaks only of texts that the earlier ones leave undecided, and their order matters. What no
+    rule covers is kept, unless all that is left is bad."""
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        at = lambda m: ({k: v[m] for k, v in values.items()}, bad[m])  # noqa: B023, E731
-        if not bad[~apart].any() or bad[~apart].all():
-            break
-        rule = grow(*at(~apart))
-        if not rule.conditions:
-            break
-        held, held_bad = at(apart)
-        rule = prune(rule, held, held_bad)
-        inside = rule.covers(held)
-        p, n = int(held_bad[inside].sum()), int((~held_bad[inside]).sum())
-        if p < MIN_COVER or p < MIN_PRECISION * (p + n):
+    while len(rules) < MAX_RULES and bad.any():
+        if bad.all() and bad[apart].sum() >= MIN_COVER:
+            return [*rules, Rule(())]
+        rule = _best(values, bad, apart)
+        if rule is None:
             break
         rules.append(rule)
         left = ~rule.covers(values)
         values, bad, apart = {k: v[left] for k, v in values.items()}, bad[left], apart[left]
+    while rules and rules[-1].keep:  # the end of the list keeps anyway
+        rules.pop()
     return rules
 
 
 def learn_list(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS,
                id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[Rule]:
     """The decision list for ``docs`` from labelled rows (label 0 is bad, null is no label; of
-    repeated labels the smallest counts). At most about ``sample_rows`` labelled ids are used; their
-    statistics are all that reaches the driver. No labels, or labels of one class, give no rules."""
+    repeated labels the smallest counts). About ``sample_rows`` labelled rows are used; their statistics
+    are all that reaches the driver. No labels, or good ones alone, give no rules."""
     lab = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                  .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label")))
     n = lab.count()
     parts = 1_000_000
     keep = lab.where(F.pmod(F.xxhash64("id"), F.lit(parts)) < int(parts * min(1.0, sample_rows / max(n, 1))))
-    stats = with_stats(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                           .join(F.broadcast(keep), "id"), "s", carry=["id", "label"])
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(keep), "id")
+    found = sample.count()  # a label's id may have any number of rows
+    if found > 2 * sample_rows:
+        place = F.pmod(F.xxhash64("id", "text", F.lit(2)), F.lit(parts))
+        sample = sample.where(place < int(parts * sample_rows / found))
+    stats = with_stats(sample, "s", carry=["id", "label"])
     rows = stats.select((F.col("label") == 0).alias("bad"),
                         (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).alias("apart"),
                         F.col("s.n_words").alias("n"), F.col("s.n_repeat_words").alias("r"),
@@ -219,10 +243,10 @@ def base_failed(stats: str) -> Column:
 
 
 def verdict(rules: list[Rule], stats: str) -> Column:
-    """True if the text is kept: the first rule that covers it decides, the last rule keeps."""
+    """True if the text is kept: the first rule that covers it decides; without one it is kept."""
     out = F.when(base_failed(stats), F.lit(False))
     for rule in rules:
-        out = out.when(rule.column(stats), F.lit(False))
+        out = out.when(rule.column(stats), F.lit(rule.keep))
     return out.otherwise(F.lit(True))
 
 

@@ -77,3 +77,50 @@ def test_pruning_drops_conditions_that_do_not_hold():
 def test_empty_tables(make, spark):
     assert R.judged(make([]), labels_of(spark, [])).count() == 0
     assert R.judged(make([(1, "a " * 60)]), labels_of(spark, [])).first().base_failed
+
+
+def verdicts(rules, values):
+    out = np.ones(len(next(iter(values.values()))), bool)
+    free = out.copy()
+    for rule in rules:
+        hit = rule.covers(values) & free
+        out[hit], free = rule.keep, free & ~hit
+    return out
+
+
+def test_both_verdicts_in_order():
+    rng = np.random.default_rng(5)
+    values = {"x": rng.random(4000), "y": rng.random(4000)}
+    apart = rng.random(4000) < 0.3
+    corner = (values["x"] > 0.5) & (values["y"] > 0.5)   # good in one corner only: no conjunction covers the rest
+    assert (verdicts(R.learn(values, ~corner, apart), values) == corner).mean() > 0.98
+    # a few bad rows everywhere, none in the corner: keeping it is the surest rule, and comes first
+    noisy = ~corner & (rng.random(4000) < np.where(values["x"] < 0.3, 0.97, 0.02))
+    rules = R.learn(values, noisy, apart)
+    assert rules[0].keep and not rules[-1].keep and (verdicts(rules, values) == ~noisy).mean() > 0.95
+    # an exception inside a bad region, itself with an exception
+    bad = (values["x"] > 0.4) & ~((values["y"] > 0.3) & (values["y"] < 0.7))
+    rules = R.learn(values, bad, apart)
+    assert (verdicts(rules, values) == ~bad).mean() > 0.98
+
+
+def test_order_decides(spark):
+    from pyspark.sql import functions as F
+    name = next(iter(R.FEATURES))
+    rules = [R.Rule(((name, ">", 0.5),), True), R.Rule(())]
+    assert verdicts(rules, {name: np.array([0.4, 0.6])}).tolist() == [False, True]
+    assert verdicts(rules[::-1], {name: np.array([0.4, 0.6])}).tolist() == [False, False]
+    stats = spark.createDataFrame([(100, 500, 80, 0, 0)], "n_words long, word_chars long, n_symbols long, "
+                                                          "n_dup_lines long, n_repeat_words long").select(F.struct("*").alias("s"))
+    first, second = (stats.select(R.verdict(r, "s")).first()[0] for r in (rules, rules[::-1]))
+    assert second is False and first in (True, False)
+
+
+def test_a_label_with_many_rows_keeps_the_sample_bounded(make, spark, monkeypatch):
+    docs, labels = corpus(random.Random(1), 300)
+    many = make(docs + [(1, f"{docs[1][1]} copy {k}") for k in range(3000)])
+    seen = []
+    learn = R.learn
+    monkeypatch.setattr(R, "learn", lambda v, b, a: (seen.append(len(b)), learn(v, b, a))[1])
+    R.learn_list(many, labels_of(spark, labels), sample_rows=300)
+    assert seen[0] < 700
