@@ -14,11 +14,12 @@ link equal values as well. Numbers that fail their checks and all other text sta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "pseudonym-key"
 ROUNDS = 8
+#: Session setting that holds the key. Whoever has it can undo the permutations, so there is no default.
+KEY_SETTING = "spark.qualmart.pseudonymKey"
 
 _ALONE = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 #: Alternatives in the order in which they are tried at a place.
@@ -50,6 +51,11 @@ _EPOCH, _DAYS = "1700-01-01", (189, 773)  # 189 x 773 = 146,097 days: 1700 to 20
 _FORMATS = (r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"/", "dd/MM/yyyy"), (r"\.", "dd.MM.yyyy")
 
 
+def session_key(spark: SparkSession, otherwise: str) -> str:
+    """The session's key; ``otherwise`` is for data made up for tests."""
+    return spark.conf.get(KEY_SETTING, otherwise)
+
+
 def _prf(key: str, tag: Column, round_: Column, value: Column) -> Column:
     """Keyed pseudo-random number below 2^60."""
     text = F.concat_ws("|", F.lit(key), tag, round_.cast("string"), value.cast("string"))
@@ -271,7 +277,7 @@ def _replacement(m: Column, key: str) -> Column:
 
 
 def pseudonymised(docs: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars",
-                  key: str = KEY) -> DataFrame:
+                  key: str) -> DataFrame:
     """(row, text, kinds): ``row`` a struct of all columns of ``docs``, ``text`` the whole text with
     pseudonyms, ``kinds`` the kind of each replaced value in order of place.
 
@@ -296,7 +302,7 @@ def pseudonymised(docs: DataFrame, *, text_col: str = "text", length_col: str |
                         .alias("kinds"))
 
 
-def redacted(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars", key: str = KEY) -> DataFrame:
+def redacted(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars", key: str) -> DataFrame:
     """``docs`` with pseudonyms in the text; ``length_col``, if there is one, follows changed texts."""
     out = pseudonymised(docs, text_col=text_col, key=key)
     cols = []

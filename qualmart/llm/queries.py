@@ -67,7 +67,8 @@ def _is(name: str, value: Column) -> Column:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with pseudonyms for personal data, and how many of each kind."""
     from qualmart.llm import pii
-    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            key=pii.session_key(spark, corpus_pipeline.TEST_KEY))
     kinds = [F.size(F.filter("kinds", partial(_is, name))).alias(f"n_{name}")
              for name in pii.KINDS]
     return out.select("row.doc_id", "text", F.size("kinds").alias("n_found"), *kinds)

@@ -4,8 +4,12 @@ import re
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from qualmart.llm import pii as P
 
+KEY = "a key of the tests"
+
 
 def luhn(d):
     s = 0
@@ -25,7 +29,7 @@ def iban(country, body):
 
 
 def out_of(make, texts, **options):
-    rows = P.pseudonymised(make(list(enumerate(texts)), extra=["kinds", "new", "row"]), **options)
+    rows = P.pseudonymised(make(list(enumerate(texts)), extra=["kinds", "new", "row"]), **{"key": KEY, **options})
     return {r.doc_id: (r.text, r.kinds) for r in rows.select("row.doc_id", "text", "kinds").collect()}
 
 
@@ -84,10 +88,10 @@ def test_equal_values_are_linked_and_keys_differ(make):
 
 def test_redacted_documents(make):
     docs = make([(1, "x 10.1.2.3"), (2, None), (2, None), (3, "clean")], extra=["kinds"])
-    out = {r.doc_id: r for r in P.redacted(docs).collect()}
-    assert P.redacted(docs).columns == docs.columns and P.redacted(docs).count() == 4
+    out = {r.doc_id: r for r in P.redacted(docs, key=KEY).collect()}
+    assert P.redacted(docs, key=KEY).columns == docs.columns and P.redacted(docs, key=KEY).count() == 4
     assert out[1].n_chars == len(out[1].text) and out[2].text is None and out[3].text == "clean" and out[3].kinds == 7
-    assert P.redacted(make([])).count() == 0
+    assert P.redacted(make([]), key=KEY).count() == 0
 
 
 def test_accounts_end_at_a_border_of_blocks(make):
@@ -126,3 +130,14 @@ def test_secrets_without_digits_and_long_ones(make):
         new, kinds = got[i]
         assert kinds == ["secret"] and v not in new and len(new) == len(texts[i])
         assert new.startswith(f"see {f or v[:4]}") and new.endswith(" there")
+
+
+def test_the_key_has_no_default(make, spark):
+    with pytest.raises(TypeError):
+        P.redacted(make([]))
+    assert P.session_key(spark, "other") == "other"
+    spark.conf.set(P.KEY_SETTING, "own")
+    assert P.session_key(spark, "other") == "own"
+    spark.conf.unset(P.KEY_SETTING)
+    docs = make([(1, "card 4111 1111 1111 1111")])
+    assert len({P.redacted(docs, key=k).first().text for k in ("a", "b")}) == 2

@@ -62,5 +62,5 @@ def test_null_and_repeated_ids_with_different_texts(make, spark):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES) and len(C.STAGES) == 5
