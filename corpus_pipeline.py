@@ -14,6 +14,10 @@ from qualmart.llm.common import fresh, table
 from qualmart.session import materialize
 
 
+#: Key of the pseudonyms where the session sets none: good enough for made-up documents only.
+TEST_KEY = "pseudonym-key"
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned decision list keeps."""
     return rules.kept_documents(docs, table(spark, sf_dir, "labels"))
@@ -51,7 +55,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal data."""
-    return pii.redacted(docs)
+    return pii.redacted(docs, key=pii.session_key(spark, TEST_KEY))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
