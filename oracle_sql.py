@@ -778,6 +778,13 @@ LEFT JOIN lineitem k2 ON x.k_orderkey = k2.l_orderkey AND k2.l_linenumber = x.k_
             f"SELECT '{a}' AS attribute, y AS StartYear, count(DISTINCT k)::BIGINT AS member_count FROM "
             f"(SELECT year(f.StartDate)::INT AS y, {ck('d.' + a)} AS k FROM {FACT_FAC}) GROUP BY {by}"
             for a in COUNTED for by in ("GROUPING SETS ((y), ())",)))
+    q["cardinality_over_loads"] = (
+        f"{TWO_LOADS}, seen AS (SELECT f.StartDate, f.MeasureName, d.* FROM o_fact f LEFT JOIN o_dim_fac d "
+        f"ON f.FacilityKey = d.FacilityKey UNION ALL SELECT f.StartDate, f.MeasureName, d.* FROM n_fact f "
+        f"LEFT JOIN n_dim_fac d ON f.FacilityKey = d.FacilityKey) " + " UNION ALL ".join(
+            f"SELECT '{a}' AS attribute, y AS StartYear, count(DISTINCT k)::BIGINT AS member_count FROM "
+            f"(SELECT year(StartDate)::INT AS y, {ck(a)} AS k FROM seen) GROUP BY GROUPING SETS ((y), ())"
+            for a in ("FacilityName", *COUNTED, "MeasureName")))
     facts = (f"facts AS (SELECT f.*, s.* EXCLUDE (DateKey), d.* EXCLUDE (FacilityKey, FacilityID, FacilityName), "
              f"d.FacilityName, coalesce(FacilityAddress, '') || ' ' || coalesce(FacilityCity, '') || ', ' || "
              f"coalesce(FacilityState, '') || ' ' || coalesce(FacilityZipCode, '') AS FacilityFullAddress, "

@@ -23,7 +23,7 @@ from qualmart.plans import model as M
 from qualmart.plans import reports as R
 from qualmart.plans import staging as S
 from qualmart.plans import star as ST
-from qualmart.plans.refresh import RefreshConfig, published_tables, refresh
+from qualmart.plans.refresh import RefreshConfig, published_sketches, published_tables, refresh
 from qualmart.session import materialize, scratch_path
 from qualmart.sources import fixtures as X
 from qualmart.sources import schemas
@@ -42,6 +42,7 @@ CARDINALITY_ATTRS = ("FacilityCity", "FacilityCountyName", "FacilityState", "Fac
 # ---------------------------------------------------------------------------------------------------
 
 _RUNS: dict[tuple, dict[str, DataFrame]] = {}
+_SKETCHES: dict[tuple, DataFrame] = {}     # sketches of all versions of a scenario
 STAGED_NAMES = ("us_facilities", "us_measures", "us_facility_measures", "regional_facilities",
                 "regional_measures", "regional_facility_measures", "dim_facility", "fact_measure")
 
@@ -114,7 +115,7 @@ def run_refreshes(spark: SparkSession, sf: str, kind: str, reuse: bool = True
         refresh(spark, store, a_old, b_old, _config())
         refresh(spark, store, a_new, b_new, _config())
     tables = published_tables(store)
-    _RUNS[key] = tables
+    _RUNS[key], _SKETCHES[key] = tables, published_sketches(store)
     return tables
 
 
@@ -414,10 +415,19 @@ def q_month_slicer(spark, sf):
                            filters={"DayLongDescription": DAYS})
 
 
+def _sketches(spark, sf, kind: str) -> DataFrame:
+    run_refreshes(spark, sf, kind)
+    return _SKETCHES[(spark.sparkContext.applicationId, sf, kind, _table_files(spark, sf))]
+
+
 def q_cardinality_by_sketch(spark, sf):
-    """Members per attribute and start year, and over all years, from mergeable sketches."""
-    sketches = M.member_sketches(star_model(spark, sf), CARDINALITY_ATTRS)
-    return M.merged_cardinality(materialize(sketches, "sketches"))
+    """Members per attribute and start year, and over all years, from the published sketches alone."""
+    return M.merged_cardinality(_sketches(spark, sf, "single").where(F.col("attribute").isin(*CARDINALITY_ATTRS)))
+
+
+def q_cardinality_over_loads(spark, sf):
+    """Members that either of two loads' versions has had, per attribute and start year and over all."""
+    return M.merged_cardinality(_sketches(spark, sf, "two_loads"))
 
 
 def q_model_calendar(spark, sf):

@@ -11,6 +11,7 @@ the checks succeed; a failure surfaces as an exception and the previous version
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from qualmart.functions.clean import DEFAULT_DATE_FORMAT, STRICT
 from qualmart.operators import gate
 from qualmart.operators.calendar import BEGINNING_OF_TIME, DEFAULT_END, DEFAULT_START, END_OF_TIME, calendar
 from qualmart.operators.feeds import INFECTIONS, OUTCOMES, typed_feed
-from qualmart.plans import staging, star
+from qualmart.plans import model, staging, star
 from qualmart.session import scratch_path, scratch_scope
 from qualmart.sources import schemas
 from qualmart.sources.store import TableStore
@@ -35,6 +36,9 @@ STAGED_TABLES = {
     "fact_measure": schemas.FACT_MEASURE_SCHEMA,
 }
 STATIC_TABLES = ("dim_date", "measure_types", "sort_orders")
+#: Sketches of the members that each version's facts have, per start year (``model.member_sketches``).
+SKETCHES = "member_sketches"
+SKETCHED = ("FacilityName", "FacilityCity", "FacilityCountyName", "FacilityState", "FacilityZipCode", "MeasureName")
 SENTINELS = (BEGINNING_OF_TIME, END_OF_TIME)
 
 
@@ -76,7 +80,8 @@ class _Attempt:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """A table of the new version, or an intermediate one that goes when the refresh ends."""
-        path = None if name in STAGED_TABLES or name in STATIC_TABLES else scratch_path(df.sparkSession, name)
+        stays = name in STAGED_TABLES or name in STATIC_TABLES or name == SKETCHES
+        path = None if stays else scratch_path(df.sparkSession, name)
         back, seen = self.store.write(name, df, self.version, self._metrics(name), path)
         if seen:
             self.seen[name] = seen
@@ -177,6 +182,7 @@ def _refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infect
         prev["fact_measure"], src("fact_measure", star.fact_source(
             out["regional_facility_measures"], out["regional_measures"], types, sorts, out["dim_facility"],
             dim_date)), first, spread("fact_measure"))))
+    w(SKETCHES, model.member_sketches(model.StarModel(out["fact_measure"], out["dim_facility"], dim_date), SKETCHED))
     attempt.publish()
 
     rows = {n: attempt.seen[n]["rows"] for n in (*STAGED_TABLES, *STATIC_TABLES)}
@@ -184,6 +190,14 @@ def _refresh(spark: SparkSession, store: TableStore, outcomes: DataFrame, infect
     return Refreshed(attempt.version, rows, rows["regional_facility_measures"] - joined)
 
 
+def published_sketches(store: TableStore) -> DataFrame:
+    """The member sketches of all published versions, one under the other: merged, they estimate the
+    members that any version has had, without reading a fact."""
+    versions = range(1, (store.published_version() or 0) + 1)
+    parts = [store.read(SKETCHES, v).withColumn("version", F.lit(v)) for v in versions]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def published_tables(store: TableStore, version: int | None = None) -> dict[str, DataFrame]:
     v = store.published_version() if version is None else version
     return {n: store.read(n, v) for n in (*STAGED_TABLES, *STATIC_TABLES)}

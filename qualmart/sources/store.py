@@ -29,7 +29,8 @@ LOG_SCHEMA = "version int, folder string, published_at timestamp"
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                      4 * spark.sparkContext.defaultParallelism)
         self.root = root.rstrip("/")
         self._folders: dict[int, str] = {}
         self._published: int | None = None   # last version this writer saw or published

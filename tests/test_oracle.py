@@ -17,7 +17,7 @@ STAR = ["measures_us", "measures_regional", "facility_measures_us", "dim_facilit
         "fact_measure", "measure_summary", "facility_measure_crosstab", "calendar_rollup",
         "facility_rank", "layer_reconciliation", "fk_violations", "null_violations",
         "length_violations", "flat_report_staging_us", "flat_report_star", "facility_comparison",
-        "county_report", "attribute_totals", "year_slicer", "month_slicer", "cardinality_by_sketch",
+        "county_report", "attribute_totals", "year_slicer", "month_slicer", "cardinality_by_sketch", "cardinality_over_loads", "cardinality_over_loads",
         "model_calendar", "calendar_usage", "damaged_keys", "damaged_references", "damaged_nulls", "lost_facts", "upsert_facility_measures",
         "upsert_regional_facilities", "upsert_regional_measures", "refresh_idempotent_state"]
 
