@@ -1,20 +1,24 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-The benchmark is a query set; it reaches the tasks in blocks of bounded size. A task collects
-documents into shards of at most ``SHARD_WORDS`` words, numbers their words by the block's
-vocabulary (any other word ends a run; runs shorter than the shortest phrase can hold none and are
-left out), indexes the shard, searches all phrases backwards at once, locates the occurrences and
-merges them into spans of each document.
+The benchmark is a query set; it reaches the tasks in blocks of bounded size. One block is broadcast.
+Several are made into phrase tables by tasks, one each, and written to the shared folder; whatever their
+number, a task holds one at a time and the driver none. A task collects documents into shards of at most
+``SHARD_WORDS`` words. For each block it numbers the shard's words by the block's vocabulary (any other
+word ends a run; runs shorter than the shortest phrase can hold none and are left out), indexes the shard,
+searches all phrases backwards at once, locates the occurrences and merges them into spans of each
+document.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,70 +127,112 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[done:]])
 
 
-def blocks(bench: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_bytes``, chosen by hash; each is all the driver holds."""
-    b = bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
-                     F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    total = b.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for i in range(n):
-        rows = b.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).collect()
-        yield [(r.item, bytes(r.text)) for r in rows]
+def _items(bench: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return bench.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
+                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def _pass(docs: DataFrame, items: list[tuple[str, bytes]], *, carry: list[str], text_col: str,
-          found: str, cut: bool, window: int, shard_words: int) -> DataFrame:
-    """Search one block: ``carry`` columns, and in the struct ``found`` n_words, spans and items so
-    far. With ``cut`` the hit words leave the text, until no window occurs."""
-    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
+def n_blocks(bench: DataFrame, item_col: str, text_col: str, block_bytes: int) -> int:
+    size = F.octet_length("text") + 16
+    total = _items(bench, item_col, text_col).agg(F.sum(size)).first()[0] or 0
+    return max(1, -(-total // block_bytes))
+
+
+class _Broadcast:
+    """The phrase table of the only block."""
+
+    def __init__(self, bench: DataFrame, item_col: str, text_col: str, window: int):
+        rows = _items(bench, item_col, text_col).collect()
+        table = Phrases([(r.item, bytes(r.text)) for r in rows], window)
+        self._table = bench.sparkSession.sparkContext.broadcast(table)
+
+    def __iter__(self) -> Iterator[Phrases]:
+        yield self._table.value
+
+
+class _Files:
+    """The phrase tables of several blocks, chosen by hash, in files that every task can read."""
+
+    def __init__(self, bench: DataFrame, item_col: str, text_col: str, window: int, n: int):
+        part = F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int").alias("part")
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)]
+            if items:
+                table = pickle.dumps(Phrases(items, window), pickle.HIGHEST_PROTOCOL)
+                yield pa.RecordBatch.from_arrays([pa.array([table], pa.binary())], ["table"])
+
+        tables = (_items(bench, item_col, text_col).select(part, "item", "text").repartitionById(n, F.col("part"))
+                  .mapInArrow(pack, "table binary"))
+        written = materialize(tables, "decontam-blocks")
+        self._paths = sorted(r[0] for r in written.select(F.input_file_name()).distinct().collect())
+
+    def __iter__(self) -> Iterator[Phrases]:
+        for path in self._paths:
+            source, inside = pafs.FileSystem.from_uri(path)
+            for value in pq.read_table(inside, filesystem=source, columns=["table"])["table"]:
+                yield pickle.loads(value.as_buffer())
+
+
+def _blocks(bench: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> _Broadcast | _Files:
+    n = n_blocks(bench, item_col, text_col, block_bytes)
+    return _Broadcast(bench, item_col, text_col, window) if n == 1 else _Files(bench, item_col, text_col, window, n)
+
+
+def _pass(docs: DataFrame, tables: _Broadcast | _Files, *, carry: list[str], text_col: str,
+          found: str, cut: bool, shard_words: int) -> DataFrame:
+    """Search all blocks: ``carry`` columns, and in the struct ``found`` n_words, spans and items.
+    With ``cut`` (one block) the hit words leave the text, until no window occurs."""
     cols = list(dict.fromkeys([*carry, text_col]))
-    earlier = found in docs.columns
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(found, T.StructType([
         T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
         T.StructField("items", T.ArrayType(T.StringType()))]))])
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))),
                       ("items", pa.list_(pa.string()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p: Phrases = phrases.value
+    def ids(words: list[bytes], p: Phrases) -> np.ndarray:
         number = p.vocab.get
-        held: list[tuple[pa.RecordBatch, list[bytes], int, list[np.ndarray]]] = []
+        return np.fromiter((number(x, 0) for x in words), np.int64, len(words))
 
-        def ids(text: bytes) -> np.ndarray:
-            w = words_of(text)
-            return np.fromiter((number(x, 0) for x in w), np.int64, len(w))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.RecordBatch, list[bytes], list[list[bytes]]]] = []
+
+        def again_until_clean(texts: list[bytes], spans: list, p: Phrases) -> dict[int, bytes]:
+            """The new texts of the documents with spans."""
+            out, again = {}, {i: s for i, s in enumerate(spans) if s}
+            while again:
+                for i, s in again.items():
+                    out[i] = cut_words(out.get(i, texts[i]), s)
+                where = list(again)
+                more, _ = search_shard([ids(words_of(out[i]), p) for i in where], p)
+                again = {where[k]: s for k, s in enumerate(more) if s}
+            return out
 
         def finish() -> Iterator[pa.RecordBatch]:
-            docs_ids = [d for h in held for d in h[3]]
-            spans, owners = search_shard(docs_ids, p)
-            texts = {}
-            if cut:
-                all_texts = [t for h in held for t in h[1]]
-                again = {i: s for i, s in enumerate(spans) if s}
-                while again:
-                    for i, s in again.items():
-                        texts[i] = cut_words(texts.get(i, all_texts[i]), s)
-                    where = list(again)
-                    more, _ = search_shard([ids(texts[i]) for i in where], p)
-                    again = {where[k]: s for k, s in enumerate(more) if s}
+            shard = [w for h in held for w in h[2]]
+            spans: list[list] = [[] for _ in shard]
+            items: list[list[str]] = [[] for _ in shard]
+            texts: dict[int, bytes] = {}
+            for p in tables:
+                for i, (s, o) in enumerate(zip(*search_shard([ids(w, p) for w in shard], p), strict=True)):
+                    spans[i] += s
+                    items[i] += [p.names[k] for k in o]
+                if cut:
+                    texts = again_until_clean([t for h in held for t in h[1]], spans, p)
+            rows = [{"n_words": len(w), "spans": _merged(s), "items": o}
+                    for w, s, o in zip(shard, spans, items, strict=True)]
             i = 0
-            for batch, _, n, own in held:
-                rows = [{"n_words": len(d), "spans": s, "items": [p.names[k] for k in o]}
-                        for d, s, o in zip(own, spans[i:i + n], owners[i:i + n], strict=True)]
-                if earlier:
-                    for r, old in zip(rows, batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                        r["items"] += old["items"]
-                        r["spans"] = _merged([*r["spans"], *old["spans"]])
-                        r["n_words"] = old["n_words"]
+            for batch, _, own in held:
+                n = len(own)
                 arrays = [batch.column(cols.index(c)) for c in carry]
-                if cut and text_col in carry and any(i <= k < i + n for k in texts):
+                if text_col in carry and any(i <= k < i + n for k in texts):
                     at = carry.index(text_col)
                     new = arrays[at].to_pylist()
                     for k, t in texts.items():
                         if i <= k < i + n:
                             new[k - i] = t.decode()
                     arrays[at] = pa.array(new, arrays[at].type)
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(rows, kind)], [*carry, found])
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(rows[i:i + n], kind)], [*carry, found])
                 i += n
             held.clear()
 
@@ -195,8 +241,8 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], *, carry: list[str],
             for at in range(0, whole.num_rows, 256):  # so that a shard ends near its size
                 batch = whole.slice(at, 256)
                 texts = utf8(batch, text_col)
-                own = [ids(t) for t in texts]
-                held.append((batch, texts if cut else [], len(texts), own))
+                own = [words_of(t) for t in texts]
+                held.append((batch, texts if cut else [], own))
                 words += sum(map(len, own))
                 if words >= shard_words:
                     yield from finish()
@@ -204,7 +250,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], *, carry: list[str],
         if held:
             yield from finish()
 
-    return docs.select([F.col(f"`{c}`") for c in cols + [found] * earlier]).mapInArrow(run, schema)
+    return docs.select([F.col(f"`{c}`") for c in cols]).mapInArrow(run, schema)
 
 
 def _cut(docs: DataFrame, columns: list[str], text_col: str, found: str) -> DataFrame:
@@ -240,13 +286,8 @@ def contamination(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
     empty benchmark nothing is hit; an empty table gives an empty result.
     """
     found = fresh(docs.columns, "found")
-    out, parts = docs, blocks(bench, item_col, bench_text_col, block_bytes)
-    part, following = next(parts), next(parts, None)
-    while part is not None:
-        carry = [id_col] if following is None else [id_col, text_col]
-        out = _pass(out, part, carry=carry, text_col=text_col, found=found, cut=False, window=window,
-                    shard_words=shard_words)
-        part, following = following, next(parts, None)
+    out = _pass(docs, _blocks(bench, item_col, bench_text_col, window, block_bytes), carry=[id_col],
+                text_col=text_col, found=found, cut=False, shard_words=shard_words)
     hit = F.aggregate(f"{found}.spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
     items = F.array_sort(F.array_distinct(f"{found}.items"))
     return out.select(F.col(id_col).alias("doc_id"), f"{found}.n_words", hit.alias("n_hit"),
@@ -269,11 +310,8 @@ def decontaminated(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
     found = fresh(docs.columns, "found")
     columns = docs.columns
 
-    def searched(rows: DataFrame, parts: Iterator, cut: bool) -> DataFrame:
-        for part in parts:
-            rows = _pass(rows, part, carry=columns, text_col=text_col, found=found, cut=cut, window=window,
-                         shard_words=shard_words)
-        return rows
+    def searched(rows: DataFrame, cut: bool) -> DataFrame:
+        return _pass(rows, tables, carry=columns, text_col=text_col, found=found, cut=cut, shard_words=shard_words)
 
     def left(rows: DataFrame) -> DataFrame:
         rows = rows.where((F.size(f"{found}.spans") == 0) | F.col(f"`{text_col}`").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
@@ -282,23 +320,19 @@ def decontaminated(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
                                    .otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
         return rows.select([F.col(f"`{c}`") for c in columns])
 
-    def all_blocks() -> Iterator[list[tuple[str, bytes]]]:
-        return blocks(bench, item_col, bench_text_col, block_bytes)
-
-    parts = all_blocks()
-    one, second = next(parts), next(parts, None)
-    if second is None:
-        return left(searched(docs, iter([one]), True))
-    out, again, parts = None, docs, chain([one, second], parts)
+    tables = _blocks(bench, item_col, bench_text_col, window, block_bytes)
+    if isinstance(tables, _Broadcast):
+        return left(searched(docs, True))
+    out, again = None, docs
     while True:
-        rows = materialize(searched(again, parts, False), "decontam-round")
+        rows = materialize(searched(again, False), "decontam-round")
         hit = F.size(f"{found}.spans") > 0
         clean = rows.where(~hit).select([F.col(f"`{c}`") for c in columns])
         out = clean if out is None else out.unionByName(clean)
         changed = rows.where(hit)
         if changed.isEmpty():
             return out
-        again, parts = left(_cut(changed, columns, text_col, found)), all_blocks()
+        again = left(_cut(changed, columns, text_col, found))
 
 
 #: DuckDB SQL of ``contamination`` over ``documents`` and ``benchmark``.

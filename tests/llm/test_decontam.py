@@ -61,7 +61,7 @@ def test_removal_does_not_depend_on_the_blocks(make, spark):
         return sorted(map(tuple, out.collect()), key=str)
     whole = rows(D.decontaminated(frame, items))
     out = D.decontaminated(frame, items, block_bytes=150, shard_words=300)
-    assert len(list(D.blocks(items, "item_id", "text", 150))) > 3
+    assert D.n_blocks(items, "item_id", "text", 150) > 3
     assert rows(out) == whole and len(whole) == len(docs) - 1
     assert D.contamination(out, items).where("contaminated").count() == 0
 
@@ -89,3 +89,18 @@ def test_index_against_plain_search():
             for p, a, b in zip(phrases, low, high, strict=True):
                 want = [i for i in range(701 - length) if (text[i:i + length] == p).all()]
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_many_blocks_are_one_stage_without_driver_tables(make, spark, monkeypatch):
+    rng = random.Random(7)
+    bench = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(20))) for i in range(200)]
+    docs = [(i, f"a b {bench[i * 5][1]} c") for i in range(40)] + [(100, "clean")]
+    size = sum(len(t) + 16 for _, t in bench)
+    built = []
+    monkeypatch.setattr(D, "_Broadcast", lambda *a: built.append(a))    # the driver makes no table
+    out = D.contamination(make(docs), bench_of(spark, bench), block_bytes=size // 16, shard_words=200)
+    assert D.n_blocks(bench_of(spark, bench), "item_id", "text", size // 16) >= 16 and not built
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in out.collect()}
+    assert got.pop(100) == (0, 0) and all(n == 20 and k >= 1 for n, k in got.values())
