@@ -106,14 +106,39 @@ IDS = {
 #: Sentences of license texts have priority 3.
 SENTENCES = {
     "mit": ("permission is hereby {granted} free of charge to any person obtaining a copy",
-            "the software is provided as is without {warranty} of any kind"),
+            "the software is provided as is without {warranty} of any kind",
+            "the above copyright notice and this {permission} notice shall be included in all copies"),
     "isc": ("{permission} to use copy modify and or distribute this software for any purpose",),
-    "bsd": ("{redistribution} and use in source and binary forms with or without modification",),
+    "bsd": ("{redistribution} and use in source and binary forms with or without modification",
+            "redistributions of source code must {retain} the above copyright notice",
+            "redistributions in binary form must {reproduce} the above copyright notice"),
+    "bsd-3": ("may be used to {endorse} or promote products derived from this software",),
+    "bsd-4": ("all advertising {materials} mentioning features or use of this software must display",),
     "gpl": ("this program is free software you can {redistribute} it and or modify it",
-            "either version [23] of the {license} or at your option any later version"),
-    "zlib": ("this software is provided as is without any express or implied {warranty}",),
+            "either version [23] of the {license} or at your option any later version",
+            "{gnu} general public license as published by the free software foundation"),
+    "lgpl": ("this {library} is free software you can redistribute it and or modify it",
+             "gnu {lesser} general public license as published by the free software foundation"),
+    "agpl": ("gnu {affero} general public license as published by the free software foundation",
+             "all users {interacting} with it remotely through a computer network"),
+    "mpl-2": ("this source code form is subject to the terms of the {mozilla} public license v 2 0",
+              "if a copy of the {mpl} was not distributed with this file"),
+    "epl": ("this program and the accompanying materials are made available under the terms of the {eclipse} public license",),
+    "cddl": ("the contents of this file are subject to the terms of the common {development} and distribution license",),
+    "boost": ("free of charge to any person or organization {obtaining} a copy of the software and accompanying documentation",),
+    "ofl": ("any person obtaining a copy of the {font} software to use study copy merge embed modify redistribute",
+            "any of its individual components in original or modified versions may be {sold} by itself"),
+    "openssl": ("this product includes software developed by the {openssl} project for use in the openssl toolkit",),
+    "postgresql": ("permission to use copy modify and distribute this software and its {documentation} for any purpose without fee",),
+    "ms-pl": ("if you bring a patent claim against any {contributor} over patents that you claim are infringed",),
+    "bsl": ("the {licensor} hereby grants you the right to copy modify create derivative works redistribute and make non production use",),
+    "elastic": ("you may not provide the software to third parties as a {hosted} or managed service",),
+    "creative-commons": ("by {exercising} the licensed rights defined below you accept and agree to be bound by the terms",),
+    "zlib": ("this software is provided as is without any express or implied {warranty}",
+             "{altered} source versions must be plainly marked as such"),
     "unlicense": ("this is free and {unencumbered} software released into the public domain",),
-    "apache-2": ("you may not use this file except in compliance with the {license}",),
+    "apache-2": ("you may not use this file except in compliance with the {license}",
+                 "distributed on an as is {basis} without warranties or conditions of any kind"),
     "cc0": ("{waived} all copyright and related or neighboring rights",),
     "proprietary": ("{confidential} and proprietary", "{unauthorized} (?:copying|use|reproduction) of this file"),
 }

@@ -106,3 +106,16 @@ def test_grants_without_the_word_license(make):
     got = [(r.labels, r.score, [(d.priority, d.start) for d in r.detections]) for r in
            L.scanned(make(list(enumerate(texts))).coalesce(1)).collect()]
     assert got == [(label, 0.75, [(3, 0)]) for label in ("apache-2", "gpl-3", "cc-by", "cc0")]
+
+
+def test_every_sentence_is_found_whole(make):
+    plain = [(label, re.sub(r"\(\?:([^|)]*)[^)]*\)", r"\1", s.replace("{", "").replace("}", "")).replace("[23]", "2"))
+             for label, sentences in L.SENTENCES.items() for s in sentences]
+    assert len(plain) > 30
+    texts = [f"Some words. {s.capitalize()}, and so on." for _, s in plain] + [s[:s.rindex(" ")] for _, s in plain]
+    got = {r.doc_id: r for r in L.scanned(make(list(enumerate(texts)))).collect()}
+    for i, (label, s) in enumerate(plain):
+        assert (label, 3, 2, 2 + len(s.split())) in [tuple(d) for d in got[i].detections], s
+        assert [tuple(d) for d in got[i].detections] == brute_detections(texts[i]), s
+        short = [tuple(d) for d in got[len(plain) + i].detections]
+        assert short == brute_detections(texts[len(plain) + i]) and (label, 3, 0, len(s.split())) not in short, s
