@@ -119,8 +119,13 @@ def test_scores_do_not_depend_on_partitions(make):
         docs = make(rows).repartition(parts)
         model = L.fit(docs, replica=200)      # about ten replicas a round
         got = L.scored(docs, model).collect()
-        results.append((model.weights, sorted((str(r.doc_id), r.n_tokens, round(r.log_likelihood, 5)) for r in got)))
-    assert results[0] == results[1] == results[2] and len(results[0][1]) == len(rows)
+        results.append((model.weights, sorted((str(r.doc_id), r.n_tokens, r.log_likelihood) for r in got)))
+    assert len(results[0][1]) == len(rows)
+    for weights, scores in results[1:]:
+        assert weights == results[0][0]         # the network is the same to the last bit
+        assert [s[:2] for s in scores] == [s[:2] for s in results[0][1]]
+        # scoring multiplies matrices of other heights, so its 32-bit sums may round otherwise
+        assert np.allclose([s[2] for s in scores], [s[2] for s in results[0][1]], rtol=1e-6, atol=1e-5)
 
 
 def test_whole_fit_against_a_plain_loop(make):
