@@ -16,7 +16,8 @@ The network knows the most frequent words and hash buckets of the others. A word
 bucket's probability times its share of the bucket: n / (N + 1), of the exact counts n of the word
 and N of the bucket's D distinct words. The remaining 1 / (N + 1) is for unseen words, of which as
 many are supposed as seen ones: 1 / ((N + 1) max(D, 1)) each. The counts of the words beyond the
-vocabulary stay a table; (row, word) counts are joined to it.
+vocabulary stay a table; every task has those of the ``KNOWN`` most frequent words when it scores, and
+the (row, word) counts of all others are joined to the table.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import io
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -47,12 +49,16 @@ SIDE = 2
 #: One position in this many is a training target: every one.
 STRIDE = 1
 BATCH = 1024
+#: Positions that are scored at once.
+SCORED = 8192
 RATE = 0.15
 #: Passes of averaging, and words of the corpus per replica of one.
 ROUNDS = 4
 REPLICA = 1 << 20
 #: Replicas that are averaged at once.
 FAN_IN = 16
+#: Words beyond the vocabulary whose counts every task has when it scores; those of all others are joined.
+KNOWN = 200_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 400_000
 #: Sums of log shares are taken of whole multiples of 1 / SHARE_UNIT, so that their order is of no account.
@@ -86,14 +92,27 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 class Vocabulary(dict):
-    """Word -> token; words beyond the vocabulary share hash buckets and are not remembered."""
+    """Word -> number: tokens first, then other known words, which share hash buckets with unknown ones."""
 
-    def __missing__(self, word: bytes) -> int:
-        return WORDS + zlib.crc32(word) % BUCKETS
+    def __init__(self, tokens: dict[bytes, int], known: dict[bytes, int] | None = None):
+        super().__init__(tokens)
+        others = list(known or ())
+        self.update(zip(others, range(len(tokens), len(tokens) + len(others))))
+        self.tokens = np.concatenate([np.arange(max(len(tokens), 1)), np.array(
+            [WORDS + zlib.crc32(word) % BUCKETS for word in others], np.int64)])
 
-    def ids(self, text: bytes) -> np.ndarray:
+    def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Tokens, numbers (-1: unknown) and unknown words of a text."""
         w = words_of(text)
-        return np.fromiter(map(self.__getitem__, w), np.int64, len(w))
+        number = np.fromiter(map(self.get, w, repeat(-1)), np.int64, len(w))
+        tokens, missed = self.tokens[number], np.flatnonzero(number < 0)
+        unknown = [w[k] for k in missed.tolist()]
+        crcs = np.fromiter(map(zlib.crc32, unknown), np.int64, len(unknown))
+        tokens[missed] = WORDS + crcs % BUCKETS
+        return tokens, number, unknown
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return self.read(text)[0]
 
 
 def _arrays(data: bytes) -> list[np.ndarray]:
@@ -133,25 +152,24 @@ class Network:
     def hidden(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
         h = np.repeat(self.bias[None], len(at), axis=0)
         for place, shift in zip(self.place, _SHIFTS, strict=True):
-            h += place * self.embed[tokens[at + shift]]
+            h += place * np.take(self.embed, tokens[at + shift], axis=0)
         return np.tanh(h)
 
     def _by_class(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """In-class probabilities of rows that are sorted by class, and (class, first, end) of each run."""
         cut = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
         runs = [(c, a, b) for c, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-        logits = np.empty((len(cls), IN_CLASS), h.dtype)
+        logits = self.word_b[cls]
         for c, a, b in runs:
-            np.matmul(h[a:b], self.word_w[c].T, out=logits[a:b])
-        logits += self.word_b[cls]
+            logits[a:b] += h[a:b] @ self.word_w[c].T
         return _softmax(logits), runs
 
     def log_probs(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p(token | two tokens on either side) at each position; ``tokens`` is padded."""
         out = np.empty(len(at), np.float64)
-        for k in range(0, len(at), 16_384):
-            here = at[k:k + 16_384]
-            order = np.argsort(tokens[here], kind="stable")
+        for k in range(0, len(at), SCORED):
+            here = at[k:k + SCORED]
+            order = np.argsort(tokens[here].astype(np.int16), kind="stable")  # 16 bits are sorted by radix
             here = here[order]
             h, target, each = self.hidden(tokens, here), tokens[here], np.arange(len(here))
             cls = target // IN_CLASS
@@ -167,44 +185,59 @@ class Network:
         step = batch or BATCH
         for k in range(0, len(at), step):
             here = at[k:k + step]
-            here = here[np.argsort(tokens[here], kind="stable")]  # class by class
+            here = here[np.argsort(tokens[here].astype(np.int16), kind="stable")]  # class by class
             target, n = tokens[here], len(here)
-            cls, each = target // IN_CLASS, np.arange(n)
+            cls, each, share = target // IN_CLASS, np.arange(n), np.float32(1 / n)
             context = np.stack([tokens[here + s] for s in _SHIFTS])
-            near = self.embed[context]
+            near = np.take(self.embed, context, axis=0)
             h = np.tanh(np.einsum("smd,sd->md", near, self.place) + self.bias)
             err = _softmax(h @ self.class_w.T + self.class_b)
             err[each, cls] -= 1
+            err *= share
             back = err @ self.class_w
             grads = [None, None, None, err.T @ h, err.sum(axis=0), np.zeros_like(self.word_w), np.zeros_like(self.word_b)]
             err, runs = self._by_class(h, cls)
             err[each, target % IN_CLASS] -= 1
+            err *= share
             for c, a, b in runs:
-                back[a:b] += err[a:b] @ self.word_w[c]
-                np.matmul(err[a:b].T, h[a:b], out=grads[5][c])
-                grads[6][c] = err[a:b].sum(axis=0)
+                here_err = err[a:b]
+                back[a:b] += here_err @ self.word_w[c]
+                np.matmul(here_err.T, h[a:b], out=grads[5][c])
+            grads[6][[c for c, _, _ in runs]] = np.add.reduceat(err, [a for _, a, _ in runs], axis=0)
             back *= 1 - h * h
             grads[1], grads[2] = np.einsum("smd,md->sd", near, back), back.sum(axis=0)
             flat = context.reshape(-1)
-            order = np.argsort(flat, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) != 0)))
-            rows = flat[order][first]
-            own = (back[None] * self.place[:, None]).reshape(-1, DIM)[order]
-            self._step(self.embed, np.add.reduceat(own, first, axis=0) / n, memory[0], rows)
+            order = np.argsort(flat.astype(np.int16), kind="stable")
+            flat = flat[order]
+            first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+            rows = flat[first]
+            own = np.take((back[None] * self.place[:, None]).reshape(-1, DIM), order, axis=0)
+            seen, part = memory[0][rows], self.embed[rows]
+            self._step(part, np.add.reduceat(own, first, axis=0), seen)
+            memory[0][rows], self.embed[rows] = seen, part
             for array, g, m in zip(self.arrays[1:], grads[1:], memory[1:], strict=True):
-                self._step(array, g / n, m, slice(None))
+                self._step(array, g, m)
 
     @staticmethod
-    def _step(array: np.ndarray, grad: np.ndarray, memory: np.ndarray, rows) -> None:
-        seen = memory[rows] + grad * grad
-        memory[rows] = seen
-        array[rows] -= (RATE * grad / (np.sqrt(seen) + 1e-6)).astype(array.dtype)
+    def _step(array: np.ndarray, grad: np.ndarray, memory: np.ndarray) -> None:
+        """In place, through one scratch array."""
+        scratch = grad * grad
+        memory += scratch
+        np.sqrt(memory, out=scratch)
+        scratch += np.float32(1e-6)
+        np.divide(grad, scratch, out=scratch)
+        scratch *= np.float32(RATE)
+        array -= scratch
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    """In place. One shift for all rows serves as long as no row is far below the others."""
+    top = logits.max(initial=0)
+    if top - logits.min(initial=0) > 80:  # exp(-80) is still an ordinary 32-bit number
+        top = logits.max(axis=1, keepdims=True)
+    logits -= top
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= np.einsum("ij->i", logits)[:, None]
     return logits
 
 
@@ -301,13 +334,22 @@ def _round(docs: DataFrame, id_col: str, text_col: str, vocab, begin: bytes, thi
 
 
 class Model(NamedTuple):
-    """``counts``: (word, n) of all words. ``buckets``: count and number of the words of each bucket."""
+    """``counts``: (word, n) of all words; ``known``: the same of the most frequent ones beyond ``vocab``.
+    ``buckets``: count and number of the words of each bucket."""
 
     vocab: dict[bytes, int]
     weights: bytes
     counts: DataFrame
+    known: dict[bytes, int]
     buckets: list[tuple[int, int]]
 
+    def shares(self) -> np.ndarray:
+        """Log share of its bucket of each word of ``known``, in multiples of 1 / SHARE_UNIT."""
+        n = np.fromiter(self.known.values(), np.float64, len(self.known))
+        bucket = np.fromiter(map(zlib.crc32, self.known), np.int64, len(n)) % BUCKETS
+        total = np.array([t for t, _ in self.buckets], np.float64)[bucket]
+        return np.rint((np.log(n) - np.log(total + 1)) * SHARE_UNIT).astype(np.int64)
+
 
 def _bucket(word: Column) -> Column:
     return F.crc32(word) % BUCKETS
@@ -318,7 +360,9 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stri
     """Counts and network from all documents. Without any word the starting network remains."""
     spark = docs.sparkSession
     counts = materialize(word_counts(docs, text_col), "lm-counts")
-    frequent = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
+    frequent = counts.orderBy(F.desc("n"), "word").limit(WORDS + KNOWN).collect()
+    known = {bytes(r.word): r.n for r in frequent[WORDS:]}
+    frequent = frequent[:WORDS]
     vocab = {bytes(r.word): i for i, r in enumerate(frequent)}
     n = np.zeros(TOKENS)
     n[: len(frequent)] = [r.n for r in frequent]
@@ -334,26 +378,27 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stri
     replicas = max(1, round(n.sum() / (ROUNDS * replica)))
     for this in range(ROUNDS):
         state = _round(docs, id_col, text_col, words, state, this, replicas, stride)
-    return Model(vocab, Network.load(state).dump(), counts, buckets)
+    return Model(vocab, Network.load(state).dump(), counts, known, buckets)
 
 
 def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, others): scores of the tokens, and the count of each word of
-    a row that is a bucket's."""
-    spec = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights))
+    """(doc_id, n_tokens, log_likelihood, share, others): scores of the tokens, sum of the known words' log
+    shares, and the count of each unknown word of a row."""
+    spec = docs.sparkSession.sparkContext.broadcast((model.vocab, model.known, model.weights, model.shares()))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, weights = spec.value
-        words, net = Vocabulary(vocab), Network.load(weights)
+        vocab, known, weights, share_of = spec.value
+        words, net = Vocabulary(vocab, known), Network.load(weights)
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                docs_ids, others = [], []
+                docs_ids, shares, others = [], [], []
                 for t in utf8(batch, "text"):
-                    w = words_of(t)
-                    docs_ids.append(np.fromiter(map(words.__getitem__, w), np.int64, len(w)))
-                    others.append(Counter(x for x in w if x not in vocab))
+                    tokens, number, unknown = words.read(t)
+                    docs_ids.append(tokens)
+                    shares.append(int(share_of[number[number >= len(vocab)] - len(vocab)].sum()))
+                    others.append(Counter(unknown))
                 tokens, _ = padded(docs_ids)
                 size = np.array([len(d) for d in docs_ids], np.int64)
                 sums = np.zeros(len(size))
@@ -366,11 +411,12 @@ def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) ->
                      pa.array([n for c in others for n in c.values()], pa.int64())], ["word", "k"])
                 ends = np.concatenate(([0], np.cumsum([len(c) for c in others]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size), pa.array(sums), pa.ListArray.from_arrays(pa.array(ends), pairs)],
-                    ["doc_id", "n_tokens", "log_likelihood", "others"])
+                    [batch.column(0), pa.array(size), pa.array(sums), pa.array(shares, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), pairs)],
+                    ["doc_id", "n_tokens", "log_likelihood", "share", "others"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, log_likelihood double, others array<struct<word:binary,k:long>>")
+        run, f"doc_id {kind}, n_tokens long, log_likelihood double, share long, others array<struct<word:binary,k:long>>")
 
 
 def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -382,14 +428,14 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
         "row", F.monotonically_increasing_id()), "lm-scores")  # numbers are read back, never given anew
     total = F.array(*[F.lit(float(np.log(n + 1))) for n, _ in model.buckets])
     unseen = F.array(*[F.lit(float(-np.log(max(d, 1)))) for _, d in model.buckets])
-    # a word beyond the vocabulary is at most one token in WORDS, so no key is hot; sorted merge at any
+    # a word beyond the known ones is at most one token in KNOWN, so no key is hot; sorted merge at any
     # size, as the counts grow with the documents
     pairs = rows.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.k")
     b = _bucket(F.col("word")).cast("int") + 1
     share = F.coalesce(F.log("n"), F.element_at(unseen, b)) - F.element_at(total, b)
     pairs = pairs.join(model.counts.hint("merge"), "word", "left").select(
         "row", (F.round(share * SHARE_UNIT).cast("long") * F.col("k")).alias("share"))
-    base = rows.select("row", "doc_id", "n_tokens", "log_likelihood", F.lit(0).cast("long").alias("share"))
+    base = rows.select("row", "doc_id", "n_tokens", "log_likelihood", "share")
     none = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("doc_id", "n_tokens", "log_likelihood")]
     out = base.unionByName(pairs.select("row", *none, "share")).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from qualmart.llm import lm as L
 
@@ -78,12 +79,15 @@ def test_every_position_is_a_target_by_default(make):
     assert by_default == {r.doc_id: r.log_likelihood for r in L.pseudo_likelihood(docs, stride=1).collect()}
 
 
-def test_words_beyond_the_vocabulary_have_their_own_probability(make):
+@pytest.mark.parametrize("known", [0, 500, L.KNOWN])
+def test_words_beyond_the_vocabulary_have_their_own_probability(make, monkeypatch, known):
+    monkeypatch.setattr(L, "KNOWN", known)   # the others' counts are joined
     often = [f"v{i}" for i in range(L.WORDS)] * 4
     rare = {f"r{i}": 1 + i % 3 for i in range(3000)}
     text = often + [w for w, n in rare.items() for _ in range(n)]
     docs = make([(i, " ".join(text[i::40])) for i in range(40)])
     model = L.fit(docs)
+    assert len(model.known) == min(known, len(rare))
     bucket = {w: zlib.crc32(w.encode()) % L.BUCKETS for w in [*rare, *(f"junk{i}" for i in range(50))]}
     total, distinct = Counter(), Counter()
     for w, n in rare.items():
