@@ -58,7 +58,7 @@ REPLICA = 1 << 20
 #: Replicas that are averaged at once.
 FAN_IN = 16
 #: Words beyond the vocabulary whose counts every task has when it scores; those of all others are joined.
-KNOWN = 200_000
+KNOWN = 1 << 16
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 400_000
 #: Sums of log shares are taken of whole multiples of 1 / SHARE_UNIT, so that their order is of no account.
