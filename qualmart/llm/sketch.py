@@ -21,8 +21,9 @@ of an odd constant, modulo 2 ** 64. Both are plain arithmetic that SQL can repea
 
 Defined cases: a null text is empty. The order is by descending id, nulls last, rows of equal id by
 descending XXH64 of the text; equal rows are interchangeable. A table of one row has itself as next.
-Rows of one id are split between tasks by their texts. Rows equal in id and text pass through one
-task, one at a time. An empty table gives an empty result.
+Rows of one id are split between tasks by their texts. Rows equal in id and text that would fill a range
+end it, and all but one from each task are dealt to all ranges, as each has an equal row as next. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,31 +135,41 @@ def _bounds(keys: DataFrame, ranges: int) -> list[tuple]:
     return sorted({*sample[step - 1::step], _order(top.id, top.h)})
 
 
+#: What a dealt row is: one of its range, the one that leads the range, or a further row equal to a bound.
+_ROW, _LEAD, _TWIN = 0, 1, 2
+
+
 def _deal(bounds: list[tuple]):
-    """Rows to (part, leads, id, h, body): the range of each row, and the row that ends a range once
-    more, as the one that leads the next range."""
+    """Rows to (part, role, id, h, body): the range of each row, and the row that ends a range once
+    more, as the one that leads the next range. Of rows equal to a bound a task sends one to its range;
+    the further ones follow an equal row, wherever they are compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
-        sent = set()
+        sent, twins = set(), 0
         for batch in batches:
-            take, part, leads = [], [], []
+            take, part, role = [], [], []
             ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at, key in enumerate(map(_order, ids, hashes)):
                 i = bisect_left(bounds, key)
                 take.append(at)
+                if bounds[i] == key and i in sent:
+                    twins += 1
+                    part.append((i + twins) % len(bounds))
+                    role.append(_TWIN)
+                    continue
                 part.append(i)
-                leads.append(False)
-                if bounds[i] == key and i not in sent:
+                role.append(_ROW)
+                if bounds[i] == key:
                     sent.add(i)
                     take.append(at)
                     part.append((i + 1) % len(bounds))
-                    leads.append(True)
+                    role.append(_LEAD)
             bodies = [pack(t) for t in utf8(batch, "text")]
             index = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array(leads, pa.bool_()), batch.column(0).take(index),
+                [pa.array(part, pa.int32()), pa.array(role, pa.int32()), batch.column(0).take(index),
                  batch.column(2).take(index), pa.array([bodies[at] for at in take], pa.binary())],
-                ["part", "leads", "id", "h", "body"])
+                ["part", "role", "id", "h", "body"])
     return run
 
 
@@ -167,19 +178,19 @@ _OUT = pa.schema([("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fin
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of whole ranges, each range in ascending order behind the row that leads it. The next
-    document in descending order is the one just read."""
+    """Rows of whole ranges, each range in ascending order behind the row that leads it; twins come first.
+    The next document in descending order is the one just read, a twin's is a row like itself."""
     unpack = zstandard.ZstdDecompressor().decompress
     words = _WordHashes()
     before = None
     for batch in batches:
         ids, rows = [], []
-        for at, (leads, body) in enumerate(zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(),
+        for at, (role, body) in enumerate(zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(),
                                                strict=True)):
             raw = unpack(body)
             text, own = raw.decode(), sketch(raw, words)
-            if not leads:
-                next_text, next_sketch = before
+            if role != _LEAD:
+                next_text, next_sketch = before if role == _ROW else (text, own)
                 cut = len(text) // 3
                 edited = (text[:len(text) - cut] + next_text[:cut]).encode()
                 other = sketch(edited, words)
@@ -210,9 +221,9 @@ def edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
     if not bounds:
         return spark.createDataFrame([], f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
                                          "edited_fingerprint string, near_edited double, near_next double")
-    dealt = rows.mapInArrow(_deal(bounds), f"part int, leads boolean, id {kind}, h long, body binary")
+    dealt = rows.mapInArrow(_deal(bounds), f"part int, role int, id {kind}, h long, body binary")
     lined = dealt.repartitionById(len(bounds), F.col("part")).sortWithinPartitions(
-        "part", F.col("leads").desc(), F.col("id").asc_nulls_first(), "h")
+        "part", F.col("role").desc(), F.col("id").asc_nulls_first(), "h")
     return lined.mapInArrow(_compare, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
                                       "edited_fingerprint string, near_edited double, near_next double")
 

@@ -77,6 +77,16 @@ def test_equal_rows_only(make):
     assert rows_of(S.edited(make(rows), ranges=4)) == brute(rows)
 
 
+def test_equal_rows_are_spread(make):
+    from pyspark.sql import functions as F
+    rows = [(None, "the same words in every one of these rows")] * 400 + [(i, prose(i, 12)) for i in range(200)]
+    random.Random(3).shuffle(rows)
+    got = S.edited(make(rows).repartition(5), ranges=8)
+    assert rows_of(got) == brute(rows)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 200   # one range ends with the frequent row
+
+
 def test_sql_gives_the_same(make, odd_texts):
     rows = [(i, t) for i, t in enumerate(odd_texts[:-2])] + [(100 + i, prose(i, 3 * i)) for i in range(60)]
     docs = make(rows)
