@@ -34,6 +34,24 @@ def byte_alphabet() -> list[str]:
     return out
 
 
+def check_definition(definition: str) -> None:
+    """Refuse vocabularies whose counts the shortcut doesn't follow: it splits at added tokens as they
+    stand, pre-tokenizes by a pattern and merges bytes."""
+    d = json.loads(definition)
+    model, pre = d["model"], d.get("pre_tokenizer") or {}
+    wrong = [f"{k} of the added token {t['content']!r}" for t in d["added_tokens"]
+             for k in ("single_word", "lstrip", "rstrip", "normalized") if t.get(k)]
+    wrong += [k for k in ("normalizer", "truncation", "padding", "post_processor") if d.get(k)]
+    wrong += [f"model {k}" for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback",
+                                     "ignore_merges") if model.get(k)]
+    if model["type"] != "BPE":
+        wrong.append(f"model type {model['type']}")
+    if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
+        wrong.append("pre_tokenizer")
+    if wrong:
+        raise ValueError("vocabulary not supported: " + ", ".join(wrong))
+
+
 class Counter(dict):
     """Pre-token -> its number of tokens; unknown ones are merged on first use."""
 
@@ -86,10 +104,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, *, id_col:
 
     A null or empty text has 0 bytes and 0 tokens. Added tokens inside a text count one each, as
     the library's default has it. Repeated rows give repeated rows; other columns are not read. The
-    vocabulary file (a fixed size of about 2 MB) is read on the driver and broadcast.
+    vocabulary file (a fixed size of about 2 MB) is read on the driver and broadcast; one with a
+    normalizer, other added tokens or another model than this counts raises ValueError.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
+    check_definition(definition)
     spec = docs.sparkSession.sparkContext.broadcast((definition, prove(definition, pattern), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

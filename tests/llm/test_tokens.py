@@ -59,3 +59,19 @@ def test_memo_is_bounded(counter):
 
 def test_empty_table(make):
     assert token_counts(make([]), PATH, P.PATTERN).count() == 0
+
+
+def test_other_kinds_of_vocabularies_are_refused():
+    import json
+
+    import public_tokenizers
+
+    from qualmart.llm import tokens
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        plain = json.load(f)
+    tokens.check_definition(json.dumps(plain))
+    flagged = dict(plain["added_tokens"][0], lstrip=True)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"added_tokens": [flagged]}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"model": dict(plain["model"], byte_fallback=True)}, {"model": dict(plain["model"], type="WordPiece")}):
+        with pytest.raises(ValueError, match="not supported"):
+            tokens.check_definition(json.dumps({**plain, **change}))
