@@ -5,11 +5,13 @@ network, so equal values stay linked across documents and the result is a valid
 
 - card numbers (13 to 19 digits, Luhn): all digits but the last are permuted, the check digit follows;
 - account numbers (two letters, two check digits, mod 97): digits permuted, check digits follow;
-- social security numbers, telephone numbers (the country code stays), IPv4 addresses;
+- social security numbers, telephone numbers (the country code stays; 8 to 15 digits after a plus, or
+  North American groups), IPv4 and IPv6 addresses (the latter come out in full, networks stay linked);
 - dates from 1700 to 2099, permuted over the 146,097 days of four centuries.
 
-E-mail addresses and secrets have no such format; they get keyed hashes of the same shape, which
-link equal values as well. Numbers that fail their checks and all other text stay as they are.
+E-mail addresses, secrets and private key blocks have no such format; they get keyed hashes of the same
+shape, which link equal values as well. Numbers that fail their checks and all other text stay as they
+are. An international number takes digit groups up to the sixth that follow it.
 """
 
 from __future__ import annotations
@@ -22,17 +24,25 @@ ROUNDS = 8
 KEY_SETTING = "spark.qualmart.pseudonymKey"
 
 _ALONE = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: Letters and digits of e-mail addresses: ASCII and accented Latin letters.
+_LATIN = "A-Za-z0-9À-ÖØ-öø-ɏ"
 #: Alternatives in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}",
+    "email": rf"(?<![{_LATIN}._%+\-])[{_LATIN}._%+\-]++@[{_LATIN}\-]{{1,63}}(?:\.[{_LATIN}\-]{{1,63}}){{1,8}}",
     "secret": r"(?i:token|secret|api[_\-]?key)[ \t]?[=:][ \t]?\"?[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])"
               r"|(?i:password|passwd|pwd)[ \t]?[=:][ \t]?\"?[^\s\"'<>|]{4,128}"
-              r"|(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
+              r"|(?<![0-9A-Za-z])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"
+              r"|(?i:token|secret|api[_\-]?key)[ \t]?[=:][ \t]?\"?(?=[A-Za-z_\-]*\d)[0-9A-Za-z_\-]{16,}+"
+              r"|(?<![0-9A-Za-z_])gh[pousr]_[0-9A-Za-z]{36,}+|(?<![0-9A-Za-z])xox[abprs]-[0-9A-Za-z\-]{10,}+"
+              r"|(?<![0-9A-Za-z])AIza[0-9A-Za-z_\-]{35}(?![0-9A-Za-z_\-])"
+              r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[^\-]{1,20000}-----END [A-Z ]{0,20}PRIVATE KEY-----",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|(?<![\d\-])\d{3}[.\-])\d{3}[.\-]\d{4}(?![0-9A-Za-z\-])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\) ?|(?<![\d\-])\d{3}[.\-])\d{3}[.\-]\d{4}(?![0-9A-Za-z\-])"
+             r"|(?<![0-9A-Za-z+])\+[1-9]\d{0,2}(?:[ .\-/]?\(?\d{1,5}\)?){2,6}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z\-])\d{3}-\d{2}-\d{4}(?![0-9A-Za-z\-])",
-    "date": r"(?<![0-9A-Za-z.])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![0-9A-Za-z])",
-    "ip": r"(?<![0-9A-Za-z.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?[0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![0-9A-Za-z])",
+    "ip": r"(?<![0-9A-Za-z.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?[0-9A-Za-z])"
+          r"|(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:]|\.\d)",
     "card": r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5})(?![0-9A-Za-z])",
 }
 KINDS = tuple(PATTERNS)
@@ -45,10 +55,16 @@ _LENGTHS = {int(n): set(c.split()) for n, c in (x.split(": ") for x in (
     "25: LY PT ST", "26: IS TR", "27: BI DJ FR GR IT MC MR SM", "28: AL AZ BY CY DO GT HU LB NI PL SV",
     "29: BR EG PS QA UA", "30: JO KW MU YE", "31: MT SC", "32: LC", "33: RU"))}
 #: Any text with personal data of these kinds has one of these.
-_HINT = r"[0-9@]|AKIA|ASIA|(?i:pwd|passw|token|secret|api[_\-]?key)"
+_HINT = r"[0-9@]|AKIA|ASIA|gh[pousr]_|xox[abprs]-|AIza|PRIVATE KEY|(?i:pwd|passw|token|secret|api[_\-]?key)"
 
 _EPOCH, _DAYS = "1700-01-01", (189, 773)  # 189 x 773 = 146,097 days: 1700 to 2099
-_FORMATS = (r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"/", "dd/MM/yyyy"), (r"\.", "dd.MM.yyyy")
+_FORMATS = tuple((where, form) for where, forms in (
+    (r"^\d{4}-", ("yyyy-MM-dd",)), (r"^\d{4}/", ("yyyy/MM/dd",)),
+    (r"/\d{4}$", ("MM/dd/yyyy", "dd/MM/yyyy", "M/d/yyyy", "d/M/yyyy")),
+    (r"\.", ("dd.MM.yyyy", "d.M.yyyy"))) for form in forms)
+#: A telephone number's country code: up to a separator, or else by the length that its first digits give.
+_COUNTRY = (r"^\+\d{1,3}(?=[ .\-/(])|^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+            r"|\d{3})")
 
 
 def session_key(spark: SparkSession, otherwise: str) -> str:
@@ -183,8 +199,12 @@ def _iban(m: Column, key: str) -> Column:
                .cast("string"), 2, "0"), b))
 
 
+def _is_phone(m: Column) -> Column:
+    return ~m.startswith("+") | F.length(_digits(m)).between(8, 15)
+
+
 def _phone(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .\-(])", 0)
+    country = F.regexp_extract(m, _COUNTRY, 0)
     rest = F.substring(m, F.length(country) + 1, F.length(m))
     return F.concat(country, _refill(rest, permuted_digits(_digits(rest), "phone", key)))
 
@@ -212,7 +232,32 @@ def _ip_parts(m: Column) -> Column:
 
 
 def _is_ip(m: Column) -> Column:
-    return F.forall(_ip_parts(m), lambda x: x <= 255)
+    halves = F.split(m, "::")
+    groups = F.size(F.filter(F.split(m, ":"), lambda g: g != ""))
+    v6 = ~m.rlike("^:(?!:)|(?<!:):$|:::") & F.when(F.size(halves) == 1, groups == 8).otherwise(
+        (F.size(halves) == 2) & (groups <= 7))
+    return F.when(m.contains(":"), v6).otherwise(F.forall(_ip_parts(m), lambda x: x <= 255))
+
+
+def _ip6(m: Column, key: str) -> Column:
+    """The network's and the host's 64 bits are permuted apart, the host's by a key of its network."""
+    def full(half: Column) -> Column:
+        return F.transform(F.filter(F.split(half, ":"), lambda g: g != ""), lambda g: F.lpad(F.lower(g), 4, "0"))
+
+    def of(halves: Column) -> Column:
+        front, back = full(halves[0]), full(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
+        zeros = F.array_repeat(F.lit("0000"), F.lit(8) - F.size(front) - F.size(back))
+        return F.array_join(F.concat(front, zeros, back), "")
+    size = F.lit(1 << 32)
+    word = lambda h, k: F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("long")
+    text = lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")
+    joined = lambda s: F.concat(text(s.l), text(s.r))
+
+    def new(h: Column) -> Column:
+        net = joined(feistel(word(h, 0), word(h, 1), size, size, F.lit("ip6"), key))
+        host = joined(feistel(word(h, 2), word(h, 3), size, size, F.concat(F.lit("ip6"), F.substring(h, 1, 16)), key))
+        return F.concat_ws(":", F.regexp_extract_all(F.concat(net, host), F.lit("[0-9a-f]{4}"), F.lit(0)))
+    return _let(_let(F.split(m, "::"), of), new)
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -222,7 +267,7 @@ def _ip(m: Column, key: str) -> Column:
         return _let(feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], size, size, F.lit("ip"), key),
                     lambda s: F.concat_ws(".", *[x.cast("string") for x in (
                         F.shiftright(s.l, 8), s.l % 256, F.shiftright(s.r, 8), s.r % 256)]))
-    return _let(_ip_parts(m), of)
+    return F.when(m.contains(":"), _ip6(m, key)).otherwise(_let(_ip_parts(m), of))
 
 
 def _as_date(m: Column, form: str, where: str) -> Column:
@@ -256,16 +301,20 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    front = F.regexp_extract(m, r'^(?:AKIA|ASIA)(?=[0-9A-Z]{16}$)|^[A-Za-z_\-]+[ \t]?[=:][ \t]?"?', 0)
+    front = F.regexp_extract(m, r'^(?:AKIA|ASIA)(?=[0-9A-Z]{16}$)|^gh[pousr]_|^xox[abprs]-|^AIza(?=.{35}$)'
+                                r'|^[A-Za-z_\-]+[ \t]?[=:][ \t]?"?', 0)
     value = F.substring(m, F.length(front) + 1, F.length(m))
     new = _let(_hashed(value, key, "secret"), lambda h: F.rpad(h, F.length(value), h))  # a longer value repeats it
-    return F.concat(front, F.when(value == F.upper(value), F.upper(new)).otherwise(new))
+    plain = F.concat(front, F.when(value == F.upper(value), F.upper(new)).otherwise(new))
+    block = F.concat(F.regexp_extract(m, "^-----BEGIN [A-Z ]+-----", 0), F.lit("\n"), F.substring(_hashed(
+        m, key, "secret"), 1, 64), F.lit("\n"), F.regexp_extract(m, "-----END [A-Z ]+-----$", 0))
+    return F.when(m.startswith("-----"), block).otherwise(plain)
 
 
 def _replacement(m: Column, key: str) -> Column:
     """Struct (kind, new) of one match; kind is null where the value fails its check."""
     whole = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
-    valid = {"email": F.lit(True), "secret": F.lit(True), "iban": _is_iban(m), "phone": F.lit(True),
+    valid = {"email": F.lit(True), "secret": F.lit(True), "iban": _is_iban(m), "phone": _is_phone(m),
              "ssn": _is_ssn(m), "date": _is_date(m), "ip": _is_ip(m), "card": _is_card(m)}
     new = {"email": _email(m, key), "secret": _secret(m, key), "iban": _iban(m, key), "phone": _phone(m, key),
            "ssn": _ssn(m, key), "date": _date(m, key), "ip": _ip(m, key), "card": _card(m, key)}

@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import ipaddress
 import random
 import re
 
@@ -141,3 +143,176 @@ def test_the_key_has_no_default(make, spark):
     spark.conf.unset(P.KEY_SETTING)
     docs = make([(1, "card 4111 1111 1111 1111")])
     assert len({P.redacted(docs, key=k).first().text for k in ("a", "b")}) == 2
+
+
+def test_kinds_of_other_countries(make):
+    same = ["tel +49 30 901820 x", "tel +4930901820 x", "tel +44 20 7946 0958 x", "tel +33 1 42 68 53 00 x",
+            "tel +358 9 123456 x", "on 4.5.1990 x", "on 2020/03/04 x", "on 3/4/1990 x", "to jörg@münchen.de x",
+            "at 2001:db8::1 x", "at 2001:0DB8:0:0:0:0:0:1 x", "key ghp_" + "aB3" * 12 + " x", "key xoxb-1234567890ab x",
+            "secret=Zq81kk-LmnoP_77rst x", "-----BEGIN RSA PRIVATE KEY-----\nMIIabc+/=\nZZ\n-----END RSA PRIVATE KEY----- x"]
+    kinds = ["phone"] * 5 + ["date"] * 3 + ["email"] + ["ip"] * 2 + ["secret"] * 4
+    stay = ["at 12:30:45", "mac 00:1a:2b:3c:4d:5e", "std::vector", "a :: b", "1:::2", "04.5.1990", "+1 23", "+0 12345678",
+            "+123 45678 90123 45678", "1:2:3:4:5:6:7:8:9", "99/99/1990", "2020/13/01", "token of thanks for everybody"]
+    got = out_of(make, same + stay)
+    for i, (text, kind) in enumerate(zip(same, kinds, strict=True)):
+        assert got[i][1] == [kind], text
+        assert got[i][0].endswith(" x") and got[i][0][:3] == text[:3] and got[i][0] != text
+    for i, text in enumerate(stay, len(same)):
+        assert got[i] == (text, []), text
+    phone = [re.fullmatch(r"tel (\+\d+) ?(.*) x", got[i][0]) for i in (0, 2, 3, 4)]
+    assert [p[1] for p in phone] == ["+49", "+44", "+33", "+358"]
+    assert re.sub(r"\D", "", got[0][0]) == re.sub(r"\D", "", got[1][0])      # linked across formats
+    assert got[9][0] == got[10][0] and re.fullmatch(r"at ([0-9a-f]{4}:){7}[0-9a-f]{4} x", got[9][0])
+    assert "MII" not in got[14][0] and got[14][0].count("PRIVATE KEY") == 2
+
+
+# ------------------------------------------------------------------ the whole replacement in plain Python
+
+def prf(tag, i, x):
+    return int(hashlib.sha256(f"{KEY}|{tag}|{i}|{x}".encode()).hexdigest()[:15], 16)
+
+
+def network(a, b, m, n, tag):
+    for i in range(1, P.ROUNDS + 1):
+        if i % 2:
+            a = (a + prf(tag, i, b)) % m
+        else:
+            b = (b + prf(tag, i, a)) % n
+    return a, b
+
+
+def moved_digits(d, tag):
+    k = len(d) // 2
+    a, b = network(int(d[:k]), int(d[k:]), 10 ** k, 10 ** (len(d) - k), f"{tag}{len(d)}")
+    return f"{a:0{k}d}{b:0{len(d) - k}d}"
+
+
+def put(shape, digits):
+    it = iter(digits)
+    return re.sub("[0-9]", lambda _: next(it), shape)
+
+
+def only_digits(t):
+    return re.sub("[^0-9]", "", t)
+
+
+def sha(tag, value):
+    return "".join(hashlib.sha256(f"{KEY}|{tag}{i}|{value}".encode()).hexdigest() for i in range(2))
+
+
+def new_date(m):
+    forms = (("-", "{y:04d}-{m:02d}-{d:02d}"),) if "-" in m else (("/", "{y:04d}/{m:02d}/{d:02d}"), *(("/", f) for f in (
+        "{m:02d}/{d:02d}/{y:04d}", "{d:02d}/{m:02d}/{y:04d}", "{m}/{d}/{y:04d}", "{d}/{m}/{y:04d}"))) if "/" in m else (
+        (".", "{d:02d}.{m:02d}.{y:04d}"), (".", "{d}.{m}.{y:04d}"))
+    for sep, form in forms:
+        names = re.findall(r"\{(.)", form)
+        try:
+            day = dt.date(**{{"y": "year", "m": "month", "d": "day"}[n]: int(v) for n, v in zip(names, m.split(sep), strict=True)})
+        except ValueError:
+            continue
+        if form.format(y=day.year, m=day.month, d=day.day) == m and 1700 <= day.year < 2100:
+            n = (day - dt.date(1700, 1, 1)).days
+            a, b = network(n // 773, n % 773, 189, 773, "date")
+            day = dt.date(1700, 1, 1) + dt.timedelta(a * 773 + b)
+            return form.format(y=day.year, m=day.month, d=day.day)
+
+
+def new_ip(m):
+    if ":" not in m:
+        p = [int(x) for x in m.split(".")]
+        if max(p) < 256:
+            a, b = network(p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536, "ip")
+            return f"{a >> 8}.{a % 256}.{b >> 8}.{b % 256}"
+        return None
+    try:
+        h = ipaddress.IPv6Address(m).exploded.replace(":", "")
+    except ValueError:
+        return None
+    out = "".join(f"{x:08x}" for x in network(int(h[:8], 16), int(h[8:16], 16), 2 ** 32, 2 ** 32, "ip6"))
+    out += "".join(f"{x:08x}" for x in network(int(h[16:24], 16), int(h[24:], 16), 2 ** 32, 2 ** 32, "ip6" + h[:16]))
+    return ":".join(out[i:i + 4] for i in range(0, 32, 4))
+
+
+def new_secret(m):
+    if m.startswith("-----"):
+        first, last = re.match("-----BEGIN [A-Z ]+-----", m)[0], re.search("-----END [A-Z ]+-----$", m)[0]
+        return f"{first}\n{sha('secret', m)[:64]}\n{last}"
+    front = re.match(r'(?:AKIA|ASIA)(?=[0-9A-Z]{16}$)|gh[pousr]_|xox[abprs]-|AIza(?=.{35}$)|[A-Za-z_\-]+[ \t]?[=:][ \t]?"?', m)[0]
+    value = m[len(front):]
+    new = (sha("secret", value) * (len(value) // 128 + 1))[:len(value)]
+    return front + (new.upper() if value == value.upper() else new)
+
+
+def new_ssn(m):
+    a, g, s = (int(x) for x in m.split("-"))
+    if a in (0, 666) or a >= 900 or not g or not s:
+        return None
+    areas = [x for x in range(1, 900) if x != 666]
+    x, y = network(areas.index(a) * 99 + g - 1, s - 1, 898 * 99, 9999, "ssn")
+    return f"{areas[x // 99]:03d}-{x % 99 + 1:02d}-{y + 1:04d}"
+
+
+def new_card(m):
+    d = only_digits(m)
+    return put(m, with_check(moved_digits(d[:-1], "card"))) if luhn(d) and len(set(d)) > 1 else None
+
+
+def new_phone(m):
+    if m[0] == "+" and not 8 <= len(only_digits(m)) <= 15:
+        return None
+    country = re.match(P._COUNTRY, m)
+    k = country.end() if country else 0
+    return m[:k] + put(m[k:], moved_digits(only_digits(m[k:]), "phone"))
+
+
+def is_iban(t):
+    return len(only_digits(t)) >= 6 and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+
+def account_at(text, at, pattern):
+    longest = pattern.match(text, at)
+    parts = longest[0].split(" ") if longest else []
+    good = [p for p in (" ".join(parts[:n]) for n in range(len(parts), 0, -1)) if pattern.fullmatch(p) and is_iban(p.replace(" ", ""))]
+    return next((p for p in good if p[:2] in P._LENGTHS.get(len(p.replace(" ", "")), ())), good[0] if good else None)
+
+
+def new_iban(m):
+    body = put(m[4:], moved_digits(only_digits(m[4:]), "iban"))
+    return iban(m[:2], body.replace(" ", ""))[:4] + body
+
+
+NEW = {"email": lambda m: f"user.{sha('email', m.lower())[:12]}@example.org", "secret": new_secret, "iban": new_iban,
+       "phone": new_phone, "ssn": new_ssn, "date": new_date, "ip": new_ip, "card": new_card}
+
+
+def plain(text):
+    """Text and kinds; at each place the kinds are tried in order, a failed value stays and is passed over."""
+    find = {k: re.compile(p, re.ASCII) for k, p in P.PATTERNS.items()}
+    out, kinds, at = [], [], 0
+    while at < len(text):
+        for kind, pattern in find.items():
+            m = account_at(text, at, pattern) if kind == "iban" else (pattern.match(text, at) or [None])[0]
+            if m:
+                new = NEW[kind](m)
+                out.append(new or m)
+                kinds += [kind] * bool(new)
+                at += len(m)
+                break
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out), kinds
+
+
+def test_whole_table_against_plain_python(make, spark, odd_texts):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    extra = ["1.2.1990 and 13/4/1990, 05/06/1999; 555-123-4567, (555) 123-4567", "AT61 1904 3002 3457 3201 BIC 4111 1111 1111 1111",
+             "123-45-6789 900-12-3456 10.0.0.256 10.0.0.25 fe80::1 ::1 1::2::3", "password: hunter22 +1 (017) 555-7713 +81 3-1234-5678",
+             "378282246310005 3782 822463 10005 4111-1111-1111-1112", "API_KEY=ABCDEF0123456789 pwd=x1y2"]
+    texts = [t for t in odd_texts if t and len(t) < 10_000] + extra + [r.text for r in table if r.text]
+    got = out_of(make, texts)
+    found = set()
+    for i, text in enumerate(texts):
+        assert got[i] == plain(text), text[:200]
+        found.update(got[i][1])
+    assert found == set(P.KINDS)
