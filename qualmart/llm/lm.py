@@ -16,26 +16,26 @@ The network knows the most frequent words and hash buckets of the others. A word
 bucket's probability times its share of the bucket: n / (N + 1), of the exact counts n of the word
 and N of the bucket's D distinct words. The remaining 1 / (N + 1) is for unseen words, of which as
 many are supposed as seen ones: 1 / ((N + 1) max(D, 1)) each. The counts of the words beyond the
-vocabulary stay a table; every task has those of the ``KNOWN`` most frequent words when it scores, and
-the (row, word) counts of all others are joined to the table.
+vocabulary stay a table; every task has those of the ``KNOWN`` most frequent words when it looks up words,
+and the (row, word) counts of all others are joined to the table. Words are looked up once, for training and
+scores.
 """
 
 from __future__ import annotations
 
 import io
 import zlib
-from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualmart.llm.common import LOWER_AZ, utf8
+from qualmart.llm.common import LOWER_AZ
 from qualmart.session import materialize
 
 CLASSES = 64
@@ -49,70 +49,96 @@ SIDE = 2
 #: One position in this many is a training target: every one.
 STRIDE = 1
 BATCH = 1024
-#: Positions that are scored at once.
-SCORED = 8192
+#: Positions that are sorted at once, and those that are scored at once, whose numbers should stay in the cache.
+SORTED = 1 << 17
+SCORED = 4096
 RATE = 0.15
 #: Passes of averaging, and words of the corpus per replica of one.
 ROUNDS = 4
 REPLICA = 1 << 20
 #: Replicas that are averaged at once.
 FAN_IN = 16
-#: Words beyond the vocabulary whose counts every task has when it scores; those of all others are joined.
+#: Words beyond the vocabulary whose counts every task has when it looks up words; those of all others are joined.
 KNOWN = 1 << 16
-#: Distinct words that a task counts before it passes them on.
+#: Distinct words that a task counts, or twice as many counts of parts, before it passes them on.
 COUNTED = 400_000
 #: Sums of log shares are taken of whole multiples of 1 / SHARE_UNIT, so that their order is of no account.
 SHARE_UNIT = 1 << 30
+LOG2_E = 1 / np.log(2)
+#: Added to a 32-bit number and taken off again, it rounds to a whole one.
+_ROUND = np.float32(3 << 22)
+#: Coefficients of 2 ** f for f within a half, the highest power first.
+_EXP2 = [np.float32(c) for c in (0.001327647137, 0.00967554133, 0.05550713275, 0.2402211972, 0.6931469671, 1.000000072)]
 _SHIFTS = [s for s in range(-SIDE, SIDE + 1) if s]
+_AROUND = np.array(_SHIFTS)[:, None]
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER_AZ).split()
 
 
+def all_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` a whole column: the words of all texts, one after another, and each text's number of words."""
+    if pa.types.is_binary(texts.type):
+        texts = texts.view(pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, sizes = lists.flatten(), np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+    whole = np.asarray(pc.binary_length(words)) > 0
+    if not whole.all():  # blanks at either end of a text leave an empty word there
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[whole], minlength=len(sizes))
+        words = words.filter(pa.array(whole))
+    return words, sizes
+
+
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n) over all documents; counted in each task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())],
-                                             ["word", "n"])
-            n.clear()
-            return got
-        for batch in batches:
-            for text in utf8(batch, text_col):
-                n.update(words_of(text))
-                if len(n) >= COUNTED:
-                    yield out()
-        yield out()
+        def merged() -> pa.Table:
+            n = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return n.select(["word", "n_sum"]).rename_columns(["word", "n"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                n = all_words(whole.column(0).slice(k, 256))[0].value_counts()
+                held.append(pa.table({"word": n.field(0).cast(pa.binary()), "n": n.field(1)}))
+                if sum(len(t) for t in held) >= 2 * COUNTED:
+                    held = [merged()]
+                    if len(held[0]) >= COUNTED:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from merged().to_batches()
 
     counted = docs.select(text_col).mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Vocabulary(dict):
-    """Word -> number: tokens first, then other known words, which share hash buckets with unknown ones."""
+def _bucket_tokens(words: Sequence[bytes]) -> np.ndarray:
+    return WORDS + np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
+
+
+class Vocabulary:
+    """Words by number: tokens first, then other known words, which share hash buckets with unknown ones. Both come
+    in order of their numbers."""
 
     def __init__(self, tokens: dict[bytes, int], known: dict[bytes, int] | None = None):
-        super().__init__(tokens)
         others = list(known or ())
-        self.update(zip(others, range(len(tokens), len(tokens) + len(others))))
-        self.tokens = np.concatenate([np.arange(max(len(tokens), 1)), np.array(
-            [WORDS + zlib.crc32(word) % BUCKETS for word in others], np.int64)])
-
-    def read(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Tokens, numbers (-1: unknown) and unknown words of a text."""
-        w = words_of(text)
-        number = np.fromiter(map(self.get, w, repeat(-1)), np.int64, len(w))
-        tokens, missed = self.tokens[number], np.flatnonzero(number < 0)
-        unknown = [w[k] for k in missed.tolist()]
-        crcs = np.fromiter(map(zlib.crc32, unknown), np.int64, len(unknown))
-        tokens[missed] = WORDS + crcs % BUCKETS
-        return tokens, number, unknown
+        self.words = pa.array([*tokens, *others], pa.binary())
+        self.tokens = np.concatenate([np.arange(len(tokens)), _bucket_tokens(others)])
+
+    def read(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Which of the distinct words each word is, the distinct words, their tokens and their numbers (-1: unknown)."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary())
+        number = np.asarray(pc.fill_null(pc.index_in(distinct, value_set=self.words), -1)).astype(np.int64)
+        missed, tokens = number < 0, np.empty(len(number), np.int64)
+        tokens[~missed] = self.tokens[number[~missed]]
+        tokens[missed] = _bucket_tokens(distinct.filter(pa.array(missed)).to_numpy(zero_copy_only=False))
+        return np.asarray(coded.indices), distinct, tokens, number
 
     def ids(self, text: bytes) -> np.ndarray:
-        return self.read(text)[0]
+        code, _, tokens, _ = self.read(all_words(pa.array([text], pa.binary()))[0])
+        return tokens[code]
 
 
 def _arrays(data: bytes) -> list[np.ndarray]:
@@ -149,33 +175,41 @@ class Network:
     def load(cls, data: bytes) -> Network:
         return cls(_arrays(data)[:len(cls.NAMES)])
 
-    def hidden(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = np.repeat(self.bias[None], len(at), axis=0)
-        for place, shift in zip(self.place, _SHIFTS, strict=True):
-            h += place * np.take(self.embed, tokens[at + shift], axis=0)
-        return np.tanh(h)
-
-    def _by_class(self, h: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-        """In-class probabilities of rows that are sorted by class, and (class, first, end) of each run."""
-        cut = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
-        runs = [(c, a, b) for c, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-        logits = self.word_b[cls]
-        for c, a, b in runs:
-            logits[a:b] += h[a:b] @ self.word_w[c].T
-        return _softmax(logits), runs
+    def hidden(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbours, their embeddings, and the hidden layer."""
+        context = np.take(tokens, at + _AROUND)
+        near = np.take(self.embed, context, axis=0)
+        h = np.einsum("smd,sd->md", near, self.place)
+        h += self.bias
+        return context, near, np.tanh(h, out=h)
 
     def log_probs(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p(token | two tokens on either side) at each position; ``tokens`` is padded."""
         out = np.empty(len(at), np.float64)
-        for k in range(0, len(at), SCORED):
-            here = at[k:k + SCORED]
+        class_w, word_w = _joined(self.class_w, self.class_b), _joined(self.word_w, self.word_b)
+        scratch = np.empty((SCORED, IN_CLASS), self.embed.dtype)
+
+        def bits(h: np.ndarray, weights: np.ndarray, target: np.ndarray) -> np.ndarray:
+            x = np.matmul(h, weights, out=scratch[:len(h)])
+            own = x.reshape(-1)[_flat(target)].astype(np.float64)
+            sums, shift = _powers(x)
+            return own - shift - np.log2(sums.astype(np.float64))
+        for k in range(0, len(at), SORTED):
+            here = at[k:k + SORTED]
             order = np.argsort(tokens[here].astype(np.int16), kind="stable")  # 16 bits are sorted by radix
             here = here[order]
-            h, target, each = self.hidden(tokens, here), tokens[here], np.arange(len(here))
-            cls = target // IN_CLASS
-            of_class = _softmax(h @ self.class_w.T + self.class_b)[each, cls]
-            in_class = self._by_class(h, cls)[0][each, target % IN_CLASS]
-            out[k + order] = np.log(of_class.astype(np.float64)) + np.log(in_class.astype(np.float64))
+            cls, word = np.divmod(tokens[here], IN_CLASS)
+            h, found = np.empty((len(here), DIM + 1), self.embed.dtype), np.empty(len(here))
+            for a in range(0, len(here), SCORED):
+                part = slice(a, a + SCORED)
+                h[part] = _with_one(self.hidden(tokens, here[part])[2])
+                h[part] *= h.dtype.type(LOG2_E)
+                found[part] = bits(h[part], class_w, cls[part])
+            for c, a, b in _runs(cls):
+                for i in range(a, b, SCORED):
+                    part = slice(i, min(i + SCORED, b))
+                    found[part] += bits(h[part], word_w[c], word[part])
+            out[k + order] = found * np.log(2)
         return out
 
     def train(self, tokens: np.ndarray, at: np.ndarray, memory: list[np.ndarray], batch: int | None = None) -> None:
@@ -183,40 +217,67 @@ class Network:
         word's embedding is touched only in batches where it is a neighbour, which is what Adagrad does
         with a gradient of zero."""
         step = batch or BATCH
+        class_w, word_w = _joined(self.class_w, self.class_b), _joined(self.word_w, self.word_b)
+        class_m, word_m = _joined(*memory[3:5]), _joined(*memory[5:7])
+        class_g, word_g = np.empty_like(class_w), np.empty_like(word_w)
+        of_class, of_word = np.empty((2, step, IN_CLASS), self.embed.dtype)
+        through = np.empty((step, DIM + 1), self.embed.dtype)
+        by_class = [(w, w.T, g) for w, g in zip(word_w, word_g, strict=True)]
         for k in range(0, len(at), step):
             here = at[k:k + step]
             here = here[np.argsort(tokens[here].astype(np.int16), kind="stable")]  # class by class
-            target, n = tokens[here], len(here)
-            cls, each, share = target // IN_CLASS, np.arange(n), np.float32(1 / n)
-            context = np.stack([tokens[here + s] for s in _SHIFTS])
-            near = np.take(self.embed, context, axis=0)
-            h = np.tanh(np.einsum("smd,sd->md", near, self.place) + self.bias)
-            err = _softmax(h @ self.class_w.T + self.class_b)
-            err[each, cls] -= 1
-            err *= share
-            back = err @ self.class_w
-            grads = [None, None, None, err.T @ h, err.sum(axis=0), np.zeros_like(self.word_w), np.zeros_like(self.word_b)]
-            err, runs = self._by_class(h, cls)
-            err[each, target % IN_CLASS] -= 1
-            err *= share
+            n = len(here)
+            cls, word = np.divmod(tokens[here], IN_CLASS)
+            runs = _runs(cls)
+            context, near, h = self.hidden(tokens, here)
+            ones = _with_one(h)
+            base2 = ones * h.dtype.type(LOG2_E)
+            # powers of two stay as they are: what they are divided by is a factor of the few hidden units
+            err = np.matmul(base2, class_w, out=of_class[:n])
+            sums = _powers(err)[0]
+            err.reshape(-1)[_flat(cls)] -= sums
+            factor = (np.float32(1 / n) / sums)[:, None]
+            np.matmul((ones * factor).T, err, out=class_g)
+            back = err @ class_w.T
+            back *= factor
+            err = of_word[:n]
             for c, a, b in runs:
-                here_err = err[a:b]
-                back[a:b] += here_err @ self.word_w[c]
-                np.matmul(here_err.T, h[a:b], out=grads[5][c])
-            grads[6][[c for c, _, _ in runs]] = np.add.reduceat(err, [a for _, a, _ in runs], axis=0)
-            back *= 1 - h * h
-            grads[1], grads[2] = np.einsum("smd,md->sd", near, back), back.sum(axis=0)
+                np.matmul(base2[a:b], by_class[c][0], out=err[a:b])
+            sums = _powers(err)[0]
+            err.reshape(-1)[_flat(word)] -= sums
+            factor = (np.float32(1 / n) / sums)[:, None]
+            ones *= factor
+            last = 0
+            for c, a, b in runs:
+                _, w, g = by_class[c]
+                of_run = err[a:b]
+                np.matmul(of_run, w, out=through[a:b])
+                np.matmul(ones[a:b].T, of_run, out=g)
+                if last < c:
+                    word_g[last:c] = 0
+                last = c + 1
+            word_g[last:] = 0
+            back += through[:n] * factor
+            h *= h
+            np.subtract(1, h, out=h)
+            h *= back[:, :DIM]
+            place_g = np.einsum("smd,md->sd", near, h)
             flat = context.reshape(-1)
             order = np.argsort(flat.astype(np.int16), kind="stable")
             flat = flat[order]
             first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
             rows = flat[first]
-            own = np.take((back[None] * self.place[:, None]).reshape(-1, DIM), order, axis=0)
-            seen, part = memory[0][rows], self.embed[rows]
+            own = np.take((h[None] * self.place[:, None]).reshape(-1, DIM), order, axis=0)
+            seen, part = np.take(memory[0], rows, axis=0), np.take(self.embed, rows, axis=0)
             self._step(part, np.add.reduceat(own, first, axis=0), seen)
             memory[0][rows], self.embed[rows] = seen, part
-            for array, g, m in zip(self.arrays[1:], grads[1:], memory[1:], strict=True):
-                self._step(array, g, m)
+            self._step(self.place, place_g, memory[1])
+            self._step(self.bias, h.sum(axis=0), memory[2])
+            self._step(class_w, class_g, class_m)
+            self._step(word_w, word_g, word_m)
+        for weights, bias, joined in ((self.class_w, self.class_b, class_w), (self.word_w, self.word_b, word_w),
+                                      (*memory[3:5], class_m), (*memory[5:7], word_m)):
+            weights[...], bias[...] = joined[..., :DIM, :].swapaxes(-1, -2), joined[..., DIM, :]
 
     @staticmethod
     def _step(array: np.ndarray, grad: np.ndarray, memory: np.ndarray) -> None:
@@ -230,15 +291,58 @@ class Network:
         array -= scratch
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """In place. One shift for all rows serves as long as no row is far below the others."""
-    top = logits.max(initial=0)
-    if top - logits.min(initial=0) > 80:  # exp(-80) is still an ordinary 32-bit number
-        top = logits.max(axis=1, keepdims=True)
-    logits -= top
-    np.exp(logits, out=logits)
-    logits /= np.einsum("ij->i", logits)[:, None]
-    return logits
+def _joined(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Transposed weights with the bias as one more row: one multiplication gives both, and both gradients."""
+    return np.concatenate([weights.swapaxes(-1, -2), bias[..., None, :]], axis=-2)
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    """Hidden units and the one that the biases are multiplied with."""
+    out = np.ones((len(h), DIM + 1), h.dtype)
+    out[:, :DIM] = h
+    return out
+
+
+def _flat(target: np.ndarray) -> np.ndarray:
+    """Where the targets' numbers stand in rows of IN_CLASS (or CLASSES) that follow one another."""
+    return np.arange(0, len(target) * IN_CLASS, IN_CLASS) + target
+
+
+def _runs(cls: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, first, end) of each run of sorted classes."""
+    cut = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    return [(c, a, b) for c, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+
+
+def _powers(x: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """2 ** (x - shift) in place; returns its sum for each row, and the shift. Rows are shifted only if
+    a power is not well within the range of 32-bit numbers."""
+    shift = 0.0
+    if len(x) and (x.max() > 60 or x.min() < -60):
+        shift = x.max(axis=1)
+        x -= shift[:, None]
+        np.maximum(x, -110, out=x)
+    return np.einsum("ij->i", _exp2(x)), shift
+
+
+def _exp2(x: np.ndarray) -> np.ndarray:
+    """2 ** x in place, for x from -125 to 125. numpy takes powers of 32-bit numbers one by one; this adds the nearest
+    whole number to the exponent of a polynomial of the rest, whose relative error is that of rounding."""
+    if x.dtype != np.float32:
+        return np.exp2(x, out=x)
+    whole = x + _ROUND
+    power = whole - _ROUND
+    x -= power
+    np.multiply(x, _EXP2[0], out=power)
+    for c in _EXP2[1:-1]:
+        power += c
+        power *= x
+    np.add(power, _EXP2[-1], out=x)
+    bits = whole.view(np.int32)
+    bits <<= 23
+    exponents = x.view(np.int32)
+    exponents += bits
+    return x
 
 
 def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -254,22 +358,11 @@ def padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 _REPLICA = "replica long, targets long, state binary"
 
 
-def _dealt(docs: DataFrame, id_col: str, text_col: str, vocab, this: int, replicas: int) -> DataFrame:
+def _dealt(rows: DataFrame, this: int, replicas: int) -> DataFrame:
     """(replica, h, tokens) of the documents of round ``this``, in order of h within their replica's task.
     Only token numbers are shuffled, two bytes a word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocab.value)
-        for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                batch = whole.slice(k, 256)
-                tokens = [words.ids(t).astype("<u2").tobytes() for t in utf8(batch, "text")]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.binary())],
-                                                 ["replica", "h", "tokens"])
-
-    h = F.xxhash64(F.col(id_col), F.col(text_col))
-    mine = docs.select(h.alias("h"), F.col(text_col).alias("text")).where(F.pmod("h", F.lit(ROUNDS)) == this)
     replica = F.pmod(F.shiftright("h", 8), F.lit(replicas)).cast("int").alias("replica")
-    dealt = mine.select(replica, "h", "text").mapInArrow(run, "replica int, h long, tokens binary")
+    dealt = rows.where(F.pmod("h", F.lit(ROUNDS)) == this).select(replica, "h", "tokens")
     return dealt.repartitionById(replicas, F.col("replica")).sortWithinPartitions("h")
 
 
@@ -318,11 +411,10 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
                          "state": [out.getvalue()]})
 
 
-def _round(docs: DataFrame, id_col: str, text_col: str, vocab, begin: bytes, this: int, replicas: int,
-           stride: int) -> bytes:
+def _round(rows: DataFrame, begin: bytes, this: int, replicas: int, stride: int) -> bytes:
     """The state after one round: all replicas trained from ``begin`` and averaged."""
-    state = docs.sparkSession.sparkContext.broadcast(begin)
-    done = materialize(_trained(_dealt(docs, id_col, text_col, vocab, this, replicas), state, stride), "lm-replicas")
+    state = rows.sparkSession.sparkContext.broadcast(begin)
+    done = materialize(_trained(_dealt(rows, this, replicas), state, stride), "lm-replicas")
     while (left := done.count()) > 1:
         group = F.floor(F.col("replica") / FAN_IN).alias("group")
         if left <= FAN_IN:
@@ -355,10 +447,8 @@ def _bucket(word: Column) -> Column:
     return F.crc32(word) % BUCKETS
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE,
-        replica: int = REPLICA) -> Model:
-    """Counts and network from all documents. Without any word the starting network remains."""
-    spark = docs.sparkSession
+def _untrained(docs: DataFrame, text_col: str) -> tuple[Model, np.ndarray]:
+    """The model without a network, and the counts of the tokens."""
     counts = materialize(word_counts(docs, text_col), "lm-counts")
     frequent = counts.orderBy(F.desc("n"), "word").limit(WORDS + KNOWN).collect()
     known = {bytes(r.word): r.n for r in frequent[WORDS:]}
@@ -373,32 +463,70 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stri
         for r in others.groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
             buckets[r.b] = (r.n, r.d)
     n[WORDS:] = [b[0] for b in buckets]
-    words, start = spark.sparkContext.broadcast(vocab), Network.start(n)
+    return Model(vocab, b"", counts, known, buckets), n
+
+
+def _read(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
+    """(row, doc_id, h, tokens, share, others) of every row, written once and read by the rounds and for the scores:
+    its number, its hash, two bytes a token, the sum of the known words' log shares, and the count of each
+    unknown word."""
+    spec = docs.sparkSession.sparkContext.broadcast((model.vocab, model.known, model.shares()))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, known, share_of = spec.value
+        words, share_of = Vocabulary(vocab, known), np.concatenate([np.zeros(len(vocab), np.int64), share_of, [0]])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                batch = whole.slice(k, 256)
+                text, size = all_words(batch.column(2))
+                code, distinct, token, number = words.read(text)
+                end = np.concatenate(([0], np.cumsum(size)))
+                data, at = token[code].astype("<u2").tobytes(), (2 * end).tolist()
+                shares = np.concatenate(([0], np.cumsum(share_of[number][code])))[end]
+                unknown = np.flatnonzero((number < 0)[code])
+                of = np.repeat(np.arange(len(size)), size)[unknown]
+                pair, n = np.unique(of * max(len(distinct), 1) + code[unknown], return_counts=True)
+                of, word = np.divmod(pair, max(len(distinct), 1))
+                pairs = pa.StructArray.from_arrays([distinct.take(pa.array(word)), pa.array(n, pa.int64())], ["word", "k"])
+                ends = np.searchsorted(of, np.arange(len(size) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array([data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                     pa.array(np.diff(shares), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pairs)],
+                    ["doc_id", "h", "tokens", "share", "others"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
+    rows = rows.mapInArrow(run, f"doc_id {kind}, h long, tokens binary, share long, others array<struct<word:binary,k:long>>")
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")  # numbers are read back, never given anew
+
+
+def _fit(rows: DataFrame, model: Model, n: np.ndarray, stride: int, replica: int) -> Model:
+    start = Network.start(n)
     state = start.dump([np.full(a.shape, 1e-4, np.float32) for a in start.arrays])
     replicas = max(1, round(n.sum() / (ROUNDS * replica)))
     for this in range(ROUNDS):
-        state = _round(docs, id_col, text_col, words, state, this, replicas, stride)
-    return Model(vocab, Network.load(state).dump(), counts, known, buckets)
+        state = _round(rows, state, this, replicas, stride)
+    return model._replace(weights=Network.load(state).dump())
 
 
-def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, share, others): scores of the tokens, sum of the known words' log
-    shares, and the count of each unknown word of a row."""
-    spec = docs.sparkSession.sparkContext.broadcast((model.vocab, model.known, model.weights, model.shares()))
-    kind = docs.schema[id_col].dataType.simpleString()
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE,
+        replica: int = REPLICA) -> Model:
+    """Counts and network from all documents. Without any word the starting network remains."""
+    model, n = _untrained(docs, text_col)
+    return _fit(_read(docs, model, id_col, text_col), model, n, stride, replica)
+
+
+def _bucket_scored(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, doc_id, n_tokens, log_likelihood, share): scores of the tokens, and the sum of the known words' log shares."""
+    weights = rows.sparkSession.sparkContext.broadcast(model.weights)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, known, weights, share_of = spec.value
-        words, net = Vocabulary(vocab, known), Network.load(weights)
+        net = Network.load(weights.value)
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                docs_ids, shares, others = [], [], []
-                for t in utf8(batch, "text"):
-                    tokens, number, unknown = words.read(t)
-                    docs_ids.append(tokens)
-                    shares.append(int(share_of[number[number >= len(vocab)] - len(vocab)].sum()))
-                    others.append(Counter(unknown))
+                docs_ids = [np.frombuffer(t, "<u2") for t in batch.column(2).to_pylist()]
                 tokens, _ = padded(docs_ids)
                 size = np.array([len(d) for d in docs_ids], np.int64)
                 sums = np.zeros(len(size))
@@ -406,26 +534,16 @@ def _bucket_scored(docs: DataFrame, model: Model, id_col: str, text_col: str) ->
                 if len(at):
                     doc = np.repeat(np.arange(len(size)), size)
                     sums = np.bincount(doc, net.log_probs(tokens, at), len(size))
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array([w for c in others for w in c], pa.binary()),
-                     pa.array([n for c in others for n in c.values()], pa.int64())], ["word", "k"])
-                ends = np.concatenate(([0], np.cumsum([len(c) for c in others]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size), pa.array(sums), pa.array(shares, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), pairs)],
-                    ["doc_id", "n_tokens", "log_likelihood", "share", "others"])
+                    [batch.column(0), batch.column(1), pa.array(size), pa.array(sums), batch.column(3)],
+                    ["row", "doc_id", "n_tokens", "log_likelihood", "share"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, log_likelihood double, share long, others array<struct<word:binary,k:long>>")
+    return rows.select("row", "doc_id", "tokens", "share").mapInArrow(
+        run, f"row long, doc_id {kind}, n_tokens long, log_likelihood double, share long")
 
 
-def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over all tokens) and perplexity of every row.
-
-    Null, empty and blank texts have no tokens, log-likelihood 0 and perplexity 1. Repeated rows get
-    equal scores. Other columns aren't read. An empty table gives an empty result."""
-    rows = materialize(_bucket_scored(docs, model, id_col, text_col).withColumn(
-        "row", F.monotonically_increasing_id()), "lm-scores")  # numbers are read back, never given anew
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
+    base = materialize(_bucket_scored(rows, model), "lm-scores")
     total = F.array(*[F.lit(float(np.log(n + 1))) for n, _ in model.buckets])
     unseen = F.array(*[F.lit(float(-np.log(max(d, 1)))) for _, d in model.buckets])
     # a word beyond the known ones is at most one token in KNOWN, so no key is hot; sorted merge at any
@@ -435,7 +553,6 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     share = F.coalesce(F.log("n"), F.element_at(unseen, b)) - F.element_at(total, b)
     pairs = pairs.join(model.counts.hint("merge"), "word", "left").select(
         "row", (F.round(share * SHARE_UNIT).cast("long") * F.col("k")).alias("share"))
-    base = rows.select("row", "doc_id", "n_tokens", "log_likelihood", "share")
     none = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in ("doc_id", "n_tokens", "log_likelihood")]
     out = base.unionByName(pairs.select("row", *none, "share")).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
@@ -444,7 +561,17 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
         -F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("perplexity"))
 
 
+def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum over all tokens) and perplexity of every row.
+
+    Null, empty and blank texts have no tokens, log-likelihood 0 and perplexity 1. Repeated rows get
+    equal scores. Other columns aren't read. An empty table gives an empty result."""
+    return _scored(_read(docs, model, id_col, text_col), model)
+
+
 def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       stride: int = STRIDE) -> DataFrame:
-    """Fit on all of ``docs`` and score them."""
-    return scored(docs, fit(docs, id_col=id_col, text_col=text_col, stride=stride), id_col=id_col, text_col=text_col)
+    """Fit on all of ``docs`` and score them; their words are looked up once for both."""
+    model, n = _untrained(docs, text_col)
+    rows = _read(docs, model, id_col, text_col)
+    return _scored(rows, _fit(rows, model, n, stride, REPLICA))

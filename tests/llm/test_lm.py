@@ -172,3 +172,50 @@ def test_a_very_long_text(make):
     long = " ".join(f"w{rng.randrange(300)}" for _ in range(200_000))
     out = {r.doc_id: r for r in L.pseudo_likelihood(make([(1, long), (2, "w1 w2"), (3, "x" * 100_000)])).collect()}
     assert out[1].n_tokens == 200_000 and out[3].n_tokens == 1 and all(np.isfinite(r.log_likelihood) for r in out.values())
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    import pyarrow as pa
+    texts = [None, "", " ", "\t A b C\x1cd \n", "\x0bx\x0c\ry", "ÄZ İ", "a  a"]
+    for kind in (pa.string(), pa.large_string()):
+        words, sizes = L.all_words(pa.array(texts, kind))
+        want = [L.words_of((t or "").encode()) for t in texts]
+        assert [w.encode() for w in words.to_pylist()] == [w for ws in want for w in ws]
+        assert sizes.tolist() == [len(ws) for ws in want]
+
+
+def test_powers_are_as_exact_as_rounding():
+    x = np.random.default_rng(3).uniform(-125, 125, (50, 64))
+    x[0], x[1, :3] = np.arange(-32, 32), (0.5, -0.5, 1.5)
+    x = x.astype(np.float32)
+    want = np.exp2(x.astype(np.float64))
+    assert np.abs(L._exp2(x.copy()) / want - 1).max() < 4e-7
+
+
+def test_far_apart_logits_have_finite_log_probs():
+    start = L.Network.start(np.ones(L.TOKENS))
+    start.word_b[:, 0] = 400.0          # exp of -400 is no 32-bit number
+    tokens, _ = L.padded([np.array([1, 64, 130])])
+    at = np.arange(2, 5)
+    got = start.log_probs(tokens, at)
+    exact = L.Network([a.astype(np.float64) for a in start.arrays]).log_probs(tokens, at)
+    assert np.isfinite(got).all() and np.allclose(got, exact, rtol=1e-5) and got[0] < -390 and got[1] > -10
+
+
+def test_words_are_looked_up_once(make, monkeypatch, capsys):
+    """One pass of Python over the texts after the counts; a round's documents come from its token numbers."""
+    reads, read = [], L._read
+    monkeypatch.setattr(L, "_read", lambda *a: reads.append(read(*a)) or reads[-1])
+    docs = make(corpus(40))
+    assert L.pseudo_likelihood(docs).count() == 40
+    assert len(reads) == 1 and "text" not in reads[0].columns
+    L._dealt(reads[0], 0, 3).explain()
+    plan = capsys.readouterr().out
+    assert "Arrow" not in plan and "tokens" in plan and "others" not in plan
+
+
+def test_counts_are_passed_on_in_parts(make, monkeypatch):
+    monkeypatch.setattr(L, "COUNTED", 7)
+    rows = corpus(600) + [(None, None)]
+    got = {bytes(r.word): r.n for r in L.word_counts(make(rows).coalesce(2), "text").collect()}
+    assert got == Counter(w for _, t in rows if t for w in L.words_of(t.encode()))
